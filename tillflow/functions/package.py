@@ -414,7 +414,7 @@ _TEMP = ["_pk_d", "_pk_p", "_it_i", "_it_p", "_it_d", "_ct_i", "_ct_p", "_ct_d",
 
 def parse_package(df: DataFrame, description: str = "rt_brand_description",
                   package_size: str = "rt_package_size",
-                  item_size: str = "rt_item_size") -> DataFrame:
+                  item_size: str = "rt_item_size", keep_steps: bool = False) -> DataFrame:
     """Add the six parsed columns to ``df`` (narrow: no shuffle, no Python).
 
     Each rule family runs once per text column; then pick (item size ->
@@ -431,7 +431,8 @@ def parse_package(df: DataFrame, description: str = "rt_brand_description",
         "_ct_p": container_rule(F.col(package_size)),
         "_ct_d": container_rule(F.col(description)),
     })
-    picked = item_size_pick(F.col("_it_i"), F.col("_it_p"), F.col("_it_d"))
+    out = out.withColumn("_pick", item_size_pick(F.col("_it_i"), F.col("_it_p"), F.col("_it_d")))
+    picked = F.col("_pick")
     out = out.withColumns({
         "package_size_num": F.coalesce(F.col("_pk_d"), F.col("_pk_p"), F.lit(1.0)),
         "_item": size_standardise(picked.getField("size"), picked.getField("unit")),
@@ -447,7 +448,12 @@ def parse_package(df: DataFrame, description: str = "rt_brand_description",
     })
     out = out.withColumn("package_configuration",
                          package_label(F.col("package_size_num"), F.col("item_size"), F.col("container_type")))
-    return out.drop(*_TEMP)
+    if keep_steps:
+        # intermediate steps, for inspection: picked size (before
+        # standardising), standardised size, picked container
+        return out.withColumnsRenamed({"_pick": "step_item_pick", "_item": "step_item_std",
+                                       "_ct": "step_container_pick"}).drop(*_TEMP)
+    return out.drop(*_TEMP, "_pick")
 
 
 __all__ = ["with_pkg_size_rule", "with_item_size_rule", "with_container_rule", "container_rule",

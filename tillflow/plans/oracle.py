@@ -273,18 +273,20 @@ def finish_ctes(src: str, name: str) -> tuple[str, str]:
     return ctes, name
 
 
-def mpower_ctes(src: str, name: str) -> str:
+def mpower_ctes(src: str, name: str, casepk: bool = True) -> str:
     """Base (MPower) adapter over a base-format feed CTE."""
     q, w = num_exp("qty_on_hand"), num_exp("casepk")
+    whl = (f"""CASE WHEN {w} IS NOT NULL THEN CAST(CAST(trunc({w}) AS BIGINT) AS VARCHAR) || ' Pack' ELSE '' END
+      AS wholesale_package_size,
+    coalesce({float_text(f"(CASE WHEN {w} = 0 THEN NULL ELSE {q} / {w} END)")}, '') AS rt_wholesale_qty"""
+           if casepk else "'' AS wholesale_package_size, '' AS rt_wholesale_qty")
     body = f"""
 {name}_m AS (
   SELECT retailer_id, _ord, product_id AS rt_product_id, upc_code AS rt_upc_code, brand_name AS rt_brand_name,
     brand_description AS rt_brand_description, product_type AS rt_product_type,
     product_category AS rt_product_category, package_size AS rt_package_size, '' AS rt_item_size,
     price_regular, sale_price AS price_sale, qty_on_hand,
-    CASE WHEN {w} IS NOT NULL THEN CAST(CAST(trunc({w}) AS BIGINT) AS VARCHAR) || ' Pack' ELSE '' END
-      AS wholesale_package_size,
-    coalesce({float_text(f"(CASE WHEN {w} = 0 THEN NULL ELSE {q} / {w} END)")}, '') AS rt_wholesale_qty
+    {whl}
   FROM {src}),"""
     fin, _ = finish_ctes(f"{name}_m", name)
     return body + fin
@@ -292,3 +294,35 @@ def mpower_ctes(src: str, name: str) -> str:
 
 def with_clause(*parts: str) -> str:
     return "WITH " + ",\n".join(p.strip().rstrip(",") for p in parts if p.strip())
+
+
+F8 = """f8 AS (
+select cast(l_suppkey as varchar) as retailer_id, l_orderkey * 8 + l_linenumber as _ord,
+ cast(l_partkey as varchar) as product_id,
+ cast(l_orderkey * 10 + l_linenumber as varchar) as upc_code,
+ p_brand as brand_name,
+ concat(p_name, ' ', case (l_orderkey + l_linenumber) % 16
+   when 0 then q || ' PK ' || sz || ' OZ CANS'
+   when 1 then q || '/ PK BTL'
+   when 2 then sz || '0 ML'
+   when 3 then '1.' || n || 'L'
+   when 4 then '1/' || n || ' KEG'
+   when 5 then q || '-PACK ' || sz || 'OZ BOTTLE'
+   when 6 then 'BOMBER'
+   when 7 then 'PINT ' || sz
+   when 8 then n || '/' || q || '/' || sz || ' OZ'
+   when 9 then sz || 'KG'
+   when 10 then n || '-' || q || 'PK'
+   when 11 then q || 'PCK ' || n || ' GAL'
+   when 12 then sz || ' LTR TETRA'
+   when 13 then q || ' PC ' || sz || 'FL OZ POUCH'
+   when 14 then sz || ' GAL BOX '
+   else 'M' || sz || ' JUG ALUM BTL' end) as brand_description,
+ p_type as product_type, cast(p_size as varchar) as product_category,
+ n || ' pk' as package_size,
+ cast(l_extendedprice as varchar) as price_regular,
+ case when l_tax > 0.04 then cast(l_extendedprice * 0.5 as varchar) else '' end as sale_price,
+ q as qty_on_hand
+from (select *, cast(cast(trunc(l_quantity) as bigint) as varchar) as q, cast(p_size as varchar) as sz,
+             cast(l_linenumber as varchar) as n
+      from lineitem join part on l_partkey = p_partkey))"""

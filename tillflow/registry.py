@@ -46,3 +46,88 @@ register("parse_package", _sql_parse_package())(q_parse_package)
 @register("feed_mpower", O.with_clause(O.F1, O.mpower_ctes("f1", "mp")) + "\nSELECT * FROM mp")
 def q_feed_mpower(spark, sf_dir):
     return feeds.feed_mpower(D.f1_base(spark, sf_dir))
+
+
+# ------------------------------------------------ package parse: rule level
+# Rules applied to the description text of every lineitem-level feed row.
+
+from tillflow.functions import package as P  # noqa: E402
+
+
+def _f8_texts(spark, sf_dir):
+    return D.f8_lines(spark, sf_dir).select(F.col("_ord").alias("line_id"), F.col("brand_description").alias("text"))
+
+
+@register("pkg_size_rule", O.with_clause(O.F8) + f"""
+SELECT _ord AS line_id, brand_description AS text, {O.pack_case(O.pack_text('brand_description'))} AS pack_count
+FROM f8""")
+def q_pkg_size_rule(spark, sf_dir):
+    return P.with_pkg_size_rule(_f8_texts(spark, sf_dir), "text", "pack_count")
+
+
+@register("item_size_rule", O.with_clause(O.F8, f"""f8i AS (
+SELECT _ord AS line_id, brand_description AS text, {O.item_case(O.item_text('brand_description'))} AS r FROM f8)""") + """
+SELECT line_id, text, r.size AS item_size, r.unit AS item_unit FROM f8i""")
+def q_item_size_rule(spark, sf_dir):
+    d = P.with_item_size_rule(_f8_texts(spark, sf_dir), "text", "r")
+    return d.select("line_id", "text", F.col("r.size").alias("item_size"), F.col("r.unit").alias("item_unit"))
+
+
+@register("container_rule", O.with_clause(O.F8) + f"""
+SELECT _ord AS line_id, brand_description AS text, {O.container_case(O.container_text('brand_description'))} AS container
+FROM f8""")
+def q_container_rule(spark, sf_dir):
+    return P.with_container_rule(_f8_texts(spark, sf_dir), "text", "container")
+
+
+# ------------------------------------------ package parse: pick / assemble
+# The parse over the lineitem-level feed, one key per step of the assembly.
+
+def _f8_parsed(spark, sf_dir):
+    rows = feeds.feed_mpower(D.f8_lines(spark, sf_dir))
+    return P.parse_package(rows, keep_steps=True)
+
+
+def _f8_parse_sql(select: str) -> str:
+    mp = O.mpower_ctes("f8", "mp", casepk=False)
+    pctes, pout = O.parse_ctes("mp", ["retailer_id", "rt_product_id"])
+    src = "pp_fill" if any(x in select for x in ("it0", "it1", "ct0")) else pout
+    return O.with_clause(O.F8, mp, pctes) + f"\nSELECT retailer_id, rt_product_id, {select} FROM {src}"
+
+
+_STEPS = {
+    "pkg_size": ("package_size_num", lambda: [F.col("package_size_num")]),
+    "item_size_pick": ("it0.size AS item_size, it0.unit AS item_unit",
+                       lambda: [F.col("step_item_pick.size").alias("item_size"),
+                                F.col("step_item_pick.unit").alias("item_unit")]),
+    "size_standardise": ("it1.size AS item_size, it1.unit AS item_unit",
+                         lambda: [F.col("step_item_std.size").alias("item_size"),
+                                  F.col("step_item_std.unit").alias("item_unit")]),
+    "container_pick": ("ct0 AS container", lambda: [F.col("step_container_pick").alias("container")]),
+    "special_config": ("item_size_value, item_units",
+                       lambda: [F.col("item_size_value"), F.col("item_units")]),
+    "container_fill": ("container_type", lambda: [F.col("container_type")]),
+    "item_size_text": ("item_size", lambda: [F.col("item_size")]),
+    "package_configuration": ("package_size_num, item_size, container_type, package_configuration",
+                              lambda: [F.col(c) for c in ("package_size_num", "item_size", "container_type",
+                                                          "package_configuration")]),
+}
+
+
+def _step_query(cols_fn):
+    def q(spark, sf_dir):
+        return _f8_parsed(spark, sf_dir).select("retailer_id", "rt_product_id", *cols_fn())
+    return q
+
+
+for _k, (_sql_sel, _cols) in _STEPS.items():
+    register(_k, _f8_parse_sql(_sql_sel))(_step_query(_cols))
+
+
+def _sql_f8_mpower():
+    return O.with_clause(O.F8, O.mpower_ctes("f8", "mp", casepk=False)) + "\nSELECT * FROM mp"
+
+
+@register("feed_mpower_lines", _sql_f8_mpower())
+def q_feed_mpower_lines(spark, sf_dir):
+    return feeds.feed_mpower(D.f8_lines(spark, sf_dir))
