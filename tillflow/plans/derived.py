@@ -132,7 +132,8 @@ def f2_prc(spark, sf_dir) -> DataFrame:
 def f2_stk(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.where(F.col("l_linestatus") == "O").select(
-        s("l_suppkey").alias("retailer_id"), s("l_partkey").alias("sku"), F.col("l_quantity").alias("back"),
+        s("l_suppkey").alias("retailer_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(ORD),
+        s("l_partkey").alias("sku"), F.col("l_quantity").alias("back"),
         F.col("l_shipdate").alias("tstamp"))
 
 

@@ -326,3 +326,95 @@ select cast(l_suppkey as varchar) as retailer_id, l_orderkey * 8 + l_linenumber
 from (select *, cast(cast(trunc(l_quantity) as bigint) as varchar) as q, cast(p_size as varchar) as sz,
              cast(l_linenumber as varchar) as n
       from lineitem join part on l_partkey = p_partkey))"""
+
+
+F2 = """f2_inv AS (
+select distinct cast(l_suppkey as varchar) as retailer_id, cast(p_partkey as varchar) as sku, p_name as name,
+ concat(cast(p_size as varchar), ' OZ') as sname, p_size as pack, p_type as typename
+from lineitem join part on l_partkey = p_partkey),
+f2_prc AS (
+select cast(l_suppkey as varchar) as retailer_id, l_orderkey * 8 + l_linenumber as _ord,
+ cast(l_partkey as varchar) as sku, l_quantity as qty,
+ l_extendedprice as price, case when l_discount > 0.05 then l_extendedprice * 0.5 else 0.0 end as sale,
+ case when l_returnflag = 'R' then 'T' else 'F' end as onsale, cast(l_linenumber as varchar) as level, l_shipdate as tstamp
+from lineitem),
+f2_stk AS (
+select cast(l_suppkey as varchar) as retailer_id, l_orderkey * 8 + l_linenumber as _ord,
+ cast(l_partkey as varchar) as sku, l_quantity as back, l_shipdate as tstamp
+from lineitem where l_linestatus = 'O'),
+f2_upc AS (
+select cast(l_suppkey as varchar) as retailer_id, l_orderkey * 8 + l_linenumber as _ord,
+ cast(l_partkey as varchar) as sku,
+ case when l_orderkey % 11 = 0 then null else cast(l_orderkey * 10 + l_linenumber as varchar) end as upc,
+ case when l_orderkey % 13 = 0 then null else l_shipdate end as tstamp
+from lineitem)"""
+
+
+def latest_sql(src: str, ts: str = "tstamp") -> str:
+    """Rows of ``src`` with the newest ``ts`` per (retailer_id, sku)."""
+    return (f"(SELECT * EXCLUDE (_mt) FROM (SELECT *, max({ts}) OVER (PARTITION BY retailer_id, sku) AS _mt "
+            f"FROM {src}) WHERE {ts} = _mt)")
+
+
+def maxqty_latest_sql(src: str) -> str:
+    """Max qty per (retailer_id, sku), then the newest among those."""
+    q = (f"(SELECT * EXCLUDE (_mq) FROM (SELECT *, max(qty) OVER (PARTITION BY retailer_id, sku) AS _mq "
+         f"FROM {src} WHERE qty IS NOT NULL) WHERE qty = _mq)")
+    return latest_sql(q)
+
+
+def spirit_members(level: str, max_qty: bool) -> str:
+    prc = f"(SELECT * FROM f2_prc WHERE level = '{level}')"
+    prc = maxqty_latest_sql(prc) if max_qty else latest_sql(prc)
+    return f"""sp_inv AS (SELECT retailer_id, sku, name, sname, pack, typename FROM f2_inv),
+sp_prc AS (SELECT retailer_id, sku, qty, price, sale, onsale, level, _ord AS _ord_prc FROM {prc}),
+sp_stk AS (SELECT retailer_id, sku, back, _ord AS _ord_back FROM {latest_sql('f2_stk')}),
+sp_upc AS (SELECT retailer_id, sku, upc, _ord AS _ord_upc FROM {latest_sql('f2_upc')})"""
+
+
+SPIRIT_ANCHOR = """sp_cnt AS (
+  SELECT retailer_id, 'inv' AS member, 0 AS prio, count(*) AS n FROM sp_inv GROUP BY retailer_id
+  UNION ALL SELECT retailer_id, 'prc', 1, count(*) FROM sp_prc GROUP BY retailer_id
+  UNION ALL SELECT retailer_id, 'stk', 2, count(*) FROM sp_stk GROUP BY retailer_id
+  UNION ALL SELECT retailer_id, 'upc', 3, count(*) FROM sp_upc GROUP BY retailer_id),
+sp_anc AS (SELECT retailer_id, arg_max(member, n * 10 - prio) AS anchor FROM sp_cnt GROUP BY retailer_id),
+sp_full AS (
+  SELECT * FROM (SELECT *, true AS _in_inv FROM sp_inv)
+  FULL OUTER JOIN (SELECT *, true AS _in_prc FROM sp_prc) USING (retailer_id, sku)
+  FULL OUTER JOIN (SELECT *, true AS _in_stk FROM sp_stk) USING (retailer_id, sku)
+  FULL OUTER JOIN (SELECT *, true AS _in_upc FROM sp_upc) USING (retailer_id, sku)),
+sp_join AS (
+  SELECT sp_full.* EXCLUDE (_in_inv, _in_prc, _in_stk, _in_upc) FROM sp_full JOIN sp_anc USING (retailer_id)
+  WHERE (anchor = 'inv' AND _in_inv) OR (anchor = 'prc' AND _in_prc)
+     OR (anchor = 'stk' AND _in_stk) OR (anchor = 'upc' AND _in_upc))"""
+
+SPIRIT_INNER = """sp_join AS (
+  SELECT * FROM sp_inv JOIN sp_prc USING (retailer_id, sku) JOIN sp_stk USING (retailer_id, sku)
+  JOIN sp_upc USING (retailer_id, sku))"""
+
+SPIRIT_DEDUP = """sp_dedup AS (
+  SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY retailer_id, sku ORDER BY
+    upc IS NULL, TRY_CAST(upc AS DOUBLE) NULLS FIRST, upc NULLS FIRST, _ord_upc NULLS FIRST,
+    _ord_prc NULLS FIRST, _ord_back NULLS FIRST) AS _rn FROM sp_join) WHERE _rn = 1)"""
+
+
+def spirit_sql(kind: str) -> str:
+    """spirit2000 adapters: 'csv' (anchor-left, back/qty, pack), 'dbf'
+    (inner, back), 'tower' (level 7, newest only, inner, back/qty)."""
+    if kind == "tower":
+        members, join = spirit_members("7", max_qty=False), SPIRIT_INNER
+    elif kind == "dbf":
+        members, join = spirit_members("1", max_qty=True), SPIRIT_INNER
+    else:
+        members, join = spirit_members("1", max_qty=True), SPIRIT_ANCHOR
+    qoh = "back" if kind == "dbf" else "(CASE WHEN qty = 0 THEN NULL ELSE back / qty END)"
+    whl = "coalesce(CAST(pack AS VARCHAR), '') || ' pack'" if kind == "csv" else "''"
+    canon = f"""sp_canon AS (
+  SELECT retailer_id, 0 AS _ord, sku AS rt_product_id, upc AS rt_upc_code, '' AS rt_brand_name,
+    name AS rt_brand_description, typename AS rt_product_type, '' AS rt_product_category,
+    coalesce(CAST(qty AS VARCHAR), '') || ' pack' AS rt_package_size, sname AS rt_item_size,
+    CAST(price AS VARCHAR) AS price_regular, CAST(sale AS VARCHAR) AS price_sale,
+    CAST({qoh} AS VARCHAR) AS qty_on_hand, {whl} AS wholesale_package_size, '' AS rt_wholesale_qty
+  FROM sp_dedup)"""
+    fin, name = finish_ctes("sp_canon", "sp")
+    return with_clause(F2, members, join, SPIRIT_DEDUP, canon, fin) + f"\nSELECT * FROM {name}"

@@ -131,3 +131,86 @@ def _sql_f8_mpower():
 @register("feed_mpower_lines", _sql_f8_mpower())
 def q_feed_mpower_lines(spark, sf_dir):
     return feeds.feed_mpower(D.f8_lines(spark, sf_dir))
+
+
+# ------------------------------------------------------------- spirit2000
+# Four-member feed (inv / prc / stk / upc) with price history, per retailer.
+
+def _f2(spark, sf_dir):
+    return (D.f2_inv(spark, sf_dir), D.f2_prc(spark, sf_dir), D.f2_stk(spark, sf_dir), D.f2_upc(spark, sf_dir))
+
+
+register("feed_spirit2000_csv", O.spirit_sql("csv"))(lambda spark, sf: feeds.feed_spirit2000_csv(*_f2(spark, sf)))
+register("feed_spirit2000_dbf", O.spirit_sql("dbf"))(lambda spark, sf: feeds.feed_spirit2000_dbf(*_f2(spark, sf)))
+register("feed_spirit2000_tower", O.spirit_sql("tower"))(
+    lambda spark, sf: feeds.feed_spirit2000_tower(*_f2(spark, sf), upc_ts="tstamp"))
+
+
+@register("win_latest_ties", O.with_clause(O.F2) + f"""
+SELECT retailer_id, sku, back, tstamp FROM {O.latest_sql('f2_stk')}""")
+def q_win_latest_ties(spark, sf_dir):
+    from tillflow.operators import pick
+    return pick.keep_latest(D.f2_stk(spark, sf_dir), ["retailer_id", "sku"], "tstamp").select(
+        "retailer_id", "sku", "back", "tstamp")
+
+
+@register("win_maxqty_then_latest", O.with_clause(O.F2) + f"""
+SELECT retailer_id, sku, qty, price, tstamp FROM {O.maxqty_latest_sql("(SELECT * FROM f2_prc WHERE level = '1')")}""")
+def q_win_maxqty_then_latest(spark, sf_dir):
+    from tillflow.operators import pick
+    from tillflow.operators.columns import filter_level
+    prc = filter_level(D.f2_prc(spark, sf_dir), "1")
+    return pick.keep_maxqty_then_latest(prc, ["retailer_id", "sku"], "qty", "tstamp").select(
+        "retailer_id", "sku", "qty", "price", "tstamp")
+
+
+@register("agg_group_max", O.with_clause(O.F2) + """
+SELECT retailer_id, sku, max(qty) AS max_qty, max(tstamp) AS max_tstamp FROM f2_prc GROUP BY retailer_id, sku""")
+def q_agg_group_max(spark, sf_dir):
+    from tillflow.operators import pick
+    return pick.group_max(D.f2_prc(spark, sf_dir), ["retailer_id", "sku"], ["qty", "tstamp"])
+
+
+@register("filter_price_level", O.with_clause(O.F2) + """
+SELECT retailer_id, sku, qty, price, level FROM f2_prc WHERE level = '7'""")
+def q_filter_price_level(spark, sf_dir):
+    from tillflow.operators.columns import filter_level
+    return filter_level(D.f2_prc(spark, sf_dir), "7").select("retailer_id", "sku", "qty", "price", "level")
+
+
+@register("dedup_smallest_upc", O.with_clause(O.F2) + """
+SELECT retailer_id, sku, upc, tstamp FROM (SELECT *, row_number() OVER (PARTITION BY retailer_id, sku ORDER BY
+  upc IS NULL, TRY_CAST(upc AS DOUBLE) NULLS FIRST, upc NULLS FIRST, _ord) AS _rn FROM f2_upc) WHERE _rn = 1""")
+def q_dedup_smallest_upc(spark, sf_dir):
+    from tillflow.operators import pick
+    return pick.dedup_smallest(D.f2_upc(spark, sf_dir), ["retailer_id", "sku"], "upc").select(
+        "retailer_id", "sku", "upc", "tstamp")
+
+
+def _spirit_join_sql(join: str) -> str:
+    return O.with_clause(O.F2, O.spirit_members("1", max_qty=True), join) + """
+SELECT retailer_id, sku, name, qty, price, back, upc FROM sp_join"""
+
+
+def _spirit_members_spark(spark, sf_dir):
+    inv, prc, stk, upc = _f2(spark, sf_dir)
+    return {"inv": inv.select("retailer_id", "sku", "name", "sname", "pack", "typename"),
+            "prc": feeds.spirit_prices(prc, "1", max_qty=True),
+            "stk": feeds.spirit_latest(stk, ["back"]),
+            "upc": feeds.spirit_latest(upc, ["upc"])}
+
+
+@register("join_sku_inner", _spirit_join_sql(O.SPIRIT_INNER))
+def q_join_sku_inner(spark, sf_dir):
+    from tillflow.operators.joins import join_inner_chain
+    m = _spirit_members_spark(spark, sf_dir)
+    return join_inner_chain(list(m.values()), ["retailer_id", "sku"]).select(
+        "retailer_id", "sku", "name", "qty", "price", "back", "upc")
+
+
+@register("join_sku_anchor_left", _spirit_join_sql(O.SPIRIT_ANCHOR))
+def q_join_sku_anchor_left(spark, sf_dir):
+    from tillflow.operators.joins import join_anchor_left
+    m = _spirit_members_spark(spark, sf_dir)
+    return join_anchor_left(m, ["retailer_id", "sku"]).select(
+        "retailer_id", "sku", "name", "qty", "price", "back", "upc")
