@@ -153,7 +153,8 @@ def f3_items(spark, sf_dir) -> DataFrame:
     return p.select(F.lit("1").alias("retailer_id"), F.col("p_partkey").alias(ORD),
                     s("p_partkey").alias("sku"), F.col("p_name").alias("itemname"), F.col("p_brand").alias("description"),
                     (F.col("p_size") % 7).alias("packid"), (F.col("p_size") % 30).alias("sizeid"),
-                    s(F.col("p_size") % 6).alias("catid"), F.col("p_retailprice").alias("priceperunit"))
+                    s(F.col("p_size") % 6).alias("catid"), F.col("p_retailprice").alias("priceperunit"),
+                    s(F.col("p_partkey") * 13).alias("mainupc"), s(F.col("p_size") * 2).alias("instoreqty"))
 
 
 def f3_pack(spark, sf_dir) -> DataFrame:
@@ -201,7 +202,11 @@ def f6_barcodes(spark, sf_dir) -> DataFrame:
         (ok * 8 + F.col("l_linenumber")).alias(ORD),
         s(pk).alias("id"), "l_orderkey", "l_linenumber",
         F.when(ok % 7 == 0, F.lit(None).cast("string")).when(ok % 5 == 0, s(pk)).otherwise(s(ok)).alias("upcitemid"),
-        (F.col("l_linenumber") % 4).alias("sizecaseqty"), s("l_linenumber").alias("unitspercase"))
+        (F.col("l_linenumber") % 4).alias("sizecaseqty"), s("l_linenumber").alias("unitspercase"),
+        F.concat(F.lit("ITEM "), s(pk)).alias("description"), s("l_extendedprice").alias("price"),
+        s("l_quantity").alias("onhand"), s(F.col("l_suppkey") % 7).alias("salesdepartmentid"),
+        F.when(F.col("l_linenumber") == 7, F.lit("LARGE")).otherwise(s(F.col("l_quantity") * 0.05))
+         .alias("description_2"))
 
 
 def f7_parent_child(spark, sf_dir) -> DataFrame:
@@ -212,3 +217,15 @@ def f7_parent_child(spark, sf_dir) -> DataFrame:
         F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"),
         F.col("l_linenumber").alias("upc"), F.col("l_extendedprice").alias("retail"),
         F.col("l_quantity").alias("quantity"))
+
+
+def f4_incoming(spark, sf_dir) -> DataFrame:
+    """Incoming file names: exact, upper-cased, wrong extension, unknown."""
+    su = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    fname = F.concat(F.lower(F.replace(F.col("s_name"), F.lit("#"), F.lit("_"))), F.lit(".csv"))
+    return su.select(
+        k.alias(ORD),
+        F.when(k % 5 == 0, F.concat(F.lit("missing_"), s(k), F.lit(".csv")))
+         .when(k % 7 == 0, F.replace(fname, F.lit(".csv"), F.lit(".xlsx")))
+         .when(k % 2 == 0, F.upper(fname)).otherwise(fname).alias("_file_name"))

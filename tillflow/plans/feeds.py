@@ -369,8 +369,9 @@ def feed_adventpos(raw: DataFrame, itemsize: DataFrame, itempack: DataFrame) ->
         "rt_product_type": dept,
         "rt_product_category": dept,
         "rt_brand_description": T.desc_compose(F.col("rt_brand_name"), F.col("rt_brand_description")),
-        "price_sale": T.numeric_or_zero(F.col("price_sale")),
     })
+    if "price_sale" in df.columns:
+        df = df.withColumn("price_sale", T.numeric_or_zero(F.col("price_sale")))
     return finish(df)
 
 

@@ -418,3 +418,93 @@ def spirit_sql(kind: str) -> str:
   FROM sp_dedup)"""
     fin, name = finish_ctes("sp_canon", "sp")
     return with_clause(F2, members, join, SPIRIT_DEDUP, canon, fin) + f"\nSELECT * FROM {name}"
+
+
+F6 = """f6 AS (
+select cast(l_suppkey as varchar) as retailer_id, l_orderkey * 8 + l_linenumber as _ord,
+ cast(l_partkey as varchar) as id, l_orderkey, l_linenumber,
+ case when l_orderkey % 7 = 0 then null when l_orderkey % 5 = 0 then cast(l_partkey as varchar)
+  else cast(l_orderkey as varchar) end as upcitemid,
+ l_linenumber % 4 as sizecaseqty, cast(l_linenumber as varchar) as unitspercase,
+ 'ITEM ' || cast(l_partkey as varchar) as description, cast(l_extendedprice as varchar) as price,
+ cast(l_quantity as varchar) as onhand, cast(l_suppkey % 7 as varchar) as salesdepartmentid,
+ case when l_linenumber = 7 then 'LARGE' else cast(l_quantity * 0.05 as varchar) end as description_2
+from lineitem)"""
+
+
+def wholesale_label_sql(u: str) -> str:
+    n = num(f"CAST({u} AS VARCHAR)")
+    return (f"(CASE WHEN regexp_matches(split_part(CAST({u} AS VARCHAR), '.', 1), '^[0-9]+$') AND {n} IS NOT NULL "
+            f"THEN CAST(CAST(trunc({n}) AS BIGINT) AS VARCHAR) || ' Pack' ELSE '' END)")
+
+
+def size_oz_sql(x: str) -> str:
+    n = num_exp(x)
+    return (f"(CASE WHEN {n} IS NULL THEN {x} WHEN {n} > 1 THEN {float_text(f'round_even({n}, 2)')} || 'oz' "
+            f"ELSE NULL END)")
+
+
+def kmds_sql() -> str:
+    cq = num_exp("CAST(sizecaseqty AS VARCHAR)")
+    body = f"""k0 AS (SELECT *, CASE WHEN id = upcitemid THEN '-1' ELSE upcitemid END AS up FROM f6),
+k1 AS (SELECT * EXCLUDE (_ml) FROM (SELECT *, max(length(up)) OVER (PARTITION BY retailer_id, id) AS _ml
+       FROM k0 WHERE up IS NOT NULL) WHERE length(up) = _ml),
+k2 AS (SELECT retailer_id, _ord, id AS rt_product_id, up AS rt_upc_code, '' AS rt_brand_name,
+    description AS rt_brand_description, '' AS rt_product_type, salesdepartmentid AS rt_product_category,
+    '' AS rt_package_size, {size_oz_sql('description_2')} AS rt_item_size, price AS price_regular,
+    0.0 AS price_sale, onhand AS qty_on_hand,
+    CASE WHEN {cq} > 1 THEN CAST(CAST(trunc({cq}) AS BIGINT) AS VARCHAR) || ' Pack'
+         ELSE {wholesale_label_sql('unitspercase')} END AS wholesale_package_size, '' AS rt_wholesale_qty
+  FROM k1)"""
+    fin, name = finish_ctes("k2", "km")
+    return with_clause(F6, body, fin) + f"\nSELECT * FROM {name}"
+
+
+F3 = """f3_items AS (
+select '1' as retailer_id, p_partkey as _ord, cast(p_partkey as varchar) as sku, p_name as itemname,
+ p_brand as description, p_size % 7 as packid, p_size % 30 as sizeid,
+ cast(p_size % 6 as varchar) as catid, p_retailprice as priceperunit,
+ cast(p_partkey * 13 as varchar) as mainupc, cast(p_size * 2 as varchar) as instoreqty
+from part),
+f3_pack AS (select r_regionkey as packid, concat(cast(r_regionkey * 6 as varchar), ' PK,', r_name) as packname from region),
+f3_size AS (select n_nationkey as sizeid, concat(cast(n_nationkey * 50 as varchar), ' ML') as sizename from nation)"""
+
+
+def dept_sql(x: str, beer: int, liquor: int, wine: int) -> str:
+    n = num(f"CAST({x} AS VARCHAR)")
+    return (f"(CASE WHEN {n} = {beer} THEN 'BEER' WHEN {n} = {liquor} THEN 'LIQUOR' "
+            f"WHEN {n} = {wine} THEN 'WINE' ELSE 'EXTRAS' END)")
+
+
+def advent_sql() -> str:
+    body = f"""a0 AS (SELECT * FROM f3_items LEFT JOIN f3_pack USING (packid) LEFT JOIN f3_size USING (sizeid)),
+a1 AS (SELECT retailer_id, _ord, sku AS rt_product_id, mainupc AS rt_upc_code, itemname AS rt_brand_name,
+    coalesce(itemname, '') || ' ' || coalesce(description, '') AS rt_brand_description,
+    {dept_sql('catid', 5, 1, 2)} AS rt_product_type, {dept_sql('catid', 5, 1, 2)} AS rt_product_category,
+    split_part(packname, ',', 1) AS rt_package_size, sizename AS rt_item_size,
+    CAST(priceperunit AS VARCHAR) AS price_regular, 0.0 AS price_sale, instoreqty AS qty_on_hand,
+    '' AS wholesale_package_size, '' AS rt_wholesale_qty
+  FROM a0)"""
+    fin, name = finish_ctes("a1", "ad")
+    return with_clause(F3, body, fin) + f"\nSELECT * FROM {name}"
+
+
+F4 = """f4_registry AS (
+select s_suppkey as id, case s_suppkey % 4 when 0 then 'MPower' when 1 then 'spirit2000_csv' when 2 then 'AdventPOS' else 'unknown' end as pos,
+ s_name as name, concat(lower(replace(s_name, '#', '_')), '.csv') as filename, cast(s_nationkey as varchar) as shopid,
+ case when s_suppkey % 3 = 0 then null else 'x' end as refreshtoken
+from supplier),
+f4_incoming AS (
+select s_suppkey as _ord,
+ case when s_suppkey % 5 = 0 then 'missing_' || cast(s_suppkey as varchar) || '.csv'
+      when s_suppkey % 7 = 0 then replace(concat(lower(replace(s_name, '#', '_')), '.csv'), '.csv', '.xlsx')
+      when s_suppkey % 2 = 0 then upper(concat(lower(replace(s_name, '#', '_')), '.csv'))
+      else concat(lower(replace(s_name, '#', '_')), '.csv') end as _file_name
+from supplier)"""
+
+F5 = """f5 AS (
+select l_orderkey, l_linenumber, case when l_discount < 0.03 then 0.0 else l_extendedprice end as pack_price,
+ l_extendedprice / l_quantity as unit_price, case when l_tax < 0.02 then 0.0 else l_extendedprice * 0.5 end as pack_sale,
+ l_extendedprice * 0.25 as unit_sale, l_shipdate as sale_start, l_shipdate + interval '30' day as sale_end
+from lineitem)"""
+AS_OF = "1997-06-01 00:00:00"

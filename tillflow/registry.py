@@ -214,3 +214,132 @@ def q_join_sku_anchor_left(spark, sf_dir):
     m = _spirit_members_spark(spark, sf_dir)
     return join_anchor_left(m, ["retailer_id", "sku"]).select(
         "retailer_id", "sku", "name", "qty", "price", "back", "upc")
+
+
+# ------------------------------------------------------ kmds / adventpos
+
+register("feed_kmds", O.kmds_sql())(lambda spark, sf: feeds.feed_kmds(D.f6_barcodes(spark, sf)))
+
+
+@register("win_longest_upc", O.with_clause(O.F6) + """
+SELECT retailer_id, id, up AS upc, l_orderkey, l_linenumber FROM (
+  SELECT *, max(length(up)) OVER (PARTITION BY retailer_id, id) AS _ml FROM (
+    SELECT *, CASE WHEN id = upcitemid THEN '-1' ELSE upcitemid END AS up FROM f6) WHERE up IS NOT NULL)
+WHERE length(up) = _ml""")
+def q_win_longest_upc(spark, sf_dir):
+    from tillflow.functions.text import upc_same_as_id
+    from tillflow.operators import pick
+    d = D.f6_barcodes(spark, sf_dir).withColumn("upc", upc_same_as_id(F.col("upcitemid"), F.col("id")))
+    return pick.keep_longest(d, ["retailer_id", "id"], "upc").select("retailer_id", "id", "upc", "l_orderkey",
+                                                                     "l_linenumber")
+
+
+@register("agg_max_length", O.with_clause(O.F6) + """
+SELECT retailer_id, id, max(length(upcitemid)) AS max_len FROM f6 GROUP BY retailer_id, id""")
+def q_agg_max_length(spark, sf_dir):
+    return D.f6_barcodes(spark, sf_dir).groupBy("retailer_id", "id").agg(
+        F.max(F.length("upcitemid")).alias("max_len"))
+
+
+register("feed_adventpos", O.advent_sql())(
+    lambda spark, sf: feeds.feed_adventpos(D.f3_items(spark, sf), D.f3_size(spark, sf), D.f3_pack(spark, sf)))
+
+
+@register("join_lookup_left", O.with_clause(O.F3) + """
+SELECT sku, packid, sizeid, packname, sizename FROM f3_items LEFT JOIN f3_pack USING (packid)
+LEFT JOIN f3_size USING (sizeid)""")
+def q_join_lookup_left(spark, sf_dir):
+    from tillflow.operators.joins import join_lookup_left
+    d = join_lookup_left(D.f3_items(spark, sf_dir), D.f3_pack(spark, sf_dir), ["packid"])
+    d = join_lookup_left(d, D.f3_size(spark, sf_dir), ["sizeid"])
+    return d.select("sku", "packid", "sizeid", "packname", "sizename")
+
+
+# ------------------------------------------------------------- registry
+
+def _registry_join(spark, sf_dir, registry):
+    from tillflow.operators.joins import join_registry
+    return join_registry(D.f4_incoming(spark, sf_dir), registry)
+
+
+@register("scan_registry", O.with_clause(O.F4) + "\nSELECT * FROM f4_registry")
+def q_scan_registry(spark, sf_dir):
+    return D.f4_registry(spark, sf_dir)
+
+
+@register("join_registry", O.with_clause(O.F4) + """
+SELECT i._file_name, CAST(r.id AS VARCHAR) AS retailer_id, r.pos FROM f4_incoming i
+JOIN f4_registry r ON lower(i._file_name) = lower(r.filename)""")
+def q_join_registry(spark, sf_dir):
+    matched, _ = _registry_join(spark, sf_dir, D.f4_registry(spark, sf_dir))
+    return matched.select("_file_name", "retailer_id", "pos")
+
+
+@register("first_match", O.with_clause(O.F4, """dup AS (
+  SELECT * FROM f4_registry UNION ALL SELECT id + 1000, 'tiger', name, filename, shopid, refreshtoken FROM f4_registry),
+first AS (SELECT lower(filename) AS fname, arg_min(id, id) AS id, arg_min(pos, id) AS pos FROM dup GROUP BY 1)""") + """
+SELECT i._file_name, CAST(f.id AS VARCHAR) AS retailer_id, f.pos FROM f4_incoming i
+JOIN first f ON lower(i._file_name) = f.fname""")
+def q_first_match(spark, sf_dir):
+    reg = D.f4_registry(spark, sf_dir)
+    dup = reg.unionByName(reg.withColumn("id", F.col("id") + 1000).withColumn("pos", F.lit("tiger")))
+    matched, _ = _registry_join(spark, sf_dir, dup)
+    return matched.select("_file_name", "retailer_id", "pos")
+
+
+@register("reject_unknown_format", O.with_clause(O.F4) + """
+SELECT _file_name, 'unrecognized_file_type' AS reason FROM f4_incoming WHERE NOT contains(lower(_file_name), '.csv')""")
+def q_reject_unknown_format(spark, sf_dir):
+    from tillflow.plans.pipeline import reject_unknown_format
+    return reject_unknown_format(D.f4_incoming(spark, sf_dir), ".csv").select("_file_name", "reason")
+
+
+@register("filter_retailers", O.with_clause(O.F4) + """
+SELECT id, name, shopid FROM f4_registry WHERE lower(pos) = 'mpower' AND refreshtoken IS NOT NULL""")
+def q_filter_retailers(spark, sf_dir):
+    from tillflow.plans.pipeline import filter_retailers
+    return filter_retailers(D.f4_registry(spark, sf_dir), "mpower").select("id", "name", "shopid")
+
+
+@register("registry_unmatched", O.with_clause(O.F4) + """
+SELECT _file_name FROM f4_incoming i WHERE NOT EXISTS (
+  SELECT 1 FROM f4_registry r WHERE lower(r.filename) = lower(i._file_name))""")
+def q_registry_unmatched(spark, sf_dir):
+    _, rejected = _registry_join(spark, sf_dir, D.f4_registry(spark, sf_dir))
+    return rejected.select("_file_name")
+
+
+# ------------------------------------------------------------ sale windows
+
+def _f5(spark, sf_dir):
+    return D.f5_sale(spark, sf_dir)
+
+
+@register("sale_in_window", O.with_clause(O.F5) + f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN TIMESTAMP '{O.AS_OF}' BETWEEN sale_start AND sale_end THEN
+  (CASE WHEN pack_sale > 0 THEN pack_sale WHEN unit_sale > 0 THEN unit_sale ELSE 0.0 END) ELSE 0.0 END AS price_sale
+FROM f5""")
+def q_sale_in_window(spark, sf_dir):
+    from tillflow.functions.text import sale_in_window
+    d = _f5(spark, sf_dir)
+    return d.select("l_orderkey", "l_linenumber",
+                    sale_in_window("pack_sale", "unit_sale", "sale_start", "sale_end", O.AS_OF).alias("price_sale"))
+
+
+@register("price_pack_or_unit", O.with_clause(O.F5) + """
+SELECT l_orderkey, l_linenumber, CASE WHEN pack_price > 0 THEN pack_price ELSE unit_price END AS price_regular FROM f5""")
+def q_price_pack_or_unit(spark, sf_dir):
+    from tillflow.functions.text import price_pack_or_unit
+    d = _f5(spark, sf_dir)
+    return d.select("l_orderkey", "l_linenumber", price_pack_or_unit("pack_price", "unit_price").alias("price_regular"))
+
+
+@register("sale_in_window_diff", O.with_clause(O.F5) + f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN TIMESTAMP '{O.AS_OF}' BETWEEN sale_start AND sale_end
+  AND pack_price <> pack_sale THEN pack_sale ELSE 0.0 END AS price_sale FROM f5""")
+def q_sale_in_window_diff(spark, sf_dir):
+    from tillflow.functions.text import sale_in_window_diff
+    d = _f5(spark, sf_dir)
+    return d.select("l_orderkey", "l_linenumber",
+                    sale_in_window_diff("pack_price", "pack_sale", "sale_start", "sale_end", O.AS_OF)
+                    .alias("price_sale"))
