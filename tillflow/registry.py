@@ -343,3 +343,237 @@ def q_sale_in_window_diff(spark, sf_dir):
     return d.select("l_orderkey", "l_linenumber",
                     sale_in_window_diff("pack_price", "pack_sale", "sale_start", "sale_end", O.AS_OF)
                     .alias("price_sale"))
+
+
+# ----------------------------------------------- scalar functions (2.8/2.2)
+# Each is a projection over the lineitem-level feed; inputs are dirtied per
+# row (by the line key) so every branch of a function is exercised.
+
+from tillflow.functions import text as T  # noqa: E402
+from tillflow.operators import columns as C  # noqa: E402
+
+
+def _f8(spark, sf_dir):
+    return D.f8_lines(spark, sf_dir)
+
+
+def _f8_proj(key: str, sql_expr: str, x_sql: str | None = None):
+    """Register ``key`` = (line_id, value) over F8; spark side given by the
+    decorated fn.  ``x_sql`` optionally defines an input column ``x``."""
+    def deco(fn):
+        def q(spark, sf_dir):
+            d = _f8(spark, sf_dir)
+            return d.select(F.col("_ord").alias("line_id"), fn(d).alias("value"))
+        src = f"(SELECT *, {x_sql} AS x FROM f8)" if x_sql else "f8"
+        register(key, O.with_clause(O.F8) + f"\nSELECT _ord AS line_id, {sql_expr} AS value FROM {src}")(q)
+        return fn
+    return deco
+
+
+_DIRTY_UPC_SQL = "('UPC-' || upc_code || CASE WHEN _ord % 2 = 0 THEN '.0' ELSE '' END)"
+
+
+@_f8_proj("upc_digits_only", f"regexp_replace({_DIRTY_UPC_SQL}, '[^0-9]', '', 'g')")
+def _s_upc_digits(d):
+    dirty = F.concat(F.lit("UPC-"), F.col("upc_code"), F.when(F.col("_ord") % 2 == 0, F.lit(".0")).otherwise(F.lit("")))
+    return T.upc_digits_only(dirty)
+
+
+@_f8_proj("strip_dot_zero", f"replace({_DIRTY_UPC_SQL}, '.0', '')")
+def _s_strip_dot_zero(d):
+    dirty = F.concat(F.lit("UPC-"), F.col("upc_code"), F.when(F.col("_ord") % 2 == 0, F.lit(".0")).otherwise(F.lit("")))
+    return T.strip_dot_zero(dirty)
+
+
+@_f8_proj("upc_strip_prefix", "(CASE WHEN starts_with(x, 'cc') THEN substr(x, 3) ELSE x END)",
+          "CASE WHEN _ord % 3 = 0 THEN 'cc' || upc_code ELSE upc_code END")
+def _s_upc_strip_prefix(d):
+    x = F.when(F.col("_ord") % 3 == 0, F.concat(F.lit("cc"), F.col("upc_code"))).otherwise(F.col("upc_code"))
+    return T.upc_strip_prefix(x)
+
+
+@_f8_proj("upc_same_as_id", "(CASE WHEN product_id = x THEN '-1' ELSE x END)",
+          "CASE WHEN _ord % 4 = 0 THEN product_id ELSE upc_code END")
+def _s_upc_same_as_id(d):
+    x = F.when(F.col("_ord") % 4 == 0, F.col("product_id")).otherwise(F.col("upc_code"))
+    return T.upc_same_as_id(x, F.col("product_id"))
+
+
+@_f8_proj("id_remove_dash", "replace(product_id || '-' || qty_on_hand, '-', '')")
+def _s_id_remove_dash(d):
+    return T.id_remove_dash(F.concat(F.col("product_id"), F.lit("-"), F.col("qty_on_hand")))
+
+
+@_f8_proj("id_compose", "coalesce(product_id, '') || ' - ' || coalesce(package_size, '')")
+def _s_id_compose(d):
+    return T.id_compose(F.col("product_id"), F.col("package_size"))
+
+
+@_f8_proj("desc_compose", "coalesce(brand_name, '') || ' ' || coalesce(brand_description, '')")
+def _s_desc_compose(d):
+    return T.desc_compose(F.col("brand_name"), F.col("brand_description"))
+
+
+@_f8_proj("pack_suffix", "coalesce(qty_on_hand, '') || ' Pack'")
+def _s_pack_suffix(d):
+    return T.pack_suffix(F.col("qty_on_hand"))
+
+
+@_f8_proj("split_first", "split_part(package_size || ',' || brand_name, ',', 1)")
+def _s_split_first(d):
+    return T.split_first(F.concat(F.col("package_size"), F.lit(","), F.col("brand_name")))
+
+
+@_f8_proj("dept_code_type", O.dept_sql("(CAST(_ord % 8 AS VARCHAR) || '.0')", 3, 2, 4))
+def _s_dept_code_type(d):
+    return T.dept_code_type(F.concat((F.col("_ord") % 8).cast("string"), F.lit(".0")), 3, 2, 4)
+
+
+@_f8_proj("cents_to_units", f"{O.num('price_regular')} / 100.0")
+def _s_cents_to_units(d):
+    return T.cents_to_units(T.strict_double(F.col("price_regular")))
+
+
+@_f8_proj("qty_per_pack", f"(CASE WHEN _ord % 3 = 0 THEN NULL ELSE {O.num('qty_on_hand')} / (_ord % 3) END)")
+def _s_qty_per_pack(d):
+    return T.safe_divide(T.strict_double(F.col("qty_on_hand")), F.col("_ord") % 3)
+
+
+@_f8_proj("wholesale_qty", "coalesce(" + O.float_text(
+    f"(CASE WHEN _ord % 4 = 0 THEN NULL ELSE {O.num('qty_on_hand')} / (_ord % 4) END)") + ", '')")
+def _s_wholesale_qty(d):
+    return F.coalesce(T.float_text(T.safe_divide(T.strict_double(F.col("qty_on_hand")), F.col("_ord") % 4)),
+                      F.lit(""))
+
+
+_LABEL_IN_SQL = ("(CASE _ord % 5 WHEN 0 THEN qty_on_hand WHEN 1 THEN qty_on_hand || '.5' WHEN 2 THEN 'n/a' "
+                 "WHEN 3 THEN '' ELSE qty_on_hand || '.0' END)")
+
+
+@_f8_proj("wholesale_label", O.wholesale_label_sql(_LABEL_IN_SQL))
+def _s_wholesale_label(d):
+    q, k = F.col("qty_on_hand"), F.col("_ord") % 5
+    x = (F.when(k == 0, q).when(k == 1, F.concat(q, F.lit(".5"))).when(k == 2, F.lit("n/a"))
+         .when(k == 3, F.lit("")).otherwise(F.concat(q, F.lit(".0"))))
+    return T.wholesale_label(x)
+
+
+@_f8_proj("cast_numeric_zero", "coalesce(" + O.num_exp(
+    "(CASE WHEN _ord % 7 = 0 THEN 'n/a' WHEN _ord % 7 = 1 THEN NULL ELSE price_regular END)") + ", 0.0)")
+def _s_cast_numeric_zero(d):
+    k = F.col("_ord") % 7
+    x = F.when(k == 0, F.lit("n/a")).when(k == 1, F.lit(None).cast("string")).otherwise(F.col("price_regular"))
+    return T.numeric_or_zero(x)
+
+
+@_f8_proj("cast_string_blank", "coalesce(CASE WHEN _ord % 3 = 0 THEN NULL ELSE sale_price END, '')")
+def _s_cast_string_blank(d):
+    return T.blank_if_null(F.when(F.col("_ord") % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("sale_price")))
+
+
+@_f8_proj("copy_type_to_category", "product_type")
+def _s_copy_type(d):
+    return F.col("product_type")
+
+
+@_f8_proj("path_basename", "regexp_extract('landing/raw/' || retailer_id || '/' || product_id || '.csv', '[^/]*$', 0)")
+def _s_path_basename(d):
+    return T.path_basename(F.concat(F.lit("landing/raw/"), F.col("retailer_id"), F.lit("/"), F.col("product_id"),
+                                    F.lit(".csv")))
+
+
+@_f8_proj("url_unquote", "url_decode('raw%2F' || replace(brand_name, '#', '%23') || '%20' || product_id)")
+def _s_url_unquote(d):
+    return T.url_unquote(F.concat(F.lit("raw%2F"), F.replace(F.col("brand_name"), F.lit("#"), F.lit("%23")),
+                                  F.lit("%20"), F.col("product_id")))
+
+
+@register("parse_ts", O.with_clause(O.F2) + """
+SELECT _ord AS line_id, CASE _ord % 3 WHEN 0 THEN tstamp WHEN 1 THEN date_trunc('day', tstamp) ELSE NULL END AS value
+FROM f2_prc""")
+def q_parse_ts(spark, sf_dir):
+    d = D.f2_prc(spark, sf_dir)
+    k = F.col("_ord") % 3
+    txt = (F.when(k == 0, F.date_format("tstamp", "yyyy-MM-dd HH:mm:ss"))
+           .when(k == 1, F.date_format("tstamp", "MM/dd/yyyy")).otherwise(F.lit("not a date")))
+    return d.select(F.col("_ord").alias("line_id"), T.parse_ts(txt).alias("value"))
+
+
+@register("size_oz", O.with_clause(O.F6) + f"\nSELECT _ord AS line_id, {O.size_oz_sql('description_2')} AS value FROM f6")
+def q_size_oz(spark, sf_dir):
+    d = D.f6_barcodes(spark, sf_dir)
+    return d.select(F.col("_ord").alias("line_id"), T.size_oz(F.col("description_2")).alias("value"))
+
+
+@register("sale_flag", O.with_clause(O.F2) + """
+SELECT _ord AS line_id, CASE WHEN onsale = 'T' AND sale > 0 THEN sale ELSE 0.0 END AS value FROM f2_prc""")
+def q_sale_flag(spark, sf_dir):
+    d = D.f2_prc(spark, sf_dir)
+    return d.select(F.col("_ord").alias("line_id"), T.sale_flag("onsale", "sale").alias("value"))
+
+
+# ------------------------------------------------ projection / filter steps
+
+@register("filter_zero_price", O.with_clause(O.F1) + f"""
+SELECT product_id, price_regular FROM f1 WHERE NOT coalesce({O.num_exp('price_regular')} = 0, false)""")
+def q_filter_zero_price(spark, sf_dir):
+    return C.filter_zero_price(D.f1_base(spark, sf_dir)).select("product_id", "price_regular")
+
+
+@register("filter_digit_id", O.with_clause(O.F8) + """
+SELECT line_id, pid FROM (SELECT _ord AS line_id, CASE WHEN _ord % 6 = 0 THEN 'A' || product_id ELSE product_id END AS pid
+FROM f8) WHERE regexp_matches(pid, '^[0-9]+$')""")
+def q_filter_digit_id(spark, sf_dir):
+    d = _f8(spark, sf_dir).select(F.col("_ord").alias("line_id"), F.when(
+        F.col("_ord") % 6 == 0, F.concat(F.lit("A"), F.col("product_id"))).otherwise(F.col("product_id")).alias("pid"))
+    return C.filter_digit_id(d, "pid")
+
+
+_F8_UPPER = ["RETAILER_ID", "_ORD", "PRODUCT_ID", "UPC_CODE", "BRAND_NAME", "BRAND_DESCRIPTION", "PRODUCT_TYPE",
+             "PRODUCT_CATEGORY", "PACKAGE_SIZE", "PRICE_REGULAR", "SALE_PRICE", "QTY_ON_HAND"]
+
+
+@register("cols_lower", O.with_clause(O.F8) + "\nSELECT * EXCLUDE (retailer_id, _ord) FROM f8")
+def q_cols_lower(spark, sf_dir):
+    d = _f8(spark, sf_dir)
+    shouty = d.toDF(*[c.upper() if c not in ("retailer_id", "_ord") else c for c in d.columns])
+    return C.cols_lower(shouty).drop("retailer_id", "_ord")
+
+
+@register("cols_rename", O.with_clause(O.F8) + """
+SELECT product_id AS rt_product_id, upc_code AS rt_upc_code, brand_name AS rt_brand_name,
+ brand_description AS rt_brand_description, product_type AS rt_product_type, product_category AS rt_product_category,
+ package_size AS rt_package_size, price_regular, sale_price AS price_sale, qty_on_hand FROM f8""")
+def q_cols_rename(spark, sf_dir):
+    return C.cols_rename(_f8(spark, sf_dir), feeds.MPOWER_MAP).drop("retailer_id", "_ord")
+
+
+@register("cols_backfill", O.with_clause(O.F8) + """
+SELECT product_id AS rt_product_id, '' AS rt_item_size, '' AS wholesale_package_size, '' AS rt_wholesale_qty,
+ 0.0 AS price_sale FROM f8""")
+def q_cols_backfill(spark, sf_dir):
+    d = _f8(spark, sf_dir).select(F.col("product_id").alias("rt_product_id"), "upc_code", "brand_name")
+    d = C.cols_backfill(C.cols_rename(d, {"upc_code": "rt_upc_code", "brand_name": "rt_brand_name"}))
+    return d.select("rt_product_id", "rt_item_size", "wholesale_package_size", "rt_wholesale_qty", "price_sale")
+
+
+@register("cols_rename_ordinal", O.with_clause(O.F8) + """
+SELECT product_id AS rt_product_id, brand_description AS rt_brand_description, price_regular AS price_regular FROM f8""")
+def q_cols_rename_ordinal(spark, sf_dir):
+    d = _f8(spark, sf_dir).select(F.col("product_id").alias("_c0"), F.col("brand_description").alias("_c1"),
+                                  F.col("price_regular").alias("_c4"))
+    return C.cols_rename_ordinal(d, {0: "rt_product_id", 1: "rt_brand_description", 4: "price_regular"})
+
+
+@register("add_load_cols", O.with_clause(O.F1, O.mpower_ctes("f1", "mp")) + "\nSELECT *, 1 AS active FROM mp")
+def q_add_load_cols(spark, sf_dir):
+    return C.add_load_cols(feeds.feed_mpower(D.f1_base(spark, sf_dir)))
+
+
+@register("dedup_product", O.with_clause(O.F8) + """
+SELECT retailer_id, product_id, upc_code, price_regular FROM (SELECT *, row_number() OVER (
+  PARTITION BY retailer_id, product_id ORDER BY _ord) AS _rn FROM f8) WHERE _rn = 1""")
+def q_dedup_product(spark, sf_dir):
+    from tillflow.operators import pick
+    d = _f8(spark, sf_dir).select("retailer_id", "_ord", "product_id", "upc_code", "price_regular")
+    return pick.dedup_first_in_file(d, ["retailer_id", "product_id"]).drop("_ord")
