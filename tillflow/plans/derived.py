@@ -229,3 +229,91 @@ def f4_incoming(spark, sf_dir) -> DataFrame:
         F.when(k % 5 == 0, F.concat(F.lit("missing_"), s(k), F.lit(".csv")))
          .when(k % 7 == 0, F.replace(fname, F.lit(".csv"), F.lit(".xlsx")))
          .when(k % 2 == 0, F.upper(fname)).otherwise(fname).alias("_file_name"))
+
+
+def _lines_parts(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    return li.join(p, li.l_partkey == p.p_partkey)
+
+
+def winepos_raw(spark, sf_dir) -> DataFrame:
+    """Tab-separated, headerless, 23 positions (F8 shapes, sale windows)."""
+    j = _lines_parts(spark, sf_dir)
+    ship = F.col("l_shipdate")
+    vals = {
+        0: s("l_partkey"), 1: F.col("p_name"), 4: F.concat(s("p_size"), F.lit(" OZ")),
+        6: F.concat(s("l_linenumber"), F.lit(".0")),
+        7: s(F.col("l_extendedprice") / F.col("l_quantity")),
+        8: F.when(F.col("l_discount") < 0.03, F.lit("0")).otherwise(s("l_extendedprice")),
+        9: s(F.col("l_linenumber") % 4), 11: s("l_quantity"), 12: s(F.col("l_orderkey") * 10 + F.col("l_linenumber")),
+        14: F.col("p_type"), 15: F.col("p_brand"), 19: s(F.col("l_extendedprice") * 0.25),
+        20: F.when(F.col("l_tax") < 0.02, F.lit("0")).otherwise(s(F.col("l_extendedprice") * 0.5)),
+        21: F.date_format(ship, "yyyy-MM-dd"), 22: F.date_format(ship + F.expr("INTERVAL 30 DAYS"), "yyyy-MM-dd"),
+    }
+    cols = [vals.get(i, F.lit("x")).alias(f"_c{i}") for i in range(23)]
+    return j.select(s("l_suppkey").alias("retailer_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(ORD),
+                    *cols)
+
+
+def cre_lines(spark, sf_dir, v2: bool = False) -> DataFrame:
+    """Pipe-separated register export: 5 preamble lines, data, (v2) a trailer."""
+    j = _lines_parts(spark, sf_dir)
+    n_cols = 101 if v2 else 91
+    sale_pos, type_pos, cat_pos = (100, 94, 13) if v2 else (5, 13, 27)
+    vals = {
+        0: s(F.col("l_orderkey") * 10 + F.col("l_linenumber")), 1: F.col("p_name"), 4: s("l_extendedprice"),
+        sale_pos: F.when(F.col("l_tax") > 0.04, s(F.col("l_extendedprice") * 0.5)).otherwise(F.lit("N/A")),
+        6: s("l_quantity"), type_pos: F.col("p_type"), cat_pos: F.col("p_brand"),
+        36: F.concat(s("p_size"), F.lit(" PK")), 90: F.concat(s("l_partkey"), F.lit("-0")),
+    }
+    line = F.concat_ws("|", *[vals.get(i, F.lit("")) for i in range(n_cols)])
+    data = j.select(s("l_suppkey").alias("retailer_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(ORD),
+                    line.alias("value"))
+    retailers = data.select("retailer_id").distinct()
+    heads = retailers.select("retailer_id", F.explode(F.array(*[F.lit(-i) for i in range(5, 0, -1)])).alias(ORD))
+    heads = heads.withColumn("value", F.concat(F.lit("EXPORT HEADER "), (F.col(ORD) + 6).cast("string")))
+    out = heads.unionByName(data)
+    if v2:
+        tail = data.groupBy("retailer_id").agg(F.count(F.lit(1)).alias("n")).select(
+            "retailer_id", F.lit(1 << 60).alias(ORD), F.concat(F.lit("TOTAL|"), s("n")).alias("value"))
+        out = out.unionByName(tail)
+    return out
+
+
+def spirit_xml_rows(spark, sf_dir) -> DataFrame:
+    j = _lines_parts(spark, sf_dir)
+    return j.select(
+        s("l_suppkey").alias("retailer_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(ORD),
+        s("l_partkey").alias("sku"), s(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("upccode"),
+        F.col("p_name").alias("prodname"), F.col("p_brand").alias("catname"), F.col("p_type").alias("typename"),
+        F.concat(s("p_size"), F.lit(" OZ")).alias("sizename"), s("l_extendedprice").alias("unitprice"),
+        s(F.col("l_extendedprice") * 0.5).alias("sale"), s("l_quantity").alias("stockqty"),
+        s("l_linenumber").alias("pack"),
+        F.when(F.col("l_returnflag") == "R", F.lit("T")).otherwise(F.lit("F")).alias("onsale"))
+
+
+def mpower_pages(spark, sf_dir) -> DataFrame:
+    """MPower API pages: items (orders) with an array of additional UPCs
+    (their open lines); 100 items per page."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    li = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "O").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    adds = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("l_linenumber").cast("string").alias("Upc"), F.col("l_extendedprice").alias("Retail"),
+        F.col("l_quantity").alias("Quantity")))).alias("AdditionalUpcs"))
+    k = F.col("o_orderkey")
+    items = o.join(adds, o.o_orderkey == adds.l_orderkey, "left").select(
+        s(F.col("o_custkey") % 10).alias("retailer_id"), (k / 100).cast("long").alias("page"),
+        F.struct(k.alias("Id"), s(k % 5000).alias("SkuNumber"), F.col("o_orderpriority").alias("Name"),
+                 F.lit("SPIRITS").alias("Department"), F.col("o_orderpriority").alias("Category"),
+                 F.when(k % 4 == 0, F.lit(None).cast("double")).otherwise((k % 12 + 1).cast("double")).alias("CaseQuantity"),
+                 (F.col("o_totalprice") / 10).alias("CaseRetail"),
+                 F.when(k % 3 == 0, F.lit(None).cast("double")).otherwise(F.col("o_totalprice") / 100).alias("Retail"),
+                 (k % 40).cast("double").alias("QuantityOnHand"),
+                 F.concat(s(k % 30), F.lit(" OZ")).alias("Size"),
+                 F.when(k % 2 == 0, F.lit(None).cast("string")).otherwise(s(k * 7)).alias("Upc"),
+                 F.coalesce(F.col("AdditionalUpcs"), F.array().cast(
+                     "array<struct<Upc:string,Retail:double,Quantity:double>>")).alias("AdditionalUpcs")).alias("item"))
+    return items.groupBy("retailer_id", "page").agg(
+        F.sort_array(F.collect_list(F.col("item"))).alias("Results")).withColumn("TotalPages", F.lit(None).cast("long"))

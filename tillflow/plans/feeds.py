@@ -406,7 +406,9 @@ def feed_lajoypos(raw: DataFrame) -> DataFrame:
 def mpower_api_rows(items: DataFrame) -> DataFrame:
     """Landed item pages (one row per item, ``AdditionalUpcs`` array) ->
     base-feed columns: one row per item and extra UPC (outer)."""
-    x = items.select("*", F.explode_outer("AdditionalUpcs").alias("_add")).drop("AdditionalUpcs")
+    x = items.select("*", F.posexplode_outer("AdditionalUpcs").alias("_pos", "_add")).drop("AdditionalUpcs")
+    if ORD in x.columns:
+        x = x.withColumn(ORD, F.struct(F.col(ORD).alias("item"), F.col("_pos").alias("pos")))
     up, ret, qty = F.col("_add.Upc"), F.col("_add.Retail"), F.col("_add.Quantity")
     return x.select(
         *[c for c in (KEY, ORD) if c in x.columns],

@@ -508,3 +508,90 @@ select l_orderkey, l_linenumber, case when l_discount < 0.03 then 0.0 else l_ext
  l_extendedprice * 0.25 as unit_sale, l_shipdate as sale_start, l_shipdate + interval '30' day as sale_end
 from lineitem)"""
 AS_OF = "1997-06-01 00:00:00"
+
+
+LINES_PARTS = "lineitem JOIN part ON l_partkey = p_partkey"
+
+
+def winepos_sql() -> str:
+    body = f"""wp_raw AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id, l_orderkey * 8 + l_linenumber AS _ord,
+    CAST(l_partkey AS VARCHAR) AS c0, p_name AS c1, CAST(p_size AS VARCHAR) || ' OZ' AS c4,
+    CAST(l_linenumber AS VARCHAR) || '.0' AS c6, l_extendedprice / l_quantity AS unit,
+    CASE WHEN l_discount < 0.03 THEN 0.0 ELSE l_extendedprice END AS pack, l_linenumber % 4 AS pkg,
+    l_quantity AS qty, CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS c12, p_type AS c14, p_brand AS c15,
+    l_extendedprice * 0.25 AS usale, CASE WHEN l_tax < 0.02 THEN 0.0 ELSE l_extendedprice * 0.5 END AS psale,
+    date_trunc('day', l_shipdate) AS st, date_trunc('day', l_shipdate + INTERVAL 30 DAY) AS en
+  FROM {LINES_PARTS}),
+wp_canon AS (
+  SELECT retailer_id, _ord, c0 AS rt_product_id, c12 AS rt_upc_code, '' AS rt_brand_name, c1 AS rt_brand_description,
+    c14 AS rt_product_type, c15 AS rt_product_category, CAST(pkg AS VARCHAR) || ' Pack' AS rt_package_size,
+    c4 AS rt_item_size,
+    CAST(CASE WHEN pack > 0 THEN pack ELSE unit END AS VARCHAR) AS price_regular,
+    CAST(CASE WHEN TIMESTAMP '{AS_OF}' BETWEEN st AND en THEN
+      (CASE WHEN psale > 0 THEN psale WHEN usale > 0 THEN usale ELSE 0.0 END) ELSE 0.0 END AS VARCHAR) AS price_sale,
+    CAST(CASE WHEN pkg = 0 THEN NULL ELSE qty / pkg END AS VARCHAR) AS qty_on_hand,
+    replace(c6, '.0', '') || ' Pack' AS wholesale_package_size, '' AS rt_wholesale_qty
+  FROM wp_raw)"""
+    fin, name = finish_ctes("wp_canon", "wp")
+    return with_clause(body, fin) + f"\nSELECT * FROM {name}"
+
+
+def cre_sql() -> str:
+    body = f"""cre_canon AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id, l_orderkey * 8 + l_linenumber AS _ord,
+    replace(CAST(l_partkey AS VARCHAR) || '-0', '-', '') AS rt_product_id,
+    CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS rt_upc_code, '' AS rt_brand_name,
+    p_name AS rt_brand_description, p_type AS rt_product_type, p_brand AS rt_product_category,
+    CAST(p_size AS VARCHAR) || ' PK' AS rt_package_size, '' AS rt_item_size,
+    CAST(l_extendedprice AS VARCHAR) AS price_regular,
+    CAST(CASE WHEN l_tax > 0.04 THEN l_extendedprice * 0.5 ELSE 0.0 END AS VARCHAR) AS price_sale,
+    CAST(l_quantity AS VARCHAR) AS qty_on_hand, '' AS wholesale_package_size, '' AS rt_wholesale_qty
+  FROM {LINES_PARTS})"""
+    fin, name = finish_ctes("cre_canon", "cre")
+    return with_clause(body, fin) + f"\nSELECT * FROM {name}"
+
+
+def spirit_xml_sql() -> str:
+    body = f"""sx_canon AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id, l_orderkey * 8 + l_linenumber AS _ord,
+    CAST(l_partkey AS VARCHAR) AS rt_product_id, CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS rt_upc_code,
+    '' AS rt_brand_name, p_name AS rt_brand_description, p_type AS rt_product_type, p_brand AS rt_product_category,
+    '' AS rt_package_size, CAST(p_size AS VARCHAR) || ' OZ' AS rt_item_size,
+    CAST(l_extendedprice AS VARCHAR) AS price_regular,
+    CAST(CASE WHEN l_returnflag = 'R' AND l_extendedprice * 0.5 > 0 THEN l_extendedprice * 0.5 ELSE 0.0 END AS VARCHAR)
+      AS price_sale,
+    CAST(l_quantity AS VARCHAR) AS qty_on_hand, CAST(l_linenumber AS VARCHAR) || ' pack' AS wholesale_package_size,
+    '' AS rt_wholesale_qty
+  FROM {LINES_PARTS})"""
+    fin, name = finish_ctes("sx_canon", "sx")
+    return with_clause(body, fin) + f"\nSELECT * FROM {name}"
+
+
+MPOWER_API_FLAT = """mpa_flat AS (
+  SELECT CAST(o_custkey % 10 AS VARCHAR) AS retailer_id, o_orderkey, l_linenumber,
+    CAST(o_orderkey % 5000 AS VARCHAR) AS product_id,
+    coalesce(CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE CAST(o_orderkey * 7 AS VARCHAR) END,
+             CAST(l_linenumber AS VARCHAR), '') AS upc_code,
+    NULL AS brand_name, o_orderpriority AS brand_description, 'SPIRITS' AS product_type,
+    o_orderpriority AS product_category,
+    CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_orderkey % 12 + 1 AS DOUBLE) END AS cq,
+    o_totalprice, l_extendedprice, l_quantity
+  FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_linestatus = 'O'),
+mpa AS (
+  SELECT retailer_id, row_number() OVER (ORDER BY o_orderkey, CAST(l_linenumber AS VARCHAR) NULLS FIRST,
+                                         l_extendedprice NULLS FIRST, l_quantity NULLS FIRST) AS _ord,
+    product_id, upc_code, brand_name, brand_description, product_type, product_category,
+    NULL AS package_size_unused,
+    CAST(coalesce(l_extendedprice, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice / 100 END,
+                  CASE WHEN cq = 0 THEN NULL ELSE (o_totalprice / 10) / cq END) AS VARCHAR) AS price_regular,
+    CAST(CASE WHEN l_quantity IS NOT NULL THEN (CASE WHEN l_quantity = 0 THEN NULL
+         ELSE (o_orderkey % 40) / l_quantity END) ELSE CAST(o_orderkey % 40 AS DOUBLE) END AS VARCHAR) AS qty_on_hand,
+    CASE WHEN l_quantity IS NOT NULL THEN CAST(CAST(trunc(l_quantity) AS BIGINT) AS VARCHAR) || ' Pack '
+         || CAST(o_orderkey % 30 AS VARCHAR) || ' OZ' ELSE CAST(o_orderkey % 30 AS VARCHAR) || ' OZ' END AS package_size,
+    '' AS sale_price, CAST(cq AS VARCHAR) AS casepk
+  FROM mpa_flat)"""
+
+
+def mpower_api_sql() -> str:
+    return with_clause(MPOWER_API_FLAT, mpower_ctes("mpa", "mp")) + "\nSELECT * FROM mp"

@@ -577,3 +577,114 @@ def q_dedup_product(spark, sf_dir):
     from tillflow.operators import pick
     d = _f8(spark, sf_dir).select("retailer_id", "_ord", "product_id", "upc_code", "price_regular")
     return pick.dedup_first_in_file(d, ["retailer_id", "product_id"]).drop("_ord")
+
+
+# ------------------------------------------------------------ scans (2.1)
+# A derived feed is written to the shared folder in the POS's format, then
+# read back through the source and the adapter.
+
+from tillflow.plans import landing as L  # noqa: E402
+from tillflow.sources import delimited as SD  # noqa: E402
+from tillflow.sources import structured as SS  # noqa: E402
+
+_F1_COLS = ["product_id", "upc_code", "brand_name", "brand_description", "product_type", "product_category",
+            "package_size", "price_regular", "sale_price", "qty_on_hand", "casepk"]
+
+
+def _landed_f1(spark, sf_dir):
+    f1 = D.f1_base(spark, sf_dir)
+    long_rows = (F.col("_ord") % 97) == 0
+    path = L.land_csv(spark, f1.where(~long_rows), "f1_csv")
+    # over-long rows (one field too many) in their own file; the reader drops them
+    L.land_csv(spark, f1.where(long_rows).withColumn("extra", F.lit("X")), "f1_csv", path=path, mode="append")
+    return L.retailer_from_path(SD.scan_csv_header(spark, path, names=_F1_COLS))
+
+
+_F1_NO_LONG = O.F1.replace("from part)", "from part where p_partkey % 97 <> 0)")
+
+
+@register("scan_csv_header", O.with_clause(_F1_NO_LONG) + """
+SELECT retailer_id, """ + ", ".join(f"coalesce({c}, '') AS {c}" for c in _F1_COLS) + " FROM f1")
+def q_scan_csv_header(spark, sf_dir):
+    d = _landed_f1(spark, sf_dir)
+    return d.select("retailer_id", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in _F1_COLS])
+
+
+@register("feed_mpower_csv", O.with_clause(_F1_NO_LONG, O.mpower_ctes("f1", "mp")) + "\nSELECT * FROM mp")
+def q_feed_mpower_csv(spark, sf_dir):
+    return feeds.feed_mpower(_landed_f1(spark, sf_dir))
+
+
+def _landed_winepos(spark, sf_dir):
+    path = L.land_csv(spark, D.winepos_raw(spark, sf_dir), "winepos", sep="\t", header=False)
+    return L.retailer_from_path(SD.scan_positional(spark, path, 23, sep="\t"))
+
+
+@register("scan_tsv_positional", O.winepos_sql())
+def q_scan_tsv_positional(spark, sf_dir):
+    return feeds.feed_winepos(_landed_winepos(spark, sf_dir), O.AS_OF)
+
+
+register("feed_winepos", O.winepos_sql())(q_scan_tsv_positional)
+
+
+def _landed_cre(spark, sf_dir, v2):
+    path = L.land_lines(spark, D.cre_lines(spark, sf_dir, v2=v2), "cre_v2" if v2 else "cre")
+    return L.retailer_from_path(SD.scan_lines_skipping(spark, path, 101 if v2 else 91, sep="|", skip_head=5,
+                                                        drop_last=v2))
+
+
+@register("scan_pipe_preamble", O.cre_sql())
+def q_scan_pipe_preamble(spark, sf_dir):
+    return feeds.feed_cashregisterexpress(_landed_cre(spark, sf_dir, False))
+
+
+@register("scan_pipe_trailer", O.cre_sql())
+def q_scan_pipe_trailer(spark, sf_dir):
+    return feeds.feed_cashregisterexpress(_landed_cre(spark, sf_dir, True), v2=True)
+
+
+register("feed_cashregisterexpress", O.cre_sql())(q_scan_pipe_preamble)
+register("feed_cashregisterexpress_v2", O.cre_sql())(q_scan_pipe_trailer)
+register("drop_last", O.cre_sql())(q_scan_pipe_trailer)
+
+
+def _landed_xml(spark, sf_dir):
+    path = L.land_xml(spark, D.spirit_xml_rows(spark, sf_dir), "spirit_xml")
+    return L.retailer_from_path(SS.scan_xml_rows(spark, path))
+
+
+@register("scan_xml_rows", O.spirit_xml_sql())
+def q_scan_xml_rows(spark, sf_dir):
+    return feeds.feed_spirit2000_xml(_landed_xml(spark, sf_dir))
+
+
+register("feed_spirit2000_xml", O.spirit_xml_sql())(q_scan_xml_rows)
+
+
+def _landed_mpower_pages(spark, sf_dir):
+    path = L.land_json(spark, D.mpower_pages(spark, sf_dir), "mpower_pages")
+    return SS.mpower_items(SS.scan_json(spark, path, SS.MPOWER_PAGE_SCHEMA))
+
+
+@register("scan_json_mpower", O.mpower_api_sql())
+def q_scan_json_mpower(spark, sf_dir):
+    return feeds.feed_mpower_api(_landed_mpower_pages(spark, sf_dir))
+
+
+register("feed_mpower_api", O.mpower_api_sql())(q_scan_json_mpower)
+
+
+@register("join_outer_upcs", O.with_clause(O.MPOWER_API_FLAT) + """
+SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(l_linenumber AS VARCHAR) AS add_upc, l_extendedprice AS add_retail
+FROM mpa_flat""")
+def q_join_outer_upcs(spark, sf_dir):
+    items = _landed_mpower_pages(spark, sf_dir)
+    x = items.select("Id", F.explode_outer("AdditionalUpcs").alias("a"))
+    return x.select(F.col("Id").alias("id"), F.col("a.Upc").alias("add_upc"), F.col("a.Retail").alias("add_retail"))
+
+
+@register("union_pages", O.with_clause(O.MPOWER_API_FLAT) + """
+SELECT DISTINCT CAST(o_orderkey AS BIGINT) AS id, retailer_id FROM mpa_flat""")
+def q_union_pages(spark, sf_dir):
+    return _landed_mpower_pages(spark, sf_dir).select(F.col("Id").alias("id"), "retailer_id")
