@@ -233,7 +233,7 @@ def f4_incoming(spark, sf_dir) -> DataFrame:
 
 def _lines_parts(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     return li.join(p, li.l_partkey == p.p_partkey)
 
 
@@ -317,3 +317,82 @@ def mpower_pages(spark, sf_dir) -> DataFrame:
                      "array<struct<Upc:string,Retail:double,Quantity:double>>")).alias("AdditionalUpcs")).alias("item"))
     return items.groupBy("retailer_id", "page").agg(
         F.sort_array(F.collect_list(F.col("item"))).alias("Results")).withColumn("TotalPages", F.lit(None).cast("long"))
+
+
+def line_products(spark, sf_dir) -> DataFrame:
+    """Generic line-level product attributes (text), the base of the simple
+    POS exports below."""
+    j = _lines_parts(spark, sf_dir)
+    return j.select(
+        s("l_suppkey").alias("retailer_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(ORD),
+        s("l_partkey").alias("id"), s(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("upc"),
+        F.col("p_brand").alias("brand"), F.col("p_name").alias("descr"), F.col("p_type").alias("typ"),
+        F.col("p_brand").alias("cat"), F.concat(s("l_linenumber"), F.lit(" pk")).alias("pkg"),
+        F.concat(s("p_size"), F.lit(" OZ")).alias("size"), s("l_extendedprice").alias("price"),
+        F.when(F.col("l_tax") > 0.04, s(F.col("l_extendedprice") * 0.5)).otherwise(F.lit("")).alias("sale"),
+        s("l_quantity").alias("qty"), F.col("l_linenumber").alias("ln"), F.col("l_shipdate").alias("ship"),
+        F.col("l_extendedprice").alias("ext"), F.col("p_partkey").alias("pk"), F.col("p_size").alias("psize"),
+        F.col("p_retailprice").alias("pprice"))
+
+
+def pos_export(spark, sf_dir, pos: str) -> DataFrame:
+    """Raw export of one simple POS kind, in its own column names."""
+    lp = line_products(spark, sf_dir)
+    c = F.col
+    base = [c("retailer_id"), c(ORD)]
+    if pos == "tiger":
+        cols = [c("id").alias("ITEMID"), c("upc").alias("ITEMSCANID"), c("brand").alias("ITEMORDER"),
+                c("descr").alias("ITEMNAME"), F.concat(s(c("ln") % 5), F.lit(".0")).alias("DEPTID"),
+                c("cat").alias("CATGID"), c("pkg").alias("ISIZE"), c("price").alias("STDPRICE"),
+                c("sale").alias("WEBPRICE"), c("qty").alias("QTYONHAND")]
+    elif pos == "fastraxpos":
+        cols = [c("id").alias("row_id"), c("upc").alias("plu_num"), c("descr").alias("plu_desc"),
+                c("typ").alias("dept_grp"), c("cat").alias("category"), c("pkg").alias("class"),
+                c("size").alias("sub_class"), c("qty").alias("qty_on_hand"), c("price").alias("last_price")]
+    elif pos == "ptech":
+        cols = [c("id").alias("SKU"), F.concat(F.lit("U-"), c("upc")).alias("MAINUPC"), c("descr").alias("ITEMNAME"),
+                c("typ").alias("DEPTNAME"), c("qty").alias("INSTOREQTY"), c("price").alias("PRICEPERUNIT")]
+    elif pos == "lajoypos":
+        cols = [c("id").alias("rt_product_id"), F.concat(F.lit("U-"), c("upc")).alias("rt_upc_code"),
+                c("brand").alias("rt_brand_name"), c("descr").alias("rt_brand_description"),
+                c("typ").alias("rt_product_type"), c("cat").alias("rt_product_category"),
+                c("pkg").alias("rt_package_size"), c("size").alias("rt_item_size"), c("price").alias("price_regular"),
+                c("sale").alias("price_sale"), c("qty").alias("qty_on_hand"),
+                F.concat(s("ln"), F.lit(" Pack")).alias("wholesale_package_size")]
+    elif pos == "cobaltconnect":
+        cols = [c("id").alias("code"),
+                F.when(c("ln") % 2 == 0, F.concat(F.lit("cc"), c("upc"))).otherwise(c("upc")).alias("sku"),
+                c("descr").alias("name"), c("size").alias("size"), c("price").alias("retail_price"),
+                c("qty").alias("stock")]
+    elif pos == "businessmasterespanol":
+        cols = [c("id").alias("SKU"), c("upc").alias("UPC"), c("descr").alias("Product Name"),
+                s("ln").alias("Contenido"), c("qty").alias("Quantity"), c("price").alias("Price"),
+                F.when(c("ln") % 2 == 0, c("price")).otherwise(s(c("ext") * 0.9)).alias("SalePrice"),
+                c("typ").alias("Department"), F.date_format(c("ship"), "yyyy-MM-dd").alias("SaleStartDate"),
+                F.date_format(c("ship") + F.expr("INTERVAL 30 DAYS"), "yyyy-MM-dd").alias("SaleEndDate")]
+    elif pos == "lightspeed":
+        cols = [c("id").alias("systemSku"), c("upc").alias("upc"), c("descr").alias("description"),
+                c("typ").alias("fullPathName"), c("cat").alias("name"), c("price").alias("amount"),
+                c("qty").alias("qoh")]
+    elif pos == "square":
+        cols = [c("id").alias("item_variation_object_id"), c("upc").alias("item_variation_data.sku"),
+                c("descr").alias("item_data.name"), c("typ").alias("item_data.product_type"),
+                c("cat").alias("category_data.name"), c("pkg").alias("item_variation_data.name"),
+                s((c("ext") * 100).cast("long")).alias("item_variation_data.price_money.amount"),
+                c("qty").alias("quantity")]
+    else:
+        raise ValueError(pos)
+    return lp.select(*base, *cols)
+
+
+def liquorpos_members(spark, sf_dir):
+    """(barcodes, liqcode): several barcodes per code; some codes not digits."""
+    lp = line_products(spark, sf_dir)
+    code = F.when(F.col("pk") % 9 == 0, F.concat(F.lit("X"), s("pk"))).otherwise(s("pk"))
+    barcodes = lp.select("retailer_id", ORD, code.alias("CODE_NUM"), F.col("upc").alias("BARCODE"))
+    liq = lp.select("retailer_id", F.col("pk").alias(ORD), code.alias("CODE_NUM"), F.col("brand").alias("BRAND"),
+                    F.col("descr").alias("DESCRIP"), F.col("typ").alias("TYPENAM"),
+                    F.concat(s("psize"), F.lit(" pk")).alias("SIZE"), s("pprice").alias("PRICE"),
+                    s(F.col("psize") * 3).alias("QTY_ON_HND"), F.concat(s(F.col("psize") % 12), F.lit(".0")).alias("QTY_CASE"),
+                    F.lit("").alias("BARCODE")).distinct()
+    return barcodes, liq

@@ -595,3 +595,78 @@ mpa AS (
 
 def mpower_api_sql() -> str:
     return with_clause(MPOWER_API_FLAT, mpower_ctes("mpa", "mp")) + "\nSELECT * FROM mp"
+
+
+LP = f"""lp AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id, l_orderkey * 8 + l_linenumber AS _ord,
+    CAST(l_partkey AS VARCHAR) AS id, CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS upc,
+    p_brand AS brand, p_name AS descr, p_type AS typ, p_brand AS cat, CAST(l_linenumber AS VARCHAR) || ' pk' AS pkg,
+    CAST(p_size AS VARCHAR) || ' OZ' AS size, CAST(l_extendedprice AS VARCHAR) AS price,
+    CASE WHEN l_tax > 0.04 THEN CAST(l_extendedprice * 0.5 AS VARCHAR) ELSE '' END AS sale,
+    CAST(l_quantity AS VARCHAR) AS qty, l_linenumber AS ln, l_shipdate AS ship, l_extendedprice AS ext,
+    p_partkey AS pk, p_size AS psize, p_retailprice AS pprice
+  FROM {LINES_PARTS})"""
+
+
+def simple_pos_sql(pos: str) -> str:
+    """Canonical rows of the simple POS exports (one SELECT over ``lp``)."""
+    e = {"rt_product_id": "id", "rt_upc_code": "upc", "rt_brand_name": "''", "rt_brand_description": "descr",
+         "rt_product_type": "''", "rt_product_category": "''", "rt_package_size": "''", "rt_item_size": "''",
+         "price_regular": "price", "price_sale": "'0'", "qty_on_hand": "qty", "wholesale_package_size": "''",
+         "rt_wholesale_qty": "''"}
+    if pos == "tiger":
+        e.update(rt_brand_name="brand", rt_product_type=dept_sql("(CAST(ln % 5 AS VARCHAR) || '.0')", 3, 2, 4),
+                 rt_product_category="cat", rt_package_size="pkg", price_sale="sale")
+    elif pos == "fastraxpos":
+        e.update(rt_product_type="typ", rt_product_category="cat", rt_package_size="pkg", rt_item_size="size")
+    elif pos == "ptech":
+        e.update(rt_upc_code="regexp_replace('U-' || upc, '[^0-9]', '', 'g')", rt_product_type="typ")
+    elif pos == "lajoypos":
+        e.update(rt_upc_code="regexp_replace('U-' || upc, '[^0-9]', '', 'g')", rt_brand_name="brand",
+                 rt_product_type="typ", rt_product_category="cat", rt_package_size="pkg", rt_item_size="size",
+                 price_sale="sale", wholesale_package_size="CAST(ln AS VARCHAR) || ' Pack'")
+    elif pos == "cobaltconnect":
+        e.update(rt_item_size="size")
+    elif pos == "businessmasterespanol":
+        sale = f"(CASE WHEN ln % 2 = 0 THEN {num('price')} ELSE ext * 0.9 END)"
+        e.update(rt_product_id="id || ' - ' || CAST(ln AS VARCHAR)", rt_upc_code="id",
+                 rt_package_size="CAST(ln AS VARCHAR) || ' Pack'", rt_product_type="typ",
+                 price_sale=(f"CAST(CASE WHEN TIMESTAMP '{AS_OF}' BETWEEN date_trunc('day', ship) AND "
+                             f"date_trunc('day', ship + INTERVAL 30 DAY) AND {num('price')} <> {sale} "
+                             f"THEN {sale} ELSE 0.0 END AS VARCHAR)"))
+    elif pos == "lightspeed":
+        e.update(rt_product_type="typ", rt_product_category="cat")
+    elif pos == "square":
+        e.update(rt_product_type="typ", rt_product_category="cat", rt_package_size="pkg",
+                 price_regular="CAST(CAST(CAST(trunc(ext * 100) AS BIGINT) AS DOUBLE) / 100.0 AS VARCHAR)")
+    else:
+        raise ValueError(pos)
+    sel = ",\n    ".join(f"{v} AS {k}" for k, v in e.items())
+    body = f"""{pos}_canon AS (
+  SELECT retailer_id, _ord,
+    {sel}
+  FROM lp)"""
+    fin, name = finish_ctes(f"{pos}_canon", f"{pos}_fin")
+    return with_clause(LP, body, fin) + f"\nSELECT * FROM {name}"
+
+
+LIQ = """lq_bar AS (SELECT retailer_id, _ord, CASE WHEN pk % 9 = 0 THEN 'X' || CAST(pk AS VARCHAR) ELSE CAST(pk AS VARCHAR) END
+                       AS code_num, upc AS barcode FROM lp),
+lq_liq AS (SELECT DISTINCT retailer_id, pk AS _ord_liq,
+    CASE WHEN pk % 9 = 0 THEN 'X' || CAST(pk AS VARCHAR) ELSE CAST(pk AS VARCHAR) END AS code_num,
+    brand, descr AS descrip, typ AS typenam, CAST(psize AS VARCHAR) || ' pk' AS size, CAST(pprice AS VARCHAR) AS price,
+    CAST(psize * 3 AS VARCHAR) AS qty_on_hnd, CAST(psize % 12 AS VARCHAR) || '.0' AS qty_case FROM lp),
+lq_join AS (SELECT * FROM lq_bar JOIN lq_liq USING (retailer_id, code_num))"""
+
+
+def liquorpos_sql(digits_only: bool) -> str:
+    where = "WHERE regexp_matches(code_num, '^[0-9]+$')" if digits_only else ""
+    body = f"""lq_canon AS (
+  SELECT retailer_id, _ord, code_num AS rt_product_id, barcode AS rt_upc_code, brand AS rt_brand_name,
+    coalesce(brand, '') || ' ' || coalesce(descrip, '') AS rt_brand_description, typenam AS rt_product_type,
+    typenam AS rt_product_category, size AS rt_package_size, '' AS rt_item_size, price AS price_regular,
+    '0' AS price_sale, qty_on_hnd AS qty_on_hand, replace(qty_case, '.0', '') || ' Pack' AS wholesale_package_size,
+    '' AS rt_wholesale_qty
+  FROM lq_join {where})"""
+    fin, name = finish_ctes("lq_canon", "lq")
+    return with_clause(LP, LIQ, body, fin) + f"\nSELECT * FROM {name}"

@@ -688,3 +688,39 @@ def q_join_outer_upcs(spark, sf_dir):
 SELECT DISTINCT CAST(o_orderkey AS BIGINT) AS id, retailer_id FROM mpa_flat""")
 def q_union_pages(spark, sf_dir):
     return _landed_mpower_pages(spark, sf_dir).select(F.col("Id").alias("id"), "retailer_id")
+
+
+# ------------------------------------------------------ simple POS kinds
+
+_SIMPLE = {
+    "tiger": feeds.feed_tiger, "fastraxpos": feeds.feed_fastraxpos, "ptech": feeds.feed_ptech,
+    "lajoypos": feeds.feed_lajoypos, "cobaltconnect": feeds.feed_cobaltconnect,
+    "lightspeed": feeds.feed_lightspeed, "square": feeds.feed_square,
+}
+
+
+def _simple_query(pos, fn):
+    return lambda spark, sf_dir: fn(D.pos_export(spark, sf_dir, pos))
+
+
+for _pos, _fn in _SIMPLE.items():
+    register(f"feed_{_pos}", O.simple_pos_sql(_pos))(_simple_query(_pos, _fn))
+
+register("feed_businessmasterespanol", O.simple_pos_sql("businessmasterespanol"))(
+    lambda spark, sf: feeds.feed_businessmasterespanol(D.pos_export(spark, sf, "businessmasterespanol"), O.AS_OF))
+register("feed_liquorpos", O.liquorpos_sql(True))(
+    lambda spark, sf: feeds.feed_liquorpos(*D.liquorpos_members(spark, sf)))
+register("feed_liquorpos_csv", O.liquorpos_sql(False))(
+    lambda spark, sf: feeds.feed_liquorpos_csv(*D.liquorpos_members(spark, sf)))
+
+
+@register("join_code_inner", O.with_clause(O.LP, O.LIQ) + """
+SELECT retailer_id, code_num, barcode, brand, price FROM lq_join""")
+def q_join_code_inner(spark, sf_dir):
+    from tillflow.operators.columns import cols_lower
+    from tillflow.operators.joins import join_inner_chain
+    b, lq = D.liquorpos_members(spark, sf_dir)
+    b = cols_lower(b).select("retailer_id", "code_num", "barcode")
+    lq = cols_lower(lq).drop("barcode", "_ord")
+    return join_inner_chain([b, lq], ["retailer_id", "code_num"]).select(
+        "retailer_id", "code_num", "barcode", "brand", "price")
