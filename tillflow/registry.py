@@ -724,3 +724,105 @@ def q_join_code_inner(spark, sf_dir):
     lq = cols_lower(lq).drop("barcode", "_ord")
     return join_inner_chain([b, lq], ["retailer_id", "code_num"]).select(
         "retailer_id", "code_num", "barcode", "brand", "price")
+
+
+# ------------------------------------------------ unified inventory / sinks
+
+from tillflow.plans import pipeline as PL  # noqa: E402
+from tillflow.plans import sinks as SK  # noqa: E402
+from tillflow.session import shared_dir  # noqa: E402
+
+
+def _unified_frames(spark, sf_dir):
+    return {
+        "mpower": feeds.feed_mpower(D.f1_base(spark, sf_dir)),
+        "mpower_lines": feeds.feed_mpower(D.f8_lines(spark, sf_dir)),
+        "spirit2000_csv": feeds.feed_spirit2000_csv(*_f2(spark, sf_dir)),
+        "kmds": feeds.feed_kmds(D.f6_barcodes(spark, sf_dir)),
+        "adventpos": feeds.feed_adventpos(D.f3_items(spark, sf_dir), D.f3_size(spark, sf_dir),
+                                          D.f3_pack(spark, sf_dir)),
+        "tiger": feeds.feed_tiger(D.pos_export(spark, sf_dir, "tiger")),
+    }
+
+
+def _unified_sql(select_cols: str = "*") -> str:
+    def body(stmt):
+        return stmt
+    parts = [
+        ("mpower", O.with_clause(O.F1, O.mpower_ctes("f1", "mp")) + "\nSELECT * FROM mp"),
+        ("mpower_lines", _sql_f8_mpower()),
+        ("spirit2000_csv", O.spirit_sql("csv")),
+        ("kmds", O.kmds_sql()),
+        ("adventpos", O.advent_sql()),
+        ("tiger", O.simple_pos_sql("tiger")),
+    ]
+    union = "\nUNION ALL\n".join(f"SELECT '{pos}' AS pos, * FROM ({body(sql)})" for pos, sql in parts)
+    pctes, pout = O.parse_ctes("u", ["pos", "retailer_id", "rt_product_id"])
+    cols = ", ".join(O.CANON + O.PARSED)
+    return (O.with_clause(f"u AS ({union})", pctes) +
+            f"\nSELECT {cols}, 1 AS active, retailer_id, pos FROM {pout}")
+
+
+@register("unified_inventory", _unified_sql())
+def q_unified_inventory(spark, sf_dir):
+    return PL.unified_inventory(_unified_frames(spark, sf_dir))
+
+
+@register("union_feeds", _unified_sql().replace(
+    "SELECT " + ", ".join(O.CANON + O.PARSED) + ", 1 AS active, retailer_id, pos FROM pp_out",
+    "SELECT pos, retailer_id, rt_product_id, price_regular FROM u"))
+def q_union_feeds(spark, sf_dir):
+    frames = _unified_frames(spark, sf_dir)
+    return PL.union_feeds([PL.tag(d, p) for p, d in frames.items()]).select(
+        "pos", "retailer_id", "rt_product_id", "price_regular")
+
+
+@register("sink_processed", _sql_parse_package())
+def q_sink_processed(spark, sf_dir):
+    path = shared_dir(spark, "processed")
+    SK.write_processed(q_parse_package(spark, sf_dir), path)
+    back = spark.read.parquet(path)
+    return back.withColumn("retailer_id", F.col("retailer_id").cast("string")).select(*OUTPUT_COLUMNS)
+
+
+@register("sink_timestamped", _sql_parse_package().replace(
+    ", 1 AS active, retailer_id FROM pp_out", ", 1 AS active, retailer_id, '19970601-000000' AS ingest_ts FROM pp_out"))
+def q_sink_timestamped(spark, sf_dir):
+    path = shared_dir(spark, "processed_ts")
+    SK.write_timestamped(q_parse_package(spark, sf_dir), path, O.AS_OF)
+    back = spark.read.option("basePath", path).parquet(path)
+    return back.withColumns({"retailer_id": F.col("retailer_id").cast("string"),
+                             "ingest_ts": F.col("ingest_ts").cast("string")}).select(*OUTPUT_COLUMNS, "ingest_ts")
+
+
+@register("sink_landed_csv", O.with_clause(O.MPOWER_API_FLAT) + """
+SELECT retailer_id, product_id, upc_code FROM mpa""")
+def q_sink_landed_csv(spark, sf_dir):
+    rows = feeds.mpower_api_rows(_landed_mpower_pages(spark, sf_dir)).drop("_ord")
+    path = shared_dir(spark, "landed_api")
+    SK.write_landed_csv(rows, path)
+    back = spark.read.option("header", True).schema(
+        ", ".join(f"`{c}` string" for c in rows.columns if c != "retailer_id") + ", retailer_id string").csv(path)
+    return back.select("retailer_id", "product_id", F.coalesce(F.col("upc_code"), F.lit("")).alias("upc_code"))
+
+
+# --------------------------------------------------------------- streaming
+
+@register("stream_intake", _sql_parse_package().replace("from part)", "from part where p_partkey % 97 <> 0)"))
+def q_stream_intake(spark, sf_dir):
+    """Two drops of feed files into a landing folder; the stream runs after
+    each drop (availableNow) and takes only the new files."""
+    from tillflow.streaming.intake import csv_stream, start_intake
+    f1 = D.f1_base(spark, sf_dir)
+    base = shared_dir(spark, "stream")
+    landing, out, ckpt = base + "/landing", base + "/out", base + "/checkpoint"
+    drops = [f1.where((F.col("_ord") % 97 != 0) & (F.col("_ord") % 2 == 0)),
+             f1.where((F.col("_ord") % 97 != 0) & (F.col("_ord") % 2 == 1))]
+    for i, drop in enumerate(drops):
+        L.land_csv(spark, drop.withColumn("retailer_id", F.concat(F.col("retailer_id"), F.lit(f"-{i}"))),
+                   "unused", path=landing, mode="append")
+        q = start_intake(csv_stream(spark, landing, _F1_COLS), feeds.feed_mpower, out, ckpt)
+        q.awaitTermination()
+    res = spark.read.parquet(out).withColumn("retailer_id", F.regexp_replace(
+        F.col("retailer_id").cast("string"), "-[0-9]+$", ""))
+    return res.select(*OUTPUT_COLUMNS)
