@@ -10,8 +10,10 @@ From three free-text columns (description, package size, item size) derive
 
 Each rule family is an ordered cascade: the first rule whose pattern is found
 decides, even when its number then fails to parse (the value is null and the
-caller falls back to the next text column).  A family is compiled into one
-regex per text column (see ``_Family``); no Python runs per row.
+caller falls back to the next text column).  Number rules are evaluated per
+number-run candidate (``_best_candidate``): one regex pass lists the runs,
+then each rule is a string comparison on what follows the run; no Python
+runs per row.
 
 Number runs
 -----------
@@ -133,119 +135,82 @@ FILL_L_BOTTLE_BELOW = 3.0
 # ---------------------------------------------------------------------------
 
 
-def _rule_body(gap: str, word: str) -> str:
-    """Regex of one 'number [gap] WORD' rule, group 1 = number text (+ gap)."""
-    if gap == "slash":
-        body = RUN + "/[^\n]"
-    elif gap == "any":
-        body = RUN + GAP
-    else:
-        body = RUN
-    return "(" + body + ")" + word
+# A number-run candidate: a run starting at a chunk boundary, and (looked
+# ahead, not consumed) up to 7 following characters -- enough for the longest
+# "gap + word" (one character + GALLON).
+CANDIDATE = _RUN_START + r"((?:[-+]?\.?[0-9])++)(?=([^\n]{0,7}))"
+_DIGITS = [str(d) for d in range(10)]
+_NONE = 1 << 20
 
 
-class _Family:
-    """An ordered rule list compiled into ONE regex per text column.
+def _is_digit(ch: Column) -> Column:
+    return ch.isin(*_DIGITS)
 
-    Alternative *k* is a lookahead that searches the whole text for rule *k*;
-    regex alternation tries them in order, so the first rule found anywhere
-    wins -- exactly the cascade semantics.  ``regexp_replace`` writes all
-    capture groups separated by newlines (no rule group can hold a newline);
-    the first non-empty field tells which rule fired and holds its number.
-    One short expression per column keeps the generated code small.
-    """
-
-    def __init__(self):
-        self.alts: list[str] = []
-        self.groups: list[dict] = []   # one entry per capture group, 1-based order
-
-    def add(self, regex: str, raw: bool = False, **meta):
-        n = regex.count("(") - regex.count("(?")
-        self.alts.append(regex if raw else "(?=[\\s\\S]*?" + regex + ")")
-        self.groups.append(dict(meta))
-        for _ in range(n - 1):
-            self.groups.append({"kind": "aux"})
-
-    def pattern(self) -> str:
-        return "^(?:" + "|".join(self.alts) + "|)[\\s\\S]*$"
-
-    def replacement(self) -> str:
-        # trailing sentinel: with no rule found, every group is empty and the
-        # first non-empty field is the sentinel at position len(groups) + 1
-        return "\n".join("$" + str(i + 1) for i in range(len(self.groups))) + "\n#"
 
-    def positions(self, pred) -> list[int]:
-        return [i + 1 for i, g in enumerate(self.groups) if pred(g)]
+def _candidate_rule(rules: list[tuple[int, str, str]], n: Column, s: Column) -> Column:
+    """struct(idx, text) of the first rule (lowest idx) that fits one candidate.
 
-    def raw(self, text: Column) -> Column:
-        """All capture groups of ``text``, newline separated, plus a sentinel."""
-        return F.regexp_replace(text, self.pattern(), self.replacement())
-
-
-def _pick(pos: Column, positions: list[int]) -> Column:
-    return pos.isin(*positions) if positions else F.lit(False)
-
-
-def _lit_array(values, kind: str) -> Column:
-    return F.array(*[F.lit(v).cast(kind) for v in values])
+    ``n`` is the number run, ``s`` what follows it.  A rule fits when its word
+    follows the run directly (gap ""), after one character (gap "any"; a digit
+    there belongs to the run, which then ends in two digits), or after '/'
+    and one character (gap "slash").  ``text`` is the number text the rule
+    reads: the run plus the gap character, where a one-letter word equal to
+    the gap character is removed with the word.
+    """
+    c0 = F.substring(s, 1, 1)
+    c0_ok = (F.length(c0) == 1) & ~_is_digit(c0)
+    ends2 = (F.length(n) >= 2) & _is_digit(F.substring(n, -1, 1)) & _is_digit(F.substring(n, -2, 1))
+    out = None
+    for idx, gap, word in rules:
+        w = len(word)
+        if gap == "":
+            cond, text = F.startswith(s, F.lit(word)), n
+        elif gap == "any":
+            a_case = c0_ok & (F.substring(s, 2, w) == word)
+            d_case = ends2 & F.startswith(s, F.lit(word))
+            cond = a_case | d_case
+            a_txt = F.concat(n, F.when(c0 == word, F.lit("")).otherwise(c0)) if w == 1 else F.concat(n, c0)
+            text = F.when(a_case, a_txt).otherwise(n)
+        else:  # slash
+            cond = (c0 == "/") & (F.length(s) >= 2 + w) & (F.substring(s, 3, w) == word)
+            text = F.concat(n, F.substring(s, 2, 1))
+        val = F.struct(F.lit(idx).alias("idx"), text.alias("text"))
+        out = F.when(cond, val) if out is None else out.when(cond, val)
+    return out.otherwise(F.struct(F.lit(_NONE).alias("idx"), F.lit("").alias("text")))
 
 
-def _decode_pos(res: Column) -> Column:
-    """1-based index of the first non-empty field of a family result."""
-    return F.length(res) - F.length(F.ltrim(res, F.lit("\n"))) + 1
+def _best_candidate(t: Column, rules: list[tuple[int, str, str]]) -> Column:
+    """struct(idx, pos, text): the lowest rule index found anywhere in ``t``,
+    at its leftmost candidate.  Two scans of the text find all candidates;
+    the rule checks are plain string comparisons per candidate."""
+    nums = F.regexp_extract_all(t, F.lit(CANDIDATE), 1)
+    tails = F.regexp_extract_all(t, F.lit(CANDIDATE), 2)
+    per = F.zip_with(nums, tails, lambda n, s: _candidate_rule(rules, n, s))
+    ranked = F.transform(per, lambda x, i: F.struct(x["idx"].alias("idx"), i.alias("pos"), x["text"].alias("text")))
+    return F.coalesce(F.array_min(ranked), F.struct(F.lit(_NONE).alias("idx"), F.lit(0).alias("pos"),
+                                                    F.lit("").alias("text")))
 
 
-def _family_number(fam: _Family, pos: Column, g: Column, g_next: Column) -> Column:
-    """Number of the firing rule (null when none fired or it failed to parse).
+def _word_rules(table) -> list[tuple[int, str, str]]:
+    return [(i, gap, word) for i, (gap, word) in enumerate(table) if gap in ("", "any", "slash")]
 
-    ``g`` is the firing group's text, ``g_next`` the field after it.
-    """
-    found = pos <= len(fam.groups)
-    text = F.when(_pick(pos, fam.positions(lambda m: m.get("drop_slash"))),
-                  F.replace(g, F.lit("/"), F.lit(""))).otherwise(g)
-    num = strict_double(text)
-    triple = fam.positions(lambda m: m.get("kind") == "triple")
-    if triple:
-        tri = F.split(g, "/")
-        tval = F.when(F.size(tri) == 3, strict_double(F.try_element_at(tri, F.lit(2)))).otherwise(
-            g_next.try_cast("double"))
-        num = F.when(pos == triple[0], tval).otherwise(num)
-    lits = fam.positions(lambda m: m.get("kind") == "literal")
-    if lits:
-        sizes = _lit_array([m.get("size") for m in fam.groups], "double")
-        num = F.when(_pick(pos, lits), F.try_element_at(sizes, pos)).otherwise(num)
-    num = F.when(_pick(pos, fam.positions(lambda m: m.get("absolute"))), F.abs(num)).otherwise(num)
-    return F.when(found, num)
-
-
-def _pack_family() -> _Family:
-    fam = _Family()
-    for gap, word, drop_slash in PACK_RULES:
-        if gap == "triple":
-            # fires only when some digit is followed by '/' (a three-slash group
-            # implies one): then the middle group, else the first number before '/'
-            fam.add("(?=[\\s\\S]*?(" + TRIPLE + "))(?=[\\s\\S]*?([0-9]+)/)", raw=True, kind="triple")
-        else:
-            fam.add(_rule_body(gap, word), kind="word", drop_slash=drop_slash, absolute=True)
-    return fam
-
-
-def _item_family() -> _Family:
-    fam = _Family()
-    for rule in ITEM_RULES:
-        if rule is None:
-            fam.add(ITEM_PREFIX_M, kind="word", unit="ML", absolute=True)
-            continue
-        word, unit, absolute = rule
-        for gap in ("", "any"):
-            fam.add(_rule_body(gap, word), kind="word", unit=unit, absolute=absolute)
-    for lit_text, size, unit in ITEM_LITERALS:
-        fam.add("(" + lit_text.replace(".", "\\.") + ")", kind="literal", size=size, unit=unit)
-    return fam
 
+# rule order of each family: (gap, word) per position
+_PACK_ORDER = [(gap, word) for gap, word, _ in PACK_RULES]
+_PACK_TRIPLE = [g for g, _ in _PACK_ORDER].index("triple")
+_PACK_SLASH_DROP = [i for i, (_, _, drop) in enumerate(PACK_RULES) if drop]
 
-PACK_FAMILY = _pack_family()
-ITEM_FAMILY = _item_family()
+_ITEM_ORDER: list[tuple[str, str]] = []
+_ITEM_META: list[tuple[str, bool]] = []          # (unit, absolute) per position
+for _rule in ITEM_RULES:
+    if _rule is None:
+        _ITEM_ORDER.append(("prefix_m", "M"))
+        _ITEM_META.append(("ML", True))
+        continue
+    for _gap in ("", "any"):
+        _ITEM_ORDER.append((_gap, _rule[0]))
+        _ITEM_META.append((_rule[1], _rule[2]))
+_ITEM_PREFIX = [g for g, _ in _ITEM_ORDER].index("prefix_m")
 
 
 def pack_text(c) -> Column:
@@ -266,60 +231,77 @@ def _size(val: Column, unit) -> Column:
     return F.struct(val.cast("double").alias("size"), u.alias("unit"))
 
 
-def _family_stage(df: DataFrame, name: str, fam: _Family, text: Column) -> DataFrame:
-    """Materialise one family over one text column as ``{name}_p`` (firing
-    position), ``{name}_g`` (its group) and ``{name}_n`` (the next field).
+def _pick(pos: Column, positions: list[int]) -> Column:
+    return pos.isin(*positions) if positions else F.lit(False)
 
-    Each step is its own projection, so the big regex runs once per row and is
-    never copied into the decoding expressions.
-    """
-    df = df.withColumn(name + "_r", fam.raw(text))
-    r = F.col(name + "_r")
-    df = df.withColumns({name + "_p": _decode_pos(r), name + "_s": F.split(r, "\n")})
-    p, s = F.col(name + "_p"), F.col(name + "_s")
-    return df.withColumns({name + "_g": F.try_element_at(s, p),
-                           name + "_n": F.try_element_at(s, p + 1)}).drop(name + "_r", name + "_s")
-
-
-def _pkg_from(name: str, t: Column) -> Column:
-    p, g, n = F.col(name + "_p"), F.col(name + "_g"), F.col(name + "_n")
-    num = _family_number(PACK_FAMILY, p, g, n)
-    return (F.when(p <= len(PACK_FAMILY.groups), num)
+
+def pkg_candidates(c) -> Column:
+    """Best number-rule candidate of the pack-count rules in text ``c``."""
+    return _best_candidate(pack_text(c), _word_rules(_PACK_ORDER))
+
+
+def item_candidates(c) -> Column:
+    """Best number-rule candidate of the item-size rules in text ``c``."""
+    return _best_candidate(item_text(c), _word_rules(_ITEM_ORDER))
+
+
+def pkg_size_from(c, best: Column) -> Column:
+    """Pack count of text ``c`` given its materialised best candidate."""
+    t = pack_text(c)
+    idx = best["idx"]
+    # three-group rule: 'a/b/c' -> b, else first number before '/'
+    tri_found = t.rlike(TRIPLE) & t.rlike("[0-9]/")
+    grp = F.regexp_extract(t, TRIPLE, 0)
+    parts = F.split(grp, "/")
+    tri_val = F.when(F.size(parts) == 3, strict_double(F.try_element_at(parts, F.lit(2)))).otherwise(
+        F.regexp_extract(t, "([0-9]+)/", 1).try_cast("double"))
+    text = F.when(_pick(idx, _PACK_SLASH_DROP), F.replace(best["text"], F.lit("/"), F.lit(""))).otherwise(best["text"])
+    word_val = F.abs(strict_double(text))
+    return (F.when(idx < _PACK_TRIPLE, word_val)
+            .when(tri_found, tri_val)
+            .when(idx < _NONE, word_val)
             .when(t.isin(*PACK_SINGLE_WORDS), F.lit(1.0))
             .otherwise(F.lit(None).cast("double")))
 
 
-def _item_from(name: str, t: Column) -> Column:
-    p, g, n = F.col(name + "_p"), F.col(name + "_g"), F.col(name + "_n")
-    num = _family_number(ITEM_FAMILY, p, g, n)
-    units = _lit_array([m.get("unit", "") for m in ITEM_FAMILY.groups], "string")
+def item_size_from(c, best: Column) -> Column:
+    """struct<size, unit> of text ``c`` given its materialised best candidate.
+
+    No match gives (null, ''); a word such as PINT gives (null, 'PINT').
+    """
+    t = item_text(c)
+    idx = best["idx"]
+    units = F.array(*[F.lit(u) for u, _ in _ITEM_META])
+    absolute = [i for i, (_, a) in enumerate(_ITEM_META) if a]
+    num = strict_double(best["text"])
+    word_size = _size(F.when(_pick(idx, absolute), F.abs(num)).otherwise(num), F.element_at(units, idx + 1))
+    m_size = _size(F.abs(F.regexp_extract(t, ITEM_PREFIX_M, 1).try_cast("double")), "ML")
     padded = F.concat(F.lit(" "), t, F.lit(" "))
     out = None
     for word, unit in ITEM_WORDS:
         cond = padded.contains(" " + word + " ")
         val = _size(F.lit(None), unit)
         out = F.when(cond, val) if out is None else out.when(cond, val)
-    return (out.when(p <= len(ITEM_FAMILY.groups), _size(num, F.try_element_at(units, p)))
-            .otherwise(_size(F.lit(None), "")))
+    out = (out.when(idx < _ITEM_PREFIX, word_size)
+           .when(t.rlike(ITEM_PREFIX_M), m_size)
+           .when(idx < _NONE, word_size))
+    for lit_text, size, unit in ITEM_LITERALS:
+        out = out.when(t.contains(lit_text), _size(F.lit(size), unit))
+    return out.otherwise(_size(F.lit(None), ""))
 
 
 def with_pkg_size_rule(df: DataFrame, src: str, out: str) -> DataFrame:
     """Add ``out`` = pack count found in text column ``src`` (null when none)."""
-    t = pack_text(F.col(src))
-    tmp = "_pk_" + out
-    df = _family_stage(df, tmp, PACK_FAMILY, t)
-    return df.withColumn(out, _pkg_from(tmp, t)).drop(tmp + "_p", tmp + "_g", tmp + "_n")
+    tmp = "_pkc_" + out
+    df = df.withColumn(tmp, pkg_candidates(F.col(src)))
+    return df.withColumn(out, pkg_size_from(F.col(src), F.col(tmp))).drop(tmp)
 
 
 def with_item_size_rule(df: DataFrame, src: str, out: str) -> DataFrame:
-    """Add ``out`` = struct<size double, unit string> found in ``src``.
-
-    No match gives (null, ''); a word such as PINT gives (null, 'PINT').
-    """
-    t = item_text(F.col(src))
-    tmp = "_it_" + out
-    df = _family_stage(df, tmp, ITEM_FAMILY, t)
-    return df.withColumn(out, _item_from(tmp, t)).drop(tmp + "_p", tmp + "_g", tmp + "_n")
+    """Add ``out`` = struct<size double, unit string> found in ``src``."""
+    tmp = "_itc_" + out
+    df = df.withColumn(tmp, item_candidates(F.col(src)))
+    return df.withColumn(out, item_size_from(F.col(src), F.col(tmp))).drop(tmp)
 
 
 def container_rule(c) -> Column:
@@ -409,7 +391,8 @@ def package_label(n: Column, item_size: Column, container: Column) -> Column:
             .otherwise(F.concat(n, F.lit(" pack "), item_size, F.lit(" "), container)))
 
 
-_TEMP = ["_pk_d", "_pk_p", "_it_i", "_it_p", "_it_d", "_ct_i", "_ct_p", "_ct_d", "_item", "_ct", "_sp"]
+_TEMP = ["_c_pk_d", "_c_pk_p", "_c_it_i", "_c_it_p", "_c_it_d", "_pk_d", "_pk_p", "_it_i", "_it_p", "_it_d",
+         "_ct_i", "_ct_p", "_ct_d", "_item", "_ct", "_sp"]
 
 
 def parse_package(df: DataFrame, description: str = "rt_brand_description",
@@ -421,16 +404,19 @@ def parse_package(df: DataFrame, description: str = "rt_brand_description",
     package size -> description), standardise, special units, container fill,
     printed size and label.
     """
-    out = df
-    for src_col, name in ((description, "_pk_d"), (package_size, "_pk_p")):
-        out = with_pkg_size_rule(out, src_col, name)
-    for src_col, name in ((item_size, "_it_i"), (package_size, "_it_p"), (description, "_it_d")):
-        out = with_item_size_rule(out, src_col, name)
-    out = out.withColumns({
-        "_ct_i": container_rule(F.col(item_size)),
-        "_ct_p": container_rule(F.col(package_size)),
-        "_ct_d": container_rule(F.col(description)),
-    })
+    d, p, i = F.col(description), F.col(package_size), F.col(item_size)
+    # 1: best number-rule candidates per text column (one projection)
+    out = df.select("*", pkg_candidates(d).alias("_c_pk_d"), pkg_candidates(p).alias("_c_pk_p"),
+                    item_candidates(i).alias("_c_it_i"), item_candidates(p).alias("_c_it_p"),
+                    item_candidates(d).alias("_c_it_d"))
+    # 2: rule values per text column
+    out = out.select("*", pkg_size_from(d, F.col("_c_pk_d")).alias("_pk_d"),
+                     pkg_size_from(p, F.col("_c_pk_p")).alias("_pk_p"),
+                     item_size_from(i, F.col("_c_it_i")).alias("_it_i"),
+                     item_size_from(p, F.col("_c_it_p")).alias("_it_p"),
+                     item_size_from(d, F.col("_c_it_d")).alias("_it_d"),
+                     container_rule(i).alias("_ct_i"), container_rule(p).alias("_ct_p"),
+                     container_rule(d).alias("_ct_d"))
     out = out.withColumn("_pick", item_size_pick(F.col("_it_i"), F.col("_it_p"), F.col("_it_d")))
     picked = F.col("_pick")
     out = out.withColumns({

@@ -1,0 +1,22 @@
+"""Partition layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a frame read from only a few files over all cores.
+
+    A single parquet row group (or a handful of small files) is read by one
+    task, and everything narrow after it -- e.g. the regex package parse --
+    would run on one core.  Large inputs (at least one file per core) keep
+    their scan partitioning and are not shuffled.
+    """
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    try:
+        n_files = len(df.inputFiles())
+    except Exception:  # pragma: no cover - non-file sources
+        return df
+    return df.repartition(target) if 0 < n_files < target else df

@@ -12,10 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.operators.columns import ORD
+from tillflow.operators.layout import spread_small_input
+
+
+# tables large enough that their single-file scan must be spread over cores
+_SPREAD = {"lineitem", "orders"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_input(df) if name in _SPREAD else df
 
 
 def s(c) -> F.Column:

@@ -83,7 +83,9 @@ def item_case(it: str) -> str:
     def pair(word, unit, absolute=True):
         out = []
         for body in (N, a):
-            v = num(_g(it, body, word))
+            # the matched text loses every occurrence of the word (a one-letter
+            # word also takes a gap character equal to it)
+            v = num(f"replace({_g(it, body, word)}, '{word}', '')")
             out.append(f"  WHEN {_m(it, body, word)} THEN {sz(f'abs({v})' if absolute else v, unit)}")
         return "\n".join(out)
 
