@@ -24,6 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread_small_input(df) if name in _SPREAD else df
 
 
+def line_ord() -> F.Column:
+    """File order of a lineitem-derived row.  (l_orderkey, l_linenumber)
+    repeats in the driver data, so the order key carries enough columns to
+    be unique."""
+    return F.struct(*[F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                         "l_extendedprice", "l_quantity")])
+
+
+def line_no() -> F.Column:
+    """Integer line number (display / per-row variation; not unique)."""
+    return F.col("l_orderkey") * 8 + F.col("l_linenumber")
+
+
 def s(c) -> F.Column:
     """Text of a number column (ints print plainly)."""
     return (F.col(c) if isinstance(c, str) else c).cast("string")
@@ -100,7 +113,7 @@ def f8_lines(spark, sf_dir) -> DataFrame:
         phrase = F.when(sel == i, e) if phrase is None else phrase.when(sel == i, e)
     return j.select(
         s("l_suppkey").alias("retailer_id"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(ORD),
+        line_ord().alias(ORD), line_no().alias("_line"),
         s(F.col("l_partkey")).alias("product_id"),
         s(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("upc_code"),
         F.col("p_brand").alias("brand_name"),
@@ -128,7 +141,7 @@ def f2_prc(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         s("l_suppkey").alias("retailer_id"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(ORD),
+        line_ord().alias(ORD), line_no().alias("_line"),
         s("l_partkey").alias("sku"), F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"),
         F.when(F.col("l_discount") > 0.05, F.col("l_extendedprice") * 0.5).otherwise(F.lit(0.0)).alias("sale"),
         F.when(F.col("l_returnflag") == "R", F.lit("T")).otherwise(F.lit("F")).alias("onsale"),
@@ -138,7 +151,7 @@ def f2_prc(spark, sf_dir) -> DataFrame:
 def f2_stk(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.where(F.col("l_linestatus") == "O").select(
-        s("l_suppkey").alias("retailer_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(ORD),
+        s("l_suppkey").alias("retailer_id"), line_ord().alias(ORD), line_no().alias("_line"),
         s("l_partkey").alias("sku"), F.col("l_quantity").alias("back"),
         F.col("l_shipdate").alias("tstamp"))
 
@@ -148,7 +161,7 @@ def f2_upc(spark, sf_dir) -> DataFrame:
     ok = F.col("l_orderkey")
     return li.select(
         s("l_suppkey").alias("retailer_id"),
-        (ok * 8 + F.col("l_linenumber")).alias(ORD),
+        line_ord().alias(ORD), line_no().alias("_line"),
         s("l_partkey").alias("sku"),
         F.when(ok % 11 == 0, F.lit(None).cast("string")).otherwise(s(ok * 10 + F.col("l_linenumber"))).alias("upc"),
         F.when(ok % 13 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("l_shipdate")).alias("tstamp"))
@@ -205,7 +218,7 @@ def f6_barcodes(spark, sf_dir) -> DataFrame:
     ok, pk = F.col("l_orderkey"), F.col("l_partkey")
     return li.select(
         s("l_suppkey").alias("retailer_id"),
-        (ok * 8 + F.col("l_linenumber")).alias(ORD),
+        line_ord().alias(ORD), line_no().alias("_line"),
         s(pk).alias("id"), "l_orderkey", "l_linenumber",
         F.when(ok % 7 == 0, F.lit(None).cast("string")).when(ok % 5 == 0, s(pk)).otherwise(s(ok)).alias("upcitemid"),
         (F.col("l_linenumber") % 4).alias("sizecaseqty"), s("l_linenumber").alias("unitspercase"),
@@ -258,7 +271,7 @@ def winepos_raw(spark, sf_dir) -> DataFrame:
         21: F.date_format(ship, "yyyy-MM-dd"), 22: F.date_format(ship + F.expr("INTERVAL 30 DAYS"), "yyyy-MM-dd"),
     }
     cols = [vals.get(i, F.lit("x")).alias(f"_c{i}") for i in range(23)]
-    return j.select(s("l_suppkey").alias("retailer_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(ORD),
+    return j.select(s("l_suppkey").alias("retailer_id"), line_ord().alias(ORD), line_no().alias("_line"),
                     *cols)
 
 
@@ -274,15 +287,20 @@ def cre_lines(spark, sf_dir, v2: bool = False) -> DataFrame:
         36: F.concat(s("p_size"), F.lit(" PK")), 90: F.concat(s("l_partkey"), F.lit("-0")),
     }
     line = F.concat_ws("|", *[vals.get(i, F.lit("")) for i in range(n_cols)])
-    data = j.select(s("l_suppkey").alias("retailer_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(ORD),
-                    line.alias("value"))
+    # file order: 5 header lines, the data lines, then (v2) one trailer line
+    o_type = j.select(line_ord().alias("o")).schema["o"].dataType.simpleString()
+    seq = lambda k, h, o: F.struct(F.lit(k).alias("k"), F.lit(h).alias("h"), o.alias("o"))
+    data = j.select(s("l_suppkey").alias("retailer_id"), seq(1, 0, line_ord()).alias(ORD), line.alias("value"))
     retailers = data.select("retailer_id").distinct()
-    heads = retailers.select("retailer_id", F.explode(F.array(*[F.lit(-i) for i in range(5, 0, -1)])).alias(ORD))
-    heads = heads.withColumn("value", F.concat(F.lit("EXPORT HEADER "), (F.col(ORD) + 6).cast("string")))
+    heads = retailers.select("retailer_id", F.explode(F.array(*[F.lit(i) for i in range(1, 6)])).alias("h"))
+    heads = heads.select("retailer_id", F.struct(F.lit(0).alias("k"), F.col("h").alias("h"),
+                                                 F.lit(None).cast(o_type).alias("o")).alias(ORD),
+                         F.concat(F.lit("EXPORT HEADER "), F.col("h").cast("string")).alias("value"))
     out = heads.unionByName(data)
     if v2:
         tail = data.groupBy("retailer_id").agg(F.count(F.lit(1)).alias("n")).select(
-            "retailer_id", F.lit(1 << 60).alias(ORD), F.concat(F.lit("TOTAL|"), s("n")).alias("value"))
+            "retailer_id", seq(2, 0, F.lit(None).cast(o_type)).alias(ORD),
+            F.concat(F.lit("TOTAL|"), s("n")).alias("value"))
         out = out.unionByName(tail)
     return out
 
@@ -290,7 +308,7 @@ def cre_lines(spark, sf_dir, v2: bool = False) -> DataFrame:
 def spirit_xml_rows(spark, sf_dir) -> DataFrame:
     j = _lines_parts(spark, sf_dir)
     return j.select(
-        s("l_suppkey").alias("retailer_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(ORD),
+        s("l_suppkey").alias("retailer_id"), line_ord().alias(ORD), line_no().alias("_line"),
         s("l_partkey").alias("sku"), s(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("upccode"),
         F.col("p_name").alias("prodname"), F.col("p_brand").alias("catname"), F.col("p_type").alias("typename"),
         F.concat(s("p_size"), F.lit(" OZ")).alias("sizename"), s("l_extendedprice").alias("unitprice"),
@@ -330,7 +348,7 @@ def line_products(spark, sf_dir) -> DataFrame:
     POS exports below."""
     j = _lines_parts(spark, sf_dir)
     return j.select(
-        s("l_suppkey").alias("retailer_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(ORD),
+        s("l_suppkey").alias("retailer_id"), line_ord().alias(ORD), line_no().alias("_line"),
         s("l_partkey").alias("id"), s(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("upc"),
         F.col("p_brand").alias("brand"), F.col("p_name").alias("descr"), F.col("p_type").alias("typ"),
         F.col("p_brand").alias("cat"), F.concat(s("l_linenumber"), F.lit(" pk")).alias("pkg"),

@@ -24,7 +24,7 @@ def land_csv(spark: SparkSession, df: DataFrame, name: str, sep: str = ",", head
     """Write ``df`` (retailer_id, _ord, text columns) as delimited files,
     one directory per retailer, rows in ``_ord`` order."""
     path = path or shared_dir(spark, "landing", name)
-    cols = [F.col(c).cast("string").alias(c) for c in df.columns if c not in (KEY, ORD)]
+    cols = [F.col(c).cast("string").alias(c) for c in df.columns if c not in (KEY, ORD, "_line")]
     (_one_file_per_retailer(df).select(KEY, ORD, *cols).drop(ORD)
      .write.mode(mode).partitionBy(KEY).option("header", header).option("sep", sep).csv(path))
     return path
@@ -40,7 +40,7 @@ def land_lines(spark: SparkSession, lines: DataFrame, name: str) -> str:
 def land_xml(spark: SparkSession, df: DataFrame, name: str, row_tag: str = "webtable",
              root_tag: str = "NewDataSet") -> str:
     path = shared_dir(spark, "landing", name)
-    cols = [F.col(c).cast("string").alias(c) for c in df.columns if c not in (KEY, ORD)]
+    cols = [F.col(c).cast("string").alias(c) for c in df.columns if c not in (KEY, ORD, "_line")]
     (_one_file_per_retailer(df).select(KEY, ORD, *cols).drop(ORD)
      .write.partitionBy(KEY).format("xml").option("rowTag", row_tag).option("rootTag", root_tag).save(path))
     return path

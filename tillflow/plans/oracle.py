@@ -299,7 +299,7 @@ def with_clause(*parts: str) -> str:
 
 
 F8 = """f8 AS (
-select cast(l_suppkey as varchar) as retailer_id, l_orderkey * 8 + l_linenumber as _ord,
+select cast(l_suppkey as varchar) as retailer_id, struct_pack(o := l_orderkey, n := l_linenumber, p := l_partkey, s := l_suppkey, e := l_extendedprice, q := l_quantity) as _ord, l_orderkey * 8 + l_linenumber as _line,
  cast(l_partkey as varchar) as product_id,
  cast(l_orderkey * 10 + l_linenumber as varchar) as upc_code,
  p_brand as brand_name,
@@ -335,17 +335,17 @@ select distinct cast(l_suppkey as varchar) as retailer_id, cast(p_partkey as var
  concat(cast(p_size as varchar), ' OZ') as sname, p_size as pack, p_type as typename
 from lineitem join part on l_partkey = p_partkey),
 f2_prc AS (
-select cast(l_suppkey as varchar) as retailer_id, l_orderkey * 8 + l_linenumber as _ord,
+select cast(l_suppkey as varchar) as retailer_id, struct_pack(o := l_orderkey, n := l_linenumber, p := l_partkey, s := l_suppkey, e := l_extendedprice, q := l_quantity) as _ord, l_orderkey * 8 + l_linenumber as _line,
  cast(l_partkey as varchar) as sku, l_quantity as qty,
  l_extendedprice as price, case when l_discount > 0.05 then l_extendedprice * 0.5 else 0.0 end as sale,
  case when l_returnflag = 'R' then 'T' else 'F' end as onsale, cast(l_linenumber as varchar) as level, l_shipdate as tstamp
 from lineitem),
 f2_stk AS (
-select cast(l_suppkey as varchar) as retailer_id, l_orderkey * 8 + l_linenumber as _ord,
+select cast(l_suppkey as varchar) as retailer_id, struct_pack(o := l_orderkey, n := l_linenumber, p := l_partkey, s := l_suppkey, e := l_extendedprice, q := l_quantity) as _ord, l_orderkey * 8 + l_linenumber as _line,
  cast(l_partkey as varchar) as sku, l_quantity as back, l_shipdate as tstamp
 from lineitem where l_linestatus = 'O'),
 f2_upc AS (
-select cast(l_suppkey as varchar) as retailer_id, l_orderkey * 8 + l_linenumber as _ord,
+select cast(l_suppkey as varchar) as retailer_id, struct_pack(o := l_orderkey, n := l_linenumber, p := l_partkey, s := l_suppkey, e := l_extendedprice, q := l_quantity) as _ord, l_orderkey * 8 + l_linenumber as _line,
  cast(l_partkey as varchar) as sku,
  case when l_orderkey % 11 = 0 then null else cast(l_orderkey * 10 + l_linenumber as varchar) end as upc,
  case when l_orderkey % 13 = 0 then null else l_shipdate end as tstamp
@@ -423,7 +423,7 @@ def spirit_sql(kind: str) -> str:
 
 
 F6 = """f6 AS (
-select cast(l_suppkey as varchar) as retailer_id, l_orderkey * 8 + l_linenumber as _ord,
+select cast(l_suppkey as varchar) as retailer_id, struct_pack(o := l_orderkey, n := l_linenumber, p := l_partkey, s := l_suppkey, e := l_extendedprice, q := l_quantity) as _ord, l_orderkey * 8 + l_linenumber as _line,
  cast(l_partkey as varchar) as id, l_orderkey, l_linenumber,
  case when l_orderkey % 7 = 0 then null when l_orderkey % 5 = 0 then cast(l_partkey as varchar)
   else cast(l_orderkey as varchar) end as upcitemid,
@@ -517,7 +517,7 @@ LINES_PARTS = "lineitem JOIN part ON l_partkey = p_partkey"
 
 def winepos_sql() -> str:
     body = f"""wp_raw AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id, l_orderkey * 8 + l_linenumber AS _ord,
+  SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id, struct_pack(o := l_orderkey, n := l_linenumber, p := l_partkey, s := l_suppkey, e := l_extendedprice, q := l_quantity) AS _ord, l_orderkey * 8 + l_linenumber AS _line,
     CAST(l_partkey AS VARCHAR) AS c0, p_name AS c1, CAST(p_size AS VARCHAR) || ' OZ' AS c4,
     CAST(l_linenumber AS VARCHAR) || '.0' AS c6, l_extendedprice / l_quantity AS unit,
     CASE WHEN l_discount < 0.03 THEN 0.0 ELSE l_extendedprice END AS pack, l_linenumber % 4 AS pkg,
@@ -541,7 +541,7 @@ wp_canon AS (
 
 def cre_sql() -> str:
     body = f"""cre_canon AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id, l_orderkey * 8 + l_linenumber AS _ord,
+  SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id, struct_pack(o := l_orderkey, n := l_linenumber, p := l_partkey, s := l_suppkey, e := l_extendedprice, q := l_quantity) AS _ord, l_orderkey * 8 + l_linenumber AS _line,
     replace(CAST(l_partkey AS VARCHAR) || '-0', '-', '') AS rt_product_id,
     CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS rt_upc_code, '' AS rt_brand_name,
     p_name AS rt_brand_description, p_type AS rt_product_type, p_brand AS rt_product_category,
@@ -556,7 +556,7 @@ def cre_sql() -> str:
 
 def spirit_xml_sql() -> str:
     body = f"""sx_canon AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id, l_orderkey * 8 + l_linenumber AS _ord,
+  SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id, struct_pack(o := l_orderkey, n := l_linenumber, p := l_partkey, s := l_suppkey, e := l_extendedprice, q := l_quantity) AS _ord, l_orderkey * 8 + l_linenumber AS _line,
     CAST(l_partkey AS VARCHAR) AS rt_product_id, CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS rt_upc_code,
     '' AS rt_brand_name, p_name AS rt_brand_description, p_type AS rt_product_type, p_brand AS rt_product_category,
     '' AS rt_package_size, CAST(p_size AS VARCHAR) || ' OZ' AS rt_item_size,
@@ -600,7 +600,7 @@ def mpower_api_sql() -> str:
 
 
 LP = f"""lp AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id, l_orderkey * 8 + l_linenumber AS _ord,
+  SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id, struct_pack(o := l_orderkey, n := l_linenumber, p := l_partkey, s := l_suppkey, e := l_extendedprice, q := l_quantity) AS _ord, l_orderkey * 8 + l_linenumber AS _line,
     CAST(l_partkey AS VARCHAR) AS id, CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS upc,
     p_brand AS brand, p_name AS descr, p_type AS typ, p_brand AS cat, CAST(l_linenumber AS VARCHAR) || ' pk' AS pkg,
     CAST(p_size AS VARCHAR) || ' OZ' AS size, CAST(l_extendedprice AS VARCHAR) AS price,

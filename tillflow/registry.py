@@ -55,18 +55,18 @@ from tillflow.functions import package as P  # noqa: E402
 
 
 def _f8_texts(spark, sf_dir):
-    return D.f8_lines(spark, sf_dir).select(F.col("_ord").alias("line_id"), F.col("brand_description").alias("text"))
+    return D.f8_lines(spark, sf_dir).select(F.col("_line").alias("line_id"), F.col("brand_description").alias("text"))
 
 
 @register("pkg_size_rule", O.with_clause(O.F8) + f"""
-SELECT _ord AS line_id, brand_description AS text, {O.pack_case(O.pack_text('brand_description'))} AS pack_count
+SELECT _line AS line_id, brand_description AS text, {O.pack_case(O.pack_text('brand_description'))} AS pack_count
 FROM f8""")
 def q_pkg_size_rule(spark, sf_dir):
     return P.with_pkg_size_rule(_f8_texts(spark, sf_dir), "text", "pack_count")
 
 
 @register("item_size_rule", O.with_clause(O.F8, f"""f8i AS (
-SELECT _ord AS line_id, brand_description AS text, {O.item_case(O.item_text('brand_description'))} AS r FROM f8)""") + """
+SELECT _line AS line_id, brand_description AS text, {O.item_case(O.item_text('brand_description'))} AS r FROM f8)""") + """
 SELECT line_id, text, r.size AS item_size, r.unit AS item_unit FROM f8i""")
 def q_item_size_rule(spark, sf_dir):
     d = P.with_item_size_rule(_f8_texts(spark, sf_dir), "text", "r")
@@ -74,7 +74,7 @@ def q_item_size_rule(spark, sf_dir):
 
 
 @register("container_rule", O.with_clause(O.F8) + f"""
-SELECT _ord AS line_id, brand_description AS text, {O.container_case(O.container_text('brand_description'))} AS container
+SELECT _line AS line_id, brand_description AS text, {O.container_case(O.container_text('brand_description'))} AS container
 FROM f8""")
 def q_container_rule(spark, sf_dir):
     return P.with_container_rule(_f8_texts(spark, sf_dir), "text", "container")
@@ -363,39 +363,39 @@ def _f8_proj(key: str, sql_expr: str, x_sql: str | None = None):
     def deco(fn):
         def q(spark, sf_dir):
             d = _f8(spark, sf_dir)
-            return d.select(F.col("_ord").alias("line_id"), fn(d).alias("value"))
+            return d.select(F.col("_line").alias("line_id"), fn(d).alias("value"))
         src = f"(SELECT *, {x_sql} AS x FROM f8)" if x_sql else "f8"
-        register(key, O.with_clause(O.F8) + f"\nSELECT _ord AS line_id, {sql_expr} AS value FROM {src}")(q)
+        register(key, O.with_clause(O.F8) + f"\nSELECT _line AS line_id, {sql_expr} AS value FROM {src}")(q)
         return fn
     return deco
 
 
-_DIRTY_UPC_SQL = "('UPC-' || upc_code || CASE WHEN _ord % 2 = 0 THEN '.0' ELSE '' END)"
+_DIRTY_UPC_SQL = "('UPC-' || upc_code || CASE WHEN _line % 2 = 0 THEN '.0' ELSE '' END)"
 
 
 @_f8_proj("upc_digits_only", f"regexp_replace({_DIRTY_UPC_SQL}, '[^0-9]', '', 'g')")
 def _s_upc_digits(d):
-    dirty = F.concat(F.lit("UPC-"), F.col("upc_code"), F.when(F.col("_ord") % 2 == 0, F.lit(".0")).otherwise(F.lit("")))
+    dirty = F.concat(F.lit("UPC-"), F.col("upc_code"), F.when(F.col("_line") % 2 == 0, F.lit(".0")).otherwise(F.lit("")))
     return T.upc_digits_only(dirty)
 
 
 @_f8_proj("strip_dot_zero", f"replace({_DIRTY_UPC_SQL}, '.0', '')")
 def _s_strip_dot_zero(d):
-    dirty = F.concat(F.lit("UPC-"), F.col("upc_code"), F.when(F.col("_ord") % 2 == 0, F.lit(".0")).otherwise(F.lit("")))
+    dirty = F.concat(F.lit("UPC-"), F.col("upc_code"), F.when(F.col("_line") % 2 == 0, F.lit(".0")).otherwise(F.lit("")))
     return T.strip_dot_zero(dirty)
 
 
 @_f8_proj("upc_strip_prefix", "(CASE WHEN starts_with(x, 'cc') THEN substr(x, 3) ELSE x END)",
-          "CASE WHEN _ord % 3 = 0 THEN 'cc' || upc_code ELSE upc_code END")
+          "CASE WHEN _line % 3 = 0 THEN 'cc' || upc_code ELSE upc_code END")
 def _s_upc_strip_prefix(d):
-    x = F.when(F.col("_ord") % 3 == 0, F.concat(F.lit("cc"), F.col("upc_code"))).otherwise(F.col("upc_code"))
+    x = F.when(F.col("_line") % 3 == 0, F.concat(F.lit("cc"), F.col("upc_code"))).otherwise(F.col("upc_code"))
     return T.upc_strip_prefix(x)
 
 
 @_f8_proj("upc_same_as_id", "(CASE WHEN product_id = x THEN '-1' ELSE x END)",
-          "CASE WHEN _ord % 4 = 0 THEN product_id ELSE upc_code END")
+          "CASE WHEN _line % 4 = 0 THEN product_id ELSE upc_code END")
 def _s_upc_same_as_id(d):
-    x = F.when(F.col("_ord") % 4 == 0, F.col("product_id")).otherwise(F.col("upc_code"))
+    x = F.when(F.col("_line") % 4 == 0, F.col("product_id")).otherwise(F.col("upc_code"))
     return T.upc_same_as_id(x, F.col("product_id"))
 
 
@@ -424,9 +424,9 @@ def _s_split_first(d):
     return T.split_first(F.concat(F.col("package_size"), F.lit(","), F.col("brand_name")))
 
 
-@_f8_proj("dept_code_type", O.dept_sql("(CAST(_ord % 8 AS VARCHAR) || '.0')", 3, 2, 4))
+@_f8_proj("dept_code_type", O.dept_sql("(CAST(_line % 8 AS VARCHAR) || '.0')", 3, 2, 4))
 def _s_dept_code_type(d):
-    return T.dept_code_type(F.concat((F.col("_ord") % 8).cast("string"), F.lit(".0")), 3, 2, 4)
+    return T.dept_code_type(F.concat((F.col("_line") % 8).cast("string"), F.lit(".0")), 3, 2, 4)
 
 
 @_f8_proj("cents_to_units", f"{O.num('price_regular')} / 100.0")
@@ -434,41 +434,41 @@ def _s_cents_to_units(d):
     return T.cents_to_units(T.strict_double(F.col("price_regular")))
 
 
-@_f8_proj("qty_per_pack", f"(CASE WHEN _ord % 3 = 0 THEN NULL ELSE {O.num('qty_on_hand')} / (_ord % 3) END)")
+@_f8_proj("qty_per_pack", f"(CASE WHEN _line % 3 = 0 THEN NULL ELSE {O.num('qty_on_hand')} / (_line % 3) END)")
 def _s_qty_per_pack(d):
-    return T.safe_divide(T.strict_double(F.col("qty_on_hand")), F.col("_ord") % 3)
+    return T.safe_divide(T.strict_double(F.col("qty_on_hand")), F.col("_line") % 3)
 
 
 @_f8_proj("wholesale_qty", "coalesce(" + O.float_text(
-    f"(CASE WHEN _ord % 4 = 0 THEN NULL ELSE {O.num('qty_on_hand')} / (_ord % 4) END)") + ", '')")
+    f"(CASE WHEN _line % 4 = 0 THEN NULL ELSE {O.num('qty_on_hand')} / (_line % 4) END)") + ", '')")
 def _s_wholesale_qty(d):
-    return F.coalesce(T.float_text(T.safe_divide(T.strict_double(F.col("qty_on_hand")), F.col("_ord") % 4)),
+    return F.coalesce(T.float_text(T.safe_divide(T.strict_double(F.col("qty_on_hand")), F.col("_line") % 4)),
                       F.lit(""))
 
 
-_LABEL_IN_SQL = ("(CASE _ord % 5 WHEN 0 THEN qty_on_hand WHEN 1 THEN qty_on_hand || '.5' WHEN 2 THEN 'n/a' "
+_LABEL_IN_SQL = ("(CASE _line % 5 WHEN 0 THEN qty_on_hand WHEN 1 THEN qty_on_hand || '.5' WHEN 2 THEN 'n/a' "
                  "WHEN 3 THEN '' ELSE qty_on_hand || '.0' END)")
 
 
 @_f8_proj("wholesale_label", O.wholesale_label_sql(_LABEL_IN_SQL))
 def _s_wholesale_label(d):
-    q, k = F.col("qty_on_hand"), F.col("_ord") % 5
+    q, k = F.col("qty_on_hand"), F.col("_line") % 5
     x = (F.when(k == 0, q).when(k == 1, F.concat(q, F.lit(".5"))).when(k == 2, F.lit("n/a"))
          .when(k == 3, F.lit("")).otherwise(F.concat(q, F.lit(".0"))))
     return T.wholesale_label(x)
 
 
 @_f8_proj("cast_numeric_zero", "coalesce(" + O.num_exp(
-    "(CASE WHEN _ord % 7 = 0 THEN 'n/a' WHEN _ord % 7 = 1 THEN NULL ELSE price_regular END)") + ", 0.0)")
+    "(CASE WHEN _line % 7 = 0 THEN 'n/a' WHEN _line % 7 = 1 THEN NULL ELSE price_regular END)") + ", 0.0)")
 def _s_cast_numeric_zero(d):
-    k = F.col("_ord") % 7
+    k = F.col("_line") % 7
     x = F.when(k == 0, F.lit("n/a")).when(k == 1, F.lit(None).cast("string")).otherwise(F.col("price_regular"))
     return T.numeric_or_zero(x)
 
 
-@_f8_proj("cast_string_blank", "coalesce(CASE WHEN _ord % 3 = 0 THEN NULL ELSE sale_price END, '')")
+@_f8_proj("cast_string_blank", "coalesce(CASE WHEN _line % 3 = 0 THEN NULL ELSE sale_price END, '')")
 def _s_cast_string_blank(d):
-    return T.blank_if_null(F.when(F.col("_ord") % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("sale_price")))
+    return T.blank_if_null(F.when(F.col("_line") % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("sale_price")))
 
 
 @_f8_proj("copy_type_to_category", "product_type")
@@ -489,27 +489,27 @@ def _s_url_unquote(d):
 
 
 @register("parse_ts", O.with_clause(O.F2) + """
-SELECT _ord AS line_id, CASE _ord % 3 WHEN 0 THEN tstamp WHEN 1 THEN date_trunc('day', tstamp) ELSE NULL END AS value
+SELECT _line AS line_id, CASE _line % 3 WHEN 0 THEN tstamp WHEN 1 THEN date_trunc('day', tstamp) ELSE NULL END AS value
 FROM f2_prc""")
 def q_parse_ts(spark, sf_dir):
     d = D.f2_prc(spark, sf_dir)
-    k = F.col("_ord") % 3
+    k = F.col("_line") % 3
     txt = (F.when(k == 0, F.date_format("tstamp", "yyyy-MM-dd HH:mm:ss"))
            .when(k == 1, F.date_format("tstamp", "MM/dd/yyyy")).otherwise(F.lit("not a date")))
-    return d.select(F.col("_ord").alias("line_id"), T.parse_ts(txt).alias("value"))
+    return d.select(F.col("_line").alias("line_id"), T.parse_ts(txt).alias("value"))
 
 
-@register("size_oz", O.with_clause(O.F6) + f"\nSELECT _ord AS line_id, {O.size_oz_sql('description_2')} AS value FROM f6")
+@register("size_oz", O.with_clause(O.F6) + f"\nSELECT _line AS line_id, {O.size_oz_sql('description_2')} AS value FROM f6")
 def q_size_oz(spark, sf_dir):
     d = D.f6_barcodes(spark, sf_dir)
-    return d.select(F.col("_ord").alias("line_id"), T.size_oz(F.col("description_2")).alias("value"))
+    return d.select(F.col("_line").alias("line_id"), T.size_oz(F.col("description_2")).alias("value"))
 
 
 @register("sale_flag", O.with_clause(O.F2) + """
-SELECT _ord AS line_id, CASE WHEN onsale = 'T' AND sale > 0 THEN sale ELSE 0.0 END AS value FROM f2_prc""")
+SELECT _line AS line_id, CASE WHEN onsale = 'T' AND sale > 0 THEN sale ELSE 0.0 END AS value FROM f2_prc""")
 def q_sale_flag(spark, sf_dir):
     d = D.f2_prc(spark, sf_dir)
-    return d.select(F.col("_ord").alias("line_id"), T.sale_flag("onsale", "sale").alias("value"))
+    return d.select(F.col("_line").alias("line_id"), T.sale_flag("onsale", "sale").alias("value"))
 
 
 # ------------------------------------------------ projection / filter steps
@@ -521,11 +521,11 @@ def q_filter_zero_price(spark, sf_dir):
 
 
 @register("filter_digit_id", O.with_clause(O.F8) + """
-SELECT line_id, pid FROM (SELECT _ord AS line_id, CASE WHEN _ord % 6 = 0 THEN 'A' || product_id ELSE product_id END AS pid
+SELECT line_id, pid FROM (SELECT _line AS line_id, CASE WHEN _line % 6 = 0 THEN 'A' || product_id ELSE product_id END AS pid
 FROM f8) WHERE regexp_matches(pid, '^[0-9]+$')""")
 def q_filter_digit_id(spark, sf_dir):
-    d = _f8(spark, sf_dir).select(F.col("_ord").alias("line_id"), F.when(
-        F.col("_ord") % 6 == 0, F.concat(F.lit("A"), F.col("product_id"))).otherwise(F.col("product_id")).alias("pid"))
+    d = _f8(spark, sf_dir).select(F.col("_line").alias("line_id"), F.when(
+        F.col("_line") % 6 == 0, F.concat(F.lit("A"), F.col("product_id"))).otherwise(F.col("product_id")).alias("pid"))
     return C.filter_digit_id(d, "pid")
 
 
@@ -545,7 +545,7 @@ SELECT product_id AS rt_product_id, upc_code AS rt_upc_code, brand_name AS rt_br
  brand_description AS rt_brand_description, product_type AS rt_product_type, product_category AS rt_product_category,
  package_size AS rt_package_size, price_regular, sale_price AS price_sale, qty_on_hand FROM f8""")
 def q_cols_rename(spark, sf_dir):
-    return C.cols_rename(_f8(spark, sf_dir), feeds.MPOWER_MAP).drop("retailer_id", "_ord")
+    return C.cols_rename(_f8(spark, sf_dir), feeds.MPOWER_MAP).drop("retailer_id", "_ord", "_line")
 
 
 @register("cols_backfill", O.with_clause(O.F8) + """
