@@ -235,19 +235,18 @@ def _pick(pos: Column, positions: list[int]) -> Column:
     return pos.isin(*positions) if positions else F.lit(False)
 
 
-def pkg_candidates(c) -> Column:
-    """Best number-rule candidate of the pack-count rules in text ``c``."""
-    return _best_candidate(pack_text(c), _word_rules(_PACK_ORDER))
+def pkg_candidates(t: Column) -> Column:
+    """Best number-rule candidate of the pack-count rules in normalised text ``t``."""
+    return _best_candidate(t, _word_rules(_PACK_ORDER))
 
 
-def item_candidates(c) -> Column:
-    """Best number-rule candidate of the item-size rules in text ``c``."""
-    return _best_candidate(item_text(c), _word_rules(_ITEM_ORDER))
+def item_candidates(t: Column) -> Column:
+    """Best number-rule candidate of the item-size rules in normalised text ``t``."""
+    return _best_candidate(t, _word_rules(_ITEM_ORDER))
 
 
-def pkg_size_from(c, best: Column) -> Column:
-    """Pack count of text ``c`` given its materialised best candidate."""
-    t = pack_text(c)
+def pkg_size_from(t: Column, best: Column) -> Column:
+    """Pack count of normalised text ``t`` given its materialised best candidate."""
     idx = best["idx"]
     # three-group rule: 'a/b/c' -> b, else first number before '/'
     tri_found = t.rlike(TRIPLE) & t.rlike("[0-9]/")
@@ -264,19 +263,18 @@ def pkg_size_from(c, best: Column) -> Column:
             .otherwise(F.lit(None).cast("double")))
 
 
-def item_size_from(c, best: Column) -> Column:
-    """struct<size, unit> of text ``c`` given its materialised best candidate.
+def item_size_from(t: Column, padded: Column, best: Column) -> Column:
+    """struct<size, unit> of normalised text ``t`` (``padded`` = ' ' + t + ' ')
+    given its materialised best candidate.
 
     No match gives (null, ''); a word such as PINT gives (null, 'PINT').
     """
-    t = item_text(c)
     idx = best["idx"]
     units = F.array(*[F.lit(u) for u, _ in _ITEM_META])
     absolute = [i for i, (_, a) in enumerate(_ITEM_META) if a]
     num = strict_double(best["text"])
     word_size = _size(F.when(_pick(idx, absolute), F.abs(num)).otherwise(num), F.element_at(units, idx + 1))
     m_size = _size(F.abs(F.regexp_extract(t, ITEM_PREFIX_M, 1).try_cast("double")), "ML")
-    padded = F.concat(F.lit(" "), t, F.lit(" "))
     out = None
     for word, unit in ITEM_WORDS:
         cond = padded.contains(" " + word + " ")
@@ -292,21 +290,29 @@ def item_size_from(c, best: Column) -> Column:
 
 def with_pkg_size_rule(df: DataFrame, src: str, out: str) -> DataFrame:
     """Add ``out`` = pack count found in text column ``src`` (null when none)."""
-    tmp = "_pkc_" + out
-    df = df.withColumn(tmp, pkg_candidates(F.col(src)))
-    return df.withColumn(out, pkg_size_from(F.col(src), F.col(tmp))).drop(tmp)
+    t, c = "_pkt_" + out, "_pkc_" + out
+    df = df.withColumn(t, pack_text(F.col(src)))
+    df = df.withColumn(c, pkg_candidates(F.col(t)))
+    return df.withColumn(out, pkg_size_from(F.col(t), F.col(c))).drop(t, c)
 
 
 def with_item_size_rule(df: DataFrame, src: str, out: str) -> DataFrame:
     """Add ``out`` = struct<size double, unit string> found in ``src``."""
-    tmp = "_itc_" + out
-    df = df.withColumn(tmp, item_candidates(F.col(src)))
-    return df.withColumn(out, item_size_from(F.col(src), F.col(tmp))).drop(tmp)
+    t, q, c = "_itt_" + out, "_itq_" + out, "_itc_" + out
+    df = df.withColumn(t, item_text(F.col(src)))
+    df = df.withColumns({q: F.concat(F.lit(" "), F.col(t), F.lit(" ")), c: item_candidates(F.col(t))})
+    return df.withColumn(out, item_size_from(F.col(t), F.col(q), F.col(c))).drop(t, q, c)
 
 
-def container_rule(c) -> Column:
-    """Container label found in one text column (null when none)."""
-    padded = F.concat(F.lit(" "), F.upper(F.coalesce(col_(c), F.lit(""))), F.lit(" "))
+def container_text(c) -> Column:
+    """' ' + upper(text) + ' ', the text the container rules search."""
+    return F.concat(F.lit(" "), F.upper(F.coalesce(col_(c), F.lit(""))), F.lit(" "))
+
+
+def container_rule(c, padded: Column | None = None) -> Column:
+    """Container label found in one text column (null when none).  Pass the
+    materialised ``container_text`` as ``padded`` to avoid recomputing it."""
+    padded = container_text(c) if padded is None else padded
 
     def any_of(words):
         cond = None
@@ -326,7 +332,9 @@ def container_rule(c) -> Column:
 
 
 def with_container_rule(df: DataFrame, src: str, out: str) -> DataFrame:
-    return df.withColumn(out, container_rule(F.col(src)))
+    tmp = "_ctt_" + out
+    df = df.withColumn(tmp, container_text(F.col(src)))
+    return df.withColumn(out, container_rule(None, F.col(tmp))).drop(tmp)
 
 
 def _pair(size: Column, unit: Column) -> Column:
@@ -391,7 +399,8 @@ def package_label(n: Column, item_size: Column, container: Column) -> Column:
             .otherwise(F.concat(n, F.lit(" pack "), item_size, F.lit(" "), container)))
 
 
-_TEMP = ["_c_pk_d", "_c_pk_p", "_c_it_i", "_c_it_p", "_c_it_d", "_pk_d", "_pk_p", "_it_i", "_it_p", "_it_d",
+_TEMP = ["_tp_d", "_tp_p", "_ti_i", "_ti_p", "_ti_d", "_tc_i", "_tc_p", "_tc_d", "_tq_i", "_tq_p", "_tq_d",
+         "_c_pk_d", "_c_pk_p", "_c_it_i", "_c_it_p", "_c_it_d", "_pk_d", "_pk_p", "_it_i", "_it_p", "_it_d",
          "_ct_i", "_ct_p", "_ct_d", "_item", "_ct", "_sp"]
 
 
@@ -405,18 +414,27 @@ def parse_package(df: DataFrame, description: str = "rt_brand_description",
     printed size and label.
     """
     d, p, i = F.col(description), F.col(package_size), F.col(item_size)
-    # 1: best number-rule candidates per text column (one projection)
-    out = df.select("*", pkg_candidates(d).alias("_c_pk_d"), pkg_candidates(p).alias("_c_pk_p"),
-                    item_candidates(i).alias("_c_it_i"), item_candidates(p).alias("_c_it_p"),
-                    item_candidates(d).alias("_c_it_d"))
+    c = F.col
+    # 0: normalised texts, each computed once per row
+    out = df.select("*", pack_text(d).alias("_tp_d"), pack_text(p).alias("_tp_p"),
+                    item_text(i).alias("_ti_i"), item_text(p).alias("_ti_p"), item_text(d).alias("_ti_d"),
+                    container_text(i).alias("_tc_i"), container_text(p).alias("_tc_p"),
+                    container_text(d).alias("_tc_d"))
+    # 1: best number-rule candidate per text (one regex pass each)
+    out = out.select("*", pkg_candidates(c("_tp_d")).alias("_c_pk_d"), pkg_candidates(c("_tp_p")).alias("_c_pk_p"),
+                     item_candidates(c("_ti_i")).alias("_c_it_i"), item_candidates(c("_ti_p")).alias("_c_it_p"),
+                     item_candidates(c("_ti_d")).alias("_c_it_d"),
+                     F.concat(F.lit(" "), c("_ti_i"), F.lit(" ")).alias("_tq_i"),
+                     F.concat(F.lit(" "), c("_ti_p"), F.lit(" ")).alias("_tq_p"),
+                     F.concat(F.lit(" "), c("_ti_d"), F.lit(" ")).alias("_tq_d"))
     # 2: rule values per text column
-    out = out.select("*", pkg_size_from(d, F.col("_c_pk_d")).alias("_pk_d"),
-                     pkg_size_from(p, F.col("_c_pk_p")).alias("_pk_p"),
-                     item_size_from(i, F.col("_c_it_i")).alias("_it_i"),
-                     item_size_from(p, F.col("_c_it_p")).alias("_it_p"),
-                     item_size_from(d, F.col("_c_it_d")).alias("_it_d"),
-                     container_rule(i).alias("_ct_i"), container_rule(p).alias("_ct_p"),
-                     container_rule(d).alias("_ct_d"))
+    out = out.select("*", pkg_size_from(c("_tp_d"), c("_c_pk_d")).alias("_pk_d"),
+                     pkg_size_from(c("_tp_p"), c("_c_pk_p")).alias("_pk_p"),
+                     item_size_from(c("_ti_i"), c("_tq_i"), c("_c_it_i")).alias("_it_i"),
+                     item_size_from(c("_ti_p"), c("_tq_p"), c("_c_it_p")).alias("_it_p"),
+                     item_size_from(c("_ti_d"), c("_tq_d"), c("_c_it_d")).alias("_it_d"),
+                     container_rule(None, c("_tc_i")).alias("_ct_i"), container_rule(None, c("_tc_p")).alias("_ct_p"),
+                     container_rule(None, c("_tc_d")).alias("_ct_d"))
     out = out.withColumn("_pick", item_size_pick(F.col("_it_i"), F.col("_it_p"), F.col("_it_d")))
     picked = F.col("_pick")
     out = out.withColumns({
