@@ -95,3 +95,27 @@ def flatten_struct(df: DataFrame, sep: str = ".") -> DataFrame:
 
     walk("", df.schema, [])
     return df.select(*cols)
+
+
+# Member roles of multi-member exports, chosen by a
+# lower-case substring of the member's file name (first listed wins).
+MEMBER_ROLES = [("barcodes", "barcodes"), ("liqcode", "liqcode"), ("zz_adventpos_raw_itemsize", "itemsize"),
+                ("zz_adventpos_raw_itempack", "itempack"), ("zz_adventpos_raw", "raw"), ("inv", "inv"),
+                ("prc", "prc"), ("stk", "stk"), ("upc", "upc")]
+
+
+def route_members(df: DataFrame, file_col: str = "_file_name") -> DataFrame:
+    """Role of each member file (null for members no adapter reads)."""
+    name = F.lower(F.regexp_extract(F.col(file_col), "([^/]*)$", 1))
+    role = None
+    for token, r in MEMBER_ROLES:
+        role = F.when(name.contains(token), F.lit(r)) if role is None else role.when(name.contains(token), F.lit(r))
+    return df.withColumn("member", role)
+
+
+def filter_incremental(df: DataFrame, high_water: DataFrame, ts: str, key: str = KEY) -> DataFrame:
+    """Rows newer than their retailer's high-water mark (rows of retailers
+    without one are all new).  ``high_water``: (key, hw) -- one row per retailer."""
+    from tillflow.operators.joins import maybe_broadcast
+    j = df.join(maybe_broadcast(high_water), key, "left")
+    return j.where(F.col("hw").isNull() | (F.col(ts) > F.col("hw"))).drop("hw")

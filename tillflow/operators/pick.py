@@ -28,12 +28,13 @@ def first_per_key(df: DataFrame, keys: list[str], order: list, tiebreak_all: boo
     ties.  Aggregation form: partial per map task, then merged per key.
     """
     payload = [c for c in df.columns if c not in keys]
+    ref = lambda c: F.col(f"`{c}`")  # noqa: E731  (names may contain dots)
     order_cols = _cols(order)
     if tiebreak_all:
-        order_cols += [F.col(c) for c in payload if not isinstance(df.schema[c].dataType, MapType)]
+        order_cols += [ref(c) for c in payload if not isinstance(df.schema[c].dataType, MapType)]
     agg = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*[F.col(c) for c in payload]), F.struct(*order_cols)).alias("_row"))
-    return agg.select(*keys, *[F.col("_row")[c].alias(c) for c in payload])
+        F.min_by(F.struct(*[ref(c).alias(c) for c in payload]), F.struct(*order_cols)).alias("_row"))
+    return agg.select(*keys, *[F.col("_row").getField(c).alias(c) for c in payload])
 
 
 def dedup_first_in_file(df: DataFrame, keys: list[str]) -> DataFrame:

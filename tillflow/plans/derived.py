@@ -420,3 +420,65 @@ def liquorpos_members(spark, sf_dir):
                     s(F.col("psize") * 3).alias("QTY_ON_HND"), F.concat(s(F.col("psize") % 12), F.lit(".0")).alias("QTY_CASE"),
                     F.lit("").alias("BARCODE")).distinct()
     return barcodes, liq
+
+
+def lightspeed_pages(spark, sf_dir):
+    """(item pages, category pages) of a Lightspeed account, shop '1'.
+
+    Every item has prices for two use types and quantities for two shops;
+    categories exist for ids 0-7 only (items of 8, 9 have none)."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    item = F.struct(
+        s(k).alias("itemID"), s(k * 3).alias("systemSku"), s(k * 7919).alias("upc"), F.col("p_name").alias("description"),
+        s(F.col("p_size") % 10).alias("categoryID"),
+        F.struct(F.array(F.struct(F.lit("1").alias("useTypeID"), s("p_retailprice").alias("amount")),
+                         F.struct(F.lit("2").alias("useTypeID"), s(F.col("p_retailprice") * 0.9).alias("amount")))
+                 .alias("ItemPrice")).alias("Prices"),
+        F.struct(F.array(F.struct(s(k).alias("itemID"), F.lit("1").alias("shopID"), s(F.col("p_size") * 2).alias("qoh")),
+                         F.struct(s(k).alias("itemID"), F.lit("2").alias("shopID"), s("p_size").alias("qoh")))
+                 .alias("ItemShop")).alias("ItemShops"))
+    items = (p.select((k / 100).cast("long").alias("page"), item.alias("i"))
+             .groupBy("page").agg(F.sort_array(F.collect_list("i")).alias("Item"))
+             .select(F.lit("1").alias("retailer_id"), F.lit("1").alias("shop_id"), "page", "Item"))
+    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 8)
+    cats = (n.select(F.struct(s("n_nationkey").alias("categoryID"), F.col("n_name").alias("name"),
+                              F.concat(F.lit("Spirits/"), F.col("n_name")).alias("fullPathName")).alias("c"))
+            .agg(F.sort_array(F.collect_list("c")).alias("Category"))
+            .select(F.lit("1").alias("retailer_id"), "Category"))
+    return items, cats
+
+
+def square_objects(spark, sf_dir):
+    """Square catalog (items, categories, variations) and inventory counts."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    items = p.select(F.concat(F.lit("I"), s(k)).alias("id"), F.struct(
+        F.col("p_name").alias("name"), F.col("p_type").alias("product_type"),
+        F.concat(F.lit("C"), s(F.col("p_size") % 8)).alias("category_id")).alias("item_data"))
+    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 6)
+    cats = n.select(F.concat(F.lit("C"), s("n_nationkey")).alias("id"),
+                    F.struct(F.col("n_name").alias("name")).alias("category_data"))
+
+    def variation(prefix, where, size_mult):
+        return p.where(where).select(F.concat(F.lit(prefix), s(k)).alias("id"), F.struct(
+            F.concat(F.lit("I"), s(k)).alias("item_id"), s(k * 11).alias("sku"),
+            F.concat(s(F.col("p_size") * size_mult), F.lit(" pk")).alias("name"),
+            F.struct((F.col("p_retailprice") * 100 * size_mult).cast("long").alias("amount")).alias("price_money"))
+            .alias("item_variation_data"))
+    variations = variation("V", F.lit(True), 1).unionByName(variation("W", k % 3 == 0, 2))
+    counts = variations.select(
+        F.col("id").alias("catalog_object_id"),
+        F.when(F.substring("id", 2, 10).cast("long") % 4 == 0, F.lit("2")).otherwise(F.lit("1")).alias("location_id"),
+        F.when(F.substring("id", 2, 10).cast("long") % 5 == 0, F.lit("SOLD_OUT")).otherwise(F.lit("IN_STOCK")).alias("state"),
+        F.substring("id", 2, 10).alias("quantity"))
+    return items, cats, variations, counts
+
+
+def member_files(spark, sf_dir) -> DataFrame:
+    """File names found in multi-member archives, one set per supplier."""
+    su = table(spark, sf_dir, "supplier").select("s_suppkey")
+    names = ["INV.CSV", "prc.csv", "Stk.DBF", "upc.dbf", "barcodes.dbf", "LIQCODE.csv", "readme.txt",
+             "ZZ_AdventPOS_Raw_ItemSize.csv"]
+    return su.select(s("s_suppkey").alias("retailer_id"), F.explode(F.array(*[F.lit(x) for x in names])).alias("f")) \
+        .select("retailer_id", F.concat(F.lit("exports/s"), F.col("retailer_id"), F.lit("/"), F.col("f")).alias("_file_name"))

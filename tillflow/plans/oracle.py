@@ -672,3 +672,45 @@ def liquorpos_sql(digits_only: bool) -> str:
   FROM lq_join {where})"""
     fin, name = finish_ctes("lq_canon", "lq")
     return with_clause(LP, LIQ, body, fin) + f"\nSELECT * FROM {name}"
+
+
+LIGHTSPEED = """ls_items AS (
+  SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS itemID, CAST(p_partkey * 3 AS VARCHAR) AS systemSku,
+    CAST(p_partkey * 7919 AS VARCHAR) AS upc, p_name AS description, CAST(p_size % 10 AS VARCHAR) AS categoryID,
+    CAST(p_retailprice AS VARCHAR) AS amount, CAST(p_size * 2 AS VARCHAR) AS qoh FROM part),
+ls_cat AS (SELECT CAST(n_nationkey AS VARCHAR) AS categoryID, n_name AS name, 'Spirits/' || n_name AS fullPathName
+  FROM nation WHERE n_nationkey < 8),
+ls_rows AS (SELECT * FROM ls_items LEFT JOIN ls_cat USING (categoryID))"""
+
+
+def lightspeed_sql() -> str:
+    body = """ls_canon AS (
+  SELECT '1' AS retailer_id, p_partkey AS _ord, systemSku AS rt_product_id, upc AS rt_upc_code, '' AS rt_brand_name,
+    description AS rt_brand_description, fullPathName AS rt_product_type, name AS rt_product_category,
+    '' AS rt_package_size, '' AS rt_item_size, amount AS price_regular, '0' AS price_sale, qoh AS qty_on_hand,
+    '' AS wholesale_package_size, '' AS rt_wholesale_qty FROM ls_rows)"""
+    fin, name = finish_ctes("ls_canon", "ls")
+    return with_clause(LIGHTSPEED, body, fin) + f"\nSELECT * FROM {name}"
+
+
+SQUARE = """sq_var AS (
+  SELECT 'V' || CAST(p_partkey AS VARCHAR) AS vid, p_partkey, 1 AS m FROM part
+  UNION ALL SELECT 'W' || CAST(p_partkey AS VARCHAR), p_partkey, 2 FROM part WHERE p_partkey % 3 = 0),
+sq_rows AS (
+  SELECT v.vid AS item_variation_object_id, CAST(p.p_partkey * 11 AS VARCHAR) AS sku,
+    CAST(p.p_size * v.m AS VARCHAR) || ' pk' AS vname, CAST(trunc(p.p_retailprice * 100 * v.m) AS BIGINT) AS amount,
+    p.p_name AS iname, p.p_type AS ptype, n.n_name AS cname, CAST(v.p_partkey AS VARCHAR) AS quantity, v.p_partkey
+  FROM sq_var v JOIN part p ON p.p_partkey = v.p_partkey
+  JOIN nation n ON n.n_nationkey < 6 AND 'C' || CAST(n.n_nationkey AS VARCHAR) = 'C' || CAST(p.p_size % 8 AS VARCHAR)
+  WHERE v.p_partkey % 4 <> 0 AND v.p_partkey % 5 <> 0)"""
+
+
+def square_sql() -> str:
+    body = """sq_canon AS (
+  SELECT 'sq' AS retailer_id, item_variation_object_id AS _ord, item_variation_object_id AS rt_product_id,
+    sku AS rt_upc_code, '' AS rt_brand_name, iname AS rt_brand_description, ptype AS rt_product_type,
+    cname AS rt_product_category, vname AS rt_package_size, '' AS rt_item_size,
+    CAST(amount / 100.0 AS VARCHAR) AS price_regular, '0' AS price_sale, quantity AS qty_on_hand,
+    '' AS wholesale_package_size, '' AS rt_wholesale_qty FROM sq_rows)"""
+    fin, name = finish_ctes("sq_canon", "sq")
+    return with_clause(SQUARE, body, fin) + f"\nSELECT * FROM {name}"

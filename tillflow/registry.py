@@ -826,3 +826,117 @@ def q_stream_intake(spark, sf_dir):
     res = spark.read.parquet(out).withColumn("retailer_id", F.regexp_replace(
         F.col("retailer_id").cast("string"), "-[0-9]+$", ""))
     return res.select(*OUTPUT_COLUMNS)
+
+
+# --------------------------------------------------- API pages (JSON) / misc
+
+def _landed_lightspeed(spark, sf_dir):
+    items, cats = D.lightspeed_pages(spark, sf_dir)
+    ip = L.land_json(spark, items, "lightspeed_items")
+    cp = L.land_json(spark, cats, "lightspeed_categories")
+    return (SS.scan_json(spark, ip, SS.LIGHTSPEED_ITEM_PAGE_SCHEMA),
+            SS.scan_json(spark, cp, SS.LIGHTSPEED_CATEGORY_PAGE_SCHEMA))
+
+
+@register("scan_json_lightspeed", O.lightspeed_sql())
+def q_scan_json_lightspeed(spark, sf_dir):
+    items, cats = _landed_lightspeed(spark, sf_dir)
+    return feeds.feed_lightspeed(SS.lightspeed_items(items, cats))
+
+
+@register("join_item_price_qty", O.with_clause(O.LIGHTSPEED) + "\nSELECT itemID, amount, qoh FROM ls_items")
+def q_join_item_price_qty(spark, sf_dir):
+    items, cats = _landed_lightspeed(spark, sf_dir)
+    return SS.lightspeed_items(items, cats).select("itemID", "amount", "qoh")
+
+
+@register("join_category_left", O.with_clause(O.LIGHTSPEED) + "\nSELECT itemID, name, fullPathName FROM ls_rows")
+def q_join_category_left(spark, sf_dir):
+    items, cats = _landed_lightspeed(spark, sf_dir)
+    return SS.lightspeed_items(items, cats).select("itemID", "name", "fullPathName")
+
+
+@register("filter_shop", O.with_clause(O.LIGHTSPEED) + "\nSELECT itemID, amount FROM ls_items")
+def q_filter_shop(spark, sf_dir):
+    items, _ = _landed_lightspeed(spark, sf_dir)
+    x = items.select("shop_id", F.explode("Item").alias("i")).select(
+        "shop_id", F.col("i.itemID").alias("itemID"), F.explode("i.Prices.ItemPrice").alias("p"))
+    return x.where(F.col("p.useTypeID") == F.col("shop_id")).select("itemID", F.col("p.amount").alias("amount"))
+
+
+def _square(spark, sf_dir):
+    items, cats, var, counts = D.square_objects(spark, sf_dir)
+    return SS.square_catalog(items, cats, var, counts, location="1")
+
+
+@register("join_catalog_chain", O.with_clause(O.SQUARE) + """
+SELECT item_variation_object_id, iname AS item_name, cname AS category_name, quantity FROM sq_rows""")
+def q_join_catalog_chain(spark, sf_dir):
+    x = _square(spark, sf_dir)
+    return x.select("item_variation_object_id", F.col("item_data.name").alias("item_name"),
+                    F.col("category_data.name").alias("category_name"), "quantity")
+
+
+@register("filter_in_stock", O.with_clause(O.SQUARE) + "\nSELECT item_variation_object_id FROM sq_rows")
+def q_filter_in_stock(spark, sf_dir):
+    return _square(spark, sf_dir).select("item_variation_object_id")
+
+
+@register("flatten_struct", O.with_clause(O.SQUARE) + """
+SELECT item_variation_object_id, sku AS "item_variation_data.sku", iname AS "item_data.name",
+  amount AS "item_variation_data.price_money.amount" FROM sq_rows""")
+def q_flatten_struct(spark, sf_dir):
+    flat = C.flatten_struct(_square(spark, sf_dir))
+    return flat.select("item_variation_object_id", "`item_variation_data.sku`", "`item_data.name`",
+                       "`item_variation_data.price_money.amount`")
+
+
+@register("scan_json_square", O.square_sql())
+def q_scan_json_square(spark, sf_dir):
+    items, cats, var, counts = D.square_objects(spark, sf_dir)
+    paths = [L.land_json(spark, d, f"square_{n}") for n, d in
+             (("items", items), ("cats", cats), ("vars", var), ("counts", counts))]
+    back = [spark.read.schema(d.schema).json(pth) for d, pth in zip((items, cats, var, counts), paths)]
+    flat = C.flatten_struct(SS.square_catalog(*back, location="1"))
+    flat = flat.withColumns({"retailer_id": F.lit("sq"), "_ord": F.col("item_variation_object_id")})
+    return feeds.feed_square(flat)
+
+
+@register("member_prune", O.with_clause(O.F2) + "\nSELECT retailer_id, sku, name, sname FROM f2_inv")
+def q_member_prune(spark, sf_dir):
+    return D.f2_inv(spark, sf_dir).select("retailer_id", "sku", "name", "sname")
+
+
+@register("route_members", """
+WITH f AS (SELECT CAST(s_suppkey AS VARCHAR) AS retailer_id, x FROM supplier,
+  (SELECT unnest(['INV.CSV', 'prc.csv', 'Stk.DBF', 'upc.dbf', 'barcodes.dbf', 'LIQCODE.csv', 'readme.txt',
+                  'ZZ_AdventPOS_Raw_ItemSize.csv']) AS x))
+SELECT retailer_id, 'exports/s' || retailer_id || '/' || x AS _file_name,
+  CASE WHEN contains(lower(x), 'barcodes') THEN 'barcodes' WHEN contains(lower(x), 'liqcode') THEN 'liqcode'
+       WHEN contains(lower(x), 'zz_adventpos_raw_itemsize') THEN 'itemsize'
+       WHEN contains(lower(x), 'zz_adventpos_raw_itempack') THEN 'itempack'
+       WHEN contains(lower(x), 'zz_adventpos_raw') THEN 'raw' WHEN contains(lower(x), 'inv') THEN 'inv'
+       WHEN contains(lower(x), 'prc') THEN 'prc' WHEN contains(lower(x), 'stk') THEN 'stk'
+       WHEN contains(lower(x), 'upc') THEN 'upc' END AS member
+FROM f""")
+def q_route_members(spark, sf_dir):
+    return C.route_members(D.member_files(spark, sf_dir))
+
+
+@register("agg_pages", O.with_clause(O.MPOWER_API_FLAT) + """
+SELECT retailer_id, count(DISTINCT CAST(trunc(o_orderkey / 100) AS BIGINT)) AS pages,
+  count(DISTINCT o_orderkey) AS items FROM mpa_flat GROUP BY retailer_id""")
+def q_agg_pages(spark, sf_dir):
+    pages = SS.scan_json(spark, L.land_json(spark, D.mpower_pages(spark, sf_dir), "mpower_pages_agg"),
+                         SS.MPOWER_PAGE_SCHEMA)
+    return pages.groupBy("retailer_id").agg(F.countDistinct("page").alias("pages"),
+                                            F.sum(F.size("Results")).alias("items"))
+
+
+@register("filter_incremental", O.with_clause(O.F2, """hw AS (
+  SELECT retailer_id, max(tstamp) AS hw FROM f2_stk GROUP BY retailer_id)""") + """
+SELECT p.retailer_id, p.sku, p.tstamp FROM f2_prc p LEFT JOIN hw USING (retailer_id)
+WHERE hw.hw IS NULL OR p.tstamp > hw.hw""")
+def q_filter_incremental(spark, sf_dir):
+    hw = D.f2_stk(spark, sf_dir).groupBy("retailer_id").agg(F.max("tstamp").alias("hw"))
+    return C.filter_incremental(D.f2_prc(spark, sf_dir), hw, "tstamp").select("retailer_id", "sku", "tstamp")

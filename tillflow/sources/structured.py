@@ -68,3 +68,15 @@ def lightspeed_items(item_pages: DataFrame, category_pages: DataFrame) -> DataFr
         "retailer_id", "c.categoryID", "c.name", "c.fullPathName")
     out = base.join(prices, ["retailer_id", "itemID"]).join(qty, ["retailer_id", "itemID"])
     return out.join(cats, ["retailer_id", "categoryID"], "left").withColumn(ORD, F.col("itemID"))
+
+
+def square_catalog(items: DataFrame, categories: DataFrame, variations: DataFrame, counts: DataFrame,
+                   location: str) -> DataFrame:
+    """Items -> category -> variations -> in-stock counts at one location
+    (inner joins on differently named keys), nested structs kept."""
+    in_stock = counts.where((F.col("location_id") == location) & (F.col("state") == "IN_STOCK"))
+    cats = categories.withColumnRenamed("id", "category_object_id")
+    var = variations.withColumnRenamed("id", "item_variation_object_id")
+    x = items.join(cats, items["item_data.category_id"] == cats["category_object_id"])
+    x = x.join(var, x["id"] == var["item_variation_data.item_id"])
+    return x.join(in_stock, x["item_variation_object_id"] == in_stock["catalog_object_id"])
