@@ -55,3 +55,42 @@ def land_json(spark: SparkSession, df: DataFrame, name: str) -> str:
 def retailer_from_path(df: DataFrame) -> DataFrame:
     """Partition directory value -> text retailer id."""
     return df.withColumn(KEY, F.col(KEY).cast("string"))
+
+
+def land_dbf(spark: SparkSession, df: DataFrame, name: str, member: str) -> str:
+    """Write one dBase table per retailer (``<root>/<retailer>/<member>.dbf``)
+    from executors (each task writes its retailers' files).  Returns the root."""
+    import os
+
+    from tillflow.session import local_path
+    from tillflow.sources.dbf import DbfWriter
+
+    root = local_path(shared_dir(spark, "landing", name))
+    cols = [(c, t) for c, t in df.dtypes if c not in (KEY, ORD, "_line")]
+    order = [ORD] if ORD in df.columns else []
+
+    def write(it):
+        # rows arrive sorted by retailer; one streaming writer per retailer
+        import pandas as pd
+        cur, w, done = None, None, []
+        for pdf in it:
+            for rid, g in pdf.groupby(KEY, sort=False):
+                if rid != cur:
+                    if w is not None:
+                        done.append((str(cur), w.close()))
+                    d = os.path.join(root, str(rid))
+                    os.makedirs(d, exist_ok=True)
+                    cur, w = rid, DbfWriter(os.path.join(d, f"{member}.dbf"), cols)
+                w.append(tuple(None if pd.isna(v) else (v.to_pydatetime() if hasattr(v, "to_pydatetime") else v)
+                               for v in r) for r in g[[c for c, _ in cols]].itertuples(index=False, name=None))
+        if w is not None:
+            done.append((str(cur), w.close()))
+        yield pd.DataFrame({"retailer_id": [r for r, _ in done], "n": [n for _, n in done]})
+
+    sel = df.select(KEY, *[c for c, _ in cols], *order)
+    if order:
+        sel = sel.repartition(KEY).sortWithinPartitions(KEY, *order).drop(*order)
+    else:
+        sel = sel.repartition(KEY).sortWithinPartitions(KEY)
+    sel.mapInPandas(write, "retailer_id string, n long").count()
+    return root

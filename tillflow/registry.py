@@ -940,3 +940,25 @@ WHERE hw.hw IS NULL OR p.tstamp > hw.hw""")
 def q_filter_incremental(spark, sf_dir):
     hw = D.f2_stk(spark, sf_dir).groupBy("retailer_id").agg(F.max("tstamp").alias("hw"))
     return C.filter_incremental(D.f2_prc(spark, sf_dir), hw, "tstamp").select("retailer_id", "sku", "tstamp")
+
+
+# ---------------------------------------------------------- dBase tables
+
+def _landed_spirit_dbf(spark, sf_dir):
+    from tillflow.sources.dbf import scan_dbf
+    inv, prc, stk, upc = _f2(spark, sf_dir)
+    members = {}
+    root = None
+    for name, d in (("inv", inv), ("prc", prc), ("stk", stk), ("upc", upc)):
+        root = L.land_dbf(spark, d, "spirit_dbf_" + name, name)
+        members[name] = scan_dbf(spark, root + "/*/" + name + ".dbf").withColumn(
+            "retailer_id", F.regexp_extract(F.col("_file_path"), "/([^/]+)/[^/]+$", 1))
+    return members
+
+
+@register("scan_dbf", O.spirit_sql("dbf"))
+def q_scan_dbf(spark, sf_dir):
+    m = _landed_spirit_dbf(spark, sf_dir)
+    strip = lambda d: d.drop("_file_path", "_file_name", "_record")
+    prc = strip(m["prc"]).withColumn("level", F.col("level"))
+    return feeds.feed_spirit2000_dbf(strip(m["inv"]), prc, strip(m["stk"]), strip(m["upc"]))
