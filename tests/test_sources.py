@@ -45,3 +45,41 @@ def test_xml_rows_missing_tag(spark):
            "<webtable><sku>2</sku></webtable><other><sku>3</sku></other></NewDataSet>")
     rows = SS.scan_xml_rows(spark, d).orderBy("sku").select("sku", "unitprice").collect()
     assert [tuple(r) for r in rows] == [("1", "9.99"), ("2", None)]
+
+
+def test_dbf_reader_ranges_deleted_and_bad_values(spark, monkeypatch):
+    import datetime as dt
+
+    from tillflow.sources import dbf
+
+    d = tempfile.mkdtemp(prefix="tf-dbf-")
+    rows = [("A%d" % i, float(i), dt.datetime(2020, 1, 1 + i % 28)) for i in range(50)]
+    dbf.write_dbf(os.path.join(d, "t.dbf"), [("sku", "string"), ("qty", "double"), ("ts", "timestamp")], rows)
+    # mark record 3 deleted and break the number of record 4
+    n_rec, h_len, r_len, fields = dbf.read_header(os.path.join(d, "t.dbf"))
+    with open(os.path.join(d, "t.dbf"), "r+b") as fh:
+        fh.seek(h_len + 3 * r_len)
+        fh.write(b"*")
+        fh.seek(h_len + 4 * r_len + 1 + 254)
+        fh.write(b"x".rjust(24))
+    monkeypatch.setattr(dbf, "RECORDS_PER_PARTITION", 7)      # several ranges per file
+    df = dbf.scan_dbf(spark, os.path.join(d, "*.dbf"))
+    got = {r.sku: r.qty for r in df.collect()}
+    assert len(got) == 49 and "A3" not in got and got["A4"] is None and got["A10"] == 10.0
+
+
+def test_archives_with_same_member_names_stay_apart(spark):
+    import zipfile
+
+    from tillflow.sources import archive as A
+
+    d = tempfile.mkdtemp(prefix="tf-zip-")
+    for name, val in (("r1", "1"), ("r2", "2")):
+        with zipfile.ZipFile(os.path.join(d, f"{name}.zip"), "w") as z:
+            z.writestr("BARCODES.csv", f"CODE_NUM,BARCODE\n{val},{val}{val}\n")
+            z.writestr("notes.txt", "ignored")
+    out = tempfile.mkdtemp(prefix="tf-exp-")
+    manifest = A.expand_archives(spark, os.path.join(d, "*.zip"), out).collect()
+    assert sorted((m.archive, m.role) for m in manifest) == [("r1", "barcodes"), ("r2", "barcodes")]
+    bar = SD.scan_csv_header(spark, A.role_path(out, "barcodes"))
+    assert sorted((r.archive, r.CODE_NUM) for r in bar.collect()) == [("r1", "1"), ("r2", "2")]

@@ -94,3 +94,48 @@ def land_dbf(spark: SparkSession, df: DataFrame, name: str, member: str) -> str:
         sel = sel.repartition(KEY).sortWithinPartitions(KEY)
     sel.mapInPandas(write, "retailer_id string, n long").count()
     return root
+
+
+def land_zip_members(spark: SparkSession, members: dict, name: str) -> str:
+    """One zip archive per retailer holding one CSV per member
+    (``members``: member file name -> frame with retailer_id, _ord, columns).
+
+    Each member is first landed as CSV (one file per retailer, in file
+    order); executors then zip each retailer's member files, streaming.
+    Returns the folder holding the archives.
+    """
+    import os
+    import shutil
+    import zipfile
+
+    from tillflow.session import local_path
+
+    staged = {m: local_path(land_csv(spark, d, f"{name}_{m}")) for m, d in members.items()}
+    root = local_path(shared_dir(spark, "landing", name))
+    os.makedirs(root, exist_ok=True)
+    retailers = None
+    for d in members.values():
+        r = d.select(KEY).distinct()
+        retailers = r if retailers is None else retailers.unionByName(r).distinct()
+
+    def zip_one(it):
+        import glob
+
+        import pandas as pd
+        done = []
+        for pdf in it:
+            for rid in pdf[KEY]:
+                with zipfile.ZipFile(os.path.join(root, f"{rid}.zip"), "w", zipfile.ZIP_DEFLATED) as z:
+                    for member, folder in staged.items():
+                        parts = sorted(glob.glob(os.path.join(folder, f"{KEY}={rid}", "part-*")))
+                        with z.open(member, "w") as out:
+                            for i, part in enumerate(parts):
+                                with open(part, "rb") as fin:
+                                    if i:
+                                        fin.readline()          # header repeated in later parts
+                                    shutil.copyfileobj(fin, out, 1 << 20)
+                done.append(str(rid))
+        yield pd.DataFrame({KEY: done})
+
+    retailers.mapInPandas(zip_one, f"{KEY} string").count()
+    return root

@@ -962,3 +962,27 @@ def q_scan_dbf(spark, sf_dir):
     strip = lambda d: d.drop("_file_path", "_file_name", "_record")
     prc = strip(m["prc"]).withColumn("level", F.col("level"))
     return feeds.feed_spirit2000_dbf(strip(m["inv"]), prc, strip(m["stk"]), strip(m["upc"]))
+
+
+# ------------------------------------------------------------- archives
+
+_LIQ_BAR = ["code_num", "barcode"]
+_LIQ_CODE = ["code_num", "brand", "descrip", "typenam", "size", "price", "qty_on_hnd", "qty_case", "barcode"]
+
+
+def _expanded_liquorpos(spark, sf_dir):
+    from tillflow.sources import archive as A
+    b, lq = D.liquorpos_members(spark, sf_dir)
+    zips = L.land_zip_members(spark, {"BARCODES.csv": b, "LIQCODE.csv": lq}, "liquorpos_zip")
+    out = shared_dir(spark, "expanded", "liquorpos")
+    A.expand_archives(spark, zips + "/*.zip", out).count()
+    bar = A.archive_to_retailer(SD.scan_csv_header(spark, A.role_path(out, "barcodes"),
+                                                   names=[c.upper() for c in _LIQ_BAR]))
+    liq = A.archive_to_retailer(SD.scan_csv_header(spark, A.role_path(out, "liqcode"),
+                                                   names=[c.upper() for c in _LIQ_CODE]))
+    return bar.drop("archive", "_file_name"), liq.drop("archive", "_file_name")
+
+
+@register("expand_archive", O.liquorpos_sql(False))
+def q_expand_archive(spark, sf_dir):
+    return feeds.feed_liquorpos_csv(*_expanded_liquorpos(spark, sf_dir))
