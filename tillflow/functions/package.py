@@ -28,6 +28,8 @@ whole texts are processed, nothing is truncated.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -404,6 +406,43 @@ _TEMP = ["_tp_d", "_tp_p", "_ti_i", "_ti_p", "_ti_d", "_tc_i", "_tc_p", "_tc_d",
          "_ct_i", "_ct_p", "_ct_d", "_item", "_ct", "_sp"]
 
 
+# Column expressions are unresolved and reusable across DataFrames; building
+# them is thousands of Python->JVM calls, so each stage is built once.
+
+@lru_cache(maxsize=None)
+def _stage0_exprs(description: str, package_size: str, item_size: str) -> tuple:
+    """Normalised texts, each computed once per row."""
+    d, p, i = F.col(description), F.col(package_size), F.col(item_size)
+    return (pack_text(d).alias("_tp_d"), pack_text(p).alias("_tp_p"),
+            item_text(i).alias("_ti_i"), item_text(p).alias("_ti_p"), item_text(d).alias("_ti_d"),
+            container_text(i).alias("_tc_i"), container_text(p).alias("_tc_p"), container_text(d).alias("_tc_d"))
+
+
+@lru_cache(maxsize=None)
+def _stage1_exprs() -> tuple:
+    """Best number-rule candidate per text (one regex pass each)."""
+    c = F.col
+    return (pkg_candidates(c("_tp_d")).alias("_c_pk_d"), pkg_candidates(c("_tp_p")).alias("_c_pk_p"),
+            item_candidates(c("_ti_i")).alias("_c_it_i"), item_candidates(c("_ti_p")).alias("_c_it_p"),
+            item_candidates(c("_ti_d")).alias("_c_it_d"),
+            F.concat(F.lit(" "), c("_ti_i"), F.lit(" ")).alias("_tq_i"),
+            F.concat(F.lit(" "), c("_ti_p"), F.lit(" ")).alias("_tq_p"),
+            F.concat(F.lit(" "), c("_ti_d"), F.lit(" ")).alias("_tq_d"))
+
+
+@lru_cache(maxsize=None)
+def _stage2_exprs() -> tuple:
+    """Rule values per text column."""
+    c = F.col
+    return (pkg_size_from(c("_tp_d"), c("_c_pk_d")).alias("_pk_d"),
+            pkg_size_from(c("_tp_p"), c("_c_pk_p")).alias("_pk_p"),
+            item_size_from(c("_ti_i"), c("_tq_i"), c("_c_it_i")).alias("_it_i"),
+            item_size_from(c("_ti_p"), c("_tq_p"), c("_c_it_p")).alias("_it_p"),
+            item_size_from(c("_ti_d"), c("_tq_d"), c("_c_it_d")).alias("_it_d"),
+            container_rule(None, c("_tc_i")).alias("_ct_i"), container_rule(None, c("_tc_p")).alias("_ct_p"),
+            container_rule(None, c("_tc_d")).alias("_ct_d"))
+
+
 def parse_package(df: DataFrame, description: str = "rt_brand_description",
                   package_size: str = "rt_package_size",
                   item_size: str = "rt_item_size", keep_steps: bool = False) -> DataFrame:
@@ -413,28 +452,9 @@ def parse_package(df: DataFrame, description: str = "rt_brand_description",
     package size -> description), standardise, special units, container fill,
     printed size and label.
     """
-    d, p, i = F.col(description), F.col(package_size), F.col(item_size)
-    c = F.col
-    # 0: normalised texts, each computed once per row
-    out = df.select("*", pack_text(d).alias("_tp_d"), pack_text(p).alias("_tp_p"),
-                    item_text(i).alias("_ti_i"), item_text(p).alias("_ti_p"), item_text(d).alias("_ti_d"),
-                    container_text(i).alias("_tc_i"), container_text(p).alias("_tc_p"),
-                    container_text(d).alias("_tc_d"))
-    # 1: best number-rule candidate per text (one regex pass each)
-    out = out.select("*", pkg_candidates(c("_tp_d")).alias("_c_pk_d"), pkg_candidates(c("_tp_p")).alias("_c_pk_p"),
-                     item_candidates(c("_ti_i")).alias("_c_it_i"), item_candidates(c("_ti_p")).alias("_c_it_p"),
-                     item_candidates(c("_ti_d")).alias("_c_it_d"),
-                     F.concat(F.lit(" "), c("_ti_i"), F.lit(" ")).alias("_tq_i"),
-                     F.concat(F.lit(" "), c("_ti_p"), F.lit(" ")).alias("_tq_p"),
-                     F.concat(F.lit(" "), c("_ti_d"), F.lit(" ")).alias("_tq_d"))
-    # 2: rule values per text column
-    out = out.select("*", pkg_size_from(c("_tp_d"), c("_c_pk_d")).alias("_pk_d"),
-                     pkg_size_from(c("_tp_p"), c("_c_pk_p")).alias("_pk_p"),
-                     item_size_from(c("_ti_i"), c("_tq_i"), c("_c_it_i")).alias("_it_i"),
-                     item_size_from(c("_ti_p"), c("_tq_p"), c("_c_it_p")).alias("_it_p"),
-                     item_size_from(c("_ti_d"), c("_tq_d"), c("_c_it_d")).alias("_it_d"),
-                     container_rule(None, c("_tc_i")).alias("_ct_i"), container_rule(None, c("_tc_p")).alias("_ct_p"),
-                     container_rule(None, c("_tc_d")).alias("_ct_d"))
+    out = df.select("*", *_stage0_exprs(description, package_size, item_size))
+    out = out.select("*", *_stage1_exprs())
+    out = out.select("*", *_stage2_exprs())
     out = out.withColumn("_pick", item_size_pick(F.col("_it_i"), F.col("_it_p"), F.col("_it_d")))
     picked = F.col("_pick")
     out = out.withColumns({
