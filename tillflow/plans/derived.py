@@ -15,13 +15,13 @@ from tillflow.operators.columns import ORD
 from tillflow.operators.layout import spread_small_input
 
 
-# tables large enough that their single-file scan must be spread over cores
-_SPREAD = {"lineitem", "orders"}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table.  ``spread`` for frames that go straight into CPU-heavy
+    narrow work (the parse): a single-file table is then read by one task,
+    so it is spread over the cores first.  Frames that are shuffled anyway
+    (dedup, picks, joins) get their parallelism from that shuffle."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_input(df) if name in _SPREAD else df
+    return spread_small_input(df) if spread else df
 
 
 def line_ord() -> F.Column:
@@ -99,8 +99,8 @@ def _shape_expr(shape: str, q, sz, n):
 def f8_lines(spark, sf_dir) -> DataFrame:
     """Line-level product feed: one row per lineitem, many retailers
     (l_suppkey), pack text built from the line's own numbers."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey",
-                                                 "l_quantity", "l_extendedprice", "l_tax")
+    li = table(spark, sf_dir, "lineitem", spread=True).select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_tax")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     j = li.join(p, li.l_partkey == p.p_partkey, "inner")
     q = F.col("l_quantity").cast("long").cast("string")
@@ -214,7 +214,7 @@ def f5_sale(spark, sf_dir) -> DataFrame:
 
 
 def f6_barcodes(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=True)
     ok, pk = F.col("l_orderkey"), F.col("l_partkey")
     return li.select(
         s("l_suppkey").alias("retailer_id"),
