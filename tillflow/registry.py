@@ -986,3 +986,23 @@ def _expanded_liquorpos(spark, sf_dir):
 @register("expand_archive", O.liquorpos_sql(False))
 def q_expand_archive(spark, sf_dir):
     return feeds.feed_liquorpos_csv(*_expanded_liquorpos(spark, sf_dir))
+
+
+# ------------------------------------------- API scalar steps (MPower pages)
+
+def _mpower_rows(spark, sf_dir):
+    return feeds.mpower_api_rows(_landed_mpower_pages(spark, sf_dir))
+
+
+def _mpa_key(key: str, sql_col: str, spark_col):
+    register(key, O.with_clause(O.MPOWER_API_FLAT) + f"\nSELECT retailer_id, product_id, {sql_col} AS value FROM mpa")(
+        lambda spark, sf: _mpower_rows(spark, sf).select("retailer_id", "product_id", spark_col().alias("value")))
+
+
+_mpa_key("coalesce_upc", "upc_code", lambda: F.col("upc_code"))
+_mpa_key("retail_coalesce", "TRY_CAST(price_regular AS DOUBLE)", lambda: F.col("price_regular").cast("double"))
+_mpa_key("qty_units", "TRY_CAST(qty_on_hand AS DOUBLE)", lambda: F.col("qty_on_hand").cast("double"))
+_mpa_key("size_label", "package_size", lambda: F.col("package_size"))
+
+register("cols_canonical", O.with_clause(O.F1, O.mpower_ctes("f1", "mp")) + "\nSELECT * FROM mp")(
+    lambda spark, sf: C.cols_canonical(feeds.feed_mpower(D.f1_base(spark, sf))))
