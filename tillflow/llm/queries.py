@@ -6,10 +6,11 @@ and derives the result columns from what the operator returns.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash
+from . import cas_archive, hash_tree, minhash, mixing, piece_merge
 from .common import table
 
 QUERIES: dict = {}
@@ -56,3 +57,45 @@ JOIN (SELECT node, min(r) AS component_id FROM reach GROUP BY node) m ON m.node
 @query("op3_minhash", OP3_SQL)
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP2_SHARDS = hash_tree.Tree.regular(5, 2, 4)
+
+
+@query("op2_hash_tree")
+def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = hash_tree.shards_of(table(spark, sf_dir, "documents"), OP2_SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query("op8_block_mix")
+def op8_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.usage(table(spark, sf_dir, "documents"))
+
+
+@query("op9_piece_merge")
+def op9_piece_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = piece_merge.decode(piece_merge.encode(docs, model).drop("text"), model)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS b, sha256(h) AS s FROM p),
+f AS (SELECT s, min(page_id) AS first_id FROM d WHERE b >= 100 GROUP BY s)
+SELECT d.page_id, d.b AS payload_bytes, d.s AS payload_digest,
+  CASE WHEN f.first_id IS NULL OR f.first_id = d.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN f.first_id <> d.page_id THEN f.first_id END AS refers_to
+FROM d LEFT JOIN f ON f.s = d.s
+"""
+
+
+@query("op10_cas_archive", OP10_SQL)
+def op10_cas_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = cas_archive.store(cas_archive.records(table(spark, sf_dir, "pages")))
+    found = cas_archive.read(cas_archive.restore(spark, archive))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
