@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cas_archive, hash_tree, minhash, mixing, piece_merge
-from .common import table
+from . import cas_archive, compression, hash_tree, minhash, mixing, ordinal, piece_merge
+from .common import fold, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -54,6 +54,17 @@ JOIN (SELECT node, min(r) AS component_id FROM reach GROUP BY node) m ON m.node
 """
 
 
+@query("op1_ordinal")
+def op1_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ordinal.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+    return found.withColumn("held_out", fold("doc_id", ordinal.HELD_OUT[0]) == ordinal.HELD_OUT[1])
+
+
+@query("op4_compression")
+def op4_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.judged(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 @query("op3_minhash", OP3_SQL)
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
