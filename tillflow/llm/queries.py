@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cas_archive, compression, hash_tree, minhash, mixing, ordinal, piece_merge
+from . import cas_archive, compression, hash_tree, minhash, mixing, ordinal, piece_merge, toxicity
 from .common import fold, table
 
 QUERIES: dict = {}
@@ -79,6 +79,13 @@ def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@query("op7_counterfactual")
+def op7_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+    return found.select("doc_id", (fold("doc_id", toxicity.HELD_OUT[0]) == toxicity.HELD_OUT[1]).alias("held_out"),
+                        "score", "predicted")
+
+
 @query("op8_block_mix")
 def op8_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.usage(table(spark, sf_dir, "documents"))
