@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cas_archive, compression, hash_tree, minhash, mixing, ordinal, piece_merge, toxicity
+from . import (cas_archive, compression, hash_tree, lattice_lm, minhash, mixing, ordinal, piece_merge,
+               threshold_topk, toxicity)
 from .common import fold, table
 
 QUERIES: dict = {}
@@ -79,6 +80,28 @@ def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+OP5_SQL = """
+WITH e AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op5_threshold_topk", OP5_SQL)
+def op5_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op6_lattice_lm")
+def op6_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.scores(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op7_counterfactual")
 def op7_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
