@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import hashes, mix64, texts_of, word_hasher
 
 #: (texts of fewer bytes, least ratio, most ratio); the last band has no end.
-BANDS = ((800, 0.30, 0.95), (1600, 0.28, 0.85), (3200, 0.25, 0.80), (12800, 0.22, 0.75), (None, 0.18, 0.70))
-CHUNK, CHUNK_LOW, CHUNK_HIGH, CHUNK_SHARE = 1024, 0.25, 0.90, 0.5
+BANDS = ((800, 0.30, 0.88), (1600, 0.28, 0.80), (3200, 0.25, 0.72), (12800, 0.22, 0.68), (None, 0.18, 0.64))
+CHUNK, CHUNK_LOW, CHUNK_HIGH, CHUNK_SHARE = 1024, 0.25, 0.82, 0.5
 LEVEL = 3
 MIN_WORDS, MAX_REPEATED = 50, 50
 SPACES, SYMBOLS = b" \t\n\v\f\r", b"#*$%&|<>"
