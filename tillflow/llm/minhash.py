@@ -9,7 +9,7 @@ Two documents are linked when ``100 * |A & B| >= 75 * |A | B|``.
 Steps, and why none of them meets a whole group in one task:
 
 1. one pass over the texts gives set size, a 128-bit digest of the set, and
-   ``bands * rows`` minima under independent multiply-add hashes;
+   512 minima under independent multiply-add hashes, the first 128 of them banded;
 2. documents with equal sets collapse to the smallest doc_id of their digest
    (a partially aggregated minimum, so thousands of copies cost one row a task);
 3. banding: in each bucket every member is paired with the bucket's smallest
@@ -22,7 +22,9 @@ Steps, and why none of them meets a whole group in one task:
    signature are confirmed.  No bucket and no partner is capped or skipped.
 
 With 32 bands of 4 minima a pair at the threshold shares no bucket with
-probability 5e-6, and the signature bound is 5 standard deviations below it.
+probability 5e-6.  Signatures hold 512 minima (8 bits each); the bound on their
+agreement lies 4 standard deviations below the threshold.  Texts are always
+dealt by a shuffle, at every size: a list of wanted doc_ids has no size bound.
 
 Defined cases: null or empty text: n_shingles 0, own component.  Null doc_id:
 linked to nothing, component_id null, kept true.  A row that repeats a doc_id
@@ -47,7 +49,7 @@ from .components import components
 WORDS = 5
 BANDS, ROWS = 32, 4
 SIMILAR = 75            # per cent of the union
-AGREE = 0.55            # least share of equal minima (5 sd below 0.75 at 128)
+MINIMA, AGREE = 512, 0.67   # of a signature; least share that agree (4.2 sd below 0.75)
 BLOCK = 512             # members of a bucket that are compared at once
 SPREAD = 1000           # members of one partner under one key
 
@@ -74,26 +76,32 @@ class Shingler:
 
 
 class Minima:
-    """``k`` minima of a set under ``x -> (a x + b mod 2^64) >> 32``."""
+    """``k`` minima of a set under ``x -> a x + b mod 2^32`` (odd a), x mixed."""
 
     def __init__(self, k: int, seed: int = 29):
         rng = np.random.default_rng(seed)
-        self.a = (rng.integers(0, 2**63, k, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-        self.b = rng.integers(0, 2**64, k, dtype=np.uint64, endpoint=False)
+        self.a = rng.integers(0, 2**31, k, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.b = rng.integers(0, 2**32, k, dtype=np.uint32)
 
     def __call__(self, members: np.ndarray, step: int = 2048) -> np.ndarray:
-        low = np.full(len(self.a), 2**64 - 1, np.uint64)
-        for i in range(0, len(members), step):
-            np.minimum(low, (members[i:i + step, None] * self.a + self.b).min(0), out=low)
-        return (low >> np.uint64(32)).astype(np.uint32)
+        x = (members >> np.uint64(32)).astype(np.uint32)
+        low = np.full(len(self.a), 2**32 - 1, np.uint32)
+        for i in range(0, len(x), step):
+            image = x[i:i + step, None] * self.a
+            image += self.b
+            np.minimum(low, image.min(0), out=low)
+        return low
 
 
-def signatures(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def signatures(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS,
+               k: int = MINIMA) -> DataFrame:
     """``doc_id, n_shingles, digest, keys, sig``: digest and the rest are null
-    for empty sets; ``keys`` has one long a band, ``sig`` 16 bits a minimum."""
+    for empty sets; ``keys`` has one long a band, ``sig`` 8 bits a minimum."""
+    if k < bands * rows:
+        raise ValueError("fewer minima than the bands need")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, minima = Shingler(words), Minima(bands * rows)
+        shingler, minima = Shingler(words), Minima(k)
         factors = (np.random.default_rng(3).integers(0, 2**63, rows, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
         salt = np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for batch in batches:
@@ -108,8 +116,9 @@ def signatures(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: in
                     continue
                 low = minima(members)
                 digest.append(xxhash.xxh128_digest(members.tobytes()))
-                keys.append(mix64((low.reshape(bands, rows) * factors).sum(1) + salt).view(np.int64))
-                sig.append(low.astype(np.uint16).tobytes())
+                banded = low[:bands * rows].reshape(bands, rows).astype(np.uint64)
+                keys.append(mix64((mix64(banded) * factors).sum(1) + salt).view(np.int64))
+                sig.append(((low ^ (low >> np.uint32(8))) & np.uint32(255)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
                  pa.array(keys, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
@@ -125,7 +134,7 @@ def _agreeing(pairs: DataFrame, sigs: DataFrame, agree: float) -> DataFrame:
     def task(batches):
         for batch in batches:
             if batch.num_rows:
-                left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
+                left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
                                for c in ("sig_a", "sig_b"))
                 yield batch.select(["a", "b"]).filter(pa.array((left == right).mean(1) >= agree))
 
@@ -175,7 +184,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, similar: int = SIMILAR, words:
                         break
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-    sets = (docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id")
+    sets = (docs.select(F.col("doc_id").cast("long"), "text").join(wanted.hint("merge"), "doc_id")
             .select("a", "part", "doc_id", "text")
             .mapInArrow(to_sets, "a long, part int, b long, members binary"))
     return (sets.repartition("a", "part")
@@ -197,7 +206,7 @@ def _across(members: DataFrame, agree: float, block: int = BLOCK) -> DataFrame:
 
     def block_pairs(rows: pa.Table):
         rep, comp, own = (rows.column(c).to_numpy() for c in ("rep", "component", "own"))
-        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint16).reshape(len(rep), -1)
+        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(rep), -1)
         i, j, hub = rows.column("i")[0].as_py(), rows.column("j")[0].as_py(), rows.column("hub")[0].as_py()
         left, right = [], []
         for x in range(len(rep)):
@@ -239,9 +248,9 @@ def _across(members: DataFrame, agree: float, block: int = BLOCK) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS,
-                    similar: int = SIMILAR, agree: float = AGREE) -> DataFrame:
+                    similar: int = SIMILAR, k: int = MINIMA, agree: float = AGREE) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    marked = staged(signatures(docs, words, bands, rows), "signatures")
+    marked = staged(signatures(docs, words, bands, rows, k), "signatures")
     usable = marked.filter("digest is not null and doc_id is not null")
     # equal sets have equal keys and signatures: any of them stands for the group
     reps = staged(usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"),
