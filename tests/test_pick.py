@@ -35,16 +35,24 @@ def test_first_per_key_same_for_any_partitioning(spark):
     assert a == b and len(a) == 7 and all(r[2] < 7 for r in a)
 
 
-def test_hot_key_is_preaggregated(spark):
-    """One key holding most rows: the dedup is a partial aggregation before
-    the shuffle (no window over the whole group)."""
+def test_hot_key_is_limited_before_one_exchange(spark):
+    """One key holding most rows: every map task keeps its own best row first
+    (group limit below the exchange), and the input is read and shuffled once."""
     df = spark.range(10000).select(F.lit("r").alias("retailer_id"),
                                    F.when(F.col("id") < 9000, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
                                    F.col("id").alias("_ord"))
-    out = pick.dedup_first_in_file(df, ["retailer_id", "k"])
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and ("partial" in plan.lower() or "Partial" in plan)
-    assert out.count() == 1001
+    for out, n in ((pick.dedup_first_in_file(df, ["retailer_id", "k"]), 1001),
+                   (pick.keep_group_max(df, ["retailer_id", "k"], [F.col("_ord") % 10]), 900 + 1000)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1
+        assert plan.rindex("WindowGroupLimit") > plan.index("Exchange") > plan.index("WindowGroupLimit")
+        assert out.count() == n
+
+
+def test_text_quantities_compare_as_numbers(spark):
+    df = spark.createDataFrame([("a", "9", T1, 1), ("a", "12", T1, 2), ("a", "n/a", T2, 3), ("b", "x", T1, 4)],
+                               "sku string, qty string, ts timestamp, v int").withColumn("retailer_id", F.lit("r"))
+    assert [r.v for r in pick.keep_maxqty_then_latest(df, ["retailer_id", "sku"], "qty", "ts").collect()] == [2]
 
 
 def test_dedup_smallest_numeric_then_text(spark):

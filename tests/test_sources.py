@@ -47,39 +47,98 @@ def test_xml_rows_missing_tag(spark):
     assert [tuple(r) for r in rows] == [("1", "9.99"), ("2", None)]
 
 
-def test_dbf_reader_ranges_deleted_and_bad_values(spark, monkeypatch):
-    import datetime as dt
+def test_csv_binds_by_name_across_headers(spark):
+    d = tempfile.mkdtemp(prefix="tf-csv-")
+    _write(os.path.join(d, "a.csv"), "a,b,c\n1,2,3\n")
+    _write(os.path.join(d, "b.csv"), "b,a\n20,10\n21,11,12\n")
+    _write(os.path.join(d, "c.csv"), "\ufeffc,d\n30,NULL\n")
+    rows = SD.scan_csv_header(spark, d).select("a", "b", "c", "d").collect()
+    assert sorted(map(tuple, rows), key=str) == [("1", "2", "3", None), ("10", "20", None, None), (None, None, "30", None)]
+
+
+def test_csv_quotes_line_ends_and_repeated_names(spark):
+    d = tempfile.mkdtemp(prefix="tf-csv-")
+    _write(os.path.join(d, "a.csv"), 'id,description,description\n1,"6"" PIZZA","two\nlines"\n2,N/A,"a,b"\n')
+    rows = SD.scan_csv_header(spark, d, multi_line=True).orderBy("id").select("id", "description", "description_2").collect()
+    assert [tuple(r) for r in rows] == [("1", '6" PIZZA', "two\nlines"), ("2", None, "a,b")]
+
 
+def test_only_edge_lines_are_numbered(spark):
+    """One of the two scans under the union has no window above it."""
+    d = tempfile.mkdtemp(prefix="tf-pipe-")
+    _write(os.path.join(d, "f.txt"), "".join(f"{i}|x\n" for i in range(100)))
+    out = SD.drop_edge_lines(spark, d, 5, True)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    branches = plan[plan.index("Union"):].split("Relation")
+    assert len(branches) == 3 and "Window" in branches[0] and "Window" not in branches[1]
+    assert out.count() == 94
+
+
+def _dbf(spark, tmp, **files):
     from tillflow.sources import dbf
+    for name, data in files.items():
+        with open(os.path.join(tmp, name + ".dbf"), "wb") as fh:
+            fh.write(data)
+    return dbf.scan_dbf(spark, os.path.join(tmp, "*.dbf"))
+
+
+def test_dbf_deleted_bad_and_merged_schemas(spark, monkeypatch):
+    import datetime as dt
 
-    d = tempfile.mkdtemp(prefix="tf-dbf-")
+    from tillflow.sources import dbf
+    monkeypatch.setattr(dbf, "RECORDS_PER_BATCH", 7)
     rows = [("A%d" % i, float(i), dt.datetime(2020, 1, 1 + i % 28)) for i in range(50)]
-    dbf.write_dbf(os.path.join(d, "t.dbf"), [("sku", "string"), ("qty", "double"), ("ts", "timestamp")], rows)
-    # mark record 3 deleted and break the number of record 4
-    n_rec, h_len, r_len, fields = dbf.read_header(os.path.join(d, "t.dbf"))
-    with open(os.path.join(d, "t.dbf"), "r+b") as fh:
-        fh.seek(h_len + 3 * r_len)
-        fh.write(b"*")
-        fh.seek(h_len + 4 * r_len + 1 + 254)
-        fh.write(b"x".rjust(24))
-    monkeypatch.setattr(dbf, "RECORDS_PER_PARTITION", 7)      # several ranges per file
-    df = dbf.scan_dbf(spark, os.path.join(d, "*.dbf"))
-    got = {r.sku: r.qty for r in df.collect()}
-    assert len(got) == 49 and "A3" not in got and got["A4"] is None and got["A10"] == 10.0
-
-
-def test_archives_with_same_member_names_stay_apart(spark):
+    data = bytearray(dbf.encode_table([("sku", "string"), ("qty", "double"), ("ts", "timestamp")], rows))
+    n_rec, h_len, r_len, fields = dbf.read_header(bytes(data))
+    assert n_rec == 50 and [f[0] for f in fields] == ["sku", "qty", "ts"]
+    data[h_len + 3 * r_len:h_len + 3 * r_len + 1] = b"*"                      # deleted
+    data[h_len + 4 * r_len + 255:h_len + 4 * r_len + 279] = b"12x".rjust(24)  # a bad number
+    second = dbf.encode_table([("sku", "string"), ("extra", "string")], [("B", "only here")])
+    got = {r.sku: r for r in _dbf(spark, tempfile.mkdtemp(prefix="tf-dbf-"), a=bytes(data), b=second).collect()}
+    assert len(got) == 50 and "A3" not in got
+    assert got["A4"].qty is None and got["A4"]._invalid == "qty=12x" and got["A10"].qty == 10.0
+    assert got["A10"].ts == dt.datetime(2020, 1, 11) and got["B"].extra == "only here" and got["A1"].extra is None
+
+
+def test_dbf_binary_fields():
+    import datetime as dt
+    import struct
+
+    from tillflow.sources import dbf
+    for n in (0, 32, -5, 2**31 - 1):
+        assert dbf._value("I", struct.pack("<i", n), "latin-1") == n
+    assert dbf._value("B", struct.pack("<d", 2.5), "latin-1") == 2.5
+    assert dbf._value("Y", struct.pack("<q", 123_456), "latin-1") == 12.3456
+    assert dbf._value("T", struct.pack("<ii", 2451545, 3_600_000), "latin-1") == dt.datetime(2000, 1, 1, 1)
+    assert dbf._value("L", b"?", "latin-1") is None and dbf._value("L", b"y", "latin-1") is True
+    assert dbf._value("N", b"   ", "latin-1") is None and dbf._value("D", b"20240131", "latin-1") == dt.datetime(2024, 1, 31)
+
+
+def test_truncated_dbf_ends_the_job(spark):
+    import pytest
+
+    from tillflow.sources import dbf
+    data = dbf.encode_table([("sku", "string")], [("a",), ("b",)])
+    with pytest.raises(Exception, match="fewer records"):
+        _dbf(spark, tempfile.mkdtemp(prefix="tf-dbf-"), a=data[:-200]).collect()
+
+
+def test_archives_of_equal_names_stay_apart(spark):
     import zipfile
 
     from tillflow.sources import archive as A
 
     d = tempfile.mkdtemp(prefix="tf-zip-")
-    for name, val in (("r1", "1"), ("r2", "2")):
-        with zipfile.ZipFile(os.path.join(d, f"{name}.zip"), "w") as z:
-            z.writestr("BARCODES.csv", f"CODE_NUM,BARCODE\n{val},{val}{val}\n")
+    for folder, header, val in (("r1", "CODE_NUM,BARCODE", "1,11"), ("r2", "BARCODE,CODE_NUM", "22,2")):
+        os.makedirs(os.path.join(d, folder))
+        with zipfile.ZipFile(os.path.join(d, folder, "export.zip"), "w") as z:
+            z.writestr("sub/BARCODES.csv", f'{header}\n{val}\n"quoted\nline",x,too long\n')
+            z.writestr("BARCODES.csv", f"{header}\n{val}\n")
             z.writestr("notes.txt", "ignored")
-    out = tempfile.mkdtemp(prefix="tf-exp-")
-    manifest = A.expand_archives(spark, os.path.join(d, "*.zip"), out).collect()
-    assert sorted((m.archive, m.role) for m in manifest) == [("r1", "barcodes"), ("r2", "barcodes")]
-    bar = SD.scan_csv_header(spark, A.role_path(out, "barcodes"))
-    assert sorted((r.archive, r.CODE_NUM) for r in bar.collect()) == [("r1", "1"), ("r2", "2")]
+            z.writestr("invoices.csv", "a\n1\n")
+    rows = A.expand_archives(A.archive_files(spark, os.path.join(d, "*", "*.zip"))).cache()
+    assert sorted((m.archive.split("/")[-2], m.member, m.records) for m in A.manifest(rows).collect()) == [
+        ("r1", "BARCODES.csv", 1), ("r1", "sub/BARCODES.csv", 2), ("r2", "BARCODES.csv", 1), ("r2", "sub/BARCODES.csv", 2)]
+    bar = A.member_rows(rows, "barcodes").collect()
+    assert sorted((r.archive.split("/")[-2], r.CODE_NUM, r.BARCODE) for r in bar) == [
+        ("r1", "1", "11"), ("r1", "1", "11"), ("r2", "2", "22"), ("r2", "2", "22")]

@@ -33,7 +33,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions.text import WS_CLASS, col_, is_blank, strict_double
+from tillflow.functions.text import WS_CLASS, col_, integer_text, is_blank, strict_double
 
 # start of a number run: the previous character cannot continue it
 _RUN_START = r"(?:(?<![-+.0-9])(?=[0-9])|(?<![-+0-9])(?=\.)|(?<![0-9])(?=[-+]))"
@@ -352,15 +352,14 @@ def size_standardise(size: Column, unit: Column) -> Column:
 
 def size_number_text(size: Column) -> Column:
     """Printed number of an item size: whole numbers without '.0'."""
-    whole = (size == F.floor(size)) & (F.abs(size) < 1e16)
     return (F.when(size.isNull() | F.isnan(size), F.lit(""))
-            .when(whole, size.cast("long").cast("string"))
+            .when(size == F.round(size), integer_text(size))
             .otherwise(size.cast("string")))
 
 
 def pack_count_text(n: Column) -> Column:
-    """Integer part of the pack count as text."""
-    return F.coalesce(n.try_cast("long").cast("string"), n.try_cast("decimal(38,0)").cast("string"))
+    """Integer part of the pack count as text, at any size."""
+    return integer_text(n)
 
 
 def item_size_pick(it_item: Column, it_pkg: Column, it_desc: Column) -> Column:

@@ -129,22 +129,31 @@ def cents_to_units(c) -> Column:
     return col_(c) / F.lit(100.0)
 
 
+def as_double(c) -> Column:
+    """Number of a column of any type: text goes through ``strict_double``, so
+    a bad cell is null and never ends the job."""
+    return strict_double(col_(c).cast("string"), exponent=True)
+
+
 def safe_divide(a, b) -> Column:
-    """x / 0 and null operands give null (ANSI-safe)."""
-    return F.try_divide(col_(a).cast("double"), col_(b).cast("double"))
+    """x / 0, bad text and null operands give null (ANSI-safe)."""
+    return F.try_divide(as_double(a), as_double(b))
 
 
-def whole_text(c) -> Column:
-    """Integer text of a double that holds a whole number, else null."""
+def integer_text(c) -> Column:
+    """A double without its fraction, as plain digits at any size."""
     c = col_(c)
-    return F.when((c == F.floor(c)) & (F.abs(c) < 1e18), c.cast("long").cast("string"))
+    return (F.when(F.abs(c) < 1e15, F.when(c < 0, F.ceil(c)).otherwise(F.floor(c)).cast("string"))
+            .when(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(None).cast("string"))
+            .otherwise(F.format_string("%.0f", c)))
 
 
 def float_text(c) -> Column:
-    """Decimal text of a double the way feeds print it ('3.0', '2.5')."""
+    """Decimal text of a double the way feeds print it ('3.0', '2.5'); whole
+    numbers keep all their digits."""
     c = col_(c)
     return (F.when(c.isNull() | F.isnan(c), F.lit(None))
-            .when((c == F.floor(c)) & (F.abs(c) < 1e16), F.concat(c.cast("long").cast("string"), F.lit(".0")))
+            .when(c == F.round(c), F.concat(integer_text(c), F.lit(".0")))
             .otherwise(c.cast("string")))
 
 
@@ -158,7 +167,7 @@ def wholesale_label(c, word: str = " Pack") -> Column:
     head = F.substring_index(c, ".", 1)
     val = strict_double(c)
     ok = head.rlike("^[0-9]+$") & val.isNotNull()
-    return F.when(ok, F.concat(val.cast("long").cast("string"), F.lit(word))).otherwise(F.lit(""))
+    return F.when(ok, F.concat(integer_text(val), F.lit(word))).otherwise(F.lit(""))
 
 
 def size_oz(c) -> Column:
@@ -167,8 +176,7 @@ def size_oz(c) -> Column:
     c = col_(c)
     n = strict_double(c, exponent=True)
     r = F.bround(n, 2)
-    txt = F.when(r == F.floor(r), F.concat(r.cast("long").cast("string"), F.lit(".0"))).otherwise(r.cast("string"))
-    return F.when(n.isNull(), c).when(n > 1, F.concat(txt, F.lit("oz"))).otherwise(F.lit(None).cast("string"))
+    return F.when(n.isNull(), c).when(n > 1, F.concat(float_text(r), F.lit("oz"))).otherwise(F.lit(None).cast("string"))
 
 
 def coalesce_upc(upc, extra_upc) -> Column:
@@ -181,13 +189,24 @@ def retail_coalesce(extra_retail, retail, case_retail, case_qty) -> Column:
 
 def qty_units(on_hand, qty) -> Column:
     on_hand, qty = col_(on_hand), col_(qty)
-    return F.when(qty.isNotNull(), safe_divide(on_hand, qty)).otherwise(on_hand.cast("double"))
+    return F.when(qty.isNotNull(), safe_divide(on_hand, qty)).otherwise(as_double(on_hand))
 
 
 def size_label(size, qty) -> Column:
     size, qty = col_(size), col_(qty)
     return F.when(qty.isNotNull(),
-                  F.concat(qty.cast("long").cast("string"), F.lit(" Pack "), blank_if_null(size))).otherwise(size)
+                  F.concat(integer_text(as_double(qty)), F.lit(" Pack "), blank_if_null(size))).otherwise(size)
+
+
+# Cell texts that read as missing (the defaults of pandas' reader).
+NULL_TEXTS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+              "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def nullify(c) -> Column:
+    """Null for a cell whose text means 'missing'."""
+    c = col_(c)
+    return F.when(~c.isin(NULL_TEXTS), c)
 
 
 def parse_ts(c, formats=("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd",

@@ -73,6 +73,7 @@ def cols_canonical(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
 
 
 def add_load_cols(df: DataFrame) -> DataFrame:
+    """Load columns; ``retailer_id`` already comes from the registry join."""
     return df.withColumn("active", F.lit(1))
 
 
@@ -97,25 +98,42 @@ def flatten_struct(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*cols)
 
 
-# Member roles of multi-member exports, chosen by a
-# lower-case substring of the member's file name (first listed wins).
+# Member roles of multi-member exports.  A member has a role if
+# its lower-case file name ends in one of the names (first listed wins).
 MEMBER_ROLES = [("barcodes", "barcodes"), ("liqcode", "liqcode"), ("zz_adventpos_raw_itemsize", "itemsize"),
                 ("zz_adventpos_raw_itempack", "itempack"), ("zz_adventpos_raw", "raw"), ("inv", "inv"),
                 ("prc", "prc"), ("stk", "stk"), ("upc", "upc")]
+MEMBER_TYPES = ("csv", "dbf")
+
+
+def member_role(path) -> F.Column:
+    """Role of a member file by its name (null for members no adapter reads)."""
+    name = F.lower(F.regexp_extract(F.col(path) if isinstance(path, str) else path, "([^/]*)$", 1))
+    role = F.lit(None).cast("string")
+    for token, r in reversed(MEMBER_ROLES):
+        role = F.when(name.rlike(rf"{token}\.({'|'.join(MEMBER_TYPES)})$"), F.lit(r)).otherwise(role)
+    return role
 
 
 def route_members(df: DataFrame, file_col: str = "_file_name") -> DataFrame:
     """Role of each member file (null for members no adapter reads)."""
-    name = F.lower(F.regexp_extract(F.col(file_col), "([^/]*)$", 1))
-    role = None
-    for token, r in MEMBER_ROLES:
-        role = F.when(name.contains(token), F.lit(r)) if role is None else role.when(name.contains(token), F.lit(r))
-    return df.withColumn("member", role)
+    return df.withColumn("member", member_role(file_col))
+
+
+def member_prune(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Keys and the listed columns of a member, those it has."""
+    low = cols_lower(df)
+    return low.select(*[c for c in META if c in low.columns], *[c for c in cols if c in low.columns])
+
+
+def filter_shop(df: DataFrame, array: str, id_field: str, shop: str = "shop_id") -> DataFrame:
+    """Keep those entries of an array of structs that belong to the row's shop
+    (in the row: nothing is exploded or shuffled)."""
+    return df.withColumn(array, F.filter(F.col(array), lambda x: x[id_field] == F.col(shop)))
 
 
 def filter_incremental(df: DataFrame, high_water: DataFrame, ts: str, key: str = KEY) -> DataFrame:
     """Rows newer than their retailer's high-water mark (rows of retailers
     without one are all new).  ``high_water``: (key, hw) -- one row per retailer."""
-    from tillflow.operators.joins import maybe_broadcast
-    j = df.join(maybe_broadcast(high_water), key, "left")
+    j = df.join(high_water, key, "left")
     return j.where(F.col("hw").isNull() | (F.col(ts) > F.col("hw"))).drop("hw")

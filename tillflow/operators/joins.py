@@ -1,4 +1,8 @@
-"""Joins between feed members, lookups and the retailer registry."""
+"""Joins between feed members, lookups and the retailer registry.
+
+No join carries a broadcast hint: adaptive execution broadcasts a side by its
+run-time size under the session's threshold and shuffles beyond it.
+"""
 
 from __future__ import annotations
 
@@ -7,57 +11,41 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# broadcast a side only below this estimated size
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (no job is run)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - plan stats unavailable
-        return None
-
-
-def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast hint only when the estimated size is below ``max_bytes``;
-    otherwise leave the choice to AQE at run time (shuffle join)."""
-    size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= max_bytes else df
-
-
 def join_inner_chain(members: list[DataFrame], keys: list[str]) -> DataFrame:
     """Inner-join members on shared keys (order free)."""
     return reduce(lambda a, b: a.join(b, keys, "inner"), members)
 
 
-def join_lookup_left(items: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
-    """Items left-joined to a lookup table; the lookup is broadcast when small."""
-    return items.join(maybe_broadcast(lookup), keys, "left")
+def join_lookup_left(items: DataFrame, lookup: DataFrame, keys: list[str], group: str = "retailer_id") -> DataFrame:
+    """Items left-joined to a lookup table of the same retailer."""
+    return items.join(lookup, [group, *keys], "left")
 
 
 def join_anchor_left(members: dict[str, DataFrame], keys: list[str],
                      group: str = "retailer_id") -> DataFrame:
     """Left-join all members onto the largest member of each group.
 
-    The anchor is chosen per ``group`` value (per retailer) by row count;
-    ties go to the member listed first.  Implemented as one full outer join
-    over all members plus a per-group filter on the anchor's presence flag,
-    so every retailer gets its own anchor in a single distributed plan.
+    The anchor is chosen per ``group`` value (per retailer) by row count; ties
+    go to the member listed first.  The rows of every retailer's anchor member
+    are stacked, and each member is then left-joined to the rows whose anchor is
+    another one; a member's picked rows are computed once (its exchange is
+    reused) and left joins of a skewed key can be split.
     """
     names = list(members)
-    flagged = {n: d.withColumn("_in_" + n, F.lit(True)) for n, d in members.items()}
     counts = reduce(lambda a, b: a.unionByName(b), [
         d.groupBy(group).agg(F.count(F.lit(1)).alias("n")).withColumn("member", F.lit(n))
          .withColumn("prio", F.lit(i)) for i, (n, d) in enumerate(members.items())])
     anchors = counts.groupBy(group).agg(
         F.max_by(F.col("member"), F.struct(F.col("n"), -F.col("prio"))).alias("_anchor"))
-    full = reduce(lambda a, b: a.join(b, keys, "full_outer"), flagged.values())
-    full = full.join(maybe_broadcast(anchors), group, "inner")
-    cond = F.lit(False)
+    base = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        d.join(anchors.where(F.col("_anchor") == n), group) for n, d in members.items()])
     for n in names:
-        cond = cond | ((F.col("_anchor") == n) & F.coalesce(F.col("_in_" + n), F.lit(False)))
-    return full.where(cond).drop("_anchor", *["_in_" + n for n in names])
+        own = [c for c in members[n].columns if c not in keys]
+        side = members[n].select(*keys, *[F.col(c).alias(f"_{n}_{c}") for c in own], F.lit(n).alias("_side"))
+        joined = base.join(side, [base[k] == side[k] for k in keys] + [base["_anchor"] != side["_side"]], "left")
+        base = joined.select(*[base[c] for c in base.columns if c not in own],
+                             *[F.when(base["_anchor"] == n, base[c]).otherwise(side[f"_{n}_{c}"]).alias(c) for c in own])
+    return base.drop("_anchor")
 
 
 def join_registry(df: DataFrame, registry: DataFrame, file_col: str = "_file_name"):
@@ -70,7 +58,6 @@ def join_registry(df: DataFrame, registry: DataFrame, file_col: str = "_file_nam
            .groupBy("_fname").agg(F.min_by(F.struct(F.col("id").cast("string").alias("retailer_id"),
                                                      F.col("pos").alias("pos")), F.col("id")).alias("_r"))
            .select("_fname", "_r.retailer_id", "_r.pos"))
-    reg = maybe_broadcast(reg)
     keyed = df.withColumn("_fname", F.lower(F.col(file_col)))
     matched = keyed.join(reg, "_fname", "inner").drop("_fname")
     rejected = keyed.join(reg, "_fname", "left_anti").drop("_fname")

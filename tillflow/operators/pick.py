@@ -1,18 +1,20 @@
 """Row picking per key: first in order, group max with ties, dedup.
 
-All pickers are aggregations (partial, map-side combined before the shuffle)
-rather than window functions, so a key holding a large share of all rows is
-reduced on every map task instead of landing whole in one task.  "Ties
-kept" pickers aggregate the winning value per key and keep the rows equal
-to it with a semi join whose keys include the value itself.
+All pickers are ``row_number() = 1`` or ``rank() = 1`` over the key.  Spark
+plans such a filter as a group limit before and after ONE exchange: every map
+task first keeps its own best rows of a key, so a key with a large share of all
+rows is reduced where it lies, and the input is read once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from tillflow.functions.text import as_double
 from tillflow.operators.columns import ORD
 
 
@@ -21,20 +23,19 @@ def _cols(xs):
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list, tiebreak_all: bool = False) -> DataFrame:
-    """One row per key: the smallest by ``order`` (lexicographic).
+    """One row per key: the smallest by ``order`` (lexicographic, nulls first).
 
     With ``tiebreak_all`` every other column is appended to the order, so the
     pick is deterministic (and identical on a task retry) even when ``order``
-    ties.  Aggregation form: partial per map task, then merged per key.
+    ties.
     """
-    payload = [c for c in df.columns if c not in keys]
     ref = lambda c: F.col(f"`{c}`")  # noqa: E731  (names may contain dots)
-    order_cols = _cols(order)
+    by = _cols(order)
     if tiebreak_all:
-        order_cols += [ref(c) for c in payload if not isinstance(df.schema[c].dataType, MapType)]
-    agg = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*[ref(c).alias(c) for c in payload]), F.struct(*order_cols)).alias("_row"))
-    return agg.select(*keys, *[F.col("_row").getField(c).alias(c) for c in payload])
+        by += [ref(c) for c in df.columns if c not in keys and not isinstance(df.schema[c].dataType, MapType)]
+    win = Window.partitionBy(*keys).orderBy(*by)
+    return (df.withColumn("_rn", F.row_number().over(win)).where(F.col("_rn") == 1)
+            .select(*keys, *[ref(c) for c in df.columns if c not in keys]))
 
 
 def dedup_first_in_file(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,13 +52,11 @@ def keep_group_max(df: DataFrame, keys: list[str], by: list) -> DataFrame:
     """
     by = _cols(by)
     names = [f"_by{i}" for i in range(len(by))]
-    cand = df.withColumns(dict(zip(names, by)))
-    first_ok = cand.where(F.col(names[0]).isNotNull())
-    m = first_ok.groupBy(*keys).agg(F.max(F.struct(*[F.col(n) for n in names])).alias("_m"))
-    m = m.select(*[F.col(k).alias("_k_" + k) for k in keys],
-                 *[F.col("_m")[n].alias("_m" + n) for n in names])
-    cond = [cand[k] == m["_k_" + k] for k in keys] + [cand[n] == m["_m" + n] for n in names]
-    return cand.join(m, cond, "left_semi").drop(*names)
+    present = reduce(lambda x, y: x & y, [F.col(f"`{k}`").isNotNull() for k in keys])
+    win = Window.partitionBy(*keys).orderBy(*[F.col(n).desc_nulls_last() for n in names])
+    best = (df.withColumns(dict(zip(names, by))).where(present & F.col(names[0]).isNotNull())
+            .withColumn("_rank", F.rank().over(win)).where(F.col("_rank") == 1))
+    return best.where(reduce(lambda x, y: x & y, [F.col(n).isNotNull() for n in names])).drop("_rank", *names)
 
 
 def keep_latest(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
@@ -66,8 +65,9 @@ def keep_latest(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
 
 
 def keep_maxqty_then_latest(df: DataFrame, keys: list[str], qty: str, ts: str) -> DataFrame:
-    """Max quantity per key, then the newest among those (ties kept)."""
-    return keep_group_max(df, keys, [qty, ts])
+    """Max quantity per key (compared as numbers, text included), then the
+    newest among those (ties kept)."""
+    return keep_group_max(df, keys, [as_double(qty), ts])
 
 
 def keep_longest(df: DataFrame, keys: list[str], col: str) -> DataFrame:
@@ -83,6 +83,11 @@ def dedup_smallest(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     return first_per_key(df, keys, order)
 
 
+def max_length(df: DataFrame, keys: list[str], col: str) -> DataFrame:
+    """Per-key length of the longest text of ``col``."""
+    return df.groupBy(*keys).agg(F.max(F.length(F.col(col))).alias("max_len"))
+
+
 def group_max(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """Per-key maximum of each column (aggregation form of a max transform)."""
     return df.groupBy(*keys).agg(*[F.max(c).alias("max_" + c) for c in cols])

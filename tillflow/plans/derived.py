@@ -12,16 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.operators.columns import ORD
-from tillflow.operators.layout import spread_small_input
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table.  ``spread`` for frames that go straight into CPU-heavy
-    narrow work (the parse): a single-file table is then read by one task,
-    so it is spread over the cores first.  Frames that are shuffled anyway
-    (dedup, picks, joins) get their parallelism from that shuffle."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_input(df) if spread else df
+def table(spark: SparkSession, sf_dir, name: str, partitions: int | None = None) -> DataFrame:
+    """A driver table.  ``sf_dir`` may also be a dict of frames, which then stand
+    for the tables they name.  ``partitions`` deals the rows out explicitly: for a
+    table that lies in one row group and goes straight into CPU-heavy narrow work."""
+    df = sf_dir[name] if isinstance(sf_dir, dict) else spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df.repartition(partitions) if partitions else df
+
+
+def numbers(spark, n: int, name: str) -> DataFrame:
+    return spark.range(n).select(F.col("id").alias(name))
 
 
 def line_ord() -> F.Column:
@@ -37,6 +39,15 @@ def line_no() -> F.Column:
     return F.col("l_orderkey") * 8 + F.col("l_linenumber")
 
 
+#: Orders in a part of a retailer's export: files hold a bounded range of rows.
+PART_ORDERS = 100_000
+
+
+def part_no() -> F.Column:
+    """Number of the export file that a line belongs to (rises with file order)."""
+    return F.floor(F.col("l_orderkey") / PART_ORDERS).cast("long")
+
+
 def s(c) -> F.Column:
     """Text of a number column (ints print plainly)."""
     return (F.col(c) if isinstance(c, str) else c).cast("string")
@@ -53,9 +64,9 @@ def f1_base(spark, sf_dir) -> DataFrame:
     k = F.col("p_partkey")
     phrase = F.element_at(F.array(*[F.lit(x) for x in F1_PHRASES]), (k % 12 + 1).cast("int"))
     return p.select(
-        F.lit("1").alias("retailer_id"),
+        s(k % 10 + 1).alias("retailer_id"),
         k.alias(ORD),
-        s(k).alias("product_id"),
+        F.when(k % 89 == 0, F.lit("")).otherwise(s(k)).alias("product_id"),
         F.concat(F.lit("0"), s(k * 7919), F.when(k % 10 == 0, F.lit(".0")).otherwise(F.lit(""))).alias("upc_code"),
         F.col("p_brand").alias("brand_name"),
         F.concat(F.col("p_name"), F.lit(" "), phrase).alias("brand_description"),
@@ -96,10 +107,10 @@ def _shape_expr(shape: str, q, sz, n):
     return F.concat(*parts)
 
 
-def f8_lines(spark, sf_dir) -> DataFrame:
+def f8_lines(spark, sf_dir, partitions: int | None = None) -> DataFrame:
     """Line-level product feed: one row per lineitem, many retailers
     (l_suppkey), pack text built from the line's own numbers."""
-    li = table(spark, sf_dir, "lineitem", spread=True).select(
+    li = table(spark, sf_dir, "lineitem", partitions).select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_tax")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     j = li.join(p, li.l_partkey == p.p_partkey, "inner")
@@ -150,9 +161,9 @@ def f2_prc(spark, sf_dir) -> DataFrame:
 
 def f2_stk(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return li.where(F.col("l_linestatus") == "O").select(
+    return li.select(
         s("l_suppkey").alias("retailer_id"), line_ord().alias(ORD), line_no().alias("_line"),
-        s("l_partkey").alias("sku"), F.col("l_quantity").alias("back"),
+        F.when(F.col("l_linestatus") == "O", s("l_partkey")).otherwise(F.concat(F.lit("x"), s("l_partkey"))).alias("sku"), F.col("l_quantity").alias("back"),
         F.col("l_shipdate").alias("tstamp"))
 
 
@@ -167,25 +178,29 @@ def f2_upc(spark, sf_dir) -> DataFrame:
         F.when(ok % 13 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("l_shipdate")).alias("tstamp"))
 
 
+F3_RETAILERS = 12
+
+
 def f3_items(spark, sf_dir) -> DataFrame:
+    """Items of several retailers; pack and size ids are shared, their names not."""
     p = table(spark, sf_dir, "part")
-    return p.select(F.lit("1").alias("retailer_id"), F.col("p_partkey").alias(ORD),
+    return p.select(s(F.col("p_partkey") % F3_RETAILERS).alias("retailer_id"), F.col("p_partkey").alias(ORD),
                     s("p_partkey").alias("sku"), F.col("p_name").alias("itemname"), F.col("p_brand").alias("description"),
-                    (F.col("p_size") % 7).alias("packid"), (F.col("p_size") % 30).alias("sizeid"),
-                    s(F.col("p_size") % 6).alias("catid"), F.col("p_retailprice").alias("priceperunit"),
+                    s(F.col("p_size") % 7).alias("packid"), s(F.col("p_size") % 30).alias("sizeid"),
+                    s(F.col("p_size") % 6).alias("catid"), s("p_retailprice").alias("priceperunit"),
                     s(F.col("p_partkey") * 13).alias("mainupc"), s(F.col("p_size") * 2).alias("instoreqty"))
 
 
 def f3_pack(spark, sf_dir) -> DataFrame:
-    r = table(spark, sf_dir, "region")
-    return r.select(F.col("r_regionkey").alias("packid"),
-                    F.concat(s(F.col("r_regionkey") * 6), F.lit(" PK,"), F.col("r_name")).alias("packname"))
+    r = table(spark, sf_dir, "region").withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(F3_RETAILERS - 1))))
+    return r.select(s("r").alias("retailer_id"), F.col("r_regionkey").alias(ORD), s("r_regionkey").alias("packid"),
+                    F.concat(s(F.col("r_regionkey") * 6 + F.col("r")), F.lit(" PK,"), F.col("r_name")).alias("packname"))
 
 
 def f3_size(spark, sf_dir) -> DataFrame:
-    n = table(spark, sf_dir, "nation")
-    return n.select(F.col("n_nationkey").alias("sizeid"),
-                    F.concat(s(F.col("n_nationkey") * 50), F.lit(" ML")).alias("sizename"))
+    n = table(spark, sf_dir, "nation").withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(F3_RETAILERS - 1))))
+    return n.select(s("r").alias("retailer_id"), F.col("n_nationkey").alias(ORD), s("n_nationkey").alias("sizeid"),
+                    F.concat(s(F.col("n_nationkey") * 50 + F.col("r")), F.lit(" ML")).alias("sizename"))
 
 
 def f4_registry(spark, sf_dir) -> DataFrame:
@@ -214,7 +229,7 @@ def f5_sale(spark, sf_dir) -> DataFrame:
 
 
 def f6_barcodes(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", spread=True)
+    li = table(spark, sf_dir, "lineitem")
     ok, pk = F.col("l_orderkey"), F.col("l_partkey")
     return li.select(
         s("l_suppkey").alias("retailer_id"),
@@ -228,16 +243,6 @@ def f6_barcodes(spark, sf_dir) -> DataFrame:
          .alias("description_2"))
 
 
-def f7_parent_child(spark, sf_dir) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "O").select(
-        "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
-    return o.join(li, o.o_orderkey == li.l_orderkey, "left").select(
-        F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"),
-        F.col("l_linenumber").alias("upc"), F.col("l_extendedprice").alias("retail"),
-        F.col("l_quantity").alias("quantity"))
-
-
 def f4_incoming(spark, sf_dir) -> DataFrame:
     """Incoming file names: exact, upper-cased, wrong extension, unknown."""
     su = table(spark, sf_dir, "supplier")
@@ -287,24 +292,31 @@ def cre_lines(spark, sf_dir, v2: bool = False) -> DataFrame:
         36: F.concat(s("p_size"), F.lit(" PK")), 90: F.concat(s("l_partkey"), F.lit("-0")),
     }
     line = F.concat_ws("|", *[vals.get(i, F.lit("")) for i in range(n_cols)])
-    # file order: 5 header lines, the data lines, then (v2) one trailer line
+    # every (retailer, part) is a file: 5 header lines, the data lines, then (v2) one trailer line
     o_type = j.select(line_ord().alias("o")).schema["o"].dataType.simpleString()
     seq = lambda k, h, o: F.struct(F.lit(k).alias("k"), F.lit(h).alias("h"), o.alias("o"))
-    data = j.select(s("l_suppkey").alias("retailer_id"), seq(1, 0, line_ord()).alias(ORD), line.alias("value"))
-    retailers = data.select("retailer_id").distinct()
-    heads = retailers.select("retailer_id", F.explode(F.array(*[F.lit(i) for i in range(1, 6)])).alias("h"))
-    heads = heads.select("retailer_id", F.struct(F.lit(0).alias("k"), F.col("h").alias("h"),
-                                                 F.lit(None).cast(o_type).alias("o")).alias(ORD),
-                         F.concat(F.lit("EXPORT HEADER "), F.col("h").cast("string")).alias("value"))
+    data = j.select(s("l_suppkey").alias("retailer_id"), part_no().alias("_part"), seq(1, 0, line_ord()).alias(ORD),
+                    line.alias("value"))
+    files = data.groupBy("retailer_id", "_part").agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(None).cast(o_type)
+    heads = files.withColumn("h", F.explode(F.array(*[F.lit(i) for i in range(1, 6)]))).select(
+        "retailer_id", "_part", F.struct(F.lit(0).alias("k"), F.col("h").alias("h"), none.alias("o")).alias(ORD),
+        F.concat(F.lit("EXPORT HEADER "), s("h")).alias("value"))
     out = heads.unionByName(data)
     if v2:
-        tail = data.groupBy("retailer_id").agg(F.count(F.lit(1)).alias("n")).select(
-            "retailer_id", seq(2, 0, F.lit(None).cast(o_type)).alias(ORD),
-            F.concat(F.lit("TOTAL|"), s("n")).alias("value"))
-        out = out.unionByName(tail)
+        out = out.unionByName(files.select("retailer_id", "_part", seq(2, 0, none).alias(ORD),
+                                           F.concat(F.lit("TOTAL|"), s("n")).alias("value")))
     return out
 
 
+def cre_rows(spark, sf_dir, v2: bool) -> DataFrame:
+    """The data rows of the register export, already split into ``_c0`` ..."""
+    n = 101 if v2 else 91
+    lines = cre_lines(spark, sf_dir, v2).where(F.col(ORD)["k"] == 1)
+    cells = F.split("value", "[|]")
+    return lines.select("retailer_id", ORD, *[cells[i].alias(f"_c{i}") for i in range(n)])
+
+
 def spirit_xml_rows(spark, sf_dir) -> DataFrame:
     j = _lines_parts(spark, sf_dir)
     return j.select(
@@ -319,10 +331,9 @@ def spirit_xml_rows(spark, sf_dir) -> DataFrame:
 
 def mpower_pages(spark, sf_dir) -> DataFrame:
     """MPower API pages: items (orders) with an array of additional UPCs
-    (their open lines); 100 items per page."""
+    (their lines); 100 items per page.  Retailer 3 declares one page too many."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "O").select(
-        "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
     adds = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
         F.col("l_linenumber").cast("string").alias("Upc"), F.col("l_extendedprice").alias("Retail"),
         F.col("l_quantity").alias("Quantity")))).alias("AdditionalUpcs"))
@@ -339,8 +350,10 @@ def mpower_pages(spark, sf_dir) -> DataFrame:
                  F.when(k % 2 == 0, F.lit(None).cast("string")).otherwise(s(k * 7)).alias("Upc"),
                  F.coalesce(F.col("AdditionalUpcs"), F.array().cast(
                      "array<struct<Upc:string,Retail:double,Quantity:double>>")).alias("AdditionalUpcs")).alias("item"))
-    return items.groupBy("retailer_id", "page").agg(
-        F.sort_array(F.collect_list(F.col("item"))).alias("Results")).withColumn("TotalPages", F.lit(None).cast("long"))
+    pages = items.groupBy("retailer_id", "page").agg(F.sort_array(F.collect_list(F.col("item"))).alias("Results"))
+    declared = items.groupBy("retailer_id").agg((F.countDistinct("page") + F.when(F.col("retailer_id") == "3", 1).otherwise(0))
+                                                .alias("TotalPages"))
+    return pages.join(declared, "retailer_id")
 
 
 def line_products(spark, sf_dir) -> DataFrame:
@@ -413,8 +426,9 @@ def liquorpos_members(spark, sf_dir):
     """(barcodes, liqcode): several barcodes per code; some codes not digits."""
     lp = line_products(spark, sf_dir)
     code = F.when(F.col("pk") % 9 == 0, F.concat(F.lit("X"), s("pk"))).otherwise(s("pk"))
-    barcodes = lp.select("retailer_id", ORD, code.alias("CODE_NUM"), F.col("upc").alias("BARCODE"))
-    liq = lp.select("retailer_id", F.col("pk").alias(ORD), code.alias("CODE_NUM"), F.col("brand").alias("BRAND"),
+    part = (F.col("pk") % 3).alias("_part")  # a code's rows share an archive
+    barcodes = lp.select("retailer_id", part, ORD, code.alias("CODE_NUM"), F.col("upc").alias("BARCODE"))
+    liq = lp.select("retailer_id", part, F.col("pk").alias(ORD), code.alias("CODE_NUM"), F.col("brand").alias("BRAND"),
                     F.col("descr").alias("DESCRIP"), F.col("typ").alias("TYPENAM"),
                     F.concat(s("psize"), F.lit(" pk")).alias("SIZE"), s("pprice").alias("PRICE"),
                     s(F.col("psize") * 3).alias("QTY_ON_HND"), F.concat(s(F.col("psize") % 12), F.lit(".0")).alias("QTY_CASE"),
@@ -422,63 +436,101 @@ def liquorpos_members(spark, sf_dir):
     return barcodes, liq
 
 
-def lightspeed_pages(spark, sf_dir):
-    """(item pages, category pages) of a Lightspeed account, shop '1'.
+LIGHTSPEED_RETAILERS, SQUARE_RETAILERS = 11, 13
 
-    Every item has prices for two use types and quantities for two shops;
-    categories exist for ids 0-7 only (items of 8, 9 have none)."""
+
+def lightspeed_pages(spark, sf_dir):
+    """(item pages, category pages) of several Lightspeed accounts, each for one
+    shop.  Every item has prices for two use types and quantities for two shops;
+    category ids are shared by the accounts, their names are not, and items of
+    categories 8 and 9 have none."""
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
+    r = k % LIGHTSPEED_RETAILERS
+    shop = s(r % 2 + 1)
     item = F.struct(
         s(k).alias("itemID"), s(k * 3).alias("systemSku"), s(k * 7919).alias("upc"), F.col("p_name").alias("description"),
         s(F.col("p_size") % 10).alias("categoryID"),
         F.struct(F.array(F.struct(F.lit("1").alias("useTypeID"), s("p_retailprice").alias("amount")),
-                         F.struct(F.lit("2").alias("useTypeID"), s(F.col("p_retailprice") * 0.9).alias("amount")))
+                         F.struct(F.lit("2").alias("useTypeID"), s(F.col("p_retailprice") * 0.5).alias("amount")))
                  .alias("ItemPrice")).alias("Prices"),
         F.struct(F.array(F.struct(s(k).alias("itemID"), F.lit("1").alias("shopID"), s(F.col("p_size") * 2).alias("qoh")),
                          F.struct(s(k).alias("itemID"), F.lit("2").alias("shopID"), s("p_size").alias("qoh")))
                  .alias("ItemShop")).alias("ItemShops"))
-    items = (p.select((k / 100).cast("long").alias("page"), item.alias("i"))
-             .groupBy("page").agg(F.sort_array(F.collect_list("i")).alias("Item"))
-             .select(F.lit("1").alias("retailer_id"), F.lit("1").alias("shop_id"), "page", "Item"))
-    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 8)
-    cats = (n.select(F.struct(s("n_nationkey").alias("categoryID"), F.col("n_name").alias("name"),
-                              F.concat(F.lit("Spirits/"), F.col("n_name")).alias("fullPathName")).alias("c"))
-            .agg(F.sort_array(F.collect_list("c")).alias("Category"))
-            .select(F.lit("1").alias("retailer_id"), "Category"))
+    items = (p.select(s(r).alias("retailer_id"), shop.alias("shop_id"), (k / 100).cast("long").alias("page"),
+                      F.struct(k.alias("k"), item.alias("i")).alias("x"))
+             .groupBy("retailer_id", "shop_id", "page").agg(F.sort_array(F.collect_list("x")).alias("x"))
+             .select("retailer_id", "shop_id", "page", F.col("x.i").alias("Item")))
+    n = table(spark, sf_dir, "nation").withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(LIGHTSPEED_RETAILERS - 1))))
+    category = F.when(F.col("n_nationkey") < 8, s("n_nationkey")).otherwise(F.concat(F.lit("x"), s("n_nationkey")))
+    name = F.concat(F.col("n_name"), F.lit("-"), s("r"))
+    cats = (n.groupBy(s("r").alias("retailer_id")).agg(F.sort_array(F.collect_list(F.struct(
+        category.alias("categoryID"), name.alias("name"), F.concat(F.lit("Spirits/"), name).alias("fullPathName"))))
+        .alias("Category")))
     return items, cats
 
 
 def square_objects(spark, sf_dir):
-    """Square catalog (items, categories, variations) and inventory counts."""
+    """Square catalogs of several retailers (items, categories, variations) and
+    inventory counts; object ids are shared by the retailers, values are not.
+    Also each retailer's location."""
     p = table(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    items = p.select(F.concat(F.lit("I"), s(k)).alias("id"), F.struct(
+    n_r = SQUARE_RETAILERS
+    j, r = F.floor(F.col("p_partkey") / n_r).cast("long"), s(F.col("p_partkey") % n_r).alias("retailer_id")
+    items = p.select(r, F.concat(F.lit("I"), s(j)).alias("id"), F.struct(
         F.col("p_name").alias("name"), F.col("p_type").alias("product_type"),
         F.concat(F.lit("C"), s(F.col("p_size") % 8)).alias("category_id")).alias("item_data"))
-    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 6)
-    cats = n.select(F.concat(F.lit("C"), s("n_nationkey")).alias("id"),
-                    F.struct(F.col("n_name").alias("name")).alias("category_data"))
+    n = table(spark, sf_dir, "nation").withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(n_r - 1))))
+    cats = n.select(s("r").alias("retailer_id"),
+                    F.concat(F.lit("C"), s("n_nationkey"), F.when(F.col("n_nationkey") >= 6, F.lit("x")).otherwise(F.lit("")))
+                    .alias("id"), F.struct(F.concat(F.col("n_name"), F.lit("-"), s("r")).alias("name")).alias("category_data"))
 
     def variation(prefix, where, size_mult):
-        return p.where(where).select(F.concat(F.lit(prefix), s(k)).alias("id"), F.struct(
-            F.concat(F.lit("I"), s(k)).alias("item_id"), s(k * 11).alias("sku"),
+        return p.where(where).select(r, F.col("p_partkey").alias(ORD), F.concat(F.lit(prefix), s(j)).alias("id"), F.struct(
+            F.concat(F.lit("I"), s(j)).alias("item_id"), s(F.col("p_partkey") * 11).alias("sku"),
             F.concat(s(F.col("p_size") * size_mult), F.lit(" pk")).alias("name"),
             F.struct((F.col("p_retailprice") * 100 * size_mult).cast("long").alias("amount")).alias("price_money"))
             .alias("item_variation_data"))
-    variations = variation("V", F.lit(True), 1).unionByName(variation("W", k % 3 == 0, 2))
+    # every third item has a second variation
+    variations = variation("V", F.lit(True), 1).unionByName(variation("W", j % 3 == 0, 2))
+    j2 = F.substring("id", 2, 12).cast("long")
     counts = variations.select(
-        F.col("id").alias("catalog_object_id"),
-        F.when(F.substring("id", 2, 10).cast("long") % 4 == 0, F.lit("2")).otherwise(F.lit("1")).alias("location_id"),
-        F.when(F.substring("id", 2, 10).cast("long") % 5 == 0, F.lit("SOLD_OUT")).otherwise(F.lit("IN_STOCK")).alias("state"),
-        F.substring("id", 2, 10).alias("quantity"))
-    return items, cats, variations, counts
+        "retailer_id", F.col("id").alias("catalog_object_id"),
+        F.when(j2 % 4 == 0, F.lit("2")).otherwise(F.lit("1")).alias("location_id"),
+        F.when(j2 % 5 == 0, F.lit("SOLD_OUT")).otherwise(F.lit("IN_STOCK")).alias("state"),
+        s(j2).alias("quantity"))
+    locations = numbers(spark, n_r, "r").select(s("r").alias("retailer_id"), s(F.col("r") % 2 + 1).alias("location_id"))
+    return items, cats, variations, counts, locations
+
+
+def csv_lines(df: DataFrame, cols: list[str], header: list[str]) -> DataFrame:
+    """Rows (retailer_id, _part, _ord, text columns) as CSV lines, with a header
+    line for every (retailer, part)."""
+    line = F.concat_ws(",", *[F.coalesce(s(c), F.lit("")) for c in cols])
+    data = df.select("retailer_id", "_part", F.struct(F.lit(1).alias("k"), F.col(ORD).alias("o")).alias(ORD), line.alias("value"))
+    none = F.lit(None).cast(df.schema[ORD].dataType)
+    head = data.select("retailer_id", "_part").distinct().select(
+        "retailer_id", "_part", F.struct(F.lit(0).alias("k"), none.alias("o")).alias(ORD), F.lit(",".join(header)).alias("value"))
+    return head.unionByName(data)
+
+
+def kmds_lines(spark, sf_dir) -> DataFrame:
+    """The barcode export; its header names two columns 'description'."""
+    cols = ["id", "upcitemid", "sizecaseqty", "unitspercase", "description", "price", "onhand", "salesdepartmentid",
+            "description_2"]
+    return csv_lines(f6_barcodes(spark, sf_dir).withColumn("_part", part_no()), cols, [*cols[:-1], "description"])
+
+
+def f2_member(df: DataFrame) -> DataFrame:
+    """A spirit2000 member ready for landing: parts by product, file order."""
+    return df.withColumn("_part", F.substring("sku", -1, 1).cast("long")) if ORD in df.columns else \
+        df.withColumns({"_part": F.substring("sku", -1, 1).cast("long"), ORD: F.col("sku")})
 
 
 def member_files(spark, sf_dir) -> DataFrame:
     """File names found in multi-member archives, one set per supplier."""
     su = table(spark, sf_dir, "supplier").select("s_suppkey")
     names = ["INV.CSV", "prc.csv", "Stk.DBF", "upc.dbf", "barcodes.dbf", "LIQCODE.csv", "readme.txt",
-             "ZZ_AdventPOS_Raw_ItemSize.csv"]
+             "ZZ_AdventPOS_Raw_ItemSize.csv", "invoices.csv", "old/OLD-Inv.csv"]
     return su.select(s("s_suppkey").alias("retailer_id"), F.explode(F.array(*[F.lit(x) for x in names])).alias("f")) \
         .select("retailer_id", F.concat(F.lit("exports/s"), F.col("retailer_id"), F.lit("/"), F.col("f")).alias("_file_name"))

@@ -10,6 +10,8 @@ every dedup / pick / join is keyed by ``retailer_id`` first.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +19,9 @@ from tillflow.functions import text as T
 from tillflow.operators import pick
 from tillflow.operators.columns import (KEY, ORD, cast_canonical, cols_backfill, cols_canonical,
                                         cols_lower, cols_rename, cols_rename_ordinal, filter_digit_id,
-                                        filter_level, filter_zero_price)
+                                        filter_level, filter_zero_price, member_prune)
 from tillflow.operators.joins import join_anchor_left, join_inner_chain, join_lookup_left
+from tillflow.sources.structured import outer_upcs
 
 # ---------------------------------------------------------------------------
 # Source column -> canonical column, per POS system.
@@ -76,6 +79,7 @@ SPIRIT_XML_MAP = {
     "unitprice": "price_regular", "sale": "price_sale", "stockqty": "qty_on_hand",
     "pack": "wholesale_package_size", "onsale": "onsale",
 }
+SPIRIT_INV = ["sku", "name", "sname", "ml", "pack", "sdate", "typename", "websent", "sent"]
 SPIRIT_STANDARD_LEVEL = "1"
 SPIRIT_TOWER_LEVEL = "7"
 LIGHTSPEED_MAP = {
@@ -124,10 +128,23 @@ PTECH_MAP = {
 KEYS = [KEY, "rt_product_id"]
 
 
+def adapter(prepare):
+    """A feed adapter: ``prepare`` maps raw frames to rows under canonical names,
+    the adapter finishes them.  ``adapter.prepare`` is kept for ``rejects``."""
+    @functools.wraps(prepare)
+    def feed(*args, **kwargs):
+        return finish(prepare(*args, **kwargs))
+    feed.prepare = prepare
+    return feed
+
+
+def _product_id():
+    return T.strip_dot_zero(F.col("rt_product_id").cast("string"))
+
+
 def clean_id(df: DataFrame) -> DataFrame:
-    """Product id as text without any '.0'; rows with no id are removed
-    (see ``rejects``)."""
-    pid = T.strip_dot_zero(F.col("rt_product_id").cast("string"))
+    """Product id as text without any '.0'; rows with no id go to ``rejects``."""
+    pid = _product_id()
     return df.withColumn("rt_product_id", pid).where(pid.isNotNull() & (pid != ""))
 
 
@@ -143,11 +160,12 @@ def finish(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
     return cols_canonical(df, extra)
 
 
-def rejects(df: DataFrame, source: str) -> DataFrame:
-    """Rows an adapter cannot use, with a reason (missing product id)."""
-    pid = F.col("rt_product_id").cast("string") if "rt_product_id" in df.columns else F.lit(None)
-    bad = df.where(pid.isNull() | (pid == ""))
-    rec = F.to_json(F.struct(*[F.col(c) for c in df.columns if c != KEY]))
+def rejects(prepared: DataFrame, source: str) -> DataFrame:
+    """Rows of a prepared feed that ``finish`` cannot use, with a reason
+    (missing product id) and the whole record as JSON."""
+    pid = _product_id() if "rt_product_id" in prepared.columns else F.lit(None).cast("string")
+    bad = prepared.where(pid.isNull() | (pid == ""))
+    rec = F.to_json(F.struct(*[F.col(f"`{c}`") for c in prepared.columns if c not in (KEY, ORD)]))
     return bad.select(F.col(KEY).cast("string").alias(KEY), F.lit(source).alias("source"),
                       F.lit("missing_product_id").alias("reason"), rec.alias("record"))
 
@@ -159,6 +177,7 @@ def _wholesale_pack(df: DataFrame, word: str = " Pack", strip: bool = True) -> D
                          F.when(w.isNull(), F.lit("")).otherwise(F.concat(txt, F.lit(word))))
 
 
+@adapter
 def feed_mpower(raw: DataFrame) -> DataFrame:
     df = cols_rename(cols_lower(raw), MPOWER_MAP)
     if "wholesale_package_size" in df.columns:
@@ -166,12 +185,13 @@ def feed_mpower(raw: DataFrame) -> DataFrame:
         w = T.strict_double(F.col("wholesale_package_size").cast("string"), exponent=True)
         df = df.withColumns({
             "rt_wholesale_qty": F.coalesce(T.float_text(F.try_divide(q, w)), F.lit("")),
-            "wholesale_package_size": F.when(w.isNotNull(), F.concat(w.cast("long").cast("string"), F.lit(" Pack")))
+            "wholesale_package_size": F.when(w.isNotNull(), F.concat(T.integer_text(w), F.lit(" Pack")))
                                        .otherwise(F.lit("")),
         })
-    return finish(df)
+    return df
 
 
+@adapter
 def feed_winepos(raw: DataFrame, as_of: str) -> DataFrame:
     df = cols_rename_ordinal(raw, WINEPOS_MAP)
     num = {c: T.strict_double(F.col(c).cast("string"), exponent=True)
@@ -185,22 +205,24 @@ def feed_winepos(raw: DataFrame, as_of: str) -> DataFrame:
         "rt_package_size": F.concat(T.blank_if_null(F.col("rt_package_size")), F.lit(" Pack")),
     })
     df = _wholesale_pack(df)
-    return finish(df)
+    return df
 
 
+@adapter
 def feed_tiger(raw: DataFrame) -> DataFrame:
     df = cols_rename(cols_lower(raw), TIGER_MAP)
     df = df.withColumn("rt_product_type", T.dept_code_type(F.col("rt_product_type"), *TIGER_DEPT_CODES))
-    return finish(df)
+    return df
 
 
+@adapter
 def feed_cashregisterexpress(raw: DataFrame, v2: bool = False) -> DataFrame:
     df = cols_rename_ordinal(raw, CRE_V2_MAP if v2 else CRE_MAP)
     df = df.withColumns({
         "rt_product_id": T.id_remove_dash(F.col("rt_product_id").cast("string")),
         "price_sale": T.numeric_or_zero(F.col("price_sale")),
     })
-    return finish(df)
+    return df
 
 
 def _liquorpos(barcodes: DataFrame, liqcode: DataFrame, digits_only: bool) -> DataFrame:
@@ -219,13 +241,15 @@ def _liquorpos(barcodes: DataFrame, liqcode: DataFrame, digits_only: bool) -> Da
         "rt_brand_description": T.desc_compose(F.col("rt_brand_name"), F.col("rt_brand_description")),
     })
     df = _wholesale_pack(df)
-    return finish(df)
+    return df
 
 
+@adapter
 def feed_liquorpos(barcodes: DataFrame, liqcode: DataFrame) -> DataFrame:
     return _liquorpos(barcodes, liqcode, digits_only=True)
 
 
+@adapter
 def feed_liquorpos_csv(barcodes: DataFrame, liqcode: DataFrame) -> DataFrame:
     return _liquorpos(barcodes, liqcode, digits_only=False)
 
@@ -255,15 +279,13 @@ def spirit_latest(member: DataFrame, keep: list[str], ts: str = "tstamp") -> Dat
     return m.select(KEY, "sku", *keep, *extra)
 
 
-def _spirit_finish(df: DataFrame, mapping: dict, pack_word_cols: list[str]) -> DataFrame:
+def _spirit_rows(df: DataFrame, mapping: dict, pack_word_cols: list[str]) -> DataFrame:
     tie = [c for c in ("_ord_upc", "_ord_prc", "_ord_back") if c in df.columns]
     df = df.withColumn(ORD, F.struct(*[F.col(c) for c in tie]) if tie else F.lit(0))
     df = pick.first_per_key(df, [KEY, "sku"],
                             [F.col("upc").isNull(), F.col("upc").cast("string").try_cast("double"),
                              F.col("upc").cast("string"), F.col(ORD)], tiebreak_all=True)
     df = df.drop(*tie)
-    if "qty_on_hand" in df.columns:
-        pass
     df = cols_rename(df, mapping)
     adds = {}
     for c in pack_word_cols:
@@ -271,43 +293,41 @@ def _spirit_finish(df: DataFrame, mapping: dict, pack_word_cols: list[str]) -> D
             adds[c] = F.concat(T.blank_if_null(F.col(c).cast("string")), F.lit(" pack"))
     if adds:
         df = df.withColumns(adds)
-    return finish(df)
+    return df
 
 
+@adapter
 def feed_spirit2000_csv(inv: DataFrame, prc: DataFrame, stk: DataFrame, upc: DataFrame) -> DataFrame:
     members = {
-        "inv": cols_lower(inv).select(KEY, *[c for c in ("sku", "name", "sname", "ml", "pack", "sdate",
-                                                          "typename", "websent", "sent")
-                                              if c in cols_lower(inv).columns]),
+        "inv": member_prune(inv, SPIRIT_INV).drop(ORD),
         "prc": spirit_prices(prc, SPIRIT_STANDARD_LEVEL, max_qty=True),
         "stk": spirit_latest(stk, ["back"]),
         "upc": spirit_latest(upc, ["upc"]),
     }
     df = join_anchor_left(members, [KEY, "sku"])
     df = df.withColumn("qty_on_hand", T.safe_divide(F.col("back"), F.col("qty")))
-    return _spirit_finish(df, SPIRIT_CSV_MAP, ["rt_package_size", "wholesale_package_size"])
+    return _spirit_rows(df, SPIRIT_CSV_MAP, ["rt_package_size", "wholesale_package_size"])
 
 
+@adapter
 def feed_spirit2000_dbf(inv: DataFrame, prc: DataFrame, stk: DataFrame, upc: DataFrame) -> DataFrame:
-    i = cols_lower(inv)
-    i = i.select(KEY, *[c for c in ("sku", "name", "sname", "ml", "pack", "sdate", "typename", "websent", "sent")
-                        if c in i.columns])
+    i = member_prune(inv, SPIRIT_INV).drop(ORD)
     df = join_inner_chain([i, spirit_prices(prc, SPIRIT_STANDARD_LEVEL, max_qty=True),
                            spirit_latest(stk, ["back"]), spirit_latest(upc, ["upc"])], [KEY, "sku"])
-    return _spirit_finish(df, SPIRIT_DBF_MAP, ["rt_package_size"])
+    return _spirit_rows(df, SPIRIT_DBF_MAP, ["rt_package_size"])
 
 
+@adapter
 def feed_spirit2000_tower(inv: DataFrame, prc: DataFrame, stk: DataFrame, upc: DataFrame,
                           upc_ts: str = "last") -> DataFrame:
-    i = cols_lower(inv)
-    i = i.select(KEY, *[c for c in ("sku", "name", "sname", "ml", "pack", "sdate", "typename", "websent", "sent")
-                        if c in i.columns])
+    i = member_prune(inv, SPIRIT_INV).drop(ORD)
     df = join_inner_chain([i, spirit_prices(prc, SPIRIT_TOWER_LEVEL, max_qty=False),
                            spirit_latest(stk, ["back"]), spirit_latest(upc, ["upc"], ts=upc_ts)], [KEY, "sku"])
     df = df.withColumn("qty_on_hand", T.safe_divide(F.col("back"), F.col("qty")))
-    return _spirit_finish(df.drop("back"), SPIRIT_TOWER_MAP, ["rt_package_size"])
+    return _spirit_rows(df.drop("back"), SPIRIT_TOWER_MAP, ["rt_package_size"])
 
 
+@adapter
 def feed_spirit2000_xml(rows: DataFrame) -> DataFrame:
     df = cols_rename(cols_lower(rows), SPIRIT_XML_MAP)
     sale = T.strict_double(F.col("price_sale").cast("string"), exponent=True)
@@ -315,35 +335,39 @@ def feed_spirit2000_xml(rows: DataFrame) -> DataFrame:
         "wholesale_package_size": F.concat(T.blank_if_null(F.col("wholesale_package_size")), F.lit(" pack")),
         "price_sale": T.sale_flag(F.col("onsale").cast("string"), sale),
     })
-    return finish(df)
+    return df
 
 
+@adapter
 def feed_lightspeed(items: DataFrame) -> DataFrame:
-    return finish(cols_rename(cols_lower(items), LIGHTSPEED_MAP))
+    return cols_rename(cols_lower(items), LIGHTSPEED_MAP)
 
 
+@adapter
 def feed_square(rows: DataFrame) -> DataFrame:
     df = cols_rename(cols_lower(rows), SQUARE_MAP)
     df = df.withColumn("price_regular", T.cents_to_units(
         T.strict_double(F.col("price_regular").cast("string"), exponent=True)))
-    return finish(df)
+    return df
 
 
+@adapter
 def feed_cobaltconnect(raw: DataFrame) -> DataFrame:
     df = cols_rename(cols_lower(raw), COBALT_MAP)
     df = df.withColumn("rt_upc_code", T.upc_strip_prefix(F.col("rt_upc_code").cast("string")))
     if "wholesale_package_size" in df.columns:
         df = df.withColumn("wholesale_package_size", T.wholesale_label(F.col("wholesale_package_size")))
-    return finish(df)
+    return df
 
 
 def kmds_wholesale(case_qty, units) -> F.Column:
     """Case size > 1 -> 'N Pack'; else integer-like units per case -> 'N Pack'; else ''."""
     cq = T.strict_double(F.col(case_qty).cast("string"), exponent=True)
-    return F.when(cq > 1, F.concat(cq.cast("long").cast("string"), F.lit(" Pack"))).otherwise(
+    return F.when(cq > 1, F.concat(T.integer_text(cq), F.lit(" Pack"))).otherwise(
         T.wholesale_label(F.col(units)))
 
 
+@adapter
 def feed_kmds(raw: DataFrame) -> DataFrame:
     df = cols_rename(cols_lower(raw), KMDS_MAP)
     df = df.withColumns({
@@ -355,13 +379,14 @@ def feed_kmds(raw: DataFrame) -> DataFrame:
             "wholesale_package_size": kmds_wholesale("sizecaseqty", "unitspercase")}
     if "rt_item_size" in df.columns:
         adds["rt_item_size"] = T.size_oz(F.col("rt_item_size").cast("string"))
-    return finish(df.withColumns(adds))
+    return df.withColumns(adds)
 
 
+@adapter
 def feed_adventpos(raw: DataFrame, itemsize: DataFrame, itempack: DataFrame) -> DataFrame:
     items = cols_lower(raw)
-    df = join_lookup_left(items, cols_lower(itempack).select("packid", "packname"), ["packid"])
-    df = join_lookup_left(df, cols_lower(itemsize).select("sizeid", "sizename"), ["sizeid"])
+    df = join_lookup_left(items, cols_lower(itempack).select(KEY, "packid", "packname"), ["packid"])
+    df = join_lookup_left(df, cols_lower(itemsize).select(KEY, "sizeid", "sizename"), ["sizeid"])
     df = cols_rename(df, ADVENT_MAP)
     dept = T.dept_code_type(F.col("rt_product_type"), *ADVENT_DEPT_CODES)
     df = df.withColumns({
@@ -372,9 +397,10 @@ def feed_adventpos(raw: DataFrame, itemsize: DataFrame, itempack: DataFrame) ->
     })
     if "price_sale" in df.columns:
         df = df.withColumn("price_sale", T.numeric_or_zero(F.col("price_sale")))
-    return finish(df)
+    return df
 
 
+@adapter
 def feed_businessmasterespanol(raw: DataFrame, as_of: str) -> DataFrame:
     df = cols_rename(cols_lower(raw), BME_MAP)
     start, end = T.parse_ts(F.col("salestartdate")), T.parse_ts(F.col("saleenddate"))
@@ -386,27 +412,30 @@ def feed_businessmasterespanol(raw: DataFrame, as_of: str) -> DataFrame:
         "rt_package_size": F.concat(T.blank_if_null(F.col("rt_package_size")), F.lit(" Pack")),
         "price_sale": T.sale_in_window_diff(reg, sale, start, end, as_of),
     })
-    return finish(df)
+    return df
 
 
+@adapter
 def feed_fastraxpos(raw: DataFrame) -> DataFrame:
-    return finish(cols_rename(cols_lower(raw), FASTRAX_MAP))
+    return cols_rename(cols_lower(raw), FASTRAX_MAP)
 
 
+@adapter
 def feed_ptech(raw: DataFrame) -> DataFrame:
     df = cols_rename(cols_lower(raw), PTECH_MAP)
-    return finish(df.withColumn("rt_upc_code", T.upc_digits_only(F.col("rt_upc_code").cast("string"))))
+    return df.withColumn("rt_upc_code", T.upc_digits_only(F.col("rt_upc_code").cast("string")))
 
 
+@adapter
 def feed_lajoypos(raw: DataFrame) -> DataFrame:
     df = cols_lower(raw)
-    return finish(df.withColumn("rt_upc_code", T.upc_digits_only(F.col("rt_upc_code").cast("string"))))
+    return df.withColumn("rt_upc_code", T.upc_digits_only(F.col("rt_upc_code").cast("string")))
 
 
 def mpower_api_rows(items: DataFrame) -> DataFrame:
     """Landed item pages (one row per item, ``AdditionalUpcs`` array) ->
     base-feed columns: one row per item and extra UPC (outer)."""
-    x = items.select("*", F.posexplode_outer("AdditionalUpcs").alias("_pos", "_add")).drop("AdditionalUpcs")
+    x = outer_upcs(items)
     if ORD in x.columns:
         x = x.withColumn(ORD, F.struct(F.col(ORD).alias("item"), F.col("_pos").alias("pos")))
     up, ret, qty = F.col("_add.Upc"), F.col("_add.Retail"), F.col("_add.Quantity")
@@ -426,5 +455,6 @@ def mpower_api_rows(items: DataFrame) -> DataFrame:
     )
 
 
+@adapter
 def feed_mpower_api(items: DataFrame) -> DataFrame:
-    return feed_mpower(mpower_api_rows(items))
+    return feed_mpower.prepare(mpower_api_rows(items))

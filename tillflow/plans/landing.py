@@ -1,22 +1,33 @@
 """Write derived feeds to the shared folder in a POS export format.
 
-Used by the scan queries: a feed derived from the driver tables is written
-as the POS would export it (one file per retailer, rows in file order), then
-read back through the matching source.  Paths live under the cluster's
-shared checkpoint folder (``tillflow.session.shared_dir``).
+Used by the scan queries: a feed derived from the driver tables is written as
+the POS would export it, then read back through the matching source.  Paths lie
+under the cluster's shared checkpoint folder (``tillflow.session.shared_dir``)
+and are written by Spark's own writers only.  A retailer's rows are ranged over
+several files in file order (part numbers rise with it), so a large retailer is
+many tasks; formats with a preamble give each part file its own.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.operators.columns import KEY, ORD
 from tillflow.session import shared_dir
 
+META = (KEY, ORD, "_line", "_part")
 
-def _one_file_per_retailer(df: DataFrame) -> DataFrame:
-    return df.repartition(KEY).sortWithinPartitions(KEY, ORD)
+
+def in_order(df: DataFrame) -> DataFrame:
+    """Ranges over (retailer, file order): files of a retailer follow each other."""
+    return df.repartitionByRange(KEY, ORD).sortWithinPartitions(KEY, ORD)
+
+
+def _text(df: DataFrame) -> DataFrame:
+    cols = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns if c not in META]
+    return in_order(df).select(KEY, ORD, *cols).drop(ORD)
 
 
 def land_csv(spark: SparkSession, df: DataFrame, name: str, sep: str = ",", header: bool = True,
@@ -24,25 +35,23 @@ def land_csv(spark: SparkSession, df: DataFrame, name: str, sep: str = ",", head
     """Write ``df`` (retailer_id, _ord, text columns) as delimited files,
     one directory per retailer, rows in ``_ord`` order."""
     path = path or shared_dir(spark, "landing", name)
-    cols = [F.col(c).cast("string").alias(c) for c in df.columns if c not in (KEY, ORD, "_line")]
-    (_one_file_per_retailer(df).select(KEY, ORD, *cols).drop(ORD)
-     .write.mode(mode).partitionBy(KEY).option("header", header).option("sep", sep).csv(path))
+    _text(df).write.mode(mode).partitionBy(KEY).option("header", header).option("sep", sep).option("escape", '"').csv(path)
     return path
 
 
 def land_lines(spark: SparkSession, lines: DataFrame, name: str) -> str:
-    """Write pre-formatted text lines (retailer_id, _ord, value)."""
+    """Write pre-formatted text lines (retailer_id, _part, _ord, value): one file
+    per retailer and part, each with its own preamble."""
     path = shared_dir(spark, "landing", name)
-    _one_file_per_retailer(lines).select(KEY, ORD, "value").drop(ORD).write.partitionBy(KEY).text(path)
+    (lines.repartition(KEY, "_part").sortWithinPartitions(KEY, "_part", ORD).select(KEY, "_part", "value")
+     .write.partitionBy(KEY, "_part").text(path))
     return path
 
 
 def land_xml(spark: SparkSession, df: DataFrame, name: str, row_tag: str = "webtable",
              root_tag: str = "NewDataSet") -> str:
     path = shared_dir(spark, "landing", name)
-    cols = [F.col(c).cast("string").alias(c) for c in df.columns if c not in (KEY, ORD, "_line")]
-    (_one_file_per_retailer(df).select(KEY, ORD, *cols).drop(ORD)
-     .write.partitionBy(KEY).format("xml").option("rowTag", row_tag).option("rootTag", root_tag).save(path))
+    _text(df).write.partitionBy(KEY).format("xml").option("rowTag", row_tag).option("rootTag", root_tag).save(path)
     return path
 
 
@@ -57,85 +66,60 @@ def retailer_from_path(df: DataFrame) -> DataFrame:
     return df.withColumn(KEY, F.col(KEY).cast("string"))
 
 
-def land_dbf(spark: SparkSession, df: DataFrame, name: str, member: str) -> str:
-    """Write one dBase table per retailer (``<root>/<retailer>/<member>.dbf``)
-    from executors (each task writes its retailers' files).  Returns the root."""
-    import os
-
-    from tillflow.session import local_path
-    from tillflow.sources.dbf import DbfWriter
-
-    root = local_path(shared_dir(spark, "landing", name))
-    cols = [(c, t) for c, t in df.dtypes if c not in (KEY, ORD, "_line")]
-    order = [ORD] if ORD in df.columns else []
-
-    def write(it):
-        # rows arrive sorted by retailer; one streaming writer per retailer
-        import pandas as pd
-        cur, w, done = None, None, []
-        for pdf in it:
-            for rid, g in pdf.groupby(KEY, sort=False):
-                if rid != cur:
-                    if w is not None:
-                        done.append((str(cur), w.close()))
-                    d = os.path.join(root, str(rid))
-                    os.makedirs(d, exist_ok=True)
-                    cur, w = rid, DbfWriter(os.path.join(d, f"{member}.dbf"), cols)
-                w.append(tuple(None if pd.isna(v) else (v.to_pydatetime() if hasattr(v, "to_pydatetime") else v)
-                               for v in r) for r in g[[c for c, _ in cols]].itertuples(index=False, name=None))
-        if w is not None:
-            done.append((str(cur), w.close()))
-        yield pd.DataFrame({"retailer_id": [r for r, _ in done], "n": [n for _, n in done]})
-
-    sel = df.select(KEY, *[c for c, _ in cols], *order)
-    if order:
-        sel = sel.repartition(KEY).sortWithinPartitions(KEY, *order).drop(*order)
-    else:
-        sel = sel.repartition(KEY).sortWithinPartitions(KEY)
-    sel.mapInPandas(write, "retailer_id string, n long").count()
-    return root
-
-
-def land_zip_members(spark: SparkSession, members: dict, name: str) -> str:
-    """One zip archive per retailer holding one CSV per member
-    (``members``: member file name -> frame with retailer_id, _ord, columns).
-
-    Each member is first landed as CSV (one file per retailer, in file
-    order); executors then zip each retailer's member files, streaming.
-    Returns the folder holding the archives.
-    """
-    import os
-    import shutil
-    import zipfile
-
-    from tillflow.session import local_path
-
-    staged = {m: local_path(land_csv(spark, d, f"{name}_{m}")) for m, d in members.items()}
-    root = local_path(shared_dir(spark, "landing", name))
-    os.makedirs(root, exist_ok=True)
-    retailers = None
-    for d in members.values():
-        r = d.select(KEY).distinct()
-        retailers = r if retailers is None else retailers.unionByName(r).distinct()
-
-    def zip_one(it):
-        import glob
-
-        import pandas as pd
-        done = []
-        for pdf in it:
-            for rid in pdf[KEY]:
-                with zipfile.ZipFile(os.path.join(root, f"{rid}.zip"), "w", zipfile.ZIP_DEFLATED) as z:
-                    for member, folder in staged.items():
-                        parts = sorted(glob.glob(os.path.join(folder, f"{KEY}={rid}", "part-*")))
-                        with z.open(member, "w") as out:
-                            for i, part in enumerate(parts):
-                                with open(part, "rb") as fin:
-                                    if i:
-                                        fin.readline()          # header repeated in later parts
-                                    shutil.copyfileobj(fin, out, 1 << 20)
-                done.append(str(rid))
-        yield pd.DataFrame({KEY: done})
-
-    retailers.mapInPandas(zip_one, f"{KEY} string").count()
-    return root
+def _files(df: DataFrame, name: str, make, spark: SparkSession) -> DataFrame:
+    path = shared_dir(spark, "landing", name)
+    df.groupBy(KEY, "_part").applyInArrow(make, "path string, content binary").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def land_dbf(spark: SparkSession, df: DataFrame, name: str, member: str) -> DataFrame:
+    """``path, content`` of dBase files ``<retailer>/<part>/<member>.dbf`` (parts
+    hold a bounded range of the retailer's rows), stored in the shared folder."""
+    cols = [(c, t) for c, t in df.dtypes if c not in META]
+
+    def make(rows: pa.Table) -> pa.Table:
+        from tillflow.sources.dbf import encode_table
+        key, part = rows.column(KEY)[0].as_py(), rows.column("_part")[0].as_py()
+        data = rows.sort_by([("_n", "ascending")]).select([c for c, _ in cols])
+        content = encode_table(cols, zip(*(data.column(c).to_pylist() for c, _ in cols)))
+        return pa.table({"path": pa.array([f"{key}/{part:012d}/{member}.dbf"]), "content": pa.array([content], pa.binary())})
+
+    return _files(_numbered(df), name, make, spark)
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """``_n``: the order of a row within its part."""
+    from pyspark.sql import Window
+    return df.withColumn("_n", F.row_number().over(Window.partitionBy(KEY, "_part").orderBy(ORD))).drop(ORD, "_line")
+
+
+def land_zip_members(spark: SparkSession, members: dict, name: str) -> DataFrame:
+    """``path, content`` of one zip archive per retailer and part, a CSV per
+    member (``members``: file name -> frame with retailer_id, _part, _ord, columns)."""
+    stacked = None
+    columns = {}
+    for member, d in members.items():
+        columns[member] = [c for c in d.columns if c not in META]
+        rows = _numbered(d).select(KEY, "_part", "_n", F.lit(member).alias("member"),
+                                   F.array(*[F.col(f"`{c}`").cast("string") for c in columns[member]]).alias("cells"))
+        stacked = rows if stacked is None else stacked.unionByName(rows)
+
+    def make(rows: pa.Table) -> pa.Table:
+        import csv
+        import io
+        import zipfile
+        key, part = rows.column(KEY)[0].as_py(), rows.column("_part")[0].as_py()
+        rows = rows.sort_by([("member", "ascending"), ("_n", "ascending")])
+        texts = {m: io.StringIO() for m in columns}
+        writers = {m: csv.writer(t, lineterminator="\n") for m, t in texts.items()}
+        for m, w in writers.items():
+            w.writerow(columns[m])
+        for m, cells in zip(rows.column("member").to_pylist(), rows.column("cells").to_pylist()):
+            writers[m].writerow(["" if c is None else c for c in cells])
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for m, t in texts.items():
+                z.writestr(m, t.getvalue())
+        return pa.table({"path": pa.array([f"{key}/{part:012d}/export.zip"]), "content": pa.array([out.getvalue()], pa.binary())})
+
+    return _files(stacked, name, make, spark)

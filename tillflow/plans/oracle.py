@@ -162,35 +162,29 @@ def blank(e: str) -> str:
     return f"regexp_matches(coalesce({e}, ''), '^\\s*$')"
 
 
-def parse_ctes(src: str, keys: list[str], d: str = "rt_brand_description",
+def parse_ctes(src: str, d: str = "rt_brand_description",
                p: str = "rt_package_size", i: str = "rt_item_size", prefix: str = "pp") -> tuple[str, str]:
-    """CTEs adding the six parsed columns to CTE ``src`` (unique ``keys``).
+    """CTEs adding the six parsed columns to CTE ``src`` (its texts are never null).
 
-    Returns (ctes, final_cte_name).  Texts are unpivoted so each rule family
-    is written once, then pivoted back with three joins.
+    Returns (ctes, final_cte_name).  The rules run once over the distinct texts
+    of all columns and are joined back by text.
     """
-    kc = ", ".join(keys)
-    on = lambda a, b: " AND ".join(f"{a}.{k} IS NOT DISTINCT FROM {b}.{k}" for k in keys)
     ctes = f"""
-{prefix}_texts AS (
-  SELECT {kc}, 'd' AS role, {d} AS t FROM {src}
-  UNION ALL SELECT {kc}, 'p', {p} FROM {src}
-  UNION ALL SELECT {kc}, 'i', {i} FROM {src}),
-{prefix}_norm AS (
-  SELECT {kc}, role, {pack_text('t')} AS pt, {item_text('t')} AS it, {container_text('t')} AS ct
-  FROM {prefix}_texts),
-{prefix}_rules AS (
-  SELECT {kc}, role, {pack_case('pt')} AS pk, {item_case('it')} AS itm, {container_case('ct')} AS ctr
-  FROM {prefix}_norm),
-{prefix}_pick AS (
+{prefix}_texts AS MATERIALIZED (
+  SELECT {d} AS t FROM {src} UNION SELECT {p} FROM {src} UNION SELECT {i} FROM {src}),
+{prefix}_norm AS MATERIALIZED (
+  SELECT t, {pack_text('t')} AS pt, {item_text('t')} AS it, {container_text('t')} AS ct FROM {prefix}_texts),
+{prefix}_rules AS MATERIALIZED (
+  SELECT t, {pack_case('pt')} AS pk, {item_case('it')} AS itm, {container_case('ct')} AS ctr FROM {prefix}_norm),
+{prefix}_pick AS MATERIALIZED (
   SELECT s.*,
     coalesce(rd.pk, rp.pk, 1.0) AS package_size_num,
     CASE WHEN ri.itm.size IS NOT NULL THEN ri.itm WHEN rp.itm.size IS NOT NULL THEN rp.itm ELSE rd.itm END AS it0,
     coalesce(ri.ctr, rp.ctr, rd.ctr) AS ct0
   FROM {src} s
-  JOIN {prefix}_rules rd ON {on('rd', 's')} AND rd.role = 'd'
-  JOIN {prefix}_rules rp ON {on('rp', 's')} AND rp.role = 'p'
-  JOIN {prefix}_rules ri ON {on('ri', 's')} AND ri.role = 'i'),
+  JOIN {prefix}_rules rd ON rd.t = s.{d}
+  JOIN {prefix}_rules rp ON rp.t = s.{p}
+  JOIN {prefix}_rules ri ON ri.t = s.{i}),
 {prefix}_std AS (
   SELECT *, CASE WHEN upper(it0.unit) = 'L' AND it0.size < 1.0 THEN {{'size': it0.size * 1000.0, 'unit': 'ML'}}
                  WHEN upper(it0.unit) = 'ML' AND it0.size >= 1000.0 THEN {{'size': it0.size / 1000.0, 'unit': 'L'}}
@@ -232,8 +226,8 @@ CANON = ["rt_product_id", "rt_upc_code", "rt_brand_name", "rt_brand_description"
 # ---------------------------------------------------------------------------
 
 F1 = """f1 AS (
-select '1' as retailer_id, p_partkey as _ord,
- cast(p_partkey as varchar) as product_id,
+select cast(p_partkey % 10 + 1 as varchar) as retailer_id, p_partkey as _ord,
+ case when p_partkey % 89 = 0 then '' else cast(p_partkey as varchar) end as product_id,
  concat('0', cast(p_partkey * 7919 as varchar), case when p_partkey % 10 = 0 then '.0' else '' end) as upc_code,
  p_brand as brand_name,
  concat(p_name, ' ', case p_partkey % 12 when 0 then '6 PK 12 OZ CANS' when 1 then '12/ PK BTL' when 2 then '750 ML'
@@ -342,8 +336,9 @@ select cast(l_suppkey as varchar) as retailer_id, struct_pack(o := l_orderkey, n
 from lineitem),
 f2_stk AS (
 select cast(l_suppkey as varchar) as retailer_id, struct_pack(o := l_orderkey, n := l_linenumber, p := l_partkey, s := l_suppkey, e := l_extendedprice, q := l_quantity) as _ord, l_orderkey * 8 + l_linenumber as _line,
- cast(l_partkey as varchar) as sku, l_quantity as back, l_shipdate as tstamp
-from lineitem where l_linestatus = 'O'),
+ case when l_linestatus = 'O' then cast(l_partkey as varchar) else 'x' || cast(l_partkey as varchar) end as sku,
+ l_quantity as back, l_shipdate as tstamp
+from lineitem),
 f2_upc AS (
 select cast(l_suppkey as varchar) as retailer_id, struct_pack(o := l_orderkey, n := l_linenumber, p := l_partkey, s := l_suppkey, e := l_extendedprice, q := l_quantity) as _ord, l_orderkey * 8 + l_linenumber as _line,
  cast(l_partkey as varchar) as sku,
@@ -463,13 +458,15 @@ k2 AS (SELECT retailer_id, _ord, id AS rt_product_id, up AS rt_upc_code, '' AS r
 
 
 F3 = """f3_items AS (
-select '1' as retailer_id, p_partkey as _ord, cast(p_partkey as varchar) as sku, p_name as itemname,
- p_brand as description, p_size % 7 as packid, p_size % 30 as sizeid,
+select cast(p_partkey % 12 as varchar) as retailer_id, p_partkey as _ord, cast(p_partkey as varchar) as sku, p_name as itemname,
+ p_brand as description, cast(p_size % 7 as varchar) as packid, cast(p_size % 30 as varchar) as sizeid,
  cast(p_size % 6 as varchar) as catid, p_retailprice as priceperunit,
  cast(p_partkey * 13 as varchar) as mainupc, cast(p_size * 2 as varchar) as instoreqty
 from part),
-f3_pack AS (select r_regionkey as packid, concat(cast(r_regionkey * 6 as varchar), ' PK,', r_name) as packname from region),
-f3_size AS (select n_nationkey as sizeid, concat(cast(n_nationkey * 50 as varchar), ' ML') as sizename from nation)"""
+f3_pack AS (select cast(r as varchar) as retailer_id, cast(r_regionkey as varchar) as packid,
+ concat(cast(r_regionkey * 6 + r as varchar), ' PK,', r_name) as packname from region, range(12) t(r)),
+f3_size AS (select cast(r as varchar) as retailer_id, cast(n_nationkey as varchar) as sizeid,
+ concat(cast(n_nationkey * 50 + r as varchar), ' ML') as sizename from nation, range(12) t(r))"""
 
 
 def dept_sql(x: str, beer: int, liquor: int, wine: int) -> str:
@@ -479,7 +476,7 @@ def dept_sql(x: str, beer: int, liquor: int, wine: int) -> str:
 
 
 def advent_sql() -> str:
-    body = f"""a0 AS (SELECT * FROM f3_items LEFT JOIN f3_pack USING (packid) LEFT JOIN f3_size USING (sizeid)),
+    body = f"""a0 AS (SELECT * FROM f3_items LEFT JOIN f3_pack USING (retailer_id, packid) LEFT JOIN f3_size USING (retailer_id, sizeid)),
 a1 AS (SELECT retailer_id, _ord, sku AS rt_product_id, mainupc AS rt_upc_code, itemname AS rt_brand_name,
     coalesce(itemname, '') || ' ' || coalesce(description, '') AS rt_brand_description,
     {dept_sql('catid', 5, 1, 2)} AS rt_product_type, {dept_sql('catid', 5, 1, 2)} AS rt_product_category,
@@ -579,7 +576,7 @@ MPOWER_API_FLAT = """mpa_flat AS (
     o_orderpriority AS product_category,
     CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_orderkey % 12 + 1 AS DOUBLE) END AS cq,
     o_totalprice, l_extendedprice, l_quantity
-  FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_linestatus = 'O'),
+  FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey),
 mpa AS (
   SELECT retailer_id, row_number() OVER (ORDER BY o_orderkey, CAST(l_linenumber AS VARCHAR) NULLS FIRST,
                                          l_extendedprice NULLS FIRST, l_quantity NULLS FIRST) AS _ord,
@@ -675,17 +672,21 @@ def liquorpos_sql(digits_only: bool) -> str:
 
 
 LIGHTSPEED = """ls_items AS (
-  SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS itemID, CAST(p_partkey * 3 AS VARCHAR) AS systemSku,
-    CAST(p_partkey * 7919 AS VARCHAR) AS upc, p_name AS description, CAST(p_size % 10 AS VARCHAR) AS categoryID,
-    CAST(p_retailprice AS VARCHAR) AS amount, CAST(p_size * 2 AS VARCHAR) AS qoh FROM part),
-ls_cat AS (SELECT CAST(n_nationkey AS VARCHAR) AS categoryID, n_name AS name, 'Spirits/' || n_name AS fullPathName
-  FROM nation WHERE n_nationkey < 8),
-ls_rows AS (SELECT * FROM ls_items LEFT JOIN ls_cat USING (categoryID))"""
+  SELECT p_partkey, CAST(p_partkey % 11 AS VARCHAR) AS retailer_id, CAST(p_partkey AS VARCHAR) AS itemID,
+    CAST(p_partkey * 3 AS VARCHAR) AS systemSku, CAST(p_partkey * 7919 AS VARCHAR) AS upc, p_name AS description,
+    CAST(p_size % 10 AS VARCHAR) AS categoryID,
+    CASE WHEN p_partkey % 11 % 2 = 0 THEN CAST(p_retailprice AS VARCHAR) ELSE CAST(p_retailprice * 0.5 AS VARCHAR) END AS amount,
+    CASE WHEN p_partkey % 11 % 2 = 0 THEN CAST(p_size * 2 AS VARCHAR) ELSE CAST(p_size AS VARCHAR) END AS qoh FROM part),
+ls_cat AS (SELECT CAST(r AS VARCHAR) AS retailer_id,
+    CASE WHEN n_nationkey < 8 THEN CAST(n_nationkey AS VARCHAR) ELSE 'x' || CAST(n_nationkey AS VARCHAR) END AS categoryID,
+    n_name || '-' || CAST(r AS VARCHAR) AS name, 'Spirits/' || n_name || '-' || CAST(r AS VARCHAR) AS fullPathName
+  FROM nation, range(11) t(r)),
+ls_rows AS (SELECT * FROM ls_items LEFT JOIN ls_cat USING (retailer_id, categoryID))"""
 
 
 def lightspeed_sql() -> str:
     body = """ls_canon AS (
-  SELECT '1' AS retailer_id, p_partkey AS _ord, systemSku AS rt_product_id, upc AS rt_upc_code, '' AS rt_brand_name,
+  SELECT retailer_id, p_partkey AS _ord, systemSku AS rt_product_id, upc AS rt_upc_code, '' AS rt_brand_name,
     description AS rt_brand_description, fullPathName AS rt_product_type, name AS rt_product_category,
     '' AS rt_package_size, '' AS rt_item_size, amount AS price_regular, '0' AS price_sale, qoh AS qty_on_hand,
     '' AS wholesale_package_size, '' AS rt_wholesale_qty FROM ls_rows)"""
@@ -694,20 +695,22 @@ def lightspeed_sql() -> str:
 
 
 SQUARE = """sq_var AS (
-  SELECT 'V' || CAST(p_partkey AS VARCHAR) AS vid, p_partkey, 1 AS m FROM part
-  UNION ALL SELECT 'W' || CAST(p_partkey AS VARCHAR), p_partkey, 2 FROM part WHERE p_partkey % 3 = 0),
+  SELECT 'V' || CAST(p_partkey // 13 AS VARCHAR) AS vid, p_partkey, 1 AS m FROM part
+  UNION ALL SELECT 'W' || CAST(p_partkey // 13 AS VARCHAR), p_partkey, 2 FROM part WHERE (p_partkey // 13) % 3 = 0),
 sq_rows AS (
-  SELECT v.vid AS item_variation_object_id, CAST(p.p_partkey * 11 AS VARCHAR) AS sku,
-    CAST(p.p_size * v.m AS VARCHAR) || ' pk' AS vname, CAST(trunc(p.p_retailprice * 100 * v.m) AS BIGINT) AS amount,
-    p.p_name AS iname, p.p_type AS ptype, n.n_name AS cname, CAST(v.p_partkey AS VARCHAR) AS quantity, v.p_partkey
+  SELECT CAST(p.p_partkey % 13 AS VARCHAR) AS retailer_id, v.vid AS item_variation_object_id,
+    CAST(p.p_partkey * 11 AS VARCHAR) AS sku, CAST(p.p_size * v.m AS VARCHAR) || ' pk' AS vname,
+    CAST(trunc(p.p_retailprice * 100 * v.m) AS BIGINT) AS amount, p.p_name AS iname, p.p_type AS ptype,
+    n.n_name || '-' || CAST(p.p_partkey % 13 AS VARCHAR) AS cname, CAST(p.p_partkey // 13 AS VARCHAR) AS quantity, p.p_partkey
   FROM sq_var v JOIN part p ON p.p_partkey = v.p_partkey
-  JOIN nation n ON n.n_nationkey < 6 AND 'C' || CAST(n.n_nationkey AS VARCHAR) = 'C' || CAST(p.p_size % 8 AS VARCHAR)
-  WHERE v.p_partkey % 4 <> 0 AND v.p_partkey % 5 <> 0)"""
+  JOIN nation n ON n.n_nationkey < 6 AND n.n_nationkey = p.p_size % 8
+  WHERE (CASE WHEN (p.p_partkey // 13) % 4 = 0 THEN 2 ELSE 1 END) = p.p_partkey % 13 % 2 + 1
+    AND (p.p_partkey // 13) % 5 <> 0)"""
 
 
 def square_sql() -> str:
     body = """sq_canon AS (
-  SELECT 'sq' AS retailer_id, item_variation_object_id AS _ord, item_variation_object_id AS rt_product_id,
+  SELECT retailer_id, p_partkey AS _ord, item_variation_object_id AS rt_product_id,
     sku AS rt_upc_code, '' AS rt_brand_name, iname AS rt_brand_description, ptype AS rt_product_type,
     cname AS rt_product_category, vname AS rt_package_size, '' AS rt_item_size,
     CAST(amount / 100.0 AS VARCHAR) AS price_regular, '0' AS price_sale, quantity AS qty_on_hand,

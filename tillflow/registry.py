@@ -35,7 +35,7 @@ def q_parse_package(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql_parse_package() -> str:
     mp = O.mpower_ctes("f1", "mp")
-    pctes, pout = O.parse_ctes("mp", ["retailer_id", "rt_product_id"])
+    pctes, pout = O.parse_ctes("mp")
     cols = ", ".join(O.CANON + O.PARSED)
     return O.with_clause(O.F1, mp, pctes) + f"\nSELECT {cols}, 1 AS active, retailer_id FROM {pout}"
 
@@ -55,7 +55,9 @@ from tillflow.functions import package as P  # noqa: E402
 
 
 def _f8_texts(spark, sf_dir):
-    return D.f8_lines(spark, sf_dir).select(F.col("_line").alias("line_id"), F.col("brand_description").alias("text"))
+    # the table lies in one row group: deal it out before the CPU-heavy rules
+    n = spark.sparkContext.defaultParallelism
+    return D.f8_lines(spark, sf_dir, partitions=n).select(F.col("_line").alias("line_id"), F.col("brand_description").alias("text"))
 
 
 @register("pkg_size_rule", O.with_clause(O.F8) + f"""
@@ -90,7 +92,7 @@ def _f8_parsed(spark, sf_dir):
 
 def _f8_parse_sql(select: str) -> str:
     mp = O.mpower_ctes("f8", "mp", casepk=False)
-    pctes, pout = O.parse_ctes("mp", ["retailer_id", "rt_product_id"])
+    pctes, pout = O.parse_ctes("mp")
     src = "pp_fill" if any(x in select for x in ("it0", "it1", "ct0")) else pout
     return O.with_clause(O.F8, mp, pctes) + f"\nSELECT retailer_id, rt_product_id, {select} FROM {src}"
 
@@ -140,10 +142,20 @@ def _f2(spark, sf_dir):
     return (D.f2_inv(spark, sf_dir), D.f2_prc(spark, sf_dir), D.f2_stk(spark, sf_dir), D.f2_upc(spark, sf_dir))
 
 
-register("feed_spirit2000_csv", O.spirit_sql("csv"))(lambda spark, sf: feeds.feed_spirit2000_csv(*_f2(spark, sf)))
-register("feed_spirit2000_dbf", O.spirit_sql("dbf"))(lambda spark, sf: feeds.feed_spirit2000_dbf(*_f2(spark, sf)))
-register("feed_spirit2000_tower", O.spirit_sql("tower"))(
-    lambda spark, sf: feeds.feed_spirit2000_tower(*_f2(spark, sf), upc_ts="tstamp"))
+register("feed_spirit2000_csv", O.spirit_sql("csv"))(lambda spark, sf: feeds.feed_spirit2000_csv(*_landed_spirit_zip(spark, sf)))
+
+
+@register("feed_spirit2000_dbf", O.spirit_sql("dbf"))
+def q_feed_spirit2000_dbf(spark, sf_dir):
+    m = _landed_spirit_dbf(spark, sf_dir)
+    return feeds.feed_spirit2000_dbf(m["inv"], m["prc"], m["stk"], m["upc"])
+
+
+@register("feed_spirit2000_tower", O.spirit_sql("tower"))
+def q_feed_spirit2000_tower(spark, sf_dir):
+    inv, prc, stk, upc = _f2(spark, sf_dir)
+    last = upc.withColumn("LAST", F.date_format("tstamp", "yyyy-MM-dd HH:mm:ss")).drop("tstamp")
+    return feeds.feed_spirit2000_tower(inv, prc, stk, last)
 
 
 @register("win_latest_ties", O.with_clause(O.F2) + f"""
@@ -218,7 +230,12 @@ def q_join_sku_anchor_left(spark, sf_dir):
 
 # ------------------------------------------------------ kmds / adventpos
 
-register("feed_kmds", O.kmds_sql())(lambda spark, sf: feeds.feed_kmds(D.f6_barcodes(spark, sf)))
+def _landed_kmds(spark, sf_dir):
+    path = L.land_lines(spark, D.kmds_lines(spark, sf_dir), "kmds")
+    return L.retailer_from_path(SD.scan_csv_header(spark, path))
+
+
+register("feed_kmds", O.kmds_sql())(lambda spark, sf: feeds.feed_kmds(_landed_kmds(spark, sf)))
 
 
 @register("win_longest_upc", O.with_clause(O.F6) + """
@@ -237,8 +254,8 @@ def q_win_longest_upc(spark, sf_dir):
 @register("agg_max_length", O.with_clause(O.F6) + """
 SELECT retailer_id, id, max(length(upcitemid)) AS max_len FROM f6 GROUP BY retailer_id, id""")
 def q_agg_max_length(spark, sf_dir):
-    return D.f6_barcodes(spark, sf_dir).groupBy("retailer_id", "id").agg(
-        F.max(F.length("upcitemid")).alias("max_len"))
+    from tillflow.operators import pick
+    return pick.max_length(D.f6_barcodes(spark, sf_dir), ["retailer_id", "id"], "upcitemid")
 
 
 register("feed_adventpos", O.advent_sql())(
@@ -246,13 +263,13 @@ register("feed_adventpos", O.advent_sql())(
 
 
 @register("join_lookup_left", O.with_clause(O.F3) + """
-SELECT sku, packid, sizeid, packname, sizename FROM f3_items LEFT JOIN f3_pack USING (packid)
-LEFT JOIN f3_size USING (sizeid)""")
+SELECT retailer_id, sku, packid, sizeid, packname, sizename FROM f3_items LEFT JOIN f3_pack USING (retailer_id, packid)
+LEFT JOIN f3_size USING (retailer_id, sizeid)""")
 def q_join_lookup_left(spark, sf_dir):
     from tillflow.operators.joins import join_lookup_left
-    d = join_lookup_left(D.f3_items(spark, sf_dir), D.f3_pack(spark, sf_dir), ["packid"])
-    d = join_lookup_left(d, D.f3_size(spark, sf_dir), ["sizeid"])
-    return d.select("sku", "packid", "sizeid", "packname", "sizename")
+    d = join_lookup_left(D.f3_items(spark, sf_dir), D.f3_pack(spark, sf_dir).drop("_ord"), ["packid"])
+    d = join_lookup_left(d, D.f3_size(spark, sf_dir).drop("_ord"), ["sizeid"])
+    return d.select("retailer_id", "sku", "packid", "sizeid", "packname", "sizename")
 
 
 # ------------------------------------------------------------- registry
@@ -529,7 +546,6 @@ def q_filter_digit_id(spark, sf_dir):
     return C.filter_digit_id(d, "pid")
 
 
-_F8_UPPER = ["RETAILER_ID", "_ORD", "PRODUCT_ID", "UPC_CODE", "BRAND_NAME", "BRAND_DESCRIPTION", "PRODUCT_TYPE",
              "PRODUCT_CATEGORY", "PACKAGE_SIZE", "PRICE_REGULAR", "SALE_PRICE", "QTY_ON_HAND"]
 
 
@@ -592,12 +608,17 @@ _F1_COLS = ["product_id", "upc_code", "brand_name", "brand_description", "produc
 
 
 def _landed_f1(spark, sf_dir):
+    """F1 as CSV files of three shapes: columns in order, columns reversed, and
+    rows with one field more than their header (the reader drops those)."""
     f1 = D.f1_base(spark, sf_dir)
-    long_rows = (F.col("_ord") % 97) == 0
-    path = L.land_csv(spark, f1.where(~long_rows), "f1_csv")
-    # over-long rows (one field too many) in their own file; the reader drops them
-    L.land_csv(spark, f1.where(long_rows).withColumn("extra", F.lit("X")), "f1_csv", path=path, mode="append")
-    return L.retailer_from_path(SD.scan_csv_header(spark, path, names=_F1_COLS))
+    kind = F.col("_ord") % 97
+    path = L.land_csv(spark, f1.where((kind != 0) & (kind % 2 == 0)), "f1_csv")
+    back = f1.select("retailer_id", "_ord", *reversed(_F1_COLS))
+    L.land_csv(spark, back.where((kind != 0) & (kind % 2 == 1)), "f1_csv", path=path, mode="append")
+    long_rows = f1.where(kind == 0).withColumns({"_part": F.lit(0), "extra": F.lit("X")})
+    lines = L.land_lines(spark, D.csv_lines(long_rows, [*_F1_COLS, "extra"], _F1_COLS), "f1_long")
+    out = SD.scan_csv_header(spark, path)
+    return L.retailer_from_path(out.unionByName(SD.scan_csv_header(spark, lines).drop("_part")))
 
 
 _F1_NO_LONG = O.F1.replace("from part)", "from part where p_partkey % 97 <> 0)")
@@ -607,7 +628,9 @@ _F1_NO_LONG = O.F1.replace("from part)", "from part where p_partkey % 97 <> 0)")
 SELECT retailer_id, """ + ", ".join(f"coalesce({c}, '') AS {c}" for c in _F1_COLS) + " FROM f1")
 def q_scan_csv_header(spark, sf_dir):
     d = _landed_f1(spark, sf_dir)
-    return d.select("retailer_id", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in _F1_COLS])
+    # 'n/a' reads as missing
+    price = F.coalesce("price_regular", F.lit("n/a")).alias("price_regular")
+    return d.select("retailer_id", *[price if c == "price_regular" else F.coalesce(F.col(c), F.lit("")).alias(c) for c in _F1_COLS])
 
 
 @register("feed_mpower_csv", O.with_clause(_F1_NO_LONG, O.mpower_ctes("f1", "mp")) + "\nSELECT * FROM mp")
@@ -615,17 +638,36 @@ def q_feed_mpower_csv(spark, sf_dir):
     return feeds.feed_mpower(_landed_f1(spark, sf_dir))
 
 
+def _numbered(df, *cols, keys=("retailer_id",)):
+    """Raw scanned rows with their number in file order."""
+    from pyspark.sql import Window
+    n = F.row_number().over(Window.partitionBy(*keys).orderBy("_ord")).alias("n")
+    return df.select(*keys, n, *cols)
+
+
+_RAW = O.with_clause("""raw AS (SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id, l_orderkey // 100000 AS part,
+  row_number() OVER (PARTITION BY l_suppkey ORDER BY struct_pack(o := l_orderkey, n := l_linenumber, p := l_partkey,
+    s := l_suppkey, e := l_extendedprice, q := l_quantity)) AS n,
+  row_number() OVER (PARTITION BY l_suppkey, l_orderkey // 100000 ORDER BY struct_pack(o := l_orderkey, n := l_linenumber,
+    p := l_partkey, s := l_suppkey, e := l_extendedprice, q := l_quantity)) AS np, *
+  FROM lineitem JOIN part ON l_partkey = p_partkey)""")
+
+
 def _landed_winepos(spark, sf_dir):
     path = L.land_csv(spark, D.winepos_raw(spark, sf_dir), "winepos", sep="\t", header=False)
     return L.retailer_from_path(SD.scan_positional(spark, path, 23, sep="\t"))
 
 
-@register("scan_tsv_positional", O.winepos_sql())
+@register("scan_tsv_positional", _RAW + """
+SELECT retailer_id, n, CAST(l_partkey AS VARCHAR) AS _c0, p_name AS _c1, CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS _c12,
+  CAST(l_quantity AS VARCHAR) AS _c11, 'x' AS _c2 FROM raw""")
 def q_scan_tsv_positional(spark, sf_dir):
-    return feeds.feed_winepos(_landed_winepos(spark, sf_dir), O.AS_OF)
+    return _numbered(_landed_winepos(spark, sf_dir), "_c0", "_c1", "_c12", "_c11", "_c2")
 
 
-register("feed_winepos", O.winepos_sql())(q_scan_tsv_positional)
+@register("feed_winepos", O.winepos_sql())
+def q_feed_winepos(spark, sf_dir):
+    return feeds.feed_winepos(_landed_winepos(spark, sf_dir), O.AS_OF)
 
 
 def _landed_cre(spark, sf_dir, v2):
@@ -634,19 +676,45 @@ def _landed_cre(spark, sf_dir, v2):
                                                         drop_last=v2))
 
 
-@register("scan_pipe_preamble", O.cre_sql())
+def _pipe_sql(fields: int) -> str:
+    return _RAW + f"""
+SELECT retailer_id, part AS _part, np AS n, CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS _c0, p_name AS _c1,
+  CAST(l_partkey AS VARCHAR) || '-0' AS _c90{', ' + str(fields) + ' AS fields' if fields else ''} FROM raw"""
+
+
+def _pipe_rows(df):
+    return _numbered(df.withColumn("_part", F.col("_part").cast("long")), "_c0", "_c1", "_c90", keys=("retailer_id", "_part"))
+
+
+@register("scan_pipe_preamble", _pipe_sql(0))
 def q_scan_pipe_preamble(spark, sf_dir):
-    return feeds.feed_cashregisterexpress(_landed_cre(spark, sf_dir, False))
+    return _pipe_rows(_landed_cre(spark, sf_dir, False))
 
 
-@register("scan_pipe_trailer", O.cre_sql())
+@register("scan_pipe_trailer", _pipe_sql(0))
 def q_scan_pipe_trailer(spark, sf_dir):
-    return feeds.feed_cashregisterexpress(_landed_cre(spark, sf_dir, True), v2=True)
+    return _pipe_rows(_landed_cre(spark, sf_dir, True))
 
 
-register("feed_cashregisterexpress", O.cre_sql())(q_scan_pipe_preamble)
-register("feed_cashregisterexpress_v2", O.cre_sql())(q_scan_pipe_trailer)
-register("drop_last", O.cre_sql())(q_scan_pipe_trailer)
+@register("drop_last", _pipe_sql(101))
+def q_drop_last(spark, sf_dir):
+    """The lines themselves: without each file's preamble and its last line."""
+    path = L.land_lines(spark, D.cre_lines(spark, sf_dir, v2=True), "cre_lines")
+    lines = SD.drop_edge_lines(spark, path, skip_head=5, drop_last=True)
+    cells = F.split("value", "[|]")
+    lines = L.retailer_from_path(lines).withColumns({
+        "_part": F.col("_part").cast("long"), "_c0": cells[0], "_c1": cells[1], "_c90": cells[90], "fields": F.size(cells)})
+    return _numbered(lines, "_c0", "_c1", "_c90", "fields", keys=("retailer_id", "_part"))
+
+
+@register("feed_cashregisterexpress", O.cre_sql())
+def q_feed_cashregisterexpress(spark, sf_dir):
+    return feeds.feed_cashregisterexpress(_landed_cre(spark, sf_dir, False))
+
+
+@register("feed_cashregisterexpress_v2", O.cre_sql())
+def q_feed_cashregisterexpress_v2(spark, sf_dir):
+    return feeds.feed_cashregisterexpress(_landed_cre(spark, sf_dir, True), v2=True)
 
 
 def _landed_xml(spark, sf_dir):
@@ -654,12 +722,16 @@ def _landed_xml(spark, sf_dir):
     return L.retailer_from_path(SS.scan_xml_rows(spark, path))
 
 
-@register("scan_xml_rows", O.spirit_xml_sql())
+@register("scan_xml_rows", _RAW + """
+SELECT retailer_id, n, CAST(l_partkey AS VARCHAR) AS sku, CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS upccode,
+  CAST(l_extendedprice AS VARCHAR) AS unitprice FROM raw""")
 def q_scan_xml_rows(spark, sf_dir):
-    return feeds.feed_spirit2000_xml(_landed_xml(spark, sf_dir))
+    return _numbered(_landed_xml(spark, sf_dir), "sku", "upccode", "unitprice")
 
 
-register("feed_spirit2000_xml", O.spirit_xml_sql())(q_scan_xml_rows)
+@register("feed_spirit2000_xml", O.spirit_xml_sql())
+def q_feed_spirit2000_xml(spark, sf_dir):
+    return feeds.feed_spirit2000_xml(_landed_xml(spark, sf_dir))
 
 
 def _landed_mpower_pages(spark, sf_dir):
@@ -667,12 +739,18 @@ def _landed_mpower_pages(spark, sf_dir):
     return SS.mpower_items(SS.scan_json(spark, path, SS.MPOWER_PAGE_SCHEMA))
 
 
-@register("scan_json_mpower", O.mpower_api_sql())
+@register("scan_json_mpower", O.with_clause(O.MPOWER_API_FLAT) + """
+SELECT retailer_id, CAST(o_orderkey AS BIGINT) AS id, any_value(product_id) AS sku, count(l_linenumber) AS n_upcs
+FROM mpa_flat GROUP BY retailer_id, o_orderkey""")
 def q_scan_json_mpower(spark, sf_dir):
-    return feeds.feed_mpower_api(_landed_mpower_pages(spark, sf_dir))
+    return _landed_mpower_pages(spark, sf_dir).select(
+        "retailer_id", F.col("Id").alias("id"), F.col("SkuNumber").alias("sku"),
+        F.size("AdditionalUpcs").cast("long").alias("n_upcs"))
 
 
-register("feed_mpower_api", O.mpower_api_sql())(q_scan_json_mpower)
+@register("feed_mpower_api", O.mpower_api_sql())
+def q_feed_mpower_api(spark, sf_dir):
+    return feeds.feed_mpower_api(_landed_mpower_pages(spark, sf_dir))
 
 
 @register("join_outer_upcs", O.with_clause(O.MPOWER_API_FLAT) + """
@@ -680,14 +758,20 @@ SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(l_linenumber AS VARCHAR) AS add_up
 FROM mpa_flat""")
 def q_join_outer_upcs(spark, sf_dir):
     items = _landed_mpower_pages(spark, sf_dir)
-    x = items.select("Id", F.explode_outer("AdditionalUpcs").alias("a"))
-    return x.select(F.col("Id").alias("id"), F.col("a.Upc").alias("add_upc"), F.col("a.Retail").alias("add_retail"))
+    return SS.outer_upcs(items).select(F.col("Id").alias("id"), F.col("_add.Upc").alias("add_upc"),
+                                       F.col("_add.Retail").alias("add_retail"))
 
 
-@register("union_pages", O.with_clause(O.MPOWER_API_FLAT) + """
-SELECT DISTINCT CAST(o_orderkey AS BIGINT) AS id, retailer_id FROM mpa_flat""")
+@register("union_pages", """
+SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(o_custkey % 10 AS VARCHAR) AS retailer_id,
+  CASE WHEN CAST(trunc(o_orderkey / 100) AS BIGINT) % 3 = 0 THEN NULL ELSE o_orderpriority END AS category FROM orders""")
 def q_union_pages(spark, sf_dir):
-    return _landed_mpower_pages(spark, sf_dir).select(F.col("Id").alias("id"), "retailer_id")
+    """Pages of two shapes: every third page has no Category column at all."""
+    pages = D.mpower_pages(spark, sf_dir)
+    bare = pages.where(F.col("page") % 3 == 0).withColumn("Results", F.transform("Results", lambda r: r.dropFields("Category")))
+    paths = [L.land_json(spark, d, "pages") for d in (pages.where(F.col("page") % 3 != 0), bare)]
+    items = SS.mpower_items(SS.scan_json(spark, paths, SS.MPOWER_PAGE_SCHEMA))
+    return items.select(F.col("Id").alias("id"), "retailer_id", F.col("Category").alias("category"))
 
 
 # ------------------------------------------------------ simple POS kinds
@@ -710,8 +794,6 @@ register("feed_businessmasterespanol", O.simple_pos_sql("businessmasterespanol")
     lambda spark, sf: feeds.feed_businessmasterespanol(D.pos_export(spark, sf, "businessmasterespanol"), O.AS_OF))
 register("feed_liquorpos", O.liquorpos_sql(True))(
     lambda spark, sf: feeds.feed_liquorpos(*D.liquorpos_members(spark, sf)))
-register("feed_liquorpos_csv", O.liquorpos_sql(False))(
-    lambda spark, sf: feeds.feed_liquorpos_csv(*D.liquorpos_members(spark, sf)))
 
 
 @register("join_code_inner", O.with_clause(O.LP, O.LIQ) + """
@@ -733,34 +815,70 @@ from tillflow.plans import sinks as SK  # noqa: E402
 from tillflow.session import shared_dir  # noqa: E402
 
 
+KINDS = ["mpower_lines", "tiger", "fastraxpos", "ptech", "lajoypos", "cobaltconnect", "lightspeed", "square",
+         "businessmasterespanol", "liquorpos", "liquorpos_csv", "spirit2000_csv", "spirit2000_dbf", "spirit2000_tower",
+         "spirit2000_xml", "kmds", "winepos", "cashregisterexpress", "cashregisterexpress_v2"]
+
+
+def _of_kind(spark, sf_dir, k: int) -> dict:
+    """The tables of the retailers of one POS kind: a retailer is a supplier's
+    lines of every third order, and its number says its kind."""
+    own = F.col("l_suppkey") * 3 + F.col("l_orderkey") % 3
+    li = D.table(spark, sf_dir, "lineitem").withColumn("l_suppkey", own).where(F.col("l_suppkey") % len(KINDS) == k)
+    return {"lineitem": li, "part": D.table(spark, sf_dir, "part")}
+
+
+def _kind_sql(sql: str, k: int) -> str:
+    own = "(l_suppkey * 3 + l_orderkey % 3)"
+    return sql.replace("lineitem", f"(SELECT * REPLACE ({own} AS l_suppkey) FROM lineitem WHERE {own} % {len(KINDS)} = {k})")
+
+
 def _unified_frames(spark, sf_dir):
-    return {
+    """Canonical rows of all 21 adapters: every line belongs to one retailer and
+    so to one POS kind; the page feeds and lookups have retailers of their own."""
+    t = {kind: _of_kind(spark, sf_dir, k) for k, kind in enumerate(KINDS)}
+    frames = {kind: fn(D.pos_export(spark, t[kind], kind)) for kind, fn in _SIMPLE.items()}
+    return frames | {
         "mpower": feeds.feed_mpower(D.f1_base(spark, sf_dir)),
-        "mpower_lines": feeds.feed_mpower(D.f8_lines(spark, sf_dir)),
-        "spirit2000_csv": feeds.feed_spirit2000_csv(*_f2(spark, sf_dir)),
-        "kmds": feeds.feed_kmds(D.f6_barcodes(spark, sf_dir)),
-        "adventpos": feeds.feed_adventpos(D.f3_items(spark, sf_dir), D.f3_size(spark, sf_dir),
-                                          D.f3_pack(spark, sf_dir)),
-        "tiger": feeds.feed_tiger(D.pos_export(spark, sf_dir, "tiger")),
+        "mpower_lines": feeds.feed_mpower(D.f8_lines(spark, t["mpower_lines"])),
+        "mpower_api": feeds.feed_mpower_api(SS.mpower_items(D.mpower_pages(spark, sf_dir))),
+        "adventpos": feeds.feed_adventpos(D.f3_items(spark, sf_dir), D.f3_size(spark, sf_dir), D.f3_pack(spark, sf_dir)),
+        "businessmasterespanol": feeds.feed_businessmasterespanol(
+            D.pos_export(spark, t["businessmasterespanol"], "businessmasterespanol"), O.AS_OF),
+        "liquorpos": feeds.feed_liquorpos(*D.liquorpos_members(spark, t["liquorpos"])),
+        "liquorpos_csv": feeds.feed_liquorpos_csv(*D.liquorpos_members(spark, t["liquorpos_csv"])),
+        "spirit2000_csv": feeds.feed_spirit2000_csv(*_f2(spark, t["spirit2000_csv"])),
+        "spirit2000_dbf": feeds.feed_spirit2000_dbf(*_f2(spark, t["spirit2000_dbf"])),
+        "spirit2000_tower": feeds.feed_spirit2000_tower(*_f2(spark, t["spirit2000_tower"]), upc_ts="tstamp"),
+        "spirit2000_xml": feeds.feed_spirit2000_xml(D.spirit_xml_rows(spark, t["spirit2000_xml"])),
+        "kmds": feeds.feed_kmds(D.f6_barcodes(spark, t["kmds"])),
+        "winepos": feeds.feed_winepos(D.winepos_raw(spark, t["winepos"]), O.AS_OF),
+        "cashregisterexpress": feeds.feed_cashregisterexpress(D.cre_rows(spark, t["cashregisterexpress"], False)),
+        "cashregisterexpress_v2": feeds.feed_cashregisterexpress(D.cre_rows(spark, t["cashregisterexpress_v2"], True), v2=True),
     }
 
 
-def _unified_sql(select_cols: str = "*") -> str:
-    def body(stmt):
-        return stmt
-    parts = [
-        ("mpower", O.with_clause(O.F1, O.mpower_ctes("f1", "mp")) + "\nSELECT * FROM mp"),
-        ("mpower_lines", _sql_f8_mpower()),
-        ("spirit2000_csv", O.spirit_sql("csv")),
-        ("kmds", O.kmds_sql()),
-        ("adventpos", O.advent_sql()),
-        ("tiger", O.simple_pos_sql("tiger")),
-    ]
-    union = "\nUNION ALL\n".join(f"SELECT '{pos}' AS pos, * FROM ({body(sql)})" for pos, sql in parts)
-    pctes, pout = O.parse_ctes("u", ["pos", "retailer_id", "rt_product_id"])
-    cols = ", ".join(O.CANON + O.PARSED)
-    return (O.with_clause(f"u AS ({union})", pctes) +
-            f"\nSELECT {cols}, 1 AS active, retailer_id, pos FROM {pout}")
+def _kind_canon_sql(kind: str) -> str:
+    """Canonical rows of one kind, over the whole line table."""
+    if kind in _SIMPLE or kind == "businessmasterespanol":
+        return O.simple_pos_sql(kind)
+    return {"mpower_lines": _sql_f8_mpower, "liquorpos": lambda: O.liquorpos_sql(True), "liquorpos_csv": lambda: O.liquorpos_sql(False),
+            "spirit2000_csv": lambda: O.spirit_sql("csv"), "spirit2000_dbf": lambda: O.spirit_sql("dbf"),
+            "spirit2000_tower": lambda: O.spirit_sql("tower"), "spirit2000_xml": O.spirit_xml_sql, "kmds": O.kmds_sql,
+            "winepos": O.winepos_sql, "cashregisterexpress": O.cre_sql, "cashregisterexpress_v2": O.cre_sql}[kind]()
+
+
+def _unified_sql(select_cols: str | None = None) -> str:
+    parts = [(kind, _kind_sql(_kind_canon_sql(kind), k)) for k, kind in enumerate(KINDS)]
+    parts += [("mpower", O.with_clause(O.F1, O.mpower_ctes("f1", "mp")) + "\nSELECT * FROM mp"),
+              ("mpower_api", O.mpower_api_sql()), ("adventpos", O.advent_sql())]
+    cols = ", ".join(["retailer_id", *O.CANON])
+    union = "\nUNION ALL\n".join(f"SELECT '{pos}' AS pos, {cols} FROM ({sql})" for pos, sql in parts)
+    if select_cols:
+        return f"SELECT {select_cols} FROM ({union})"
+    pctes, pout = O.parse_ctes("u")
+    return (O.with_clause(f"u AS MATERIALIZED ({union})", pctes) +
+            f"\nSELECT {', '.join(O.CANON + O.PARSED)}, 1 AS active, retailer_id, pos FROM {pout}")
 
 
 @register("unified_inventory", _unified_sql())
@@ -768,9 +886,7 @@ def q_unified_inventory(spark, sf_dir):
     return PL.unified_inventory(_unified_frames(spark, sf_dir))
 
 
-@register("union_feeds", _unified_sql().replace(
-    "SELECT " + ", ".join(O.CANON + O.PARSED) + ", 1 AS active, retailer_id, pos FROM pp_out",
-    "SELECT pos, retailer_id, rt_product_id, price_regular FROM u"))
+@register("union_feeds", _unified_sql("pos, retailer_id, rt_product_id, price_regular"))
 def q_union_feeds(spark, sf_dir):
     frames = _unified_frames(spark, sf_dir)
     return PL.union_feeds([PL.tag(d, p) for p, d in frames.items()]).select(
@@ -808,7 +924,7 @@ def q_sink_landed_csv(spark, sf_dir):
 
 # --------------------------------------------------------------- streaming
 
-@register("stream_intake", _sql_parse_package().replace("from part)", "from part where p_partkey % 97 <> 0)"))
+@register("stream_intake", _sql_parse_package())
 def q_stream_intake(spark, sf_dir):
     """Two drops of feed files into a landing folder; the stream runs after
     each drop (availableNow) and takes only the new files."""
@@ -816,8 +932,7 @@ def q_stream_intake(spark, sf_dir):
     f1 = D.f1_base(spark, sf_dir)
     base = shared_dir(spark, "stream")
     landing, out, ckpt = base + "/landing", base + "/out", base + "/checkpoint"
-    drops = [f1.where((F.col("_ord") % 97 != 0) & (F.col("_ord") % 2 == 0)),
-             f1.where((F.col("_ord") % 97 != 0) & (F.col("_ord") % 2 == 1))]
+    drops = [f1.where(F.col("_ord") % 2 == 0), f1.where(F.col("_ord") % 2 == 1)]
     for i, drop in enumerate(drops):
         L.land_csv(spark, drop.withColumn("retailer_id", F.concat(F.col("retailer_id"), F.lit(f"-{i}"))),
                    "unused", path=landing, mode="append")
@@ -860,20 +975,20 @@ def q_join_category_left(spark, sf_dir):
 def q_filter_shop(spark, sf_dir):
     items, _ = _landed_lightspeed(spark, sf_dir)
     x = items.select("shop_id", F.explode("Item").alias("i")).select(
-        "shop_id", F.col("i.itemID").alias("itemID"), F.explode("i.Prices.ItemPrice").alias("p"))
-    return x.where(F.col("p.useTypeID") == F.col("shop_id")).select("itemID", F.col("p.amount").alias("amount"))
+        "shop_id", F.col("i.itemID").alias("itemID"), F.col("i.Prices.ItemPrice").alias("prices"))
+    x = C.filter_shop(x, "prices", "useTypeID")
+    return x.select("itemID", F.explode("prices").alias("p")).select("itemID", F.col("p.amount").alias("amount"))
 
 
 def _square(spark, sf_dir):
-    items, cats, var, counts = D.square_objects(spark, sf_dir)
-    return SS.square_catalog(items, cats, var, counts, location="1")
+    return SS.square_catalog(*D.square_objects(spark, sf_dir))
 
 
 @register("join_catalog_chain", O.with_clause(O.SQUARE) + """
-SELECT item_variation_object_id, iname AS item_name, cname AS category_name, quantity FROM sq_rows""")
+SELECT retailer_id, item_variation_object_id, iname AS item_name, cname AS category_name, quantity FROM sq_rows""")
 def q_join_catalog_chain(spark, sf_dir):
     x = _square(spark, sf_dir)
-    return x.select("item_variation_object_id", F.col("item_data.name").alias("item_name"),
+    return x.select("retailer_id", "item_variation_object_id", F.col("item_data.name").alias("item_name"),
                     F.col("category_data.name").alias("category_name"), "quantity")
 
 
@@ -893,44 +1008,38 @@ def q_flatten_struct(spark, sf_dir):
 
 @register("scan_json_square", O.square_sql())
 def q_scan_json_square(spark, sf_dir):
-    items, cats, var, counts = D.square_objects(spark, sf_dir)
-    paths = [L.land_json(spark, d, f"square_{n}") for n, d in
-             (("items", items), ("cats", cats), ("vars", var), ("counts", counts))]
-    back = [spark.read.schema(d.schema).json(pth) for d, pth in zip((items, cats, var, counts), paths)]
-    flat = C.flatten_struct(SS.square_catalog(*back, location="1"))
-    flat = flat.withColumns({"retailer_id": F.lit("sq"), "_ord": F.col("item_variation_object_id")})
-    return feeds.feed_square(flat)
+    *objects, locations = D.square_objects(spark, sf_dir)
+    back = [spark.read.schema(d.schema).json(L.land_json(spark, d, "square")) for d in objects]
+    return feeds.feed_square(C.flatten_struct(SS.square_catalog(*back, locations)))
 
 
 @register("member_prune", O.with_clause(O.F2) + "\nSELECT retailer_id, sku, name, sname FROM f2_inv")
 def q_member_prune(spark, sf_dir):
-    return D.f2_inv(spark, sf_dir).select("retailer_id", "sku", "name", "sname")
+    return C.member_prune(D.f2_inv(spark, sf_dir), ["sku", "name", "sname", "absent"])
 
 
 @register("route_members", """
 WITH f AS (SELECT CAST(s_suppkey AS VARCHAR) AS retailer_id, x FROM supplier,
   (SELECT unnest(['INV.CSV', 'prc.csv', 'Stk.DBF', 'upc.dbf', 'barcodes.dbf', 'LIQCODE.csv', 'readme.txt',
-                  'ZZ_AdventPOS_Raw_ItemSize.csv']) AS x))
+                  'ZZ_AdventPOS_Raw_ItemSize.csv', 'invoices.csv', 'old/OLD-Inv.csv']) AS x))
 SELECT retailer_id, 'exports/s' || retailer_id || '/' || x AS _file_name,
-  CASE WHEN contains(lower(x), 'barcodes') THEN 'barcodes' WHEN contains(lower(x), 'liqcode') THEN 'liqcode'
-       WHEN contains(lower(x), 'zz_adventpos_raw_itemsize') THEN 'itemsize'
-       WHEN contains(lower(x), 'zz_adventpos_raw_itempack') THEN 'itempack'
-       WHEN contains(lower(x), 'zz_adventpos_raw') THEN 'raw' WHEN contains(lower(x), 'inv') THEN 'inv'
-       WHEN contains(lower(x), 'prc') THEN 'prc' WHEN contains(lower(x), 'stk') THEN 'stk'
-       WHEN contains(lower(x), 'upc') THEN 'upc' END AS member
+  CASE x WHEN 'INV.CSV' THEN 'inv' WHEN 'old/OLD-Inv.csv' THEN 'inv' WHEN 'prc.csv' THEN 'prc' WHEN 'Stk.DBF' THEN 'stk'
+    WHEN 'upc.dbf' THEN 'upc' WHEN 'barcodes.dbf' THEN 'barcodes' WHEN 'LIQCODE.csv' THEN 'liqcode'
+    WHEN 'ZZ_AdventPOS_Raw_ItemSize.csv' THEN 'itemsize' END AS member
 FROM f""")
 def q_route_members(spark, sf_dir):
     return C.route_members(D.member_files(spark, sf_dir))
 
 
 @register("agg_pages", O.with_clause(O.MPOWER_API_FLAT) + """
-SELECT retailer_id, count(DISTINCT CAST(trunc(o_orderkey / 100) AS BIGINT)) AS pages,
-  count(DISTINCT o_orderkey) AS items FROM mpa_flat GROUP BY retailer_id""")
+SELECT retailer_id, pages, items, pages + extra AS declared, extra = 0 AS complete FROM (
+  SELECT retailer_id, count(DISTINCT CAST(trunc(o_orderkey / 100) AS BIGINT)) AS pages,
+    count(DISTINCT o_orderkey) AS items, CASE WHEN retailer_id = '3' THEN 1 ELSE 0 END AS extra
+  FROM mpa_flat GROUP BY retailer_id)""")
 def q_agg_pages(spark, sf_dir):
     pages = SS.scan_json(spark, L.land_json(spark, D.mpower_pages(spark, sf_dir), "mpower_pages_agg"),
                          SS.MPOWER_PAGE_SCHEMA)
-    return pages.groupBy("retailer_id").agg(F.countDistinct("page").alias("pages"),
-                                            F.sum(F.size("Results")).alias("items"))
+    return SS.page_check(pages)
 
 
 @register("filter_incremental", O.with_clause(O.F2, """hw AS (
@@ -944,48 +1053,67 @@ def q_filter_incremental(spark, sf_dir):
 
 # ---------------------------------------------------------- dBase tables
 
-def _landed_spirit_dbf(spark, sf_dir):
-    from tillflow.sources.dbf import scan_dbf
-    inv, prc, stk, upc = _f2(spark, sf_dir)
-    members = {}
-    root = None
-    for name, d in (("inv", inv), ("prc", prc), ("stk", stk), ("upc", upc)):
-        root = L.land_dbf(spark, d, "spirit_dbf_" + name, name)
-        members[name] = scan_dbf(spark, root + "/*/" + name + ".dbf").withColumn(
-            "retailer_id", F.regexp_extract(F.col("_file_path"), "/([^/]+)/[^/]+$", 1))
-    return members
+def _with_retailer(df, path="_file_path"):
+    """Retailer folder of a landed file's path (the third from its end)."""
+    return df.withColumn("retailer_id", F.element_at(F.split(path, "/"), -3))
 
 
-@register("scan_dbf", O.spirit_sql("dbf"))
+def _landed_spirit_dbf(spark, sf_dir):
+    from tillflow.sources.dbf import decode_files
+    out = {}
+    for name, d in zip(("inv", "prc", "stk", "upc"), _f2(spark, sf_dir)):
+        files = L.land_dbf(spark, D.f2_member(d), "spirit_dbf_" + name, name)
+        out[name] = _with_retailer(decode_files(files)).drop("_file_path", "_file_name", "_record", "_invalid")
+    return out
+
+
+@register("scan_dbf", O.with_clause(O.F2) + """
+SELECT retailer_id, CAST(right(sku, 1) AS BIGINT) AS part, sku, upc,
+  row_number() OVER (PARTITION BY retailer_id, right(sku, 1) ORDER BY _ord) - 1 AS record,
+  date_trunc('day', tstamp) AS tstamp FROM f2_upc""")
 def q_scan_dbf(spark, sf_dir):
-    m = _landed_spirit_dbf(spark, sf_dir)
-    strip = lambda d: d.drop("_file_path", "_file_name", "_record")
-    prc = strip(m["prc"]).withColumn("level", F.col("level"))
-    return feeds.feed_spirit2000_dbf(strip(m["inv"]), prc, strip(m["stk"]), strip(m["upc"]))
+    from tillflow.sources.dbf import decode_files
+    upc = decode_files(L.land_dbf(spark, D.f2_member(D.f2_upc(spark, sf_dir)), "dbf_rows", "upc"))
+    part = F.element_at(F.split("_file_path", "/"), -2).cast("long")
+    # dBase has no null text: blanks read as ''
+    return _with_retailer(upc).select("retailer_id", part.alias("part"), "sku", F.nullif("upc", F.lit("")).alias("upc"),
+                                      F.col("_record").alias("record"), "tstamp")
 
 
 # ------------------------------------------------------------- archives
 
-_LIQ_BAR = ["code_num", "barcode"]
-_LIQ_CODE = ["code_num", "brand", "descrip", "typenam", "size", "price", "qty_on_hnd", "qty_case", "barcode"]
+def _landed_spirit_zip(spark, sf_dir):
+    from tillflow.sources import archive as A
+    names = ("inv", "prc", "stk", "upc")
+    members = {f"{n}.csv": D.f2_member(d) for n, d in zip(names, _f2(spark, sf_dir))}
+    rows = A.expand_archives(L.land_zip_members(spark, members, "spirit_zip"))
+    return [_with_retailer(A.member_rows(rows, n), "archive").drop("archive") for n in names]
 
 
 def _expanded_liquorpos(spark, sf_dir):
     from tillflow.sources import archive as A
     b, lq = D.liquorpos_members(spark, sf_dir)
-    zips = L.land_zip_members(spark, {"BARCODES.csv": b, "LIQCODE.csv": lq}, "liquorpos_zip")
-    out = shared_dir(spark, "expanded", "liquorpos")
-    A.expand_archives(spark, zips + "/*.zip", out).count()
-    bar = A.archive_to_retailer(SD.scan_csv_header(spark, A.role_path(out, "barcodes"),
-                                                   names=[c.upper() for c in _LIQ_BAR]))
-    liq = A.archive_to_retailer(SD.scan_csv_header(spark, A.role_path(out, "liqcode"),
-                                                   names=[c.upper() for c in _LIQ_CODE]))
-    return bar.drop("archive", "_file_name"), liq.drop("archive", "_file_name")
+    return A.expand_archives(L.land_zip_members(spark, {"BARCODES.csv": b, "LIQCODE.csv": lq}, "liquorpos_zip"))
 
 
-@register("expand_archive", O.liquorpos_sql(False))
+@register("expand_archive", O.with_clause(O.LP) + """
+SELECT retailer_id, pk % 3 AS part, 'BARCODES.csv' AS member, 'barcodes' AS role, count(*) AS records FROM lp GROUP BY 1, 2
+UNION ALL SELECT retailer_id, pk % 3, 'LIQCODE.csv', 'liqcode', count(DISTINCT pk) FROM lp GROUP BY 1, 2""")
 def q_expand_archive(spark, sf_dir):
-    return feeds.feed_liquorpos_csv(*_expanded_liquorpos(spark, sf_dir))
+    from tillflow.sources import archive as A
+    m = A.manifest(_expanded_liquorpos(spark, sf_dir))
+    return _with_retailer(m, "archive").select(
+        "retailer_id", F.element_at(F.split("archive", "/"), -2).cast("long").alias("part"), "member", "role", "records")
+
+
+def _liquorpos_csv(spark, sf_dir):
+    from tillflow.sources import archive as A
+    rows = _expanded_liquorpos(spark, sf_dir)
+    return [_with_retailer(A.member_rows(rows, role), "archive").drop("archive") for role in ("barcodes", "liqcode")]
+
+
+register("feed_liquorpos_csv", O.liquorpos_sql(False))(
+    lambda spark, sf: feeds.feed_liquorpos_csv(*_liquorpos_csv(spark, sf)))
 
 
 # ------------------------------------------- API scalar steps (MPower pages)

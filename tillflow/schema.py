@@ -1,7 +1,5 @@
 """Canonical output schema of the normalised inventory table."""
 
-from pyspark.sql import types as T
-
 # Canonical column names and order of the product table.
 CANONICAL_COLUMNS = [
     "rt_product_id", "rt_upc_code", "rt_brand_name",
@@ -22,14 +20,3 @@ PARSED_COLUMNS = [
 ]
 LOAD_COLUMNS = ["active", "retailer_id"]
 OUTPUT_COLUMNS = CANONICAL_COLUMNS + PARSED_COLUMNS + LOAD_COLUMNS
-
-CANONICAL_SCHEMA = T.StructType(
-    [T.StructField(c, T.DoubleType() if c in NUMERIC_COLUMNS else T.StringType())
-     for c in CANONICAL_COLUMNS])
-
-REJECT_SCHEMA = T.StructType([
-    T.StructField("retailer_id", T.StringType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("reason", T.StringType()),
-    T.StructField("record", T.StringType()),
-])

@@ -50,6 +50,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="tillflow-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base

@@ -1,68 +1,101 @@
 """Multi-member exports delivered as zip archives.
 
-``expand_archives`` lists archives with Spark's ``binaryFile`` source
-(content not loaded) and, on executors, streams every member out to
-``<out>/role=<role>/archive=<archive name>/<member>``: members are sorted by
-role and isolated per archive, so two archives with the same member names
-never mix.  Each role is then read with the usual delimited source.
+Archives come as ``path, content`` rows (Spark's ``binaryFile`` source, any file
+system, up to its 2 GB limit a file).  Tasks stream the members out as records:
+``expand_archives`` gives one row per CSV record with its archive's full path, so
+archives of equal names in different folders stay apart, and ``member_files``
+gives the bytes of binary members (.dbf) for their own decoder.  ``member_rows``
+binds a role's records to column names by each member's own header.
 """
 
 from __future__ import annotations
 
-import os
-import shutil
+import csv
+import io
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.operators.columns import MEMBER_ROLES
-from tillflow.session import local_path
-
-
-def member_role(file_name: str) -> str | None:
-    """Role of a member by lower-case substring of its base name."""
-    base = os.path.basename(file_name).lower()
-    for token, role in MEMBER_ROLES:
-        if token in base:
-            return role
-    return None
-
-
-def expand_archives(spark: SparkSession, archive_glob: str, out_root: str) -> DataFrame:
-    """Expand every archive; returns the manifest (archive, member, role, bytes)."""
-    paths = spark.read.format("binaryFile").load(archive_glob).select("path")
-    out_root = local_path(out_root)
-
-    def expand(it):
-        import pandas as pd
-        for pdf in it:
-            rows = []
-            for p in pdf["path"]:
-                src = local_path(p)
-                name = os.path.basename(src)
-                name = name[:-4] if name.lower().endswith(".zip") else name
-                with zipfile.ZipFile(src) as z:
+from tillflow.functions.text import nullify
+from tillflow.operators.columns import ORD, member_role
+from tillflow.sources.delimited import MAX_LAYOUTS, unique_names
+
+RECORDS_PER_BATCH = 10_000
+
+
+def archive_files(spark: SparkSession, path) -> DataFrame:
+    """``path, content`` of the zip archives of a path or glob."""
+    return spark.read.format("binaryFile").load(path).where(F.lower("path").endswith(".zip")).select("path", "content")
+
+
+def expand_archives(archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
+    """``archive, member, role, pos, fields``: the records of all CSV members
+    that have a role; position 0 is the header.  Quoted cells may hold line ends."""
+    def batches_of(path, content):
+        rows = []
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            for info in z.infolist():
+                if info.is_dir() or not info.filename.lower().endswith(".csv"):
+                    continue
+                with z.open(info) as raw:
+                    text = io.TextIOWrapper(raw, encoding, errors="replace", newline="")
+                    for pos, fields in enumerate(csv.reader(text)):
+                        rows.append((path, info.filename, pos, fields))
+                        if len(rows) >= RECORDS_PER_BATCH:
+                            yield rows
+                            rows = []
+        yield rows
+
+    def task(it):
+        for batch in it:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                for rows in batches_of(path, content):
+                    cols = list(zip(*rows)) if rows else [()] * 4
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64()),
+                         pa.array(cols[3], pa.list_(pa.string()))], ["archive", "member", "pos", "fields"])
+
+    rows = archives.mapInArrow(task, "archive string, member string, pos long, fields array<string>")
+    return rows.withColumn("role", member_role("member")).where(F.col("role").isNotNull() & (F.size("fields") > 0))
+
+
+def member_files(archives: DataFrame, suffix: str = ".dbf") -> DataFrame:
+    """``archive, path, role, content`` of the binary members that have a role."""
+    def task(it):
+        for batch in it:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
                     for info in z.infolist():
-                        if info.is_dir():
-                            continue
-                        role = member_role(info.filename)
-                        if role is None:
-                            continue
-                        d = os.path.join(out_root, f"role={role}", f"archive={name}")
-                        os.makedirs(d, exist_ok=True)
-                        with z.open(info) as fin, open(os.path.join(d, os.path.basename(info.filename)), "wb") as fout:
-                            shutil.copyfileobj(fin, fout, 1 << 20)
-                        rows.append((name, info.filename, role, info.file_size))
-            yield pd.DataFrame(rows, columns=["archive", "member", "role", "bytes"])
+                        if info.filename.lower().endswith(suffix):
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([path]), pa.array([f"{path}!/{info.filename}"]), pa.array([z.read(info)], pa.binary())],
+                                ["archive", "path", "content"])
 
-    manifest = paths.mapInPandas(expand, "archive string, member string, role string, bytes long")
-    return manifest
+    rows = archives.mapInArrow(task, "archive string, path string, content binary")
+    return rows.withColumn("role", member_role("path")).where(F.col("role").isNotNull())
 
 
-def role_path(out_root: str, role: str) -> str:
-    return f"{out_root.rstrip('/')}/role={role}"
+def manifest(expanded: DataFrame) -> DataFrame:
+    """``archive, member, role, records`` of the expanded CSV members."""
+    return expanded.where("pos > 0").groupBy("archive", "member", "role").agg(F.count(F.lit(1)).alias("records"))
 
 
-def archive_to_retailer(df: DataFrame) -> DataFrame:
-    return df.withColumn("retailer_id", F.col("archive").cast("string"))
+def member_rows(expanded: DataFrame, role: str) -> DataFrame:
+    """Records of a role as text columns, bound by each member's own header;
+    over-long records dropped, short ones padded, file order kept."""
+    spark = expanded.sparkSession
+    mine = expanded.where(F.col("role") == role)
+    heads = mine.where("pos = 0").select("archive", "member", F.col("fields").alias("_head"))
+    found = [tuple(r["_head"]) for r in heads.select("_head").distinct().limit(MAX_LAYOUTS + 1).collect()]
+    if len(found) > MAX_LAYOUTS:
+        raise ValueError(f"more than {MAX_LAYOUTS} different headers of role {role}")
+    bound = {tuple(h): unique_names(list(h)) for h in sorted(found)}
+    names = list(dict.fromkeys(n for ns in bound.values() for n in ns))
+    known = spark.createDataFrame([(list(h), ns) for h, ns in bound.items()], "_head array<string>, _names array<string>")
+    rows = mine.where("pos > 0").join(heads.join(known, "_head"), ["archive", "member"]).where(F.size("fields") <= F.size("_head"))
+    cells = F.map_from_arrays(F.slice("_names", F.lit(1), F.size("fields")), F.col("fields"))
+    rows = rows.withColumn("_cells", cells)
+    return rows.select("archive", F.struct("archive", "member", "pos").alias(ORD),
+                       *[nullify(F.try_element_at("_cells", F.lit(n))).alias(n) for n in names])

@@ -1,216 +1,175 @@
-"""dBase (.dbf) tables as a Spark data source.
-
-Records have a fixed length, so a file is split into record ranges: the
-driver reads only each file's header (field list, record count), executors
-seek to their range and decode.  Character fields decode with errors
-ignored, numbers that do not parse become null, deleted records are skipped,
-a missing memo file is irrelevant (memo fields are returned as raw text).
-
-    spark.dataSource.register(DbfDataSource)
-    spark.read.format("dbf").load("/landing/*/*.dbf")
+"""dBase (.dbf) tables.
+
+Files come as ``path, content`` rows: Spark's ``binaryFile`` source (any file
+system that Spark reads, one row a file, up to its 2 GB limit) or members of an
+archive.  Tasks decode whole files as record matrices into Arrow batches.  The
+schema is that of all files: a first pass over the headers collects the distinct
+(field, type) pairs.  Deleted records are skipped, missing memo files do not
+matter (memo fields give their block number as text).  A number or date that
+does not read as one is null and its text is kept in ``_invalid``; a file that
+is shorter than its header says ends the job with its path.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-import glob
-import os
+import datetime as dt
 import struct
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillflow.operators.columns import ORD
 
-RECORDS_PER_PARTITION = 200_000
+RECORDS_PER_BATCH = 50_000
+MAX_FIELDS = 5000       # distinct (field, type) pairs of one scan
 
-# dBase field type -> Spark type
-_TYPES = {"C": "string", "M": "string", "N": "double", "F": "double", "I": "bigint", "D": "timestamp_ntz",
-          "L": "boolean"}
+# dBase field type -> Spark type; others are text
+_TYPES = {"N": "double", "F": "double", "I": "bigint", "+": "bigint", "B": "double", "O": "double", "Y": "double",
+          "D": "timestamp_ntz", "T": "timestamp_ntz", "@": "timestamp_ntz", "L": "boolean"}
+_ARROW = {"double": pa.float64(), "bigint": pa.int64(), "timestamp_ntz": pa.timestamp("us"), "boolean": pa.bool_(),
+          "string": pa.string()}
 
 
-def read_header(path: str):
+def read_header(data: bytes):
     """(n_records, header_len, record_len, [(name, type, length, decimals)])."""
-    with open(path, "rb") as fh:
-        head = fh.read(32)
-        n_rec, h_len, r_len = struct.unpack("<IHH", head[4:12])
-        fields = []
-        while True:
-            d = fh.read(32)
-            if not d or d[0] == 0x0D:
-                break
-            name = d[:11].split(b"\x00", 1)[0].decode("ascii", "ignore").strip()
-            fields.append((name, chr(d[11]), d[16], d[17]))
+    n_rec, h_len, r_len = struct.unpack("<IHH", data[4:12])
+    fields, at = [], 32
+    while at + 32 <= len(data) and data[at] != 0x0D:
+        d = data[at:at + 32]
+        name = d[:11].split(b"\x00", 1)[0].decode("ascii", "ignore").strip().lower()
+        fields.append((name, chr(d[11]), d[16], d[17]))
+        at += 32
     return n_rec, h_len, r_len, fields
 
 
-def _decode(kind: str, raw: bytes, encoding: str):
-    txt = raw.decode(encoding, "ignore")
-    if kind in ("C", "M"):
-        return txt.rstrip(" \x00")
-    s = txt.strip(" \x00")
-    if not s:
-        return None
-    try:
-        if kind in ("N", "F"):
-            return float(s)
-        if kind == "I":
-            return struct.unpack("<i", raw)[0]
-        if kind == "D":
-            return _dt.datetime(int(s[:4]), int(s[4:6]), int(s[6:8]))
-        if kind == "L":
-            return s[:1] in ("T", "t", "Y", "y")
-    except (ValueError, struct.error):
-        return None
-    return s
-
-
-class _Ranges(InputPartition):
-    """Record ranges (path, first, count) read by one task: a slice of a big
-    file, or several small files packed together."""
-
-    def __init__(self, ranges):
-        self.ranges = ranges
-
-
-class DbfReader(DataSourceReader):
-    def __init__(self, files, fields, encoding):
-        self.files, self.fields, self.encoding = files, fields, encoding
-
-    def partitions(self):
-        parts, cur, cur_n = [], [], 0
-        for path in self.files:
-            n_rec, _, _, _ = read_header(path)
-            for first in range(0, n_rec, RECORDS_PER_PARTITION):
-                count = min(RECORDS_PER_PARTITION, n_rec - first)
-                if cur and cur_n + count > RECORDS_PER_PARTITION:
-                    parts.append(_Ranges(cur))
-                    cur, cur_n = [], 0
-                cur.append((path, first, count))
-                cur_n += count
-        if cur:
-            parts.append(_Ranges(cur))
-        return parts or [_Ranges([])]
-
-    def read(self, part):
-        for path, first, count in part.ranges:
-            yield from self._read_range(path, first, count)
-
-    def _read_range(self, path, first, count):
-        n_rec, h_len, r_len, fields = read_header(path)
-        names = [f[0].lower() for f in fields]
-        want = [f[0].lower() for f in self.fields]
-        pos = {n: i for i, n in enumerate(names)}
-        offsets, off = [], 1
-        for _, _, length, _ in fields:
-            offsets.append((off, length))
-            off += length
-        fname = os.path.basename(path)
-        with open(path, "rb") as fh:
-            fh.seek(h_len + first * r_len)
-            for i in range(count):
-                rec = fh.read(r_len)
-                if len(rec) < r_len:
-                    break
-                if rec[:1] == b"*":          # deleted record
-                    continue
-                row = []
-                for w, (_, kind, _, _) in zip(want, self.fields):
-                    j = pos.get(w)
-                    if j is None:
-                        row.append(None)
-                        continue
-                    o, length = offsets[j]
-                    row.append(_decode(fields[j][1], rec[o:o + length], self.encoding))
-                yield tuple(row) + (path, fname, first + i)
-
-
-class DbfDataSource(DataSource):
-    """Options: ``path`` (glob), ``encoding`` (default latin-1)."""
-
-    @classmethod
-    def name(cls):
-        return "dbf"
-
-    def _files(self):
-        pattern = self.options.get("path", "")
-        return sorted(p for p in glob.glob(pattern, recursive=True) if p.lower().endswith(".dbf"))
-
-    def schema(self):
-        files = self._files()
-        if not files:
-            return "_file_path string, _file_name string, _record bigint"
-        _, _, _, fields = read_header(files[0])
-        cols = [f"`{name.lower()}` {_TYPES.get(kind, 'string')}" for name, kind, _, _ in fields]
-        return ", ".join(cols + ["_file_path string", "_file_name string", "_record bigint"])
-
-    def reader(self, schema):
-        files = self._files()
-        fields = read_header(files[0])[3] if files else []
-        return DbfReader(files, fields, self.options.get("encoding", "latin-1"))
-
-
-class DbfWriter:
-    """Streaming dBase III writer: header first, records appended, the record
-    count patched into the header on close (no rows held in memory)."""
-
-    def __init__(self, path: str, columns: list[tuple[str, str]]):
-        self.spec = []
-        for name, typ in columns:
-            if typ in ("double", "float", "bigint", "int"):
-                self.spec.append((name, "N", 24, 0))
-            elif typ.startswith("timestamp") or typ == "date":
-                self.spec.append((name, "D", 8, 0))
-            else:
-                self.spec.append((name, "C", 254, 0))
-        self.n = 0
-        self.fh = open(path, "wb")
-        r_len = 1 + sum(f[2] for f in self.spec)
-        h_len = 32 + 32 * len(self.spec) + 1
-        today = _dt.date.today()
-        self.fh.write(struct.pack("<BBBBIHH20x", 3, today.year - 1900, today.month, today.day, 0, h_len, r_len))
-        for name, kind, length, dec in self.spec:
-            self.fh.write(struct.pack("<11sc4xBB14x", name.upper().encode("ascii")[:11], kind.encode(), length, dec))
-        self.fh.write(b"\x0D")
-
-    def append(self, rows) -> None:
-        for r in rows:
-            out = [b" "]
-            for (_, kind, length, _), v in zip(self.spec, r):
-                if v is None:
-                    txt = ""
-                elif kind == "N":
-                    txt = str(v) if isinstance(v, int) else repr(float(v))
-                elif kind == "D":
-                    txt = v.strftime("%Y%m%d")
-                else:
-                    txt = str(v)
-                b = txt.encode("latin-1", "replace")[:length]
-                out.append(b.rjust(length) if kind == "N" else b.ljust(length))
-            self.fh.write(b"".join(out))
-            self.n += 1
-
-    def close(self) -> int:
-        self.fh.write(b"\x1A")
-        self.fh.seek(4)
-        self.fh.write(struct.pack("<I", self.n))
-        self.fh.close()
-        return self.n
-
-
-def write_dbf(path: str, columns: list[tuple[str, str]], rows) -> int:
-    """Write a dBase III table: columns = [(name, spark type)], rows = tuples."""
-    w = DbfWriter(path, columns)
-    w.append(rows)
-    return w.close()
-
-
-def register(spark) -> None:
-    spark.dataSource.register(DbfDataSource)
-
-
-def scan_dbf(spark, path_glob: str):
-    """All .dbf files matching ``path_glob`` -> typed DataFrame (+ file order)."""
-    from pyspark.sql import functions as F
-
-    from tillflow.operators.columns import ORD
-    register(spark)
-    df = spark.read.format("dbf").option("path", path_glob).load()
+def _moment(raw: bytes):
+    """FoxPro date and time: Julian day and milliseconds."""
+    day, ms = struct.unpack("<ii", raw)
+    return dt.datetime(1, 1, 1) + dt.timedelta(days=day - 1721426, milliseconds=ms) if day else None
+
+
+def _value(kind: str, raw: bytes, encoding: str):
+    """Value of a field's bytes; raises ValueError if they do not read as one."""
+    if kind in "I+" and len(raw) == 4:
+        return struct.unpack("<i", raw)[0]
+    if kind in "BO" and len(raw) == 8:
+        return struct.unpack("<d", raw)[0]
+    if kind == "Y" and len(raw) == 8:
+        return struct.unpack("<q", raw)[0] / 10_000
+    if kind in "T@" and len(raw) == 8:
+        return _moment(raw)
+    text = raw.decode(encoding, "ignore")
+    if _TYPES.get(kind) is None:
+        return text.rstrip(" \x00")
+    text = text.strip(" \x00")
+    if kind == "L":
+        return None if text in ("", "?") else text[0] in "TtYy"
+    if not text.strip("*"):
+        return None  # blank, or a number that overflowed its field
+    if kind == "D":
+        return dt.datetime(int(text[:4]), int(text[4:6]), int(text[6:8]))
+    if "_" in text:
+        raise ValueError(text)
+    return float(text)
+
+
+def decode(data: bytes, path: str, want: list[tuple[str, str]], encoding: str):
+    """Arrow batches of a file's live records: the wanted (name, type) columns,
+    ``_invalid`` and ``_record``."""
+    n_rec, h_len, r_len, fields = read_header(data)
+    if len(data) < h_len + n_rec * r_len:
+        raise ValueError(f"{path}: the file holds fewer records than its header says ({n_rec})")
+    at, offset = {}, 1
+    for name, kind, length, _ in fields:
+        at.setdefault(name, (kind, offset, length))
+        offset += length
+    for first in range(0, n_rec, RECORDS_PER_BATCH):
+        count = min(RECORDS_PER_BATCH, n_rec - first)
+        rows = np.frombuffer(data, np.uint8, count * r_len, h_len + first * r_len).reshape(count, r_len)
+        live = np.flatnonzero(rows[:, 0] != ord("*"))
+        invalid = [None] * len(live)
+        columns = []
+        for name, spark_type in want:
+            kind, o, length = at.get(name, ("", 0, 0))
+            out = [None] * len(live)
+            for i, raw in enumerate(map(bytes, rows[live, o:o + length]) if kind else ()):
+                try:
+                    out[i] = _value(kind, raw, encoding)
+                except ValueError:
+                    text = raw.decode(encoding, "ignore").strip(" \x00")
+                    invalid[i] = f"{invalid[i] + '; ' if invalid[i] else ''}{name}={text}"
+            if spark_type == "string":
+                out = [None if v is None else v if isinstance(v, str) else str(v) for v in out]
+            elif spark_type == "double":
+                out = [None if v is None else float(v) for v in out]
+            columns.append(pa.array(out, _ARROW[spark_type]))
+        yield columns, invalid, first + live
+
+
+def schema_of(files: DataFrame) -> list[tuple[str, str]]:
+    """(name, type) of every field of any file, in the order of their names'
+    first position; a field with different types is a number if all are, else text."""
+    def task(batches):
+        for batch in batches:
+            found = {(f[0], _TYPES.get(f[1], "string"), i) for c in batch.column("content").to_pylist()
+                     for i, f in enumerate(read_header(c)[3])}
+            rows = sorted(found)
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),
+                                              pa.array([r[2] for r in rows], pa.int32())], ["name", "type", "pos"])
+
+    heads = files.select(F.substring("content", 1, 65_536).alias("content")).mapInArrow(task, "name string, type string, pos int")
+    rows = heads.groupBy("name", "type").agg(F.min("pos").alias("pos")).limit(MAX_FIELDS + 1).collect()
+    if len(rows) > MAX_FIELDS:
+        raise ValueError(f"more than {MAX_FIELDS} fields")
+    types: dict[str, set] = {}
+    for r in sorted(rows, key=lambda r: (r["pos"], r["name"])):
+        types.setdefault(r["name"], set()).add(r["type"])
+    pick = lambda t: next(iter(t)) if len(t) == 1 else "double" if t <= {"double", "bigint"} else "string"
+    return [(n, pick(t)) for n, t in types.items()]
+
+
+def decode_files(files: DataFrame, encoding: str = "latin-1", fields: list[tuple[str, str]] | None = None) -> DataFrame:
+    """All records of ``path, content`` files, with ``_file_path, _file_name,
+    _record, _invalid`` and the file order ``_ord``."""
+    want = schema_of(files) if fields is None else fields
+
+    def task(batches):
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                for columns, invalid, record in decode(content, path, want, encoding):
+                    n = len(record)
+                    yield pa.RecordBatch.from_arrays(
+                        [*columns, pa.array(invalid, pa.string()), pa.array([path] * n, pa.string()),
+                         pa.array([path.rsplit("/", 1)[-1]] * n, pa.string()), pa.array(record, pa.int64())],
+                        [*[n for n, _ in want], "_invalid", "_file_path", "_file_name", "_record"])
+
+    cols = ", ".join([f"`{n}` {t}" for n, t in want] + ["_invalid string", "_file_path string", "_file_name string", "_record bigint"])
+    df = files.select("path", "content").mapInArrow(task, cols)
     return df.withColumn(ORD, F.struct(F.col("_file_path").alias("path"), F.col("_record").alias("pos")))
+
+
+def scan_dbf(spark: SparkSession, path, encoding: str = "latin-1") -> DataFrame:
+    """All .dbf files of a path or glob -> typed rows."""
+    files = spark.read.format("binaryFile").load(path).where(F.lower("path").endswith(".dbf"))
+    return decode_files(files, encoding)
+
+
+def encode_table(columns: list[tuple[str, str]], rows) -> bytes:
+    """A dBase III table: columns = [(name, spark type)], rows = tuples."""
+    spec = [(n, *(("N", 24) if t in ("double", "float", "bigint", "int") else
+                  ("D", 8) if t.startswith("timestamp") or t == "date" else ("C", 254))) for n, t in columns]
+    body = []
+    for row in rows:
+        body.append(b" ")
+        for (_, kind, length), v in zip(spec, row):
+            text = ("" if v is None else v.strftime("%Y%m%d") if kind == "D" else
+                    repr(float(v)) if kind == "N" and not isinstance(v, int) else str(v))
+            raw = text.encode("latin-1", "replace")[:length]
+            body.append(raw.rjust(length) if kind == "N" else raw.ljust(length))
+    n = len(body) // (1 + len(spec))
+    r_len, h_len = 1 + sum(f[2] for f in spec), 33 + 32 * len(spec)
+    head = [struct.pack("<BBBBIHH20x", 3, 100, 1, 1, n, h_len, r_len)]
+    head += [struct.pack("<11sc4xBB14x", name.upper().encode("ascii")[:10], kind.encode(), length, 0) for name, kind, length in spec]
+    return b"".join([*head, b"\x0D", *body, b"\x1A"])

@@ -1,22 +1,28 @@
 """Delimited text feeds: CSV with header, headerless positional, pipe files
 with a preamble and a trailer.
 
-Every raw column is read as a string (no inference), and every row carries
-``_ord`` = (file path, split start, position in split) -- its file order --
-and ``_file_name``.  Rows with more fields than the header/positions are
-dropped (an extra trailing column catches them); short rows are padded.
+Every raw column is read as a string (no inference), quotes may be doubled, and
+cells that mean "missing" are null.  Every row carries ``_ord`` = (file path,
+split start, position in split) -- its file order -- and ``_file_name``.  Rows
+with more fields than their file's header are dropped, short rows are padded.
 """
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tillflow.functions.text import nullify
 from tillflow.operators.columns import ORD
 
 EXTRA = "_extra"
+#: Different header lines that one scan accepts; they are collected to plan it.
+MAX_LAYOUTS = 1000
 
 
 def _with_order(df: DataFrame) -> DataFrame:
@@ -25,6 +31,7 @@ def _with_order(df: DataFrame) -> DataFrame:
                       F.col("_metadata.file_block_start").alias("block"),
                       F.monotonically_increasing_id().alias("pos")),
         "_file_name": F.col("_metadata.file_name"),
+        "_file_path": F.col("_metadata.file_path"),
     })
 
 
@@ -32,60 +39,134 @@ def _string_schema(names) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def header_names(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """Column names from the header line (reads one line, not the data)."""
-    return spark.read.option("header", True).option("sep", sep).csv(path).columns
+def _reader(spark: SparkSession, sep: str, header: bool, encoding: str, multi_line: bool):
+    """Doubled quotes inside a quoted cell are quotes; with ``multi_line`` a
+    quoted cell may hold line ends (such files are not split)."""
+    return (spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+            .option("encoding", encoding).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+            .option("enforceSchema", True))
+
+
+def unique_names(names: list[str]) -> list[str]:
+    """Repeated header names get _2, _3 ... in order; empty ones their position."""
+    seen: dict[str, int] = {}
+    out = []
+    for i, n in enumerate(names):
+        n = n.strip() or f"_c{i}"
+        k = n.lower()
+        seen[k] = seen.get(k, 0) + 1
+        out.append(n if seen[k] == 1 else f"{n}_{seen[k]}")
+    return out
+
+
+def first_lines(spark: SparkSession, path) -> DataFrame:
+    """``_file_path, line``: the first line of every file."""
+    txt = spark.read.text(path).select(F.col("_metadata.file_path").alias("_file_path"),
+                                       F.col("_metadata.file_block_start").alias("b"),
+                                       F.monotonically_increasing_id().alias("m"), "value")
+    return txt.where(F.col("b") == 0).groupBy("_file_path").agg(F.min_by("value", "m").alias("line"))
+
+
+def layouts(spark: SparkSession, path, sep: str = ",") -> tuple[DataFrame, dict[str, list[str]]]:
+    """(first line of each file, column names of each distinct header line)."""
+    heads = first_lines(spark, path)
+    lines = [r["line"] for r in heads.select("line").distinct().limit(MAX_LAYOUTS + 1).collect()]
+    if len(lines) > MAX_LAYOUTS:
+        raise ValueError(f"more than {MAX_LAYOUTS} different headers under {path}")
+    names = {x: unique_names(next(csv.reader([x.removeprefix("﻿")], delimiter=sep), [])) for x in sorted(lines)}
+    return heads, names
+
+
+def header_names(spark: SparkSession, path, sep: str = ",") -> list[str]:
+    """All column names of the files' headers, in the order they are met."""
+    return list(dict.fromkeys(n for names in layouts(spark, path, sep)[1].values() for n in names))
+
 
+def _finish(df: DataFrame, names, null_text: bool) -> DataFrame:
+    df = df.drop(EXTRA)
+    return df.withColumns({n: nullify(F.col(f"`{n}`")) for n in names}) if null_text else df
 
-def scan_csv_header(spark: SparkSession, path: str, sep: str = ",", names: list[str] | None = None,
-                    encoding: str = "UTF-8") -> DataFrame:
-    """CSV with a header line; all columns text; over-long rows dropped."""
-    names = names or header_names(spark, path, sep)
-    df = (spark.read.schema(_string_schema(list(names) + [EXTRA]))
-          .option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
-          .option("encoding", encoding).option("enforceSchema", True)
-          .csv(path))
-    return _with_order(df).where(F.col(EXTRA).isNull()).drop(EXTRA)
 
+def scan_csv_header(spark: SparkSession, path, sep: str = ",", names: list[str] | None = None,
+                    encoding: str = "UTF-8", multi_line: bool = False, null_text: bool = True) -> DataFrame:
+    """CSV with a header line; all columns text; over-long rows dropped.
 
-def scan_positional(spark: SparkSession, path: str, n_cols: int, sep: str = "\t") -> DataFrame:
+    Columns are bound by name: each file's own header says what its columns
+    are, and a column that a file lacks is null there.  With ``names`` the
+    header lines are skipped and the columns bound by position.
+    """
+    heads, known = (None, {None: names}) if names else layouts(spark, path, sep)
+    known = {k: v for k, v in known.items() if v}
+    if len(known) <= 1:
+        cols = next(iter(known.values()), ["value"])
+        df = _with_order(_reader(spark, sep, True, encoding, multi_line)
+                         .schema(_string_schema([*cols, EXTRA])).csv(path))
+        return _finish(df.where(F.col(EXTRA).isNull()), cols, null_text)
+    width = max(map(len, known.values()))
+    wide = [f"_c{i}" for i in range(width)]
+    df = _with_order(_reader(spark, sep, True, encoding, multi_line).schema(_string_schema([*wide, EXTRA])).csv(path))
+    number = spark.createDataFrame([(line, i) for i, line in enumerate(known)], "line string, _layout int")
+    df = df.join(heads.join(number, "line").select("_file_path", "_layout"), "_file_path")
+    fits = F.lit(False)
+    for i, cols in enumerate(known.values()):
+        beyond = [F.col(c).isNull() for c in [*wide[len(cols):], EXTRA]]
+        fits = fits | ((F.col("_layout") == i) & reduce(lambda a, b: a & b, beyond))
+    df = df.where(fits)
+    bound = {}
+    for i, cols in enumerate(known.values()):
+        for j, n in enumerate(cols):
+            value = F.when(F.col("_layout") == i, F.col(wide[j]))
+            bound[n] = F.coalesce(bound[n], value) if n in bound else value
+    keep = [c for c in df.columns if c not in (*wide, EXTRA, "_layout")]
+    return _finish(df.select(*[v.alias(n) for n, v in bound.items()], *keep), list(bound), null_text)
+
+
+def scan_positional(spark: SparkSession, path, n_cols: int, sep: str = "\t", multi_line: bool = False,
+                    null_text: bool = True) -> DataFrame:
     """Headerless delimited file; columns ``_c0 .. _c{n-1}`` by position."""
     names = [f"_c{i}" for i in range(n_cols)]
-    df = (spark.read.schema(_string_schema(names + [EXTRA])).option("header", False)
-          .option("sep", sep).option("mode", "PERMISSIVE").csv(path))
-    return _with_order(df).where(F.col(EXTRA).isNull()).drop(EXTRA)
-
+    df = _with_order(_reader(spark, sep, False, "UTF-8", multi_line).schema(_string_schema([*names, EXTRA])).csv(path))
+    return _finish(df.where(F.col(EXTRA).isNull()), names, null_text)
 
-def scan_lines_skipping(spark: SparkSession, path: str, n_cols: int, sep: str = "|",
-                        skip_head: int = 5, drop_last: bool = False) -> DataFrame:
-    """Headerless delimited file with ``skip_head`` preamble lines (and
-    optionally one trailer line) per file.
 
-    Line numbers come from one ``row_number`` per (file, split) -- bounded by
-    the split size, never by the file -- so a big file still reads in
-    parallel.  The preamble lies in the split that starts at byte 0; the
-    trailer is the last line of the file's last split.
+def drop_edge_lines(spark: SparkSession, path, skip_head: int = 0, drop_last: bool = False) -> DataFrame:
+    """Text lines of files without each file's first ``skip_head`` lines (and its
+    last).  Only lines of a file's first split and of its last two (a line that
+    begins before a split's end belongs to it) are numbered; all others pass
+    straight through, so the bulk of the text is never shuffled.
     """
     raw = spark.read.text(path)
-    part_cols = [c for c in raw.columns if c != "value"]   # e.g. partition directories
     txt = raw.withColumns({
-        "_path": F.col("_metadata.file_path"),
-        "_block": F.col("_metadata.file_block_start"),
+        "_file_path": F.col("_metadata.file_path"),
         "_file_name": F.col("_metadata.file_name"),
+        "_block": F.col("_metadata.file_block_start"),
+        "_after": F.col("_metadata.file_size") - F.col("_metadata.file_block_start") - F.col("_metadata.file_block_length"),
+        "_length": F.col("_metadata.file_block_length"),
         "_mono": F.monotonically_increasing_id(),
     })
-    split = Window.partitionBy("_path", "_block").orderBy("_mono")
-    lines = txt.withColumn("_ln", F.row_number().over(split))
-    keep = ~((F.col("_block") == 0) & (F.col("_ln") <= skip_head))
+    first = F.col("_block") == 0
+    edge = first | ((F.col("_after") <= F.col("_length")) if drop_last else F.lit(False))
+    file = Window.partitionBy("_file_path")
+    order = [F.col("_block"), F.col("_mono")]
+    kept = txt.where(edge).withColumn("_ln", F.row_number().over(file.orderBy(*order)))
+    keep = ~(first & (F.col("_ln") <= skip_head))
     if drop_last:
-        last_block = txt.groupBy("_path").agg(F.max("_block").alias("_last_block"))
-        lines = (lines.join(last_block, "_path")
-                 .withColumn("_n_in_block", F.count(F.lit(1)).over(Window.partitionBy("_path", "_block"))))
-        keep = keep & ~((F.col("_block") == F.col("_last_block")) & (F.col("_ln") == F.col("_n_in_block")))
-    lines = lines.where(keep)
-    schema = _string_schema([f"_c{i}" for i in range(n_cols)] + [EXTRA])
-    parsed = lines.withColumn("_rec", F.from_csv(F.col("value"), schema.simpleString(), {"sep": sep}))
-    out = parsed.select(
-        F.struct(F.col("_path").alias("path"), F.col("_block").alias("block"), F.col("_mono").alias("pos")).alias(ORD),
-        "_file_name", *part_cols, "_rec.*")
-    return out.where(F.col(EXTRA).isNull()).drop(EXTRA)
+        kept = kept.withColumn("_from_end", F.row_number().over(file.orderBy(*[c.desc() for c in order])))
+        keep = keep & (F.col("_from_end") > 1)
+    kept = kept.where(keep).select(*txt.columns)
+    return kept.unionByName(txt.where(~edge)).withColumn(
+        ORD, F.struct(F.col("_file_path").alias("path"), F.col("_block").alias("block"), F.col("_mono").alias("pos"))
+    ).drop("_block", "_after", "_length", "_mono")
+
+
+def scan_lines_skipping(spark: SparkSession, path, n_cols: int, sep: str = "|",
+                        skip_head: int = 5, drop_last: bool = False, null_text: bool = True) -> DataFrame:
+    """Headerless delimited file with ``skip_head`` preamble lines (and
+    optionally one trailer line) per file."""
+    lines = drop_edge_lines(spark, path, skip_head, drop_last)
+    names = [f"_c{i}" for i in range(n_cols)]
+    schema = _string_schema([*names, EXTRA])
+    rest = [c for c in lines.columns if c != "value"]
+    out = lines.withColumn("_rec", F.from_csv(F.col("value"), schema.simpleString(), {"sep": sep, "escape": '"'})).select(
+        *rest, "_rec.*")
+    return _finish(out.where(F.col(EXTRA).isNull()), names, null_text)

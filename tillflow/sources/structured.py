@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.operators.columns import ORD
+from tillflow.operators.columns import ORD, filter_shop
 
 # Tags read from each 'webtable' element of a spirit2000 export.
 SPIRIT_XML_TAGS = ["sku", "upccode", "prodname", "catname", "typename", "sizename", "unitprice", "sale",
                    "stockqty", "pack", "onsale"]
 
 
-def scan_xml_rows(spark: SparkSession, path: str, row_tag: str = "webtable",
+def scan_xml_rows(spark: SparkSession, path, row_tag: str = "webtable",
                   tags: list[str] = SPIRIT_XML_TAGS) -> DataFrame:
     """One row per ``row_tag`` element; the listed child tags as text."""
     schema = T.StructType([T.StructField(t, T.StringType()) for t in tags])
@@ -22,7 +22,7 @@ def scan_xml_rows(spark: SparkSession, path: str, row_tag: str = "webtable",
         ORD: F.struct(F.col("_metadata.file_path").alias("path"),
                       F.col("_metadata.file_block_start").alias("block"),
                       F.monotonically_increasing_id().alias("pos")),
-        "_file_name": F.col("_metadata.file_name")})
+        "_file_name": F.col("_metadata.file_name"), "_file_path": F.col("_metadata.file_path")})
 
 
 def scan_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -44,7 +44,7 @@ def mpower_items(pages: DataFrame) -> DataFrame:
 
 
 LIGHTSPEED_ITEM_PAGE_SCHEMA = (
-    "retailer_id string, shop_id string, Item array<struct<itemID:string, systemSku:string, upc:string, "
+    "retailer_id string, shop_id string, page long, Item array<struct<itemID:string, systemSku:string, upc:string, "
     "description:string, categoryID:string, Prices:struct<ItemPrice:array<struct<useTypeID:string, amount:string>>>, "
     "ItemShops:struct<ItemShop:array<struct<itemID:string, shopID:string, qoh:string>>>>>")
 LIGHTSPEED_CATEGORY_PAGE_SCHEMA = (
@@ -52,31 +52,45 @@ LIGHTSPEED_CATEGORY_PAGE_SCHEMA = (
 
 
 def lightspeed_items(item_pages: DataFrame, category_pages: DataFrame) -> DataFrame:
-    """Item pages -> items joined with the shop's price and quantity and the
-    category (left).  Prices / quantities are filtered to the shop first."""
-    items = item_pages.select("retailer_id", "shop_id", F.explode("Item").alias("i"))
-    base = items.select("retailer_id", "shop_id", "i.itemID", "i.systemSku", "i.upc", "i.description",
-                        "i.categoryID")
-    prices = (items.select("retailer_id", "shop_id", F.col("i.itemID").alias("itemID"),
-                           F.explode("i.Prices.ItemPrice").alias("p"))
-              .where(F.col("p.useTypeID") == F.col("shop_id"))
-              .select("retailer_id", "itemID", F.col("p.amount").alias("amount")))
-    qty = (items.select("retailer_id", "shop_id", F.explode("i.ItemShops.ItemShop").alias("q"))
-           .where(F.col("q.shopID") == F.col("shop_id"))
-           .select("retailer_id", F.col("q.itemID").alias("itemID"), F.col("q.qoh").alias("qoh")))
+    """Item pages -> items with the shop's price and quantity and the category
+    (left join).  Prices and quantities are filtered to the shop inside the row
+    before they are exploded; the category join is the only shuffle."""
+    items = item_pages.select("retailer_id", "shop_id", "page", F.posexplode("Item").alias("_pos", "i"))
+    base = items.select(
+        "retailer_id", "shop_id", F.struct("page", "_pos").alias(ORD), "i.itemID", "i.systemSku", "i.upc", "i.description",
+        "i.categoryID", F.col("i.Prices.ItemPrice").alias("_prices"), F.col("i.ItemShops.ItemShop").alias("_shops"))
+    base = filter_shop(filter_shop(base, "_prices", "useTypeID"), "_shops", "shopID")
+    base = base.withColumn("_p", F.explode("_prices")).withColumn("_q", F.explode("_shops"))
+    base = base.withColumns({"amount": F.col("_p.amount"), "qoh": F.col("_q.qoh")}).drop("_prices", "_shops", "_p", "_q")
     cats = category_pages.select("retailer_id", F.explode("Category").alias("c")).select(
         "retailer_id", "c.categoryID", "c.name", "c.fullPathName")
-    out = base.join(prices, ["retailer_id", "itemID"]).join(qty, ["retailer_id", "itemID"])
-    return out.join(cats, ["retailer_id", "categoryID"], "left").withColumn(ORD, F.col("itemID"))
+    return base.join(cats, ["retailer_id", "categoryID"], "left")
+
+
+def page_check(pages: DataFrame, declared: str = "TotalPages", items: str = "Results") -> DataFrame:
+    """Per retailer: pages and items present, pages declared, and whether any
+    page is missing (null when nothing was declared)."""
+    out = pages.groupBy("retailer_id").agg(F.countDistinct("page").alias("pages"), F.sum(F.size(items)).alias("items"),
+                                           F.max(declared).alias("declared"))
+    return out.withColumn("complete", F.col("pages") >= F.col("declared"))
+
+
+def outer_upcs(items: DataFrame) -> DataFrame:
+    """One row per item and additional UPC; items without any keep one row."""
+    return items.select("*", F.posexplode_outer("AdditionalUpcs").alias("_pos", "_add")).drop("AdditionalUpcs")
 
 
 def square_catalog(items: DataFrame, categories: DataFrame, variations: DataFrame, counts: DataFrame,
-                   location: str) -> DataFrame:
-    """Items -> category -> variations -> in-stock counts at one location
-    (inner joins on differently named keys), nested structs kept."""
-    in_stock = counts.where((F.col("location_id") == location) & (F.col("state") == "IN_STOCK"))
-    cats = categories.withColumnRenamed("id", "category_object_id")
-    var = variations.withColumnRenamed("id", "item_variation_object_id")
-    x = items.join(cats, items["item_data.category_id"] == cats["category_object_id"])
-    x = x.join(var, x["id"] == var["item_variation_data.item_id"])
-    return x.join(in_stock, x["item_variation_object_id"] == in_stock["catalog_object_id"])
+                   locations: DataFrame) -> DataFrame:
+    """Items -> category -> variations -> in-stock counts at the retailer's
+    location (inner joins, all within a retailer), nested structs kept.
+    ``locations``: retailer_id, location_id (from the registry)."""
+    key = "retailer_id"
+    in_stock = (counts.where(F.col("state") == "IN_STOCK").join(locations, [key, "location_id"])
+                .withColumnRenamed("catalog_object_id", "item_variation_object_id"))
+    cats = categories.withColumnRenamed("id", "_category")
+    var = variations.withColumnRenamed("id", "item_variation_object_id").withColumn(
+        "_item", F.col("item_variation_data.item_id"))
+    x = items.withColumn("_category", F.col("item_data.category_id")).join(cats, [key, "_category"])
+    x = x.join(var, (x[key] == var[key]) & (x["id"] == var["_item"])).drop(var[key])
+    return x.drop("_category", "_item").join(in_stock, [key, "item_variation_object_id"])
