@@ -546,7 +546,6 @@ def q_filter_digit_id(spark, sf_dir):
     return C.filter_digit_id(d, "pid")
 
 
-             "PRODUCT_CATEGORY", "PACKAGE_SIZE", "PRICE_REGULAR", "SALE_PRICE", "QTY_ON_HAND"]
 
 
 @register("cols_lower", O.with_clause(O.F8) + "\nSELECT * EXCLUDE (retailer_id, _ord) FROM f8")
