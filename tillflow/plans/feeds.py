@@ -138,13 +138,13 @@ def adapter(prepare):
     return feed
 
 
-def _product_id():
+def product_id():
     return T.strip_dot_zero(F.col("rt_product_id").cast("string"))
 
 
 def clean_id(df: DataFrame) -> DataFrame:
     """Product id as text without any '.0'; rows with no id go to ``rejects``."""
-    pid = _product_id()
+    pid = product_id()
     return df.withColumn("rt_product_id", pid).where(pid.isNotNull() & (pid != ""))
 
 
@@ -163,7 +163,7 @@ def finish(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
 def rejects(prepared: DataFrame, source: str) -> DataFrame:
     """Rows of a prepared feed that ``finish`` cannot use, with a reason
     (missing product id) and the whole record as JSON."""
-    pid = _product_id() if "rt_product_id" in prepared.columns else F.lit(None).cast("string")
+    pid = product_id() if "rt_product_id" in prepared.columns else F.lit(None).cast("string")
     bad = prepared.where(pid.isNull() | (pid == ""))
     rec = F.to_json(F.struct(*[F.col(f"`{c}`") for c in prepared.columns if c not in (KEY, ORD)]))
     return bad.select(F.col(KEY).cast("string").alias(KEY), F.lit(source).alias("source"),

@@ -39,19 +39,19 @@ def land_csv(spark: SparkSession, df: DataFrame, name: str, sep: str = ",", head
     return path
 
 
-def land_lines(spark: SparkSession, lines: DataFrame, name: str) -> str:
+def land_lines(spark: SparkSession, lines: DataFrame, name: str, path: str | None = None) -> str:
     """Write pre-formatted text lines (retailer_id, _part, _ord, value): one file
     per retailer and part, each with its own preamble."""
-    path = shared_dir(spark, "landing", name)
+    path = path or shared_dir(spark, "landing", name)
     (lines.repartition(KEY, "_part").sortWithinPartitions(KEY, "_part", ORD).select(KEY, "_part", "value")
-     .write.partitionBy(KEY, "_part").text(path))
+     .write.mode("append").partitionBy(KEY, "_part").text(path))
     return path
 
 
 def land_xml(spark: SparkSession, df: DataFrame, name: str, row_tag: str = "webtable",
-             root_tag: str = "NewDataSet") -> str:
-    path = shared_dir(spark, "landing", name)
-    _text(df).write.partitionBy(KEY).format("xml").option("rowTag", row_tag).option("rootTag", root_tag).save(path)
+             root_tag: str = "NewDataSet", path: str | None = None) -> str:
+    path = path or shared_dir(spark, "landing", name)
+    _text(df).write.mode("append").partitionBy(KEY).format("xml").option("rowTag", row_tag).option("rootTag", root_tag).save(path)
     return path
 
 
@@ -94,8 +94,8 @@ def _numbered(df: DataFrame) -> DataFrame:
 
 
 def land_zip_members(spark: SparkSession, members: dict, name: str) -> DataFrame:
-    """``path, content`` of one zip archive per retailer and part, a CSV per
-    member (``members``: file name -> frame with retailer_id, _part, _ord, columns)."""
+    """``path, content`` of one zip archive per retailer and part, a CSV or dBase
+    table per member (``members``: file name -> frame with retailer_id, _part, _ord, columns)."""
     stacked = None
     columns = {}
     for member, d in members.items():
@@ -108,18 +108,22 @@ def land_zip_members(spark: SparkSession, members: dict, name: str) -> DataFrame
         import csv
         import io
         import zipfile
+
+        from tillflow.sources.dbf import encode_table
         key, part = rows.column(KEY)[0].as_py(), rows.column("_part")[0].as_py()
         rows = rows.sort_by([("member", "ascending"), ("_n", "ascending")])
-        texts = {m: io.StringIO() for m in columns}
-        writers = {m: csv.writer(t, lineterminator="\n") for m, t in texts.items()}
-        for m, w in writers.items():
-            w.writerow(columns[m])
-        for m, cells in zip(rows.column("member").to_pylist(), rows.column("cells").to_pylist()):
-            writers[m].writerow(["" if c is None else c for c in cells])
+        cells = {m: [] for m in columns}
+        for m, row in zip(rows.column("member").to_pylist(), rows.column("cells").to_pylist()):
+            cells[m].append(["" if c is None else c for c in row])
         out = io.BytesIO()
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            for m, t in texts.items():
-                z.writestr(m, t.getvalue())
+            for m, data in cells.items():
+                if m.lower().endswith(".dbf"):
+                    z.writestr(m, encode_table([(c, "string") for c in columns[m]], data))
+                    continue
+                text = io.StringIO()
+                csv.writer(text, lineterminator="\n").writerows([columns[m], *data])
+                z.writestr(m, text.getvalue())
         return pa.table({"path": pa.array([f"{key}/{part:012d}/export.zip"]), "content": pa.array([out.getvalue()], pa.binary())})
 
     return _files(stacked, name, make, spark)

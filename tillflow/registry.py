@@ -819,17 +819,17 @@ KINDS = ["mpower_lines", "tiger", "fastraxpos", "ptech", "lajoypos", "cobaltconn
          "spirit2000_xml", "kmds", "winepos", "cashregisterexpress", "cashregisterexpress_v2"]
 
 
-def _of_kind(spark, sf_dir, k: int) -> dict:
-    """The tables of the retailers of one POS kind: a retailer is a supplier's
-    lines of every third order, and its number says its kind."""
-    own = F.col("l_suppkey") * 3 + F.col("l_orderkey") % 3
-    li = D.table(spark, sf_dir, "lineitem").withColumn("l_suppkey", own).where(F.col("l_suppkey") % len(KINDS) == k)
+_OWN = "(l_suppkey * 3 + l_orderkey % 3)"      # a retailer: a supplier's lines of every third order
+
+
+def _of_kind(spark, sf_dir, k: int, n: int = len(KINDS)) -> dict:
+    """The tables of the retailers of one POS kind; a retailer's number says its kind."""
+    li = D.table(spark, sf_dir, "lineitem").withColumn("l_suppkey", F.expr(_OWN)).where(F.col("l_suppkey") % n == k)
     return {"lineitem": li, "part": D.table(spark, sf_dir, "part")}
 
 
-def _kind_sql(sql: str, k: int) -> str:
-    own = "(l_suppkey * 3 + l_orderkey % 3)"
-    return sql.replace("lineitem", f"(SELECT * REPLACE ({own} AS l_suppkey) FROM lineitem WHERE {own} % {len(KINDS)} = {k})")
+def _kind_sql(sql: str, k: int, n: int = len(KINDS), where: str = "true") -> str:
+    return sql.replace("lineitem", f"(SELECT * REPLACE ({_OWN} AS l_suppkey) FROM lineitem WHERE {_OWN} % {n} = {k} AND {where})")
 
 
 def _unified_frames(spark, sf_dir):
@@ -921,6 +921,121 @@ def q_sink_landed_csv(spark, sf_dir):
     return back.select("retailer_id", "product_id", F.coalesce(F.col("upc_code"), F.lit("")).alias("upc_code"))
 
 
+# ------------------------------------------------ uploads -> registry -> inventory
+
+UPLOADS = [k for k in KINDS if k != "mpower_lines"] + ["unknown"]
+_EXT = {"spirit2000_xml": ".xml", "liquorpos": ".zip", "liquorpos_csv": ".zip", "spirit2000_csv": ".zip",
+        "spirit2000_dbf": ".zip", "spirit2000_tower": ".zip", "adventpos": ".zip"}
+
+
+def _uploads(spark, sf_dir):
+    """Every kind's export as uploads of one folder, and their registry.  Line
+    retailers r: those of r % 17 = 0 have no registry row, r % 19 = 0 a wrong file
+    type, the last kind is unknown.  MPower retailers are 200001 and up, AdventPOS
+    100000 and up."""
+    root = shared_dir(spark, "uploads")
+    n = len(UPLOADS)
+    t = {kind: _of_kind(spark, sf_dir, k, n) for k, kind in enumerate(UPLOADS)}
+
+    def named(df, kind):
+        r = F.col("retailer_id").cast("long")
+        return df.withColumn("retailer_id", F.concat(
+            F.lit("r"), F.col("retailer_id"), F.when(r % 19 == 0, F.lit(".txt")).otherwise(F.lit(_EXT.get(kind, ".csv")))))
+
+    def csv(df, **kw):
+        L.land_csv(spark, df, "uploads", path=root, mode="append", **kw)
+
+    for kind in [*_SIMPLE, "businessmasterespanol"]:
+        csv(named(D.pos_export(spark, t[kind], kind), kind))
+    csv(named(D.pos_export(spark, t["unknown"], "tiger"), "unknown"))
+    csv(named(D.winepos_raw(spark, t["winepos"]), "winepos"), sep="\t", header=False)
+    csv(D.f1_base(spark, sf_dir).withColumn("retailer_id", F.concat(F.lit("m"), "retailer_id", F.lit(".csv"))))
+    L.land_xml(spark, named(D.spirit_xml_rows(spark, t["spirit2000_xml"]), "spirit2000_xml"), "uploads", path=root)
+    for kind, v2 in (("cashregisterexpress", False), ("cashregisterexpress_v2", True)):
+        L.land_lines(spark, named(D.cre_lines(spark, t[kind], v2=v2), kind), "uploads", path=root)
+    L.land_lines(spark, named(D.kmds_lines(spark, t["kmds"]), "kmds"), "uploads", path=root)
+    zips = None
+    for kind in ("liquorpos", "liquorpos_csv", "spirit2000_csv", "spirit2000_dbf", "spirit2000_tower", "adventpos"):
+        ext = ".dbf" if kind in ("liquorpos", "spirit2000_dbf", "spirit2000_tower") else ".csv"
+        if kind == "adventpos":
+            one = [("ZZ_AdventPOS_Raw", D.f3_items(spark, sf_dir)), ("ZZ_AdventPOS_Raw_ItemSize", D.f3_size(spark, sf_dir)),
+                   ("ZZ_AdventPOS_Raw_ItemPack", D.f3_pack(spark, sf_dir))]
+            members = [(n, d.withColumns({"_part": F.lit(0), "retailer_id": F.concat(F.lit("a"), "retailer_id", F.lit(".zip"))}))
+                       for n, d in one]
+        elif kind.startswith("liquorpos"):
+            members = [(n, named(d, kind)) for n, d in zip(("BARCODES", "LIQCODE"), D.liquorpos_members(spark, t[kind]))]
+        else:
+            inv, prc, stk, upc = _f2(spark, t[kind])
+            upc = upc.withColumnRenamed("tstamp", "LAST") if kind == "spirit2000_tower" else upc
+            members = [(n, named(D.f2_member(d), kind)) for n, d in zip(("inv", "prc", "stk", "upc"), (inv, prc, stk, upc))]
+        made = L.land_zip_members(spark, {name + ext: d for name, d in members}, "uploads_zip")
+        zips = made if zips is None else zips.unionByName(made)
+    zips = zips.withColumn("path", F.concat(F.lit(root + "/"), "path"))
+
+    r = F.col("r")
+    kind = F.element_at(F.array(*[F.lit(k) for k in UPLOADS]), (r % n + 1).cast("int"))
+    ext = F.when(r % 19 == 0, F.lit(".txt")).when(kind.isin([k for k, e in _EXT.items() if e == ".zip"]), F.lit(".zip")).when(
+        kind == "spirit2000_xml", F.lit(".xml")).otherwise(F.lit(".csv"))
+    lines = (D.table(spark, sf_dir, "lineitem").select(F.expr(_OWN).alias("r")).distinct().where(r % 17 != 0)
+             .select(r.alias("id"), kind.alias("pos"), F.concat(F.lit("R"), D.s("r"), ext).alias("filename")))
+    m = D.numbers(spark, 11, "i").where("i > 0").select((F.col("i") + 200_000).alias("id"), F.lit("MPower").alias("pos"),
+                                                         F.concat(F.lit("m"), D.s("i"), F.lit(".csv")).alias("filename"))
+    a = D.numbers(spark, D.F3_RETAILERS, "i").select((F.col("i") + 100_000).alias("id"), F.lit("AdventPOS").alias("pos"),
+                                                     F.concat(F.lit("a"), D.s("i"), F.lit(".zip")).alias("filename"))
+    return root, lines.unionByName(m).unionByName(a), zips
+
+
+_NORMALISED: dict = {}
+
+
+def _normalised(spark, sf_dir):
+    """(good, rejects); both queries of a session share one run."""
+    from tillflow.plans.normalise import normalise
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _NORMALISED:
+        root, registry, zips = _uploads(spark, sf_dir)
+        _NORMALISED[key] = normalise(spark, root, registry, O.AS_OF, archives=zips)
+    return _NORMALISED[key]
+
+
+def _normalised_sql() -> str:
+    n, ok = len(UPLOADS), f"{_OWN} % 17 <> 0 AND {_OWN} % 19 <> 0"
+    cols = ", ".join(O.CANON)
+    parts = [f"SELECT '{kind}' AS pos, retailer_id, {cols} FROM ({_kind_sql(_kind_canon_sql(kind), k, n, ok)})"
+             for k, kind in enumerate(UPLOADS[:-1])]
+    for pos, sql, shift in (("mpower", O.with_clause(O.F1, O.mpower_ctes("f1", "mp")) + "\nSELECT * FROM mp", 200_000),
+                            ("adventpos", O.advent_sql(), 100_000)):
+        parts.append(f"SELECT '{pos}' AS pos, CAST({shift} + CAST(retailer_id AS BIGINT) AS VARCHAR) AS retailer_id, {cols} FROM ({sql})")
+    pctes, pout = O.parse_ctes("u")
+    union = "\nUNION ALL\n".join(parts)
+    return (O.with_clause(f"u AS MATERIALIZED ({union})", pctes) +
+            f"\nSELECT {', '.join(O.CANON + O.PARSED)}, 1 AS active, retailer_id, pos FROM {pout}")
+
+
+@register("normalise_good", _normalised_sql())
+def q_normalise_good(spark, sf_dir):
+    return _normalised(spark, sf_dir)[0]
+
+
+@register("normalise_rejects", f"""
+WITH u AS (SELECT DISTINCT {_OWN} AS r FROM lineitem),
+k AS (SELECT r, [{', '.join(repr(k) for k in UPLOADS)}][r % {len(UPLOADS)} + 1] AS kind FROM u),
+f AS (SELECT *, 'r' || CAST(r AS VARCHAR) || CASE WHEN r % 19 = 0 THEN '.txt'
+  WHEN kind IN ({', '.join(repr(k) for k, e in _EXT.items() if e == '.zip')}) THEN '.zip' WHEN kind = 'spirit2000_xml' THEN '.xml'
+  ELSE '.csv' END AS name FROM k)
+SELECT CASE WHEN r % 17 <> 0 THEN CAST(r AS VARCHAR) END AS retailer_id, CASE WHEN r % 17 <> 0 THEN kind END AS source,
+  CASE WHEN r % 17 = 0 THEN 'no_registry_row' WHEN kind = 'unknown' THEN 'unknown_pos' ELSE 'unrecognized_file_type' END AS reason,
+  name AS record FROM f WHERE r % 17 = 0 OR kind = 'unknown' OR r % 19 = 0
+UNION ALL
+SELECT CAST(200000 + p_partkey % 10 + 1 AS VARCHAR), 'mpower', 'missing_product_id',
+  concat('0', CAST(p_partkey * 7919 AS VARCHAR), CASE WHEN p_partkey % 10 = 0 THEN '.0' ELSE '' END) FROM part WHERE p_partkey % 89 = 0""")
+def q_normalise_rejects(spark, sf_dir):
+    """The rejects table; of a rejected row's record, its barcode."""
+    bad = _normalised(spark, sf_dir)[1]
+    upc = F.get_json_object("record", "$.rt_upc_code")
+    return bad.withColumn("record", F.when(F.col("reason") == "missing_product_id", upc).otherwise(F.col("record")))
+
+
 # --------------------------------------------------------------- streaming
 
 @register("stream_intake", _sql_parse_package())

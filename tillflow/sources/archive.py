@@ -26,8 +26,9 @@ RECORDS_PER_BATCH = 10_000
 
 
 def archive_files(spark: SparkSession, path) -> DataFrame:
-    """``path, content`` of the zip archives of a path or glob."""
-    return spark.read.format("binaryFile").load(path).where(F.lower("path").endswith(".zip")).select("path", "content")
+    """``path, content`` of all zip archives below a folder (or of a glob)."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").option("recursiveFileLookup", True)
+            .load(path).select("path", "content"))
 
 
 def expand_archives(archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
