@@ -3,9 +3,10 @@
 The vocabulary is read from an existing model file (a path parameter).  A text
 is escaped as the library does for models with an identity normaliser (a
 leading space, every space as U+2581) and cut into units: runs of U+2581 with
-the characters after them, and single characters that occur in no longer piece.
-No piece reaches over such a cut, so units merge independently and each
-distinct unit of a batch is encoded once.
+the letters or the other characters after them, and single characters that
+occur in no longer piece.  That no piece reaches over such a cut is checked when
+the file is read, so units merge independently and each distinct unit of a batch
+is encoded once.
 
 All distinct units of a batch lie in one flat symbol array.  A round looks up
 every adjacent pair, takes the best (smallest) rank of each unit, merges the
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +98,39 @@ class Pieces:
         return len(self.text)
 
 
+class PairTable:
+    """Two-choice hash table from a pair of symbols to the piece they make."""
+
+    FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+
+    def __init__(self, pairs: dict[int, int]):
+        self.shift = np.uint64(64 - max(4, (2 * len(pairs)).bit_length()))
+        size = 1 << (64 - int(self.shift))
+        keys, made = np.full((2, size), -1, np.int64), np.full((2, size), -1, np.int32)
+        for key, value in pairs.items():
+            side = 0
+            for _ in range(1000):  # put it in; what it displaces goes to the other side
+                at = (key * int(self.FACTORS[side]) % 2**64) >> int(self.shift)
+                key, keys[side, at] = int(keys[side, at]), key
+                value, made[side, at] = int(made[side, at]), value
+                if key < 0:
+                    break
+                side = 1 - side
+            else:
+                raise ValueError("the pair table is too full")
+        self.keys, self.made = keys, made
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The piece that two symbols make, or -1."""
+        key = left << 32 | right
+        bits = key.view(np.uint64)
+        a, b = (((bits * f) >> self.shift).astype(np.int64) for f in self.FACTORS)
+        out = np.where(self.keys[0][a] == key, self.made[0][a], -1)
+        other = np.flatnonzero(self.keys[1][b] == key)
+        out[other] = self.made[1][b[other]]
+        return out
+
+
 class Merger:
     """Encoder and decoder over one vocabulary."""
 
@@ -106,12 +141,9 @@ class Merger:
             raise ValueError("user-defined and unused pieces are not handled")
         ids = {t: i for i, t in enumerate(p.text) if usable[i]}
         longer = [t for t in ids if len(t) > 1]
-        if any(SPACE in t.lstrip(SPACE) for t in longer):
-            raise ValueError("a piece reaches over a space")
-        self.ids = ids
         # equal scores rank equal, as in the library's queue (then the leftmost goes first)
-        self.rank = np.full(len(p), NONE, np.int64)
-        self.rank[usable] = np.unique(-p.score[usable], return_inverse=True)[1]
+        self.rank = np.full(len(p) + 1, NONE, np.int64)  # the last is read for -1, no piece
+        self.rank[:-1][usable] = np.unique(-p.score[usable], return_inverse=True)[1]
         # every way to join two symbols into a piece: a sorted key and the piece it makes
         known = set("".join(longer))
         self.chars = {c: n for n, c in enumerate(sorted(known | {t for t in ids if len(t) == 1}))}
@@ -123,85 +155,85 @@ class Merger:
                 left, right = symbols.get(t[:cut]), symbols.get(t[cut:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = ids[t]
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.made = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
-        alone = "".join(sorted(set("\n\t\r") - known))  # in no longer piece: cutting there changes nothing
-        self.unit = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|[{alone}]|{SPACE}+")
+        self.pairs = PairTable(pairs)
+        self.unit = self._cuts(longer, known)
         self.base = len(p) + len(self.chars)  # symbols from here on are unknown characters
         self.bytes = [(b"" if p.kind[i] in (CONTROL, UNKNOWN) else bytes([int(t[3:5], 16)]) if p.kind[i] == BYTE
                        else t.replace(SPACE, " ").encode("utf-8")) for i, t in enumerate(p.text)]
         self.bytes[p.unk] = b" \xe2\x81\x87 "  # the library's surface of the unknown piece
-        self.is_byte = p.kind == BYTE
 
-    def _look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The piece that two symbols make, or -1."""
-        key = left << 32 | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.made[at], -1)
-
-    def merge(self, symbols: np.ndarray, unit: np.ndarray, n_units: int) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def _cuts(longer: list[str], known: set[str]) -> re.Pattern:
+        """Pattern of a unit; every cut it makes lies where no piece reaches over."""
+        alone = "".join(sorted(set("\n\t\r") - known))
+        if any(SPACE in t.lstrip(SPACE) for t in longer):
+            raise ValueError("a piece reaches over a space")
+        letter = re.compile(r"[^\W\d_]")
+        touching = {(a, b) for t in longer for a, b in zip(t, t[1:]) if a != SPACE}
+        across = [(a, b) if letter.match(a) else (b, a) for a, b in touching if bool(letter.match(a)) != bool(letter.match(b))]
+        odd = {a for a, _ in across}  # letters that pieces join to other characters count as such
+        if any((a in odd or not letter.match(a)) != (b in odd or not letter.match(b)) for a, b in touching):
+            return re.compile(f"{SPACE}*[^{SPACE}{alone}]+|[{alone}]|{SPACE}+")
+        odd = re.escape("".join(sorted(odd)))
+        return re.compile(f"{SPACE}*[^\\W\\d_{odd}]+|{SPACE}*(?:(?![{SPACE}{alone}])[\\W\\d_{odd}])+|[{alone}]|{SPACE}+")
+
+    def merge(self, symbols: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge rounds over flat ``symbols``; ``unit`` (ascending) says whose they are.
         Returns the final symbols and their units."""
         done_s, done_u = [], []
+        made = np.full(len(symbols), -1, np.int64)  # piece that a symbol and the next one make
+        same = np.flatnonzero(unit[1:] == unit[:-1])
+        made[same] = self.pairs(symbols[same], symbols[same + 1])
         while len(symbols):
-            made = np.full(len(symbols), -1, np.int64)
-            if len(symbols) > 1:
-                same = np.flatnonzero(unit[1:] == unit[:-1])
-                made[same] = self._look_up(symbols[same], symbols[same + 1])
-            rank = np.where(made >= 0, self.rank[made], NONE)
+            rank = self.rank[made]
             starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
             best = np.minimum.reduceat(rank, starts)
             sizes = np.diff(np.r_[starts, len(unit)])
-            active = np.repeat(best < NONE, sizes)
-            if not active.all():  # units without a pair are finished: compaction
+            if (best == NONE).any():  # units without a pair are finished: compaction
+                active = np.repeat(best < NONE, sizes)
                 done_s.append(symbols[~active])
                 done_u.append(unit[~active])
                 symbols, unit, made, rank = symbols[active], unit[active], made[active], rank[active]
                 if not len(symbols):
                     break
-                keep = best < NONE
-                best, sizes = best[keep], sizes[keep]
-                starts = np.r_[0, np.cumsum(sizes)[:-1]]
-            hit = rank == np.repeat(best, sizes)
-            hit = self._leftmost(hit)
-            hit = self._guard(hit, symbols, unit, made, rank, best, sizes, starts)
-            symbols = np.where(hit, made, symbols)
-            gone = np.r_[False, hit[:-1]]
-            symbols, unit = symbols[~gone], unit[~gone]
-        if not done_s:
-            return symbols, unit
-        symbols, unit = np.concatenate(done_s), np.concatenate(done_u)
+                sizes, best = sizes[best < NONE], best[best < NONE]
+            limit = np.repeat(best, sizes)
+            hit = self._leftmost(rank == limit)
+            after, early = self._merged(symbols, unit, made, limit, hit)
+            if len(early):  # only the leftmost merge in units where a merge makes an earlier pair
+                careful = np.isin(unit, early)
+                first = np.r_[True, unit[1:] != unit[:-1]]
+                at = np.arange(len(hit))
+                lead = np.minimum.reduceat(np.where(hit, at, len(hit)), np.flatnonzero(first))
+                hit &= ~careful | (at == np.repeat(lead, sizes))
+                after, _ = self._merged(symbols, unit, made, limit, hit)
+            symbols, unit, made = after
+        symbols, unit = np.concatenate([*done_s, symbols]), np.concatenate([*done_u, unit])
         order = np.argsort(unit, kind="stable")
         return symbols[order], unit[order]
 
+    def _merged(self, symbols, unit, made, limit, hit):
+        """The arrays after the hits are merged, and the units in which that made
+        a pair which ranks no later than the one just merged."""
+        keep = np.r_[True, ~hit[:-1]]
+        fresh = hit[keep]
+        symbols, unit, limit, made = np.where(hit, made, symbols)[keep], unit[keep], limit[keep], made[keep].copy()
+        near = fresh | np.r_[fresh[1:], False]
+        last = np.r_[unit[1:] != unit[:-1], True]
+        made[near & last] = -1
+        at = np.flatnonzero(near & ~last)
+        made[at] = self.pairs(symbols[at], symbols[at + 1])
+        return (symbols, unit, made), np.unique(unit[at[self.rank[made[at]] <= limit[at]]])
+
     @staticmethod
     def _leftmost(hit: np.ndarray) -> np.ndarray:
         """Of adjacent hits (overlapping pairs) keep the 1st, 3rd, 5th ... of a run."""
+        if not (hit[1:] & hit[:-1]).any():
+            return hit
         at = np.arange(len(hit))
         start = np.maximum.accumulate(np.where(hit & ~np.r_[False, hit[:-1]], at, -1))
         return hit & ((at - start) % 2 == 0)
 
-    def _guard(self, hit, symbols, unit, made, rank, best, sizes, starts):
-        """Where a merge makes a pair of an earlier rank, or hits make different
-        pieces of one score, only the unit's leftmost merge is taken."""
-        after = np.where(hit, made, symbols)
-        gone = np.r_[False, hit[:-1]]
-        left = np.flatnonzero(~gone)
-        s, u, fresh = after[left], unit[left], hit[left]
-        near = np.flatnonzero((u[1:] == u[:-1]) & (fresh[1:] | fresh[:-1])) if len(s) > 1 else np.empty(0, np.int64)
-        if not len(near):
-            return hit
-        new = self._look_up(s[near], s[near + 1])
-        which = np.repeat(np.arange(len(sizes)), sizes)[left][near]
-        early = np.where(new >= 0, self.rank[new], NONE) <= best[which]
-        if not early.any():
-            return hit
-        careful = np.zeros(len(sizes), bool)
-        careful[which[early]] = True
-        at = np.arange(len(hit))
-        first = np.minimum.reduceat(np.where(hit, at, len(hit)), starts)
-        return hit & (~np.repeat(careful, sizes) | (at == np.repeat(first, sizes)))
-
     def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the units and the offset of each (one more than units)."""
         text = "".join(units)
@@ -217,7 +249,7 @@ class Merger:
                 unknown.append(c)
         symbols = np.array(table, np.int64)[inverse] if len(codes) else np.empty(0, np.int64)
         unit = np.repeat(np.arange(len(units)), np.fromiter(map(len, units), np.int64, len(units)))
-        symbols, unit = self.merge(symbols, unit, len(units))
+        symbols, unit = self.merge(symbols, unit)
         odd = np.flatnonzero(symbols >= len(self.pieces))
         if len(odd):  # byte pieces stand in for characters that are no piece
             back = {n + len(self.pieces): c for c, n in self.chars.items()}
@@ -238,20 +270,28 @@ class Merger:
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of a list of ids."""
-        ids = ids[self.pieces.kind[ids] != CONTROL] if len(ids) else ids
-        if not len(ids):
+        control = self.pieces.kind[ids] == CONTROL if len(ids) else ids
+        start, stop = 0, len(ids)
+        while start < stop and control[start]:
+            start += 1
+        while stop > start and control[stop - 1]:
+            stop -= 1
+        if start == stop:
             return ""
+        ids = ids[start:stop]
         raw = b"".join(map(self.bytes.__getitem__, ids.tolist()))
         try:
+            if control[start:stop].any():
+                raise UnicodeError  # bytes before and after a control piece are no character
             text = raw.decode("utf-8")
-        except UnicodeDecodeError:
+        except UnicodeError:
             text = self._decode_runs(ids)
         return text[1:] if self.pieces.prefix and self.pieces.text[ids[0]].startswith(SPACE) else text
 
     def _decode_runs(self, ids: np.ndarray) -> str:
         """Runs of byte pieces one by one; each byte that starts no character is U+FFFD."""
         out = []
-        cuts = np.flatnonzero(np.diff(self.is_byte[ids])) + 1
+        cuts = np.flatnonzero(np.diff(self.pieces.kind[ids])) + 1
         for part in np.split(ids, cuts):
             raw = b"".join(map(self.bytes.__getitem__, part.tolist()))
             while raw:
@@ -259,7 +299,7 @@ class Merger:
                     out.append(raw.decode("utf-8"))
                     raw = b""
                 except UnicodeDecodeError as e:
-                    out.append(raw[:e.start].decode("utf-8") + "�")
+                    out.append(raw[:e.start].decode("utf-8") + "\ufffd")
                     raw = raw[e.start + 1:]
         return "".join(out)
 
@@ -296,7 +336,7 @@ class BatchEncoder:
         if len(self.seen) > self.limit:
             self._reset()
         units = [self.merger.units(t) for t in texts]
-        fresh = list(dict.fromkeys(u for us in units for u in us if u not in self.seen))
+        fresh = list(set(chain.from_iterable(units)).difference(self.seen))
         if fresh:
             self._learn(fresh)
         end = np.array([self.merger.pieces.eos], np.int32)
