@@ -55,8 +55,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids and the decoded text."""
-    model = public_tokenizers.path(MODEL)
-    rows = piece_merge.decode(piece_merge.encode(docs.select("doc_id", "source", "text"), model).drop("text"), model)
+    rows = piece_merge.encode(docs, public_tokenizers.path(MODEL), decoded="decoded", keep=["doc_id", "source"])
     return rows.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 

@@ -50,4 +50,7 @@ def test_tables(spark, library):
     got = sorted((str(r.doc_id), r.ids, r.decoded) for r in out.collect())
     want = sorted((str(r[0]), library.encode(r[1] or "", add_eos=True), library.decode(library.encode(r[1] or ""))) for r in rows)
     assert got == want
+    both = piece_merge.encode(docs, MODEL, decoded="decoded", keep=["doc_id"])
+    assert both.columns == ["doc_id", "ids", "decoded"]
+    assert sorted((str(r.doc_id), r.ids, r.decoded) for r in both.collect()) == want
     assert piece_merge.encode(frame(spark, []), MODEL).count() == 0

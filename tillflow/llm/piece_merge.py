@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 NONE = np.iinfo(np.int64).max
+ROWS, CHARS = 256, 1_000_000    # texts encoded at once: bounds of a worker's arrays
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -307,7 +308,7 @@ class Merger:
 class BatchEncoder:
     """Encodes lists of texts; remembers the ids of units, within a bound."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 250_000):
         self.merger, self.limit = Merger(path), limit
         self._reset()
 
@@ -327,7 +328,7 @@ class BatchEncoder:
         for text in texts:
             held.append(text)
             size += len(text)
-            if size > 4_000_000:
+            if size > CHARS:
                 yield from self._group(held)
                 held, size = [], 0
         yield from self._group(held)
@@ -350,22 +351,29 @@ class BatchEncoder:
             yield np.concatenate([self.flat[take], end])
 
 
-def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Adds ``ids`` (array of int, end id last) to every row."""
-    schema = docs.drop(ids).select("*", F.lit(None).cast("array<int>").alias(ids)).schema
+def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str | None = None,
+           keep: list[str] | None = None) -> DataFrame:
+    """Adds ``ids`` (array of int, end id last) to every row; with ``decoded``
+    also the text that these ids decode to, in the same pass.  ``keep`` lists the
+    columns to return beside them (all)."""
+    made = [ids, *([decoded] if decoded else [])]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    new = [F.lit(None).cast("array<int>").alias(ids), *([F.lit(None).cast("string").alias(decoded)] if decoded else [])]
+    schema = docs.select(*keep, *new).schema
 
     def task(batches):
         encoder = BatchEncoder(model)
         for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                part = batch.slice(start, 1024)
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
                 out = list(encoder.encode([t or "" for t in part.column(text).to_pylist()]))
                 at = np.cumsum([0, *map(len, out)]).astype(np.int32)
-                column = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(out), pa.int32()))
-                keep = [n for n in part.schema.names if n != ids]
-                yield pa.RecordBatch.from_arrays([part.column(n) for n in keep] + [column], keep + [ids])
+                columns = [pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(out), pa.int32()))]
+                if decoded:
+                    columns.append(pa.array([encoder.merger.decode(i) for i in out], pa.string()))
+                yield pa.RecordBatch.from_arrays([part.column(n) for n in keep] + columns, keep + made)
 
-    return docs.drop(ids).mapInArrow(task, schema)
+    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(task, schema)
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

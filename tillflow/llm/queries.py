@@ -116,9 +116,8 @@ def op8_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_piece_merge")
 def op9_piece_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    rows = piece_merge.decode(piece_merge.encode(docs, model).drop("text"), model)
+    rows = piece_merge.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                              decoded="decoded", keep=["doc_id"])
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
