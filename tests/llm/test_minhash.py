@@ -68,10 +68,12 @@ def test_crowded_bucket_and_partner_split(spark):
     pairs = spark.createDataFrame([(0, k) for k in range(1, 60)], "a long, b long")
     few = {tuple(r) for r in minhash.confirmed(pairs, docs, spread=7).collect()}
     assert few == {tuple(r) for r in minhash.confirmed(pairs, docs, spread=1000).collect()}
-    marked = minhash.signatures(docs).selectExpr("doc_id as rep", "sig")
-    members = marked.selectExpr("1L as key", "-1L as hub", "60L as n", "rep", "rep as component", "sig")
+    marked = minhash.signatures(docs).selectExpr("doc_id as rep", "sig", "array(1L, doc_id) as keys")
+    members = marked.selectExpr("1L as key", "-1L as hub", "60L as n", "rep", "rep as component", "sig", "keys")
     small = {tuple(r) for r in minhash._across(members, 0.3, block=9).collect()}
     assert small == {tuple(r) for r in minhash._across(members, 0.3, block=1000).collect()} and small
+    later = members.selectExpr("1L as key", "hub", "n", "rep", "component", "sig", "array(7L, 1L) as keys")
+    assert minhash._across(later, 0.3).collect() == []  # their first common band is another bucket
 
 
 def test_signature_estimates_similarity():

@@ -195,27 +195,31 @@ def confirmed(pairs: DataFrame, docs: DataFrame, similar: int = SIMILAR, words:
 def _across(members: DataFrame, agree: float, block: int = BLOCK) -> DataFrame:
     """Pairs of one bucket from different components that agree by signature.
 
-    ``members``: key, hub, n, rep, component, sig.  A bucket of more than
+    ``members``: key, hub, n, rep, component, sig, keys.  A bucket of more than
     ``block`` members is cut into blocks by hash; each pair of blocks is a key.
+    A pair that shares several buckets is given once, in the first of its bands;
+    if one of the two is that bucket's hub, the star has tested the pair already.
     """
     cut = members.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")) \
         .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                "own", "hub", "rep", "component", "sig")
+                "own", "hub", "rep", "component", "sig", "keys")
 
     def block_pairs(rows: pa.Table):
         rep, comp, own = (rows.column(c).to_numpy() for c in ("rep", "component", "own"))
         sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(rep), -1)
-        i, j, hub = rows.column("i")[0].as_py(), rows.column("j")[0].as_py(), rows.column("hub")[0].as_py()
+        keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(len(rep), -1)
+        key, i, j, hub = (rows.column(c)[0].as_py() for c in ("key", "i", "j", "hub"))
         left, right = [], []
         for x in range(len(rep)):
             if rep[x] == hub or (i != j and own[x] != i):
-                continue  # pairs with the hub have been confirmed or refused
+                continue
             ok = (comp != comp[x]) & (rep != hub) & ((own == j) if i != j else (rep > rep[x]))
             at = np.flatnonzero(ok)
             if len(at):
                 at = at[(sig[at] == sig[x]).mean(1) >= agree]
+                at = at[keys[x][(keys[at] == keys[x]).argmax(1)] == key]
                 left += [rep[x]] * len(at)
                 right += rep[at].tolist()
         return left, right
@@ -267,7 +271,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bands: int = BANDS, row
     placed = (members.filter("n > 2").join(found, F.col("rep") == F.col("node"), "left")
               .select("key", "hub", "n", "rep", F.coalesce("component", "rep").alias("component")))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    rest = placed.join(mixed.select("key"), "key", "left_semi").join(sigs, "rep")
+    rest = placed.join(mixed.select("key"), "key", "left_semi").join(
+        reps.select("rep", "sig", "keys"), "rep")
     more = staged(_across(rest, agree), "pairs")
     if not more.isEmpty():
         links = staged(confirmed(more, docs, similar, words), "links")
