@@ -31,7 +31,7 @@ from .hashed_text import bare, collected, scored, shipped, slot
 
 BITS = 18
 STARTS = (3, 4, 5, 6)           # lengths of word beginnings
-EPOCHS, ALPHA, L1, L2 = 6, 0.15, 0.6, 0.02
+EPOCHS, ALPHA, L1, L2 = 12, 0.5, 5.0, 0.0
 PENALTY = 2.0                   # weight of the squared logit change
 PAIRS = 2                       # counterfactuals of a text
 THRESHOLD = 0.3
