@@ -105,7 +105,7 @@ def _members(archives: DataFrame, kind: Kind) -> list[DataFrame]:
     """One frame per role, with the retailer of each archive."""
     owners = archives.select(F.col("path").alias("archive"), KEY)
     if kind.member == ".csv":
-        rows = archive.expand_archives(archives.select("path", "content"))
+        rows = archive.stored(archive.expand_archives(archives.select("path", "content")))
         frames = [archive.member_rows(rows, role) for role in kind.roles]
     else:
         files = archive.member_files(archives.select("path", "content"))

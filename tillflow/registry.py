@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,21 @@ QUERIES: dict = {}
 ORACLE: dict = {}
 
 
+_LANDED: dict = {}
+
+
+def landed(fn):
+    """A fixture's export is written once per session and table folder; the
+    queries then read it like any upload that lies there."""
+    @functools.wraps(fn)
+    def once(spark, sf_dir, *args):
+        key = (fn.__name__, spark.sparkContext.applicationId, str(sf_dir), args)
+        if key not in _LANDED:
+            _LANDED[key] = fn(spark, sf_dir, *args)
+        return _LANDED[key]
+    return once
+
+
 def register(key: str, sql: str | None = None):
     def deco(fn):
         QUERIES[key] = fn
@@ -230,9 +247,13 @@ def q_join_sku_anchor_left(spark, sf_dir):
 
 # ------------------------------------------------------ kmds / adventpos
 
+@landed
+def _kmds_files(spark, sf_dir):
+    return L.land_lines(spark, D.kmds_lines(spark, sf_dir), "kmds")
+
+
 def _landed_kmds(spark, sf_dir):
-    path = L.land_lines(spark, D.kmds_lines(spark, sf_dir), "kmds")
-    return L.retailer_from_path(SD.scan_csv_header(spark, path))
+    return L.retailer_from_path(SD.scan_csv_header(spark, _kmds_files(spark, sf_dir)))
 
 
 register("feed_kmds", O.kmds_sql())(lambda spark, sf: feeds.feed_kmds(_landed_kmds(spark, sf)))
@@ -606,6 +627,7 @@ _F1_COLS = ["product_id", "upc_code", "brand_name", "brand_description", "produc
             "package_size", "price_regular", "sale_price", "qty_on_hand", "casepk"]
 
 
+@landed
 def _landed_f1(spark, sf_dir):
     """F1 as CSV files of three shapes: columns in order, columns reversed, and
     rows with one field more than their header (the reader drops those)."""
@@ -652,6 +674,7 @@ _RAW = O.with_clause("""raw AS (SELECT CAST(l_suppkey AS VARCHAR) AS retailer_id
   FROM lineitem JOIN part ON l_partkey = p_partkey)""")
 
 
+@landed
 def _landed_winepos(spark, sf_dir):
     path = L.land_csv(spark, D.winepos_raw(spark, sf_dir), "winepos", sep="\t", header=False)
     return L.retailer_from_path(SD.scan_positional(spark, path, 23, sep="\t"))
@@ -669,6 +692,7 @@ def q_feed_winepos(spark, sf_dir):
     return feeds.feed_winepos(_landed_winepos(spark, sf_dir), O.AS_OF)
 
 
+@landed
 def _landed_cre(spark, sf_dir, v2):
     path = L.land_lines(spark, D.cre_lines(spark, sf_dir, v2=v2), "cre_v2" if v2 else "cre")
     return L.retailer_from_path(SD.scan_lines_skipping(spark, path, 101 if v2 else 91, sep="|", skip_head=5,
@@ -716,6 +740,7 @@ def q_feed_cashregisterexpress_v2(spark, sf_dir):
     return feeds.feed_cashregisterexpress(_landed_cre(spark, sf_dir, True), v2=True)
 
 
+@landed
 def _landed_xml(spark, sf_dir):
     path = L.land_xml(spark, D.spirit_xml_rows(spark, sf_dir), "spirit_xml")
     return L.retailer_from_path(SS.scan_xml_rows(spark, path))
@@ -733,6 +758,7 @@ def q_feed_spirit2000_xml(spark, sf_dir):
     return feeds.feed_spirit2000_xml(_landed_xml(spark, sf_dir))
 
 
+@landed
 def _landed_mpower_pages(spark, sf_dir):
     path = L.land_json(spark, D.mpower_pages(spark, sf_dir), "mpower_pages")
     return SS.mpower_items(SS.scan_json(spark, path, SS.MPOWER_PAGE_SCHEMA))
@@ -928,6 +954,7 @@ _EXT = {"spirit2000_xml": ".xml", "liquorpos": ".zip", "liquorpos_csv": ".zip",
         "spirit2000_dbf": ".zip", "spirit2000_tower": ".zip", "adventpos": ".zip"}
 
 
+@landed
 def _uploads(spark, sf_dir):
     """Every kind's export as uploads of one folder, and their registry.  Line
     retailers r: those of r % 17 = 0 have no registry row, r % 19 = 0 a wrong file
@@ -985,17 +1012,12 @@ def _uploads(spark, sf_dir):
     return root, lines.unionByName(m).unionByName(a), zips
 
 
-_NORMALISED: dict = {}
-
-
+@landed
 def _normalised(spark, sf_dir):
     """(good, rejects); both queries of a session share one run."""
     from tillflow.plans.normalise import normalise
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _NORMALISED:
-        root, registry, zips = _uploads(spark, sf_dir)
-        _NORMALISED[key] = normalise(spark, root, registry, O.AS_OF, archives=zips)
-    return _NORMALISED[key]
+    root, registry, zips = _uploads(spark, sf_dir)
+    return normalise(spark, root, registry, O.AS_OF, archives=zips)
 
 
 def _normalised_sql() -> str:
@@ -1059,6 +1081,7 @@ def q_stream_intake(spark, sf_dir):
 
 # --------------------------------------------------- API pages (JSON) / misc
 
+@landed
 def _landed_lightspeed(spark, sf_dir):
     items, cats = D.lightspeed_pages(spark, sf_dir)
     ip = L.land_json(spark, items, "lightspeed_items")
@@ -1172,6 +1195,7 @@ def _with_retailer(df, path="_file_path"):
     return df.withColumn("retailer_id", F.element_at(F.split(path, "/"), -3))
 
 
+@landed
 def _landed_spirit_dbf(spark, sf_dir):
     from tillflow.sources.dbf import decode_files
     out = {}
@@ -1196,11 +1220,16 @@ def q_scan_dbf(spark, sf_dir):
 
 # ------------------------------------------------------------- archives
 
+@landed
+def _spirit_zips(spark, sf_dir):
+    members = {f"{n}.csv": D.f2_member(d) for n, d in zip(("inv", "prc", "stk", "upc"), _f2(spark, sf_dir))}
+    return L.land_zip_members(spark, members, "spirit_zip")
+
+
 def _landed_spirit_zip(spark, sf_dir):
     from tillflow.sources import archive as A
     names = ("inv", "prc", "stk", "upc")
-    members = {f"{n}.csv": D.f2_member(d) for n, d in zip(names, _f2(spark, sf_dir))}
-    rows = A.expand_archives(L.land_zip_members(spark, members, "spirit_zip"))
+    rows = A.stored(A.expand_archives(_spirit_zips(spark, sf_dir)))
     return [_with_retailer(A.member_rows(rows, n), "archive").drop("archive") for n in names]
 
 
@@ -1222,7 +1251,7 @@ def q_expand_archive(spark, sf_dir):
 
 def _liquorpos_csv(spark, sf_dir):
     from tillflow.sources import archive as A
-    rows = _expanded_liquorpos(spark, sf_dir)
+    rows = A.stored(_expanded_liquorpos(spark, sf_dir))
     return [_with_retailer(A.member_rows(rows, role), "archive").drop("archive") for role in ("barcodes", "liqcode")]
 
 

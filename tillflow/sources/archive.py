@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.text import nullify
 from tillflow.operators.columns import ORD, member_role
+from tillflow.session import shared_dir
 from tillflow.sources.delimited import MAX_LAYOUTS, unique_names
 
 RECORDS_PER_BATCH = 10_000
@@ -62,6 +63,15 @@ def expand_archives(archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
     return rows.withColumn("role", member_role("member")).where(F.col("role").isNotNull() & (F.size("fields") > 0))
 
 
+def stored(expanded: DataFrame) -> DataFrame:
+    """The expanded records written once to the shared folder, a partition per
+    role: each archive is unpacked a single time, and a role reads its own part."""
+    spark = expanded.sparkSession
+    path = shared_dir(spark, "expanded")
+    expanded.write.partitionBy("role").parquet(path)
+    return spark.read.schema(expanded.schema).parquet(path)
+
+
 def member_files(archives: DataFrame, suffix: str = ".dbf") -> DataFrame:
     """``archive, path, role, content`` of the binary members that have a role."""
     def task(it):
@@ -92,11 +102,13 @@ def member_rows(expanded: DataFrame, role: str) -> DataFrame:
     found = [tuple(r["_head"]) for r in heads.select("_head").distinct().limit(MAX_LAYOUTS + 1).collect()]
     if len(found) > MAX_LAYOUTS:
         raise ValueError(f"more than {MAX_LAYOUTS} different headers of role {role}")
-    bound = {tuple(h): unique_names(list(h)) for h in sorted(found)}
-    names = list(dict.fromkeys(n for ns in bound.values() for n in ns))
-    known = spark.createDataFrame([(list(h), ns) for h, ns in bound.items()], "_head array<string>, _names array<string>")
-    rows = mine.where("pos > 0").join(heads.join(known, "_head"), ["archive", "member"]).where(F.size("fields") <= F.size("_head"))
-    cells = F.map_from_arrays(F.slice("_names", F.lit(1), F.size("fields")), F.col("fields"))
-    rows = rows.withColumn("_cells", cells)
-    return rows.select("archive", F.struct("archive", "member", "pos").alias(ORD),
-                       *[nullify(F.try_element_at("_cells", F.lit(n))).alias(n) for n in names])
+    bound = {h: unique_names(list(h)) for h in sorted(found)}
+    known = spark.createDataFrame([(list(h), i) for i, h in enumerate(bound)], "_head array<string>, _layout int")
+    rows = mine.where("pos > 0").join(heads.join(known, "_head").withColumn("_width", F.size("_head")).drop("_head"),
+                                      ["archive", "member"]).where(F.size("fields") <= F.col("_width"))
+    cells: dict = {}
+    for i, names in enumerate(bound.values()):
+        for j, n in enumerate(names):
+            value = F.get("fields", F.lit(j)) if len(bound) == 1 else F.when(F.col("_layout") == i, F.get("fields", F.lit(j)))
+            cells[n] = F.coalesce(cells[n], value) if n in cells else value
+    return rows.select("archive", F.struct("archive", "member", "pos").alias(ORD), *[nullify(v).alias(n) for n, v in cells.items()])
