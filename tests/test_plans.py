@@ -35,11 +35,10 @@ def test_spirit_csv_exchanges(spark):
     assert "FullOuter" not in plan
 
 
-def test_lightspeed_join_is_the_only_shuffle(spark):
-    items, cats = D.lightspeed_pages(spark, SF_SMALL)
-    landed = SS.lightspeed_items(*(spark.createDataFrame(d.collect(), d.schema) for d in (items, cats)))
-    plan = plan_of(landed)
-    assert plan.count("Exchange hashpartitioning") <= 2 and plan.count("Join") == 1
+def test_lightspeed_filters_shops_inside_the_row(spark):
+    items, cats, registry = (spark.createDataFrame(d.collect(), d.schema) for d in D.lightspeed_pages(spark, SF_SMALL))
+    plan = plan_of(SS.lightspeed_items(items, cats, SS.registry_shops(registry)))
+    assert plan.count("Join") == 2 and plan.count("Exchange") <= 4 and "Window" not in plan
 
 
 def test_retailer_filter_reaches_the_scan_of_a_sink(spark, tmp_path):

@@ -440,14 +440,13 @@ LIGHTSPEED_RETAILERS, SQUARE_RETAILERS = 11, 13
 
 
 def lightspeed_pages(spark, sf_dir):
-    """(item pages, category pages) of several Lightspeed accounts, each for one
-    shop.  Every item has prices for two use types and quantities for two shops;
+    """(item pages, category pages, registry) of several Lightspeed accounts, each
+    for one shop that the registry names.  Every item has prices for two use types and quantities for two shops;
     category ids are shared by the accounts, their names are not, and items of
     categories 8 and 9 have none."""
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     r = k % LIGHTSPEED_RETAILERS
-    shop = s(r % 2 + 1)
     item = F.struct(
         s(k).alias("itemID"), s(k * 3).alias("systemSku"), s(k * 7919).alias("upc"), F.col("p_name").alias("description"),
         s(F.col("p_size") % 10).alias("categoryID"),
@@ -457,17 +456,20 @@ def lightspeed_pages(spark, sf_dir):
         F.struct(F.array(F.struct(s(k).alias("itemID"), F.lit("1").alias("shopID"), s(F.col("p_size") * 2).alias("qoh")),
                          F.struct(s(k).alias("itemID"), F.lit("2").alias("shopID"), s("p_size").alias("qoh")))
                  .alias("ItemShop")).alias("ItemShops"))
-    items = (p.select(s(r).alias("retailer_id"), shop.alias("shop_id"), (k / 100).cast("long").alias("page"),
+    items = (p.select(s(r).alias("retailer_id"), (k / 100).cast("long").alias("page"),
                       F.struct(k.alias("k"), item.alias("i")).alias("x"))
-             .groupBy("retailer_id", "shop_id", "page").agg(F.sort_array(F.collect_list("x")).alias("x"))
-             .select("retailer_id", "shop_id", "page", F.col("x.i").alias("Item")))
+             .groupBy("retailer_id", "page").agg(F.sort_array(F.collect_list("x")).alias("x"))
+             .select("retailer_id", "page", F.col("x.i").alias("Item")))
     n = table(spark, sf_dir, "nation").withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(LIGHTSPEED_RETAILERS - 1))))
     category = F.when(F.col("n_nationkey") < 8, s("n_nationkey")).otherwise(F.concat(F.lit("x"), s("n_nationkey")))
     name = F.concat(F.col("n_name"), F.lit("-"), s("r"))
     cats = (n.groupBy(s("r").alias("retailer_id")).agg(F.sort_array(F.collect_list(F.struct(
         category.alias("categoryID"), name.alias("name"), F.concat(F.lit("Spirits/"), name).alias("fullPathName"))))
         .alias("Category")))
-    return items, cats
+    registry = numbers(spark, LIGHTSPEED_RETAILERS, "r").select(
+        F.col("r").alias("id"), F.lit("lightspeed").alias("pos"), F.lit("").alias("name"), F.lit("").alias("filename"),
+        s(F.col("r") % 2 + 1).alias("shopid"), F.lit("x").alias("refreshtoken"))
+    return items, cats, registry
 
 
 def square_objects(spark, sf_dir):

@@ -302,7 +302,7 @@ def _registry_join(spark, sf_dir, registry):
 
 @register("scan_registry", O.with_clause(O.F4) + "\nSELECT * FROM f4_registry")
 def q_scan_registry(spark, sf_dir):
-    return D.f4_registry(spark, sf_dir)
+    return SS.scan_registry(spark, L.land_json(spark, D.f4_registry(spark, sf_dir), "registry"))
 
 
 @register("join_registry", O.with_clause(O.F4) + """
@@ -1083,35 +1083,30 @@ def q_stream_intake(spark, sf_dir):
 
 @landed
 def _landed_lightspeed(spark, sf_dir):
-    items, cats = D.lightspeed_pages(spark, sf_dir)
-    ip = L.land_json(spark, items, "lightspeed_items")
-    cp = L.land_json(spark, cats, "lightspeed_categories")
+    ip, cp, rp = (L.land_json(spark, d, "lightspeed") for d in D.lightspeed_pages(spark, sf_dir))
     return (SS.scan_json(spark, ip, SS.LIGHTSPEED_ITEM_PAGE_SCHEMA),
-            SS.scan_json(spark, cp, SS.LIGHTSPEED_CATEGORY_PAGE_SCHEMA))
+            SS.scan_json(spark, cp, SS.LIGHTSPEED_CATEGORY_PAGE_SCHEMA), SS.registry_shops(SS.scan_registry(spark, rp)))
 
 
 @register("scan_json_lightspeed", O.lightspeed_sql())
 def q_scan_json_lightspeed(spark, sf_dir):
-    items, cats = _landed_lightspeed(spark, sf_dir)
-    return feeds.feed_lightspeed(SS.lightspeed_items(items, cats))
+    return feeds.feed_lightspeed(SS.lightspeed_items(*_landed_lightspeed(spark, sf_dir)))
 
 
 @register("join_item_price_qty", O.with_clause(O.LIGHTSPEED) + "\nSELECT itemID, amount, qoh FROM ls_items")
 def q_join_item_price_qty(spark, sf_dir):
-    items, cats = _landed_lightspeed(spark, sf_dir)
-    return SS.lightspeed_items(items, cats).select("itemID", "amount", "qoh")
+    return SS.lightspeed_items(*_landed_lightspeed(spark, sf_dir)).select("itemID", "amount", "qoh")
 
 
 @register("join_category_left", O.with_clause(O.LIGHTSPEED) + "\nSELECT itemID, name, fullPathName FROM ls_rows")
 def q_join_category_left(spark, sf_dir):
-    items, cats = _landed_lightspeed(spark, sf_dir)
-    return SS.lightspeed_items(items, cats).select("itemID", "name", "fullPathName")
+    return SS.lightspeed_items(*_landed_lightspeed(spark, sf_dir)).select("itemID", "name", "fullPathName")
 
 
 @register("filter_shop", O.with_clause(O.LIGHTSPEED) + "\nSELECT itemID, amount FROM ls_items")
 def q_filter_shop(spark, sf_dir):
-    items, _ = _landed_lightspeed(spark, sf_dir)
-    x = items.select("shop_id", F.explode("Item").alias("i")).select(
+    items, _, shops = _landed_lightspeed(spark, sf_dir)
+    x = items.join(shops, "retailer_id").select("shop_id", F.explode("Item").alias("i")).select(
         "shop_id", F.col("i.itemID").alias("itemID"), F.col("i.Prices.ItemPrice").alias("prices"))
     x = C.filter_shop(x, "prices", "useTypeID")
     return x.select("itemID", F.explode("prices").alias("p")).select("itemID", F.col("p.amount").alias("amount"))

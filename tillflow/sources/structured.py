@@ -30,6 +30,19 @@ def scan_json(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
     return spark.read.schema(schema).json(path).withColumn("_file_name", F.col("_metadata.file_name"))
 
 
+REGISTRY_SCHEMA = "id long, pos string, name string, filename string, shopid string, refreshtoken string"
+
+
+def scan_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The retailer registry as landed JSON rows (one retailer a line)."""
+    return spark.read.schema(REGISTRY_SCHEMA).json(path)
+
+
+def registry_shops(registry: DataFrame) -> DataFrame:
+    """``retailer_id, shop_id`` of the registry."""
+    return registry.select(F.col("id").cast("string").alias("retailer_id"), F.col("shopid").alias("shop_id"))
+
+
 MPOWER_PAGE_SCHEMA = (
     "retailer_id string, page long, TotalPages long, Results array<struct<Id:long, SkuNumber:string, Name:string, "
     "Department:string, Category:string, CaseQuantity:double, CaseRetail:double, Retail:double, "
@@ -44,18 +57,20 @@ def mpower_items(pages: DataFrame) -> DataFrame:
 
 
 LIGHTSPEED_ITEM_PAGE_SCHEMA = (
-    "retailer_id string, shop_id string, page long, Item array<struct<itemID:string, systemSku:string, upc:string, "
+    "retailer_id string, page long, Item array<struct<itemID:string, systemSku:string, upc:string, "
     "description:string, categoryID:string, Prices:struct<ItemPrice:array<struct<useTypeID:string, amount:string>>>, "
     "ItemShops:struct<ItemShop:array<struct<itemID:string, shopID:string, qoh:string>>>>>")
 LIGHTSPEED_CATEGORY_PAGE_SCHEMA = (
     "retailer_id string, Category array<struct<categoryID:string, name:string, fullPathName:string>>")
 
 
-def lightspeed_items(item_pages: DataFrame, category_pages: DataFrame) -> DataFrame:
+def lightspeed_items(item_pages: DataFrame, category_pages: DataFrame, shops: DataFrame) -> DataFrame:
     """Item pages -> items with the shop's price and quantity and the category
-    (left join).  Prices and quantities are filtered to the shop inside the row
-    before they are exploded; the category join is the only shuffle."""
-    items = item_pages.select("retailer_id", "shop_id", "page", F.posexplode("Item").alias("_pos", "i"))
+    (left join).  Each retailer's shop comes from the registry (``shops``:
+    retailer_id, shop_id); prices and quantities are filtered to it inside the row
+    before they are exploded."""
+    items = item_pages.join(shops, "retailer_id").select(
+        "retailer_id", "shop_id", "page", F.posexplode("Item").alias("_pos", "i"))
     base = items.select(
         "retailer_id", "shop_id", F.struct("page", "_pos").alias(ORD), "i.itemID", "i.systemSku", "i.upc", "i.description",
         "i.categoryID", F.col("i.Prices.ItemPrice").alias("_prices"), F.col("i.ItemShops.ItemShop").alias("_shops"))
