@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.session import shared_dir
+
 def join_inner_chain(members: list[DataFrame], keys: list[str]) -> DataFrame:
     """Inner-join members on shared keys (order free)."""
     return reduce(lambda a, b: a.join(b, keys, "inner"), members)
@@ -21,6 +23,12 @@ def join_lookup_left(items: DataFrame, lookup: DataFrame, keys: list[str], group
     return items.join(lookup, [group, *keys], "left")
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = shared_dir(df.sparkSession, "members", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def join_anchor_left(members: dict[str, DataFrame], keys: list[str],
                      group: str = "retailer_id") -> DataFrame:
     """Left-join all members onto the largest member of each group.
@@ -28,10 +36,12 @@ def join_anchor_left(members: dict[str, DataFrame], keys: list[str],
     The anchor is chosen per ``group`` value (per retailer) by row count; ties
     go to the member listed first.  The rows of every retailer's anchor member
     are stacked, and each member is then left-joined to the rows whose anchor is
-    another one; a member's picked rows are computed once (its exchange is
-    reused) and left joins of a skewed key can be split.
+    another one.  Every member is needed three times (count, anchor, join), so its
+    picked rows are written once to the shared folder; left joins of a skewed key
+    can be split.
     """
     names = list(members)
+    members = {n: _stored(d, n) for n, d in members.items()}
     counts = reduce(lambda a, b: a.unionByName(b), [
         d.groupBy(group).agg(F.count(F.lit(1)).alias("n")).withColumn("member", F.lit(n))
          .withColumn("prio", F.lit(i)) for i, (n, d) in enumerate(members.items())])
