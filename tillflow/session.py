@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,12 +57,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     name = "/".join(p.strip("/") for p in parts if p)
     path = base.rstrip("/") + "/tillflow/" + (name + "/" if name else "") + uuid.uuid4().hex
     return path
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for python-side file access in tests."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
