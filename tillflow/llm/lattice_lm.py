@@ -10,10 +10,11 @@ chain of word lattices and each distinct word of the corpus is summed once.
 Characters that are no piece have one edge, their byte pieces.  Beside it stands
 a smoothed word unigram score.
 
-Work is dealt by chunk, about ``CHUNK`` bytes of text by hash: (chunk, distinct
-word) rows are counted by word, joined with the word's figures, and come back to
-the chunk's documents.  No vocabulary is broadcast; only the piece scores are,
-whose number the tokenizer fixes.
+Work is dealt by chunk, about ``CHUNK`` bytes of text by hash.  A chunk numbers
+its distinct words; its documents shrink to (word number, count) lists, so texts
+travel once.  (chunk, word) rows are counted by word, joined with the word's
+figures, and come back to the chunk's documents.  No vocabulary is broadcast;
+only the piece scores are, whose number the tokenizer fixes.
 
 Defined cases: null text is empty (its only token is the end); null doc_id is a
 training document with its own chunk by text; repeated rows count and score
@@ -27,6 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,16 +78,42 @@ def _chunked(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     return rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
 
 
-def _words(rows: pa.Table) -> pa.Table:
-    """Distinct words of a chunk and their counts in its training documents."""
-    counts: dict[bytes, int] = {}
-    trained = rows.column("train").to_pylist()
-    for text, train in zip(rows.column("text").cast(pa.binary()).to_pylist(), trained):
-        for word in lower_words(text):
-            counts[word] = counts.get(word, 0) + train
-    chunk = rows.column("chunk")[0].as_py()
-    return pa.table([pa.array(np.full(len(counts), chunk, np.int32)), pa.array(list(counts), pa.binary()),
-                     pa.array(list(counts.values()), pa.int64())], ["chunk", "word", "n"])
+class _Numbers(dict):
+    """Numbers words in the order in which they are first met."""
+
+    def __missing__(self, word):
+        self[word] = n = len(self)
+        return n
+
+
+def _parts(rows: pa.Table) -> pa.Table:
+    """A chunk as rows of two kinds: its distinct words (number ``i``, word,
+    count in training documents) and its documents (``bag``: packed word numbers
+    and counts)."""
+    numbers, bags, used = _Numbers(), [], []
+    pack = zstandard.ZstdCompressor(level=1)
+    for text, train in zip(rows.column("text").cast(pa.binary()).to_pylist(), rows.column("train").to_pylist()):
+        words = lower_words(text)
+        which, count = np.unique(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)), return_counts=True)
+        if train:
+            used.append((which, count))
+        bags.append(pack.compress(np.concatenate([np.diff(which, prepend=np.int32(0)), count]).astype(np.int32).tobytes()))
+    n = np.zeros(len(numbers), np.int64)
+    for which, count in used:
+        n[which] += count
+    docs, words = len(bags), len(numbers)
+    none = lambda kind, k: pa.nulls(k, kind)
+    return pa.table({
+        "chunk": pa.array(np.full(docs + words, rows.column("chunk")[0].as_py(), np.int32)),
+        "i": pa.concat_arrays([none(pa.int32(), docs), pa.array(np.arange(words, dtype=np.int32))]),
+        "word": pa.concat_arrays([none(pa.binary(), docs), pa.array(list(numbers), pa.binary())]),
+        "n": pa.concat_arrays([none(pa.int64(), docs), pa.array(n)]),
+        "doc_id": pa.concat_arrays([rows.column("doc_id").combine_chunks().cast(pa.int64()), none(pa.int64(), words)]),
+        "train": pa.concat_arrays([rows.column("train").combine_chunks(), none(pa.bool_(), words)]),
+        "bag": pa.concat_arrays([pa.array(bags, pa.binary()), none(pa.binary(), words)])})
+
+
+PARTS = "chunk int, i int, word binary, n long, doc_id long, train boolean, bag binary"
 
 
 def piece_logs(words: DataFrame, train_docs: int, model: str) -> np.ndarray:
@@ -117,8 +145,9 @@ def piece_logs(words: DataFrame, train_docs: int, model: str) -> np.ndarray:
 def scores(docs: DataFrame, model: str, chunk_bytes: int = CHUNK) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     rows = _chunked(docs, chunk_bytes)
-    parts = staged(rows.groupBy("chunk").applyInArrow(_words, "chunk int, word binary, n long"), "chunk_words")
-    words = staged(parts.groupBy("word").agg(F.sum("n").alias("c")), "words")
+    parts = staged(rows.groupBy("chunk").applyInArrow(_parts, PARTS), "chunks")
+    own_words, bags = parts.where("word is not null"), parts.where("bag is not null")
+    words = staged(own_words.groupBy("word").agg(F.sum("n").alias("c")), "words")
     train_docs = rows.filter("train").count()
     totals = words.filter("c > 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, distinct = (totals["n"] or 0) + train_docs, totals["v"] + (train_docs > 0)
@@ -136,25 +165,25 @@ def scores(docs: DataFrame, model: str, chunk_bytes: int = CHUNK) -> DataFrame:
                                                  ["word", "c", "lp"])
 
     figures = staged(words.mapInArrow(lattice, "word binary, c long, lp double"), "figures")
-    known = parts.select("chunk", "word").join(figures, "word")
+    known = own_words.select(F.col("chunk").alias("of"), "i", "word").join(figures, "word").drop("word")
 
-    def score(texts: pa.Table, own: pa.Table) -> pa.Table:
-        at = {w: i for i, w in enumerate(own.column("word").to_pylist())}
-        count, lp = own.column("c").to_numpy(), own.column("lp").to_numpy()
-        base = np.log10((count + 0.5) / floor)
+    def score(docs: pa.Table, own: pa.Table) -> pa.Table:
+        order = np.argsort(own.column("i").to_numpy())
+        count, lp = own.column("c").to_numpy()[order], own.column("lp").to_numpy()[order]
+        base, unpack = np.log10((count + 0.5) / floor), zstandard.ZstdDecompressor()
         out = []
-        for text in texts.column("text").cast(pa.binary()).to_pylist():
-            ws = lower_words(text)
-            i = np.fromiter(map(at.__getitem__, ws), np.int64, len(ws))
-            out.append((len(ws) + 1, int((count[i] > 0).sum()) + (train_docs > 0),
-                        float(base[i].sum()) + math.log10((train_docs + 0.5) / floor), float(lp[i].sum()) + end))
+        for bag in docs.column("bag").to_pylist():
+            which, times = np.frombuffer(unpack.decompress(bag), np.int32).reshape(2, -1)
+            i = np.cumsum(which)
+            out.append((int(times.sum()) + 1, int(times[count[i] > 0].sum()) + (train_docs > 0),
+                        float(base[i] @ times) + math.log10((train_docs + 0.5) / floor), float(lp[i] @ times) + end))
         cols = list(zip(*out)) if out else [()] * 4
-        return pa.table([texts.column("doc_id").cast(pa.int64()), pa.array([not t for t in texts.column("train").to_pylist()], pa.bool_()),
-                         pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                         pa.array([tokens] * len(out), pa.int64()), pa.array(cols[2], pa.float64()),
-                         pa.array(cols[3], pa.float64())], NAMES)
+        held = [not t for t in docs.column("train").to_pylist()]
+        return pa.table([docs.column("doc_id"), pa.array(held, pa.bool_()), pa.array(cols[0], pa.int64()),
+                         pa.array(cols[1], pa.int64()), pa.array([tokens] * len(out), pa.int64()),
+                         pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64())], NAMES)
 
-    return (rows.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
+    return (bags.select("chunk", "doc_id", "train", "bag").groupBy("chunk").cogroup(known.groupBy("of")).applyInArrow(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
 
 
