@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SCALE, K = 256, 5
-VECTORS, QUERIES = 16_384, 1_024      # expected rows of a candidate and of a query block
+VECTORS, QUERIES = 4_096, 1_024      # expected rows of a candidate and of a query block
 STEP = 16                             # list entries read before the first bound check; doubles
 
 
