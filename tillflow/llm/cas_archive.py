@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 from tillflow.session import shared_dir
 
+from .common import arrow_map, small
+
 MIN_SHARED = 100
 CRLF = "\r\n"
 
@@ -121,7 +123,7 @@ def read(restored: DataFrame) -> DataFrame:
     """Parsed records: page_id, uri, payload_bytes, payload_digest, record_type, refers_to, payload."""
 
     def task(batches):
-        for batch in batches:
+        for batch in small(batches):
             out = [[] for _ in range(7)]
             for raw in batch.column("record").to_pylist():
                 if raw is None:
@@ -135,8 +137,8 @@ def read(restored: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], NAMES)
 
-    return restored.select("record").mapInArrow(
-        task, "page_id long, uri string, payload_bytes long, payload_digest string, record_type string, "
+    return arrow_map(
+        restored.select("record"), task, "page_id long, uri string, payload_bytes long, payload_digest string, record_type string, "
               "refers_to long, payload binary")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -24,6 +26,26 @@ def lower_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+#: Rows of an Arrow batch where the session sets none: whole texts are long, and
+#: what the JVM holds outside its heap grows with the batch.
+ARROW_ROWS = 1000
+
+
+def arrow_map(df: DataFrame, task, schema) -> DataFrame:
+    """``mapInArrow`` with batches of few rows."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return df.mapInArrow(task, schema)
+
+
+def small(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices: what a task holds as Python objects stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as the empty text."""
     return [t or b"" for t in batch.column(name).cast(pa.binary()).to_pylist()]
@@ -33,7 +55,7 @@ class WordTable(dict):
     """Per-task memo of a function of a word, emptied when it holds ``limit``
     words so that a worker's memory stays bounded."""
 
-    def __init__(self, fn, limit: int = 400_000):
+    def __init__(self, fn, limit: int = 200_000):
         super().__init__()
         self.fn, self.limit = fn, limit
 

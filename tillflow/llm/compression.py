@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashes, mix64, texts_of, word_hasher
+from .common import arrow_map, hashes, mix64, small, texts_of, word_hasher
 
 #: (texts of fewer bytes, least ratio, most ratio); the last band has no end.
 BANDS = ((800, 0.30, 0.88), (1600, 0.28, 0.80), (3200, 0.25, 0.72), (12800, 0.22, 0.68), (None, 0.18, 0.64))
@@ -97,9 +97,9 @@ def judged(docs: DataFrame, keep: list[str] | None = None, text: str = "text") -
 
     def task(batches):
         judge = Judge()
-        for batch in batches:
+        for batch in small(batches):
             found = [judge(t) for t in texts_of(batch, text)]
             columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + columns, [*keep, *RESULT])
 
-    return rows.mapInArrow(task, schema)
+    return arrow_map(rows, task, schema)

@@ -5,13 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, texts_of
+from .common import arrow_map, small, staged, texts_of
 
 #: Bounds of what a classifier is fitted on: labelled rows, and feature entries of all of them.
 MAX_ROWS, MAX_ENTRIES = 12_000, 12_000_000
@@ -48,13 +47,13 @@ def collected(docs: DataFrame, labels: DataFrame, features: Callable[[], Callabl
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = features()
-        for batch in batches:
+        for batch in small(batches):
             out = [made(t) for t in texts_of(batch, "text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array([len(o[0]) for o in out], pa.int64()),
                  pa.array([[a.tobytes() for a in o] for o in out], pa.list_(pa.binary()))], ["doc_id", "label", "n", "parts"])
 
-    made = rows.mapInArrow(task, "doc_id long, label int, n long, parts array<binary>")
+    made = arrow_map(rows, task, "doc_id long, label int, n long, parts array<binary>")
     made = staged(made, "sample")
     sizes = made.select("doc_id", "n", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id", "n").limit(max_rows).collect()
     total, last = 0, None
@@ -79,12 +78,12 @@ def scored(docs: DataFrame, keep: list[str], result: dict[str, str], scorer: Cal
 
     def task(batches):
         score = scorer()
-        for batch in batches:
+        for batch in small(batches):
             out = [score(t) for t in texts_of(batch, text)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [
                 pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)], [*keep, *result])
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(task, schema)
+    return arrow_map(docs.select(*dict.fromkeys([*keep, text])), task, schema)
 
 
 def shipped(spark: SparkSession, value):

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashes, lower_words, mix64, staged, texts_of, word_hasher
+from .common import arrow_map, hashes, lower_words, mix64, small, staged, texts_of, word_hasher
 from .components import components
 
 WORDS = 5
@@ -104,7 +104,7 @@ def signatures(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: in
         shingler, minima = Shingler(words), Minima(k)
         factors = (np.random.default_rng(3).integers(0, 2**63, rows, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
         salt = np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        for batch in batches:
+        for batch in small(batches):
             n, digest, keys, sig = [], [], [], []
             for text in texts_of(batch, "text"):
                 members = shingler(text)
@@ -124,8 +124,8 @@ def signatures(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: in
                  pa.array(keys, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
                 ["doc_id", "n_shingles", "digest", "keys", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        task, "doc_id long, n_shingles long, digest binary, keys array<long>, sig binary")
+    return arrow_map(
+        docs.select(F.col("doc_id").cast("long"), "text"), task, "doc_id long, n_shingles long, digest binary, keys array<long>, sig binary")
 
 
 def _agreeing(pairs: DataFrame, sigs: DataFrame, agree: float) -> DataFrame:
@@ -159,7 +159,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, similar: int = SIMILAR, words:
 
     def to_sets(batches):
         shingler = Shingler(words)
-        for batch in batches:
+        for batch in small(batches):
             sets = [shingler(t).tobytes() for t in texts_of(batch, "text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("part"), batch.column("doc_id"), pa.array(sets, pa.binary())],
@@ -167,7 +167,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, similar: int = SIMILAR, words:
 
     def compare(batches):
         key, partners = None, []
-        for batch in batches:
+        for batch in small(batches):
             left, right = [], []
             for a, part, b, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "b", "members"))):
                 members = np.frombuffer(raw, np.uint64)

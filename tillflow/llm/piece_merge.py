@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import arrow_map
+
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -373,7 +375,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", de
                     columns.append(pa.array([encoder.merger.decode(i) for i in out], pa.string()))
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in keep] + columns, keep + made)
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(task, schema)
+    return arrow_map(docs.select(*dict.fromkeys([*keep, text])), task, schema)
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -387,4 +389,4 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", text: str = "decoded")
             out = [merger.decode(np.asarray(x.values) if x.is_valid else np.empty(0, np.int32)) for x in batch.column(ids)]
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [pa.array(out, pa.string())], keep + [text])
 
-    return rows.drop(text).mapInArrow(task, schema)
+    return arrow_map(rows.drop(text), task, schema)
