@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, mix64, staged, texts_of
+from .common import WORD, arrow_map, mix64, small, staged, texts_of
 
 BLOCK = 128
 SLOTS = 8192
@@ -231,7 +231,8 @@ def taken_pieces(positions: DataFrame, mix: Mix) -> DataFrame:
     begin = F.col("block") * mix.block
     first = F.greatest(F.col("_o"), begin) - F.col("_o")
     stop = F.least(F.col("_o") + F.col("_size"), begin + F.col("words")) - F.col("_o")
-    return (pieces.join(slots(positions.sparkSession, mix), ["_s", "block"])
+    # both sides grow with the corpus (Spark takes generated slots for a few bytes)
+    return (pieces.join(slots(positions.sparkSession, mix).hint("merge"), ["_s", "block"])
             .select("_s", "_o", "shard", "slot", "pass", first.alias("first"), (stop - first).alias("n"))
             .filter("n > 0"))
 
@@ -282,11 +283,11 @@ def mixed(docs: DataFrame, key: str = "doc_id", **settings) -> DataFrame:
     full = placed(rows, mix, key).join(ranges, ["_s", "_o"]).select(*columns, "_size", "_ranges")
 
     def task(batches):
-        for batch in batches:
+        for batch in small(batches):
             out = [_cut(t, [(r["first"], r["n"]) for r in rs], n) for t, rs, n in zip(
                 texts_of(batch, "text"), batch.column("_ranges").to_pylist(), batch.column("_size").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out, pa.binary()).cast(pa.string()) if c == "text" else batch.column(c) for c in columns], columns)
 
-    out = full.mapInArrow(task, full.select(columns).schema)
+    out = arrow_map(full, task, full.select(columns).schema)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(columns) if "n_chars" in columns else out
