@@ -1,4 +1,8 @@
 import random
+import string
+from collections import Counter
+
+import pyarrow.parquet as pq
 
 from tillflow.llm import compression
 
@@ -59,5 +63,32 @@ def test_verdicts():
     assert found[8] >= 0.5 * found[7] or found[-2] == "kept"
 
 
+def test_encoded_text_whole_and_as_half_of_a_document():
+    judge, rng = compression.Judge(), random.Random(3)
+    tokens = lambda letters, n: " ".join("".join(rng.choices(letters, k=rng.randint(4, 10))) for _ in range(n // 7))[:n]
+    letters = string.ascii_letters + string.digits
+    kinds = {"base64": lambda n: tokens(letters + "+/", n), "alphanumeric": lambda n: tokens(letters, n),
+             "hex words": lambda n: " ".join(rng.randbytes(4).hex() for _ in range(n // 9 + 1))[:n],
+             "hex bytes": lambda n: " ".join(f"{b:02X}" for b in rng.randbytes(n // 3 + 1))[:n]}
+    docs = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    labels = pq.read_table("/root/testdata/sf0.1/labels.parquet").to_pylist()
+    good = {r["doc_id"] for r in labels if r["quality"] == 1}
+    clean = [t for d in docs if d["doc_id"] in good and len((t := d["text"] or "").split()) >= 50]
+    longest = " ".join(sorted(clean, key=len)[-4:])
+    for n in (700, 1000, 1500, 3000, 10_000, 60_000):
+        for name, text in kinds.items():
+            for half in (False, True):
+                data = (longest[:n // 2] + "\n" + text(n // 2) if half else text(n)).encode()
+                assert judge(data)[-2] == "incompressible", (name, n, half)
+    bands = Counter()
+    for t in clean:  # no clean prose is lost in any band, and none of its chunks counts as high
+        found = judge(t.encode())
+        assert found[-2] in ("kept", "base") and found[-3] == 0
+        bands[judge.limits(len(t.encode()))] += 1
+    assert len(bands) >= 10
+    numbers = " ".join(str(rng.randrange(10**rng.randint(1, 7))) for _ in range(1500)).encode()
+    assert not judge.hexadecimal(numbers)  # a table of numbers is no hex dump
+
+
 def test_empty(spark):
     assert compression.judged(frame(spark, [])).collect() == []

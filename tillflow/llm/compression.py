@@ -3,9 +3,17 @@
 A text is compressed whole and in fixed chunks.  The ratio (compressed bytes /
 bytes) of prose falls with length, so each length band has its own limits:
 below the band it repeats itself, above it is incompressible (random strings,
-encoded data).  Chunks find a repetitive part inside a text whose whole ratio
-looks normal; a document goes when at least ``CHUNK_SHARE`` of its chunks lie
-outside the chunk band.
+encoded data).  Chunks find a part inside a text whose whole ratio looks normal;
+a document goes when at least ``CHUNK_SHARE`` of its chunks are repetitive or at
+least ``HIGH_SHARE`` of them incompressible, by the upper limit of their own
+length.  That share is below a half, as the chunk in which an encoded half begins
+holds prose too.
+
+The upper limits lie 0.03 to 0.05 above the highest ratios of prose (quality-1
+documents of the check tables, by length).  Hex digits compress as well as prose
+does, so no ratio tells them apart: a chunk also counts as incompressible when
+``HEX_SHARE`` of its word bytes stand in words of hex digits only (most in prose:
+0.10), of them at least ``HEX_LETTERS`` letters, which tables of numbers lack.
 
 Counted over the whole text beside it: words, their code points, symbol
 characters, repeated lines and words in repeated 3-word windows.  Texts under 50
@@ -18,6 +26,8 @@ an empty result; input columns named like a result column are replaced.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -27,8 +37,10 @@ from pyspark.sql import functions as F
 from .common import arrow_map, hashes, mix64, small, texts_of, word_hasher
 
 #: (texts of fewer bytes, least ratio, most ratio); the last band has no end.
-BANDS = ((800, 0.30, 0.88), (1600, 0.28, 0.80), (3200, 0.25, 0.72), (12800, 0.22, 0.68), (None, 0.18, 0.64))
-CHUNK, CHUNK_LOW, CHUNK_HIGH, CHUNK_SHARE = 1024, 0.25, 0.82, 0.5
+BANDS = ((400, 0.30, 0.80), (500, 0.30, 0.78), (650, 0.30, 0.75), (800, 0.30, 0.72), (1100, 0.28, 0.69), (1600, 0.28, 0.65),
+         (2200, 0.25, 0.61), (3200, 0.25, 0.59), (6400, 0.22, 0.55), (12800, 0.22, 0.52), (25600, 0.18, 0.49), (None, 0.18, 0.48))
+CHUNK, CHUNK_LOW, CHUNK_SHARE, HIGH_SHARE = 1024, 0.25, 0.5, 0.4
+HEX, HEX_SHARE, HEX_LETTERS = re.compile(rb"[0-9a-fA-F]+"), 0.4, 0.1
 LEVEL = 3
 MIN_WORDS, MAX_REPEATED = 50, 50
 SPACES, SYMBOLS = b" \t\n\v\f\r", b"#*$%&|<>"
@@ -67,12 +79,23 @@ class Judge:
             covered[i:n + i] |= again
         return int(covered.sum())
 
-    def chunks(self, data: bytes) -> list[float]:
-        """Ratios of the fixed chunks; a rest under half a chunk joins the one before."""
+    def limits(self, size: int) -> tuple[float, float]:
+        """Least and most ratio of a text of that many bytes."""
+        return next((lo, hi) for end, lo, hi in self.bands if end is None or size < end)
+
+    def chunks(self, data: bytes) -> list[bytes]:
+        """The fixed chunks; a rest under half a chunk joins the one before."""
         starts = list(range(0, len(data), self.chunk)) or [0]
         if len(starts) > 1 and len(data) - starts[-1] < self.chunk // 2:
             starts.pop()
-        return [self.ratio(data[a:b]) for a, b in zip(starts, [*starts[1:], len(data)])]
+        return [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])]
+
+    def hexadecimal(self, data: bytes) -> bool:
+        """Whether a large share of the words' bytes are in words of hex digits."""
+        words = data.split()
+        own = b"".join(w for w in words if HEX.fullmatch(w))
+        letters = len(own.translate(None, b"0123456789"))
+        return bool(own) and len(own) >= HEX_SHARE * sum(map(len, words)) and letters >= HEX_LETTERS * len(own)
 
     def __call__(self, data: bytes) -> tuple:
         words = data.split()
@@ -80,10 +103,12 @@ class Judge:
         n, repeat = len(words), self.repeated(words)
         failed = n < MIN_WORDS or 100 * repeat > MAX_REPEATED * n
         whole, parts = self.ratio(data), self.chunks(data)
-        low, high = sum(r < CHUNK_LOW for r in parts), sum(r > CHUNK_HIGH for r in parts)
-        least, most = next((lo, hi) for end, lo, hi in self.bands if end is None or len(data) < end)
+        ratios = [self.ratio(p) for p in parts]
+        low = sum(r < CHUNK_LOW for r in ratios)
+        high = sum(r > self.limits(len(p))[1] or self.hexadecimal(p) for r, p in zip(ratios, parts))
+        least, most = self.limits(len(data))
         verdict = ("base" if failed else "repetitive" if whole < least or low >= CHUNK_SHARE * len(parts)
-                   else "incompressible" if whole > most or high >= CHUNK_SHARE * len(parts) else "kept")
+                   else "incompressible" if whole > most or high >= HIGH_SHARE * len(parts) else "kept")
         return (n, len(data.translate(None, SPACES).decode("utf-8", "replace")), len(data) - len(data.translate(None, SYMBOLS)),
                 len(lines) - len(set(lines)), repeat, failed, whole, len(parts), low, high, verdict, verdict == "kept")
 
