@@ -4,6 +4,8 @@ import os
 import tempfile
 import zipfile
 
+import pytest
+
 from tillflow.plans.normalise import kinds, normalise, upload_name
 
 HEAD = "product_id,upc_code,brand_description,package_size,price_regular,qty_on_hand,casepk\n"
@@ -73,5 +75,34 @@ def test_upload_names(spark):
         assert [r[0] for r in df.select(upload_name(df.p, root)).collect()] == ["a.csv", "a b.zip", "c.csv"]
 
 
+def test_line_ends_in_quoted_cells(spark):
+    root = tempfile.mkdtemp(prefix="tf-up-")
+    _write(root, "a.csv", HEAD + '1,11,"Ale\n6 PK 12 OZ\r\nCANS",6 pk,9.99,5,1\n2,22,Wine 750 ML,,3,2,7\r\n')
+    _write(root, "up=b.csv/part-0.csv", HEAD.replace("\n", "\r\n") + '1,11,"Rum\n1 L",,8,5,1\r\n2,22,"Gin 1 L",,9,5,1\r\n')
+    _write(root, "up=b.csv/part-1.csv", 'price_regular,product_id,brand_description\n5,9,"KEG\n""1/2"""\n')
+    _write(root, "up=b.csv/part-2.csv", "")
+    cells = [f"c{i}" for i in range(23)]
+    wide = lambda code, text: "\t".join([code, *cells[1:3], text, *cells[4:]]) + "\n"
+    _write(root, "w.csv", wide("A1", '"Red\nwine"') + wide("A2", "White wine"))
+    registry = spark.createDataFrame([(1, "mpower", "a.csv"), (2, "tiger", "b.csv"), (3, "winepos", "w.csv")],
+                                     "id int, pos string, filename string")
+    known = kinds("2020-06-01 00:00:00")
+    assert {p for p, k in known.items() if k.multi_line} == {p for p, k in known.items() if k.ext == ".csv"} - {
+        "cashregisterexpress", "cashregisterexpress_v2"}
+    rows = known["winepos"].read(spark, [os.path.join(root, "w.csv")], True).orderBy("_ord").select("_c0", "_c3", "_c22").collect()
+    assert [tuple(r) for r in rows] == [("A1", "Red\nwine", "c22"), ("A2", "White wine", "c22")]
+    registry = registry.where("id = 1").union(spark.createDataFrame([(2, "mpower", "b.csv")], registry.schema))
+    good, bad = normalise(spark, root, registry, "2020-06-01 00:00:00")
+    got = {(r.retailer_id, r.rt_product_id): r for r in good.collect()}
+    assert sorted(got) == [("1", "1"), ("1", "2"), ("2", "1"), ("2", "2"), ("2", "9")]
+    assert (got["1", "1"].price_regular, got["1", "2"].price_regular, got["2", "9"].price_regular) == (9.99, 3.0, 5.0)
+    assert got["2", "9"].rt_brand_description == 'KEG\n"1/2"'
+    assert [r.reason for r in bad.collect()] == ["no_registry_row"]  # w.csv
+    broken = normalise(spark, root, registry, "2020-06-01 00:00:00", single_line=["mpower"])[0]  # switched off by name
+    assert ("1", "1", 9.99) not in {(r.retailer_id, r.rt_product_id, r.price_regular) for r in broken.collect()}
+    with pytest.raises(ValueError, match="unknown POS kinds"):
+        kinds("2020-06-01 00:00:00", ["nonesuch"])
+
+
 def test_twenty_kinds():
     assert len(kinds("2020-01-01 00:00:00")) == 20

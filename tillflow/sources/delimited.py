@@ -82,8 +82,16 @@ def header_names(spark: SparkSession, path, sep: str = ",") -> list[str]:
     return list(dict.fromkeys(n for names in layouts(spark, path, sep)[1].values() for n in names))
 
 
-def _finish(df: DataFrame, names, null_text: bool) -> DataFrame:
+def without_cr(c):
+    """A cell without the CR of a CRLF: a multi-line reader knows one line end a
+    file, and leaves the CR where a file has both kinds."""
+    return F.when(c.endswith("\r"), F.nullif(F.rtrim(c, F.lit("\r")), F.lit(""))).otherwise(c)
+
+
+def _finish(df: DataFrame, names, null_text: bool, multi_line: bool = False) -> DataFrame:
     df = df.drop(EXTRA)
+    if multi_line:
+        df = df.withColumns({n: without_cr(F.col(f"`{n}`")) for n in names})
     return df.withColumns({n: nullify(F.col(f"`{n}`")) for n in names}) if null_text else df
 
 
@@ -101,7 +109,7 @@ def scan_csv_header(spark: SparkSession, path, sep: str = ",", names: list[str]
         cols = next(iter(known.values()), ["value"])
         df = _with_order(_reader(spark, sep, True, encoding, multi_line)
                          .schema(_string_schema([*cols, EXTRA])).csv(path))
-        return _finish(df.where(F.col(EXTRA).isNull()), cols, null_text)
+        return _finish(df.where(F.col(EXTRA).isNull()), cols, null_text, multi_line)
     width = max(map(len, known.values()))
     wide = [f"_c{i}" for i in range(width)]
     df = _with_order(_reader(spark, sep, True, encoding, multi_line).schema(_string_schema([*wide, EXTRA])).csv(path))
@@ -118,7 +126,7 @@ def scan_csv_header(spark: SparkSession, path, sep: str = ",", names: list[str]
             value = F.when(F.col("_layout") == i, F.col(wide[j]))
             bound[n] = F.coalesce(bound[n], value) if n in bound else value
     keep = [c for c in df.columns if c not in (*wide, EXTRA, "_layout")]
-    return _finish(df.select(*[v.alias(n) for n, v in bound.items()], *keep), list(bound), null_text)
+    return _finish(df.select(*[v.alias(n) for n, v in bound.items()], *keep), list(bound), null_text, multi_line)
 
 
 def scan_positional(spark: SparkSession, path, n_cols: int, sep: str = "\t", multi_line: bool = False,
@@ -126,7 +134,7 @@ def scan_positional(spark: SparkSession, path, n_cols: int, sep: str = "\t", mul
     """Headerless delimited file; columns ``_c0 .. _c{n-1}`` by position."""
     names = [f"_c{i}" for i in range(n_cols)]
     df = _with_order(_reader(spark, sep, False, "UTF-8", multi_line).schema(_string_schema([*names, EXTRA])).csv(path))
-    return _finish(df.where(F.col(EXTRA).isNull()), names, null_text)
+    return _finish(df.where(F.col(EXTRA).isNull()), names, null_text, multi_line)
 
 
 def drop_edge_lines(spark: SparkSession, path, skip_head: int = 0, drop_last: bool = False) -> DataFrame:
