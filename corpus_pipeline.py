@@ -6,7 +6,8 @@ one before kept, and all but the last return the columns of ``documents``:
 
 1. quality: the ordinal classifier drops documents that it rejects;
 2. rules: compression bands and base rules drop documents that they reject;
-3. near_dedup: the smallest doc_id of every near-duplicate group stays;
+3. near_dedup: the row of the smallest doc_id of every near-duplicate group stays;
+   rows that share a doc_id but not a near-equal text stay apart;
 4. mix: blocks of words drawn to the sources' target weights, put together
    again as documents (one row per document and pass);
 5. encode: SentencePiece ids with an end id, and the text they decode to.
@@ -41,11 +42,20 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the smallest doc_id."""
-    found = minhash.near_duplicates(docs)
-    keep = found.filter("kept and doc_id is not null").select("doc_id").distinct()
-    linked = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return linked.unionByName(docs.filter("doc_id is null")).select(docs.columns)
+    """One row of each near-duplicate group stays, that of the smallest doc_id.
+
+    Groups are built over (doc_id, text), not over doc_ids, which may repeat with
+    different texts.  Ties are broken by the pair's hash, then by the other columns.
+    """
+    rows = docs.filter("doc_id is not null").withColumn("_node", F.xxhash64("doc_id", "text"))
+    found = minhash.near_duplicates(rows.select(F.col("_node").alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias("_node"), "component_id").distinct()
+    keep = (rows.select("doc_id", "_node").distinct().join(groups, "_node")
+            .groupBy("component_id").agg(F.min(F.struct("doc_id", "_node")).alias("least")).select("least._node"))
+    order = ["doc_id", *[c for c in docs.columns if c not in ("doc_id", "text")], "text"]
+    linked = (rows.join(keep, "_node", "left_semi").groupBy("_node")
+              .agg(F.min(F.struct(*order)).alias("row")).select("row.*"))
+    return linked.select(docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
