@@ -93,6 +93,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored(df: DataFrame, name: str, *by: str) -> tuple[DataFrame, str]:
+    """As ``staged``, in partitions by columns; the folder's path comes too, for ``deleted``."""
+    spark = df.sparkSession
+    path = shared_dir(spark, "llm", name)
+    df.write.partitionBy(*by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder that a committed successor replaces."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
