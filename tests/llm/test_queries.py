@@ -18,6 +18,9 @@ COLUMNS = {
     "op8": {"doc_id", "size", "source_size", "target", "taken"},
     "op9": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
     "op10": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
+    "op11": {"doc_id", "fingerprint", "component_id"},
+    "op12": {"vec_id", "code", "error", "label_error", "codebooks_sha256"},
+    "op13": {"part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"},
 }
 
 

@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (cas_archive, compression, hash_tree, lattice_lm, minhash, mixing, ordinal, piece_merge,
-               threshold_topk, toxicity)
+from . import (ball_kmeans, cas_archive, compression, filter_audit, hash_tree, lattice_lm, minhash, mixing, ordinal,
+               piece_merge, simhash_trie, threshold_topk, toxicity)
 from .common import fold, table
 
 QUERIES: dict = {}
@@ -139,3 +139,78 @@ def op10_cas_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = cas_archive.store(cas_archive.records(table(spark, sf_dir, "pages")))
     found = cas_archive.read(cas_archive.restore(spark, archive))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op11_simhash_trie")
+def op11_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_trie.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def _op12_sql() -> str:
+    """Rounds of assignment (distance and lowest index of the nearest entry of every
+    part) and update, over components x of parts p of rows r."""
+    near = """SELECT r, p, least_of[2] AS e, least_of[1] AS d FROM (
+  SELECT r, p, min([d, e]) AS least_of FROM (
+    SELECT x.r, x.p, b.e, sum((x.x - b.x) * (x.x - b.x))::BIGINT AS d
+    FROM x JOIN {book} b ON b.p = x.p AND b.i = x.i GROUP BY x.r, x.p, b.e) GROUP BY r, p)"""
+    ctes = ["""k AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS r, vec_id, label,
+    list_transform(embedding, lambda c: floor(4096 * c::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0)""", """x AS MATERIALIZED (
+  SELECT r, (c - 1) // (n // 8) AS p, (c - 1) % (n // 8) AS i, x FROM (
+    SELECT r, len(v) AS n, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS c FROM k))""",
+            "b0 AS MATERIALIZED (SELECT p, r - 1 AS e, i, x FROM x WHERE r <= 16)"]
+    for t in range(6):
+        ctes += [f"a{t} AS MATERIALIZED ({near.format(book=f'b{t}')})", f"""b{t + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, b.i, coalesce(n.x, b.x) AS x FROM b{t} b LEFT JOIN (
+    SELECT x.p, a.e, x.i, floor(sum(x.x)::DOUBLE / count(*))::BIGINT AS x
+    FROM x JOIN a{t} a ON a.r = x.r AND a.p = x.p GROUP BY x.p, a.e, x.i) n ON n.p = b.p AND n.e = b.e AND n.i = b.i)"""]
+    ctes += [f"a6 AS MATERIALIZED ({near.format(book='b6')})", """c AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a6 GROUP BY r)"""]
+    return "WITH " + ",\n".join(ctes) + """
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, i)) FROM b6) AS codebooks_sha256
+FROM c JOIN k USING (r)"""
+
+
+@query("op12_ball_kmeans", _op12_sql())
+def op12_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_kmeans.compressed(table(spark, sf_dir, "embeddings"))
+
+
+OP13_SQL = r"""
+WITH t AS MATERIALIZED (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS MATERIALIZED (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM t),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT text, min(doc_id) AS first_id FROM t GROUP BY text),
+m AS MATERIALIZED (
+  SELECT part, (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+    + 4 * (100 * length(regexp_replace(w.text, '[^A-Z]', '', 'g')) > 3 * length(w.text))::INT
+    + 8 * regexp_matches(w.text, '[#$%&*|]')::INT + 16 * coalesce(w.doc_id > f.first_id, false)::INT AS mask,
+    count(*) AS n, count(*) FILTER (l.good) AS good, count(*) FILTER (l.toxic) AS toxic
+  FROM w JOIN f ON f.text = w.text LEFT JOIN l ON l.doc_id = w.doc_id GROUP BY 1, 2),
+one AS (SELECT unnest(range(5)) AS i),
+o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM one a, one b, one c, one d, one e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS MATERIALIZED (
+  SELECT list_aggregate(list_transform(o, lambda i: substr('ABCDE', (i + 1)::INT, 1)), 'string_agg', '') AS filter_order,
+    (k + 1)::INT AS step, o[k + 1] AS f, (1 << o[k + 1]::INT) AS bit,
+    coalesce(list_sum(list_transform(o[1:k], lambda i: 1 << i::INT)), 0)::INT AS before FROM o, (SELECT unnest(range(5)) AS k)),
+r AS MATERIALIZED (
+  SELECT p.part, s.filter_order, s.step, s.f,
+    coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS toxic_lost
+  FROM (SELECT DISTINCT part FROM m) p CROSS JOIN s JOIN m ON m.part = p.part GROUP BY p.part, s.filter_order, s.step, s.f)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM r
+"""
+
+
+@query("op13_filter_audit", OP13_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
