@@ -152,18 +152,20 @@ def _stored(prepared: DataFrame, pos: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def normalise(spark: SparkSession, root: str, registry: DataFrame, as_of: str,
-              archives: DataFrame | None = None, single_line: Collection[str] = ()) -> tuple[DataFrame, DataFrame]:
+def normalise(spark: SparkSession, root: str, registry: DataFrame, as_of: str, archives: DataFrame | None = None,
+              single_line: Collection[str] = (), listed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(parsed inventory with ``pos``, rejects: retailer_id, source, reason, record).
 
+    ``listed`` (path): the uploads' files, where they are not all that lie below ``root``.
     ``archives`` (path, content; path as below ``root``) stands for the zip
     uploads where they are not files of their own.  ``single_line``: POS kinds
     whose files are read line by line (and split).
     """
     known = kinds(as_of, single_line)
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+    if listed is None:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     zips = archives if archives is not None else archive.archive_files(spark, root)
-    named = listed.withColumn(NAME, upload_name(F.col("path"), root))
+    named = listed.select("path").withColumn(NAME, upload_name(F.col("path"), root))
     named_zips = zips.withColumn(NAME, upload_name(F.col("path"), root))
     uploads = named.unionByName(named_zips.select("path", NAME)).distinct() if archives is not None else named
     good, bad = dispatch(uploads, registry, known)

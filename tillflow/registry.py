@@ -1060,23 +1060,93 @@ def q_normalise_rejects(spark, sf_dir):
 
 # --------------------------------------------------------------- streaming
 
+def _drain(spark, base, uploads, root, registry):
+    from tillflow.streaming.intake import start_intake
+    start_intake(uploads, root, registry, O.AS_OF, base + "/table", base + "/rejects", base + "/checkpoint").awaitTermination()
+
+
+def _f1_registry(spark):
+    return D.numbers(spark, 11, "i").where("i > 0").select(F.col("i").alias("id"), F.lit("MPower").alias("pos"),
+                                                           F.concat(F.lit("m"), D.s("i"), F.lit(".csv")).alias("filename"))
+
+
+def _streamed_f1(spark, drops, base):
+    """Drops of F1 rows into a landing folder; the stream runs after each drop
+    (availableNow) and takes only the new files."""
+    from tillflow.streaming.intake import uploads_stream
+    landing = base + "/landing"
+    for drop in drops:
+        L.land_csv(spark, drop.withColumn("retailer_id", F.concat(F.lit("m"), "retailer_id", F.lit(".csv"))),
+                   "unused", path=landing, mode="append")
+        _drain(spark, base, uploads_stream(spark, landing), landing, lambda: _f1_registry(spark))
+
+
 @register("stream_intake", _sql_parse_package())
 def q_stream_intake(spark, sf_dir):
-    """Two drops of feed files into a landing folder; the stream runs after
-    each drop (availableNow) and takes only the new files."""
-    from tillflow.streaming.intake import csv_stream, start_intake
+    """Two drops of feed files: the table holds the rows of both."""
+    from tillflow.plans.current import current
     f1 = D.f1_base(spark, sf_dir)
     base = shared_dir(spark, "stream")
-    landing, out, ckpt = base + "/landing", base + "/out", base + "/checkpoint"
-    drops = [f1.where(F.col("_ord") % 2 == 0), f1.where(F.col("_ord") % 2 == 1)]
-    for i, drop in enumerate(drops):
-        L.land_csv(spark, drop.withColumn("retailer_id", F.concat(F.col("retailer_id"), F.lit(f"-{i}"))),
-                   "unused", path=landing, mode="append")
-        q = start_intake(csv_stream(spark, landing, _F1_COLS), feeds.feed_mpower, out, ckpt)
-        q.awaitTermination()
-    res = spark.read.parquet(out).withColumn("retailer_id", F.regexp_replace(
-        F.col("retailer_id").cast("string"), "-[0-9]+$", ""))
-    return res.select(*OUTPUT_COLUMNS)
+    _streamed_f1(spark, [f1.where(F.col("_ord") % 2 == 0), f1.where(F.col("_ord") % 2 == 1)], base)
+    return current(spark, base + "/table").select(*OUTPUT_COLUMNS)
+
+
+def _sql_stream_current() -> str:
+    drop = "CASE WHEN _ord % 5 = 0 THEN 2 WHEN _ord % 3 = 0 THEN 1 ELSE 0 END"
+    last = f"""f1u AS (SELECT * EXCLUDE (qty_on_hand, product_category), CAST(CAST(qty_on_hand AS BIGINT) + 100 * ({drop}) AS VARCHAR) AS qty_on_hand,
+  CASE WHEN {drop} > 0 THEN concat('drop ', {drop}) ELSE product_category END AS product_category FROM f1)"""
+    pctes, pout = O.parse_ctes("mp")
+    return (O.with_clause(O.F1, last, O.mpower_ctes("f1u", "mp"), pctes) +
+            f"\nSELECT {', '.join(O.CANON + O.PARSED)}, 1 AS active, retailer_id FROM {pout}")
+
+
+@register("stream_current", _sql_stream_current())
+def q_stream_current(spark, sf_dir):
+    """Three drops, each with its own column order; the later ones bring newer rows of
+    products that are there already.  One current row per product remains."""
+    from tillflow.plans.current import current
+    f1 = D.f1_base(spark, sf_dir)
+    base = shared_dir(spark, "stream")
+
+    def drop(i, every):
+        cols = [c for c in f1.columns if c not in ("retailer_id", "_ord")]
+        newer = f1.where(F.col("_ord") % every == 0).withColumns({
+            "qty_on_hand": D.s(F.col("qty_on_hand").cast("long") + 100 * i),
+            "product_category": F.lit(f"drop {i}") if i else F.col("product_category")})
+        return newer.select("retailer_id", "_ord", *cols[4 * i:], *cols[:4 * i])
+
+    _streamed_f1(spark, [drop(0, 1), drop(1, 3), drop(2, 5)], base)
+    return current(spark, base + "/table").select(*OUTPUT_COLUMNS)
+
+
+@landed
+def _streamed_uploads(spark, sf_dir):
+    """All kinds' uploads arrive in three drops, an upload's files together, as a table of
+    (path, content); each drop is a micro-batch."""
+    from tillflow.plans.normalise import upload_name
+    root, registry, zips = _uploads(spark, sf_dir)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.lit(None).cast("binary").alias("content"))
+    arrivals = listed.unionByName(zips.select("path", "content")).withColumn(
+        "drop", F.pmod(F.xxhash64(upload_name(F.col("path"), root)), F.lit(3)))
+    base = shared_dir(spark, "stream_uploads")
+    for i in range(3):
+        arrivals.where(F.col("drop") == i).drop("drop").write.mode("append").parquet(base + "/arrivals")
+        _drain(spark, base, spark.readStream.schema("path string, content binary").parquet(base + "/arrivals"), root, registry)
+    return base
+
+
+@register("stream_normalise", _normalised_sql())
+def q_stream_normalise(spark, sf_dir):
+    """Uploads of all kinds through the stream: the table of one batch run over all."""
+    from tillflow.plans.current import current
+    return current(spark, _streamed_uploads(spark, sf_dir) + "/table")
+
+
+@register("stream_rejects", ORACLE["normalise_rejects"])
+def q_stream_rejects(spark, sf_dir):
+    bad = spark.read.parquet(_streamed_uploads(spark, sf_dir) + "/rejects").drop("batch_id")
+    upc = F.get_json_object("record", "$.rt_upc_code")
+    return bad.withColumn("record", F.when(F.col("reason") == "missing_product_id", upc).otherwise(F.col("record")))
 
 
 # --------------------------------------------------- API pages (JSON) / misc
