@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tillflow.llm import components, minhash
 
@@ -28,8 +29,12 @@ def brute(rows):
     return {(r[0], len(s), low[i]) for i, (r, s) in enumerate(zip(rows, sets))}
 
 
+def found_rows(rows):
+    return {(r.doc_id, r.n_shingles, r.component_id) for r in rows}
+
+
 def found(df):
-    return {(r.doc_id, r.n_shingles, r.component_id) for r in df.collect()}
+    return found_rows(df.collect())
 
 
 def test_against_brute_force(spark):
@@ -68,12 +73,50 @@ def test_crowded_bucket_and_partner_split(spark):
     pairs = spark.createDataFrame([(0, k) for k in range(1, 60)], "a long, b long")
     few = {tuple(r) for r in minhash.confirmed(pairs, docs, spread=7).collect()}
     assert few == {tuple(r) for r in minhash.confirmed(pairs, docs, spread=1000).collect()}
-    marked = minhash.signatures(docs).selectExpr("doc_id as rep", "sig", "array(1L, doc_id) as keys")
-    members = marked.selectExpr("1L as key", "-1L as hub", "60L as n", "rep", "rep as component", "sig", "keys")
-    small = {tuple(r) for r in minhash._across(members, 0.3, block=9).collect()}
-    assert small == {tuple(r) for r in minhash._across(members, 0.3, block=1000).collect()} and small
-    later = members.selectExpr("1L as key", "hub", "n", "rep", "component", "sig", "array(7L, 1L) as keys")
-    assert minhash._across(later, 0.3).collect() == []  # their first common band is another bucket
+
+
+def test_all_that_is_left_in_blocks(spark):
+    """Small blocks give the same pairs as one; a pair is given in its first band only."""
+    rng = random.Random(5)
+    words = prose(rng, 120, 3000).split()
+    rows = [(k, " ".join(f"w{k}_{j}" if rng.random() < 0.05 else w for j, w in enumerate(words)), "en", "s", 1) for k in range(60)]
+    marked = minhash.signatures(frame(spark, rows))
+    reps = marked.selectExpr("doc_id as rep", "sig", "array(1L, doc_id) as keys")
+    for component in ("rep", "if(rep % 3 = 0, 0L, rep)"):
+        rest = reps.selectExpr("1L as key", "-1L as hub", "60L as n", "rep", f"{component} as component")
+        sides = {r.rep: r.component for r in rest.collect()}
+        sig = {r.rep: np.frombuffer(r.sig, np.uint8) for r in reps.collect()}
+        want = {(a, b) for a in sig for b in sig if a < b and sides[a] != sides[b] and (sig[a] == sig[b]).mean() >= 0.3}
+        for block in (9, 1000):
+            assert {tuple(r) for r in minhash._outside(rest, reps, 0.3, block=block).collect()} == want and want
+        later = reps.withColumn("keys", F.array(F.lit(7), F.lit(1)).cast("array<long>"))
+        assert minhash._outside(rest, later, 0.3).collect() == []  # their first common band is another bucket
+
+
+def test_pairs_grow_in_proportion(spark, monkeypatch, block=128):
+    """Copies that are near the original and not near one another, under random ids."""
+    made = []
+    plain = minhash.confirmed
+    monkeypatch.setattr(minhash, "confirmed", lambda pairs, *a, **k: made.append(pairs.count()) or plain(pairs, *a, **k))
+    for name in ("_proposals", "_outside"):
+        own = getattr(minhash, name)
+        monkeypatch.setattr(minhash, name, lambda *a, f=own, **k: f(*a, **k, block=block))
+    totals = {}
+    for n in (300, 1200):
+        rng = random.Random(n)
+        words = [f"word{rng.randrange(9000)}" for _ in range(300)]
+        texts = [" ".join(words)] + [" ".join(f"n{k}x{j}" if j in at else w for j, w in enumerate(words))
+                                     for k in range(n) for at in [set(rng.sample(range(300), 5))]]
+        ids = rng.sample(range(10**6), n + 1)
+        made.clear()
+        found = minhash.near_duplicates(frame(spark, [(i, t, "en", "s", 1) for i, t in zip(ids, texts)], 4)).collect()
+        totals[n] = sum(made)
+        sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+        near = {i for i, s in zip(ids, sets) if 100 * len(s & sets[0]) >= 75 * len(s | sets[0])}
+        assert len(near) > 0.9 * n and {r.component_id for r in found if r.doc_id in near} == {min(near)}
+        if n == 300:
+            assert found_rows(found) == brute([(i, t) for i, t in zip(ids, texts)])
+    assert totals[1200] < 6 * totals[300] and totals[1200] < 32 * 1200, totals  # all pairs: 16 times, 720,000
 
 
 def test_signature_estimates_similarity():

@@ -94,10 +94,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str, *by: str) -> tuple[DataFrame, str]:
-    """As ``staged``, in partitions by columns; the folder's path comes too, for ``deleted``."""
+    """As ``staged``, in partitions by ``by`` if given; the folder's path comes too, for ``deleted``."""
     spark = df.sparkSession
     path = shared_dir(spark, "llm", name)
-    df.write.partitionBy(*by).parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

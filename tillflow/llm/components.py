@@ -2,7 +2,8 @@
 
 Every round is joins and partially aggregated minima over an edge table, so a
 node with very many neighbours never has to sit in one task.  The edge table
-of each round is written to the shared folder, which cuts the lineage.
+of each round is written to the shared folder, which cuts the lineage; the one
+before is then deleted.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import deleted, stored
 
 
 def _minima(edges: DataFrame) -> DataFrame:
@@ -42,13 +43,16 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
     smallest node reachable.  Self-loops and null ends are ignored, repeated
     edges count once, an empty table gives an empty result.
     """
-    edges = staged(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    spark = edges.sparkSession
+    edges, path = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                    .filter(F.col(a).isNotNull() & F.col(b).isNotNull()).filter("u > v").distinct(), "edges")
     mark = _mark(edges)
     for _ in range(max_rounds):
         if not mark["n"]:
             break
-        edges = staged(_small_star(_large_star(edges)), "edges")
+        edges, after = stored(_small_star(_large_star(edges)), "edges")
+        deleted(spark, path)
+        path = after
         before, mark = mark, _mark(edges)
         if mark == before:
             break

@@ -17,9 +17,12 @@ Steps, and why none of them meets a whole group in one task:
 4. pairs whose signatures agree too little are dropped, the rest is confirmed
    on full sets; a much-used partner is split over several keys;
 5. components of the confirmed links (large-star, small-star);
-6. what stars cannot see: buckets that still hold members of two components
-   are compared in blocks, and only pairs between components that agree by
-   signature are confirmed.  No bucket and no partner is capped or skipped.
+6. buckets that still hold members of two components: rounds in which a member proposes
+   its best partner of another component (by signature, in its block) and is paired with the
+   bucket's centre; what is confirmed joins components.  So a group around one text is found
+   whichever member has the smallest id, with pairs in proportion to its members;
+7. when a round finds nothing new, all pairs that are left between components of a bucket and agree by
+   signature are confirmed.  No bucket and no partner is capped or skipped, no pair is tested twice.
 
 With 32 bands of 4 minima a pair at the threshold shares no bucket with
 probability 5e-6.  Signatures hold 512 minima (8 bits each); the bound on their
@@ -52,6 +55,7 @@ SIMILAR = 75            # per cent of the union
 MINIMA, AGREE = 512, 0.67   # of a signature; least share that agree (4.2 sd below 0.75)
 BLOCK = 512             # members of a bucket that are compared at once
 SPREAD = 1000           # members of one partner under one key
+ROUNDS = 8              # of few pairs a member, before all pairs that are left
 
 
 class Shingler:
@@ -192,67 +196,126 @@ def confirmed(pairs: DataFrame, docs: DataFrame, similar: int = SIMILAR, words:
             .mapInArrow(compare, "a long, b long").distinct())
 
 
-def _across(members: DataFrame, agree: float, block: int = BLOCK) -> DataFrame:
-    """Pairs of one bucket from different components that agree by signature.
+def _groups(batches, keys: list[str]):
+    """The rows of each group of a stream that is sorted by ``keys``, as tables."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([held, rows]) if held is not None else rows
+        columns = [rows.column(c).to_numpy() for c in keys]
+        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        start = 0
+        for end in cuts.tolist():
+            yield rows.slice(start, end - start)
+            start = end
+        held = rows.slice(start)
+    if held is not None and held.num_rows:
+        yield held
 
-    ``members``: key, hub, n, rep, component, sig, keys.  A bucket of more than
-    ``block`` members is cut into blocks by hash; each pair of blocks is a key.
+
+def _signatures(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+
+
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Buckets that hold members of several components: key, hub, n, rep, component."""
+    placed = (members.filter("n > 2").join(found, F.col("rep") == F.col("node"), "left")
+              .select("key", "hub", "n", "rep", F.coalesce("component", "rep").alias("component")))
+    several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    return placed.join(several.select("key"), "key", "left_semi")
+
+
+def _proposals(rest: DataFrame, sigs: DataFrame, agree: float, salt: int, block: int = BLOCK) -> DataFrame:
+    """At most two pairs a member and bucket: with the member of another component that
+    agrees best in its block, and with the bucket's centre.
+
+    A member sits in one block of a bucket.  The member that agrees best with its block as a whole
+    is the block's centre, the best of these the bucket's.
+    """
+    def block_of(rows: pa.Table):
+        key, rep, comp = (rows.column(c).to_numpy() for c in ("key", "rep", "component"))
+        sig = _signatures(rows)
+        share = np.stack([(sig == s).mean(1) for s in sig])
+        centre = np.lexsort((rep, -share.mean(1)))[0]
+        share[comp[:, None] == comp[None]] = -1
+        best = share.argmax(1)
+        at = np.flatnonzero(share[np.arange(len(rep)), best] >= agree)
+        pairs = pa.table({"a": np.minimum(rep[at], rep[best[at]]), "b": np.maximum(rep[at], rep[best[at]])})
+        middle = pa.table({"key": key[:1], "centre": rep[[centre]], "of": comp[[centre]], "score": sig_mean(sig, centre)})
+        return pa.concat_tables([pairs, middle], promote_options="default").select(["a", "b", "key", "centre", "of", "score"])
+
+    def sig_mean(sig, at):
+        return np.array([(sig == sig[at]).mean()])
+
+    def task(batches):
+        for rows in _groups(batches, ["key", "own"]):
+            yield from block_of(rows).to_batches()
+
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    dealt = (rest.join(sigs, "rep").select("key", F.pmod(F.xxhash64("rep", F.lit(salt)), blocks).cast("int").alias("own"), "rep", "component", "sig"))
+    found = staged(dealt.repartition("key", "own").sortWithinPartitions("key", "own")
+                   .mapInArrow(task, "a long, b long, key long, centre long, of long, score double"), "proposals")
+    centres = (found.filter("key is not null").groupBy("key")
+               .agg(F.max_by(F.struct("centre", "of"), F.struct("score", -F.col("centre"))).alias("c")).select("key", "c.centre", "c.of"))
+    stars = (rest.join(centres, "key").filter("component <> of")
+             .select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct())
+    return _agreeing(stars, sigs, agree).unionByName(found.filter("a is not null").select("a", "b")).distinct()
+
+
+def _outside(rest: DataFrame, reps: DataFrame, agree: float, block: int = BLOCK) -> DataFrame:
+    """All pairs of a bucket from different components that agree by signature.
+
+    Of each pair one member at least lies outside the bucket's largest component. These
+    outsiders visit every block of the bucket's members, in blocks of their own.
     A pair that shares several buckets is given once, in the first of its bands;
-    if one of the two is that bucket's hub, the star has tested the pair already.
+    if one of the two is that bucket's hub, the first star has tested the pair.
     """
-    cut = members.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")) \
-        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                "own", "hub", "rep", "component", "sig", "keys")
-
-    def block_pairs(rows: pa.Table):
-        rep, comp, own = (rows.column(c).to_numpy() for c in ("rep", "component", "own"))
-        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(len(rep), -1)
+    sizes = rest.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+    largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.max("c").alias("c"))
+    rows = (rest.join(largest, "key").join(reps.select("rep", "sig", "keys"), "rep")
+            .withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+            .withColumn("visits", F.ceil((F.col("n") - F.col("c")) / block).cast("int")))
+    of = lambda count: F.pmod(F.xxhash64("rep"), F.col(count)).cast("int")
+    each = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    cols = ["key", "i", "j", "visitor", "hub", "main", "rep", "component", "sig", "keys"]
+    seats = rows.withColumn("visitor", F.lit(0)).withColumn("i", of("blocks")).withColumn("j", each("visits")).select(cols)
+    visitors = (rows.filter("component <> main").withColumn("visitor", F.lit(1))
+                .withColumn("j", of("visits")).withColumn("i", each("blocks")).select(cols))
+
+    def block_pairs(rows: pa.Table) -> pa.RecordBatch:
+        rep, comp, visitor = (rows.column(c).to_numpy() for c in ("rep", "component", "visitor"))
+        key, hub, main = (rows.column(c)[0].as_py() for c in ("key", "hub", "main"))
+        sig = _signatures(rows)
         keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(len(rep), -1)
-        key, i, j, hub = (rows.column(c)[0].as_py() for c in ("key", "i", "j", "hub"))
+        seat = (visitor == 0) & (rep != hub)
         left, right = [], []
-        for x in range(len(rep)):
-            if rep[x] == hub or (i != j and own[x] != i):
-                continue
-            ok = (comp != comp[x]) & (rep != hub) & ((own == j) if i != j else (rep > rep[x]))
-            at = np.flatnonzero(ok)
+        for x in np.flatnonzero((visitor == 1) & (rep != hub)):
+            at = np.flatnonzero(seat & (comp != comp[x]) & ((comp == main) | (rep > rep[x])))
             if len(at):
                 at = at[(sig[at] == sig[x]).mean(1) >= agree]
                 at = at[keys[x][(keys[at] == keys[x]).argmax(1)] == key]
                 left += [rep[x]] * len(at)
                 right += rep[at].tolist()
-        return left, right
+        left, right = (np.array(side, np.int64) for side in (left, right))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))], ["a", "b"])
 
     def task(batches):
-        held = None
+        for rows in _groups(batches, ["key", "i", "j"]):
+            yield block_pairs(rows)
 
-        def run(part):
-            left, right = (np.array(x, np.int64) for x in block_pairs(part))
-            a, b = np.minimum(left, right), np.maximum(left, right)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([batch])
-            rows = pa.concat_tables([held, rows]) if held is not None else rows
-            k, i, j = (rows.column(c).to_numpy() for c in ("key", "i", "j"))
-            cuts = np.flatnonzero((k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            start = 0
-            for end in cuts.tolist():
-                yield run(rows.slice(start, end - start))
-                start = end
-            held = rows.slice(start)
-        if held is not None and held.num_rows:
-            yield run(held)
-
-    return (cut.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return (seats.unionByName(visitors).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(task, "a long, b long").distinct())
 
 
+def _linked(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links."""
+    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links), "a", "b")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS,
-                    similar: int = SIMILAR, k: int = MINIMA, agree: float = AGREE) -> DataFrame:
+                    similar: int = SIMILAR, k: int = MINIMA, agree: float = AGREE, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     marked = staged(signatures(docs, words, bands, rows, k), "signatures")
     usable = marked.filter("digest is not null and doc_id is not null")
@@ -265,20 +328,24 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bands: int = BANDS, row
     members = staged(banded.join(buckets, "key"), "buckets")
 
     stars = members.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    links = staged(confirmed(staged(_agreeing(stars, sigs, agree), "pairs"), docs, similar, words), "links")
-    found = components(links, "a", "b")
-
-    placed = (members.filter("n > 2").join(found, F.col("rep") == F.col("node"), "left")
-              .select("key", "hub", "n", "rep", F.coalesce("component", "rep").alias("component")))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    rest = placed.join(mixed.select("key"), "key", "left_semi").join(
-        reps.select("rep", "sig", "keys"), "rep")
-    more = staged(_across(rest, agree), "pairs")
+    tested = staged(_agreeing(stars, sigs, agree), "pairs")
+    found = components(staged(confirmed(tested, docs, similar, words), "links"), "a", "b")
+
+    for salt in range(rounds):  # centres that the smallest members are not
+        rest = staged(_mixed(members, found), "mixed")
+        if rest.isEmpty():
+            break
+        pairs = staged(_proposals(rest, sigs, agree, salt).join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(pairs)
+        links = staged(confirmed(pairs, docs, similar, words), "links")
+        if links.isEmpty():
+            break
+        found = _linked(found, links)
+    more = staged(_outside(staged(_mixed(members, found), "mixed"), reps, agree).join(tested, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
         links = staged(confirmed(more, docs, similar, words), "links")
         if not links.isEmpty():
-            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                               .unionByName(links), "a", "b")
+            found = _linked(found, links)
 
     # every document: through the set it holds, or through another row of its doc_id
     groups = (reps.select("digest", "rep").join(found, F.col("rep") == F.col("node"), "left")
@@ -287,3 +354,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bands: int = BANDS, row
             .select("doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def deduplicated(docs: DataFrame, **how) -> DataFrame:
+    """The rows that stay of each near-duplicate group: that of the smallest doc_id.
+
+    Rows are numbered, so rows that share a doc_id and not a near-equal text stay apart, and no
+    two rows can be taken for one.  Ties go to the least of the other columns, then of the
+    text's SHA-256.  Rows without a doc_id all stay.
+    """
+    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    named = rows.filter("doc_id is not null")
+    found = near_duplicates(named.select(F.col("_row").alias("doc_id"), "text"), **how).select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct("doc_id", *[c for c in docs.columns if c not in ("doc_id", "text")], F.sha2("text", 256).alias("_text"), "_row")
+    least = (named.select("_row", order.alias("_order")).join(found, "_row")
+             .groupBy("component_id").agg(F.min("_order").alias("_least")).select("_least._row"))
+    return named.join(least, "_row", "left_semi").select(docs.columns).unionByName(rows.filter("doc_id is null").select(docs.columns))
