@@ -44,18 +44,9 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group stays, that of the smallest doc_id.
 
-    Groups are built over (doc_id, text), not over doc_ids, which may repeat with
-    different texts.  Ties are broken by the pair's hash, then by the other columns.
+    Rows that share a doc_id and not a near-equal text are documents of their own.
     """
-    rows = docs.filter("doc_id is not null").withColumn("_node", F.xxhash64("doc_id", "text"))
-    found = minhash.near_duplicates(rows.select(F.col("_node").alias("doc_id"), "text"))
-    groups = found.select(F.col("doc_id").alias("_node"), "component_id").distinct()
-    keep = (rows.select("doc_id", "_node").distinct().join(groups, "_node")
-            .groupBy("component_id").agg(F.min(F.struct("doc_id", "_node")).alias("least")).select("least._node"))
-    order = ["doc_id", *[c for c in docs.columns if c not in ("doc_id", "text")], "text"]
-    linked = (rows.join(keep, "_node", "left_semi").groupBy("_node")
-              .agg(F.min(F.struct(*order)).alias("row")).select("row.*"))
-    return linked.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    return minhash.deduplicated(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
