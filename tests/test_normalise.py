@@ -4,8 +4,6 @@ import os
 import tempfile
 import zipfile
 
-import pytest
-
 from tillflow.plans.normalise import kinds, normalise, upload_name
 
 HEAD = "product_id,upc_code,brand_description,package_size,price_regular,qty_on_hand,casepk\n"
@@ -87,9 +85,7 @@ def test_line_ends_in_quoted_cells(spark):
     registry = spark.createDataFrame([(1, "mpower", "a.csv"), (2, "tiger", "b.csv"), (3, "winepos", "w.csv")],
                                      "id int, pos string, filename string")
     known = kinds("2020-06-01 00:00:00")
-    assert {p for p, k in known.items() if k.multi_line} == {p for p, k in known.items() if k.ext == ".csv"} - {
-        "cashregisterexpress", "cashregisterexpress_v2"}
-    rows = known["winepos"].read(spark, [os.path.join(root, "w.csv")], True).orderBy("_ord").select("_c0", "_c3", "_c22").collect()
+    rows = known["winepos"].read(spark, [os.path.join(root, "w.csv")]).orderBy("_ord").select("_c0", "_c3", "_c22").collect()
     assert [tuple(r) for r in rows] == [("A1", "Red\nwine", "c22"), ("A2", "White wine", "c22")]
     registry = registry.where("id = 1").union(spark.createDataFrame([(2, "mpower", "b.csv")], registry.schema))
     good, bad = normalise(spark, root, registry, "2020-06-01 00:00:00")
@@ -98,10 +94,6 @@ def test_line_ends_in_quoted_cells(spark):
     assert (got["1", "1"].price_regular, got["1", "2"].price_regular, got["2", "9"].price_regular) == (9.99, 3.0, 5.0)
     assert got["2", "9"].rt_brand_description == 'KEG\n"1/2"'
     assert [r.reason for r in bad.collect()] == ["no_registry_row"]  # w.csv
-    broken = normalise(spark, root, registry, "2020-06-01 00:00:00", single_line=["mpower"])[0]  # switched off by name
-    assert ("1", "1", 9.99) not in {(r.retailer_id, r.rt_product_id, r.price_regular) for r in broken.collect()}
-    with pytest.raises(ValueError, match="unknown POS kinds"):
-        kinds("2020-06-01 00:00:00", ["nonesuch"])
 
 
 def test_twenty_kinds():

@@ -59,18 +59,17 @@ def test_csv_binds_by_name_across_headers(spark):
 def test_csv_quotes_line_ends_and_repeated_names(spark):
     d = tempfile.mkdtemp(prefix="tf-csv-")
     _write(os.path.join(d, "a.csv"), 'id,description,description\n1,"6"" PIZZA","two\nlines"\n2,N/A,"a,b"\n')
-    rows = SD.scan_csv_header(spark, d, multi_line=True).orderBy("id").select("id", "description", "description_2").collect()
+    rows = SD.scan_csv_header(spark, d).orderBy("id").select("id", "description", "description_2").collect()
     assert [tuple(r) for r in rows] == [("1", '6" PIZZA', "two\nlines"), ("2", None, "a,b")]
 
 
-def test_only_edge_lines_are_numbered(spark):
-    """One of the two scans under the union has no window above it."""
+def test_edges_are_left_out_in_one_pass(spark):
+    """One scan of the text, no exchange."""
     d = tempfile.mkdtemp(prefix="tf-pipe-")
     _write(os.path.join(d, "f.txt"), "".join(f"{i}|x\n" for i in range(100)))
     out = SD.drop_edge_lines(spark, d, 5, True)
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    branches = plan[plan.index("Union"):].split("Relation")
-    assert len(branches) == 3 and "Window" in branches[0] and "Window" not in branches[1]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Window" not in plan
     assert out.count() == 94
 
 
@@ -100,18 +99,59 @@ def test_dbf_deleted_bad_and_merged_schemas(spark, monkeypatch):
     assert got["A10"].ts == dt.datetime(2020, 1, 11) and got["B"].extra == "only here" and got["A1"].extra is None
 
 
-def test_dbf_binary_fields():
+def test_dbf_fields_of_every_kind():
     import datetime as dt
     import struct
 
+    import numpy as np
+
     from tillflow.sources import dbf
-    for n in (0, 32, -5, 2**31 - 1):
-        assert dbf._value("I", struct.pack("<i", n), "latin-1") == n
-    assert dbf._value("B", struct.pack("<d", 2.5), "latin-1") == 2.5
-    assert dbf._value("Y", struct.pack("<q", 123_456), "latin-1") == 12.3456
-    assert dbf._value("T", struct.pack("<ii", 2451545, 3_600_000), "latin-1") == dt.datetime(2000, 1, 1, 1)
-    assert dbf._value("L", b"?", "latin-1") is None and dbf._value("L", b"y", "latin-1") is True
-    assert dbf._value("N", b"   ", "latin-1") is None and dbf._value("D", b"20240131", "latin-1") == dt.datetime(2024, 1, 31)
+
+    def read(kind, *cells):
+        values, bad = dbf.field(np.frombuffer(b"".join(cells), np.uint8).reshape(len(cells), -1), kind, "latin-1")
+        return values.to_pylist(), bad.tolist() if bad is not None else None
+    assert read("I", *(struct.pack("<i", n) for n in (0, 32, -5, 2**31 - 1))) == ([0, 32, -5, 2**31 - 1], None)
+    assert read("B", struct.pack("<d", 2.5)) == ([2.5], None)
+    assert read("Y", struct.pack("<q", 123_456)) == ([12.3456], None)
+    assert read("T", struct.pack("<ii", 2451545, 3_600_000), struct.pack("<ii", 0, 0)) == ([dt.datetime(2000, 1, 1, 1), None], None)
+    assert read("L", b"?", b"y", b"N", b" ") == ([None, True, False, None], None)
+    assert read("N", b"   ", b"1.5", b"***", b"-2 ", b" .5") == ([None, 1.5, None, -2.0, 0.5], None)
+    assert read("N", b"12x", b" 1_", b"nan") == ([None] * 3, ["12x", "1_", "nan"])
+    assert read("D", b"20240131", b"20230229", b"2024    ", b"        ") == (
+        [dt.datetime(2024, 1, 31), None, None, None], ["", "20230229", "2024", ""])
+    assert read("C", b"a\xe9  ", b"\x00\x00\x00\x00", b" b c") == (["a\xe9", "", " b c"], None)
+
+
+def test_dbf_ranges_equal_the_whole_read(spark, monkeypatch):
+    """Many partitions a file, pruned columns, no read of a whole file."""
+    from tillflow.sources import dbf, files
+    tmp = tempfile.mkdtemp(prefix="tf dbf-")
+    os.makedirs(os.path.join(tmp, "r1", "0"))
+    rows = [("A%d" % i, float(i), "text %d" % i) for i in range(5000)]
+    content = dbf.encode_table([("sku", "string"), ("qty", "double"), ("note", "string")], rows)
+    with open(os.path.join(tmp, "r1", "0", "x.DBF"), "wb") as fh:
+        fh.write(content)
+    parts = dbf.scan_dbf(spark, tmp, records_per_partition=700)
+    assert parts.rdd.getNumPartitions() == 8
+    whole = dbf.decode_files(spark.createDataFrame([("x", content)], "path string, content binary"))
+    cols = ["sku", "qty", "note", "_record", "_invalid"]
+    assert sorted(map(tuple, parts.select(cols).collect())) == sorted(map(tuple, whole.select(cols).collect()))
+    assert [r.sku for r in parts.orderBy("_ord").select("sku").limit(3).collect()] == ["A0", "A1", "A2"]
+    few = dbf.scan_dbf(spark, os.path.join(tmp, "*", "0"), columns=["QTY"])
+    assert few.columns == ["qty", "_invalid", "_file_path", "_file_name", "_record", "_ord"] and few.agg({"qty": "sum"}).first()[0] == sum(range(5000))
+    sizes = []
+    plain = files.read_range
+    monkeypatch.setattr(files, "read_range", lambda p, s, n, **k: sizes.append(n) or plain(p, s, n, **k))
+    source = dbf.DbfSource({"path": tmp, "recordsPerPartition": "700"})
+    reader = source.reader(spark.createDataFrame([], "sku string, _record long").schema)
+    ranges = reader.partitions()
+    assert sum(b.num_rows for r in ranges[2:4] for b in reader.read(r)) == 1400
+    assert max(sizes) <= max(dbf.HEADER, 700 * ranges[0].header[2])
+    big = reader.read(dbf.Range("missing", (10**9, 33, 600, ranges[0].header[3]), 5_000_000, 10))  # beyond 2 GB: only an offset
+    try:
+        next(big)
+    except Exception as e:
+        assert "missing" in str(e)
 
 
 def test_truncated_dbf_ends_the_job(spark):

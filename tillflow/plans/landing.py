@@ -72,6 +72,30 @@ def _files(df: DataFrame, name: str, make, spark: SparkSession) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def land_dbf_files(spark: SparkSession, df: DataFrame, name: str, member: str) -> str:
+    """dBase files ``<folder>/<retailer>/<part>/<member>.dbf`` in the shared folder.  A task writes each
+    under a name of its own and then moves it, so a repeated task leaves the same file."""
+    root = shared_dir(spark, "landing", name)
+
+    def write(batches):
+        from uuid import uuid4
+
+        from tillflow.sources.files import locate
+        for batch in batches:
+            paths = [f"{root}/{p}" for p in batch.column("path").to_pylist()]
+            for path, content in zip(paths, batch.column("content").to_pylist()):
+                fs, inner = locate(path, encoded=False)
+                own = f"{inner}.{uuid4().hex}.tmp"
+                fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+                with fs.open_output_stream(own) as f:
+                    f.write(content)
+                fs.move(own, inner)
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string())], ["path"])
+
+    land_dbf(spark, df, name, member).mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()
+    return root
+
+
 def land_dbf(spark: SparkSession, df: DataFrame, name: str, member: str) -> DataFrame:
     """``path, content`` of dBase files ``<retailer>/<part>/<member>.dbf`` (parts
     hold a bounded range of the retailer's rows), stored in the shared folder."""

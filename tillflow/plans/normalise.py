@@ -12,16 +12,14 @@ of an unknown POS kind or of another file type than the kind's, and rows without
 a product id.  One (POS kind, path) pair per upload file reaches the driver, as
 Spark's own file index does; no data rows do.
 
-Quoted cells of CSV and positional uploads may hold line ends, so a file is read
-by one task.  POS kinds named in ``single_line`` are read line by line instead and
-their large files are split.  Pipe files are always read line by line.
+Quoted cells of CSV, positional and pipe uploads may hold line ends; a large file is read by
+many tasks all the same (``sources/records.py``).
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Collection
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,50 +38,39 @@ NAME, PATH = "_file_name", "_file_path"
 @dataclass(frozen=True)
 class Kind:
     """How a POS kind's uploads are read: ``ext`` of the upload, ``read(spark,
-    paths, multi_line)`` for text, or the ``roles`` of an archive's members and
-    their type."""
+    paths)`` for text, or the ``roles`` of an archive's members and their type."""
 
     ext: str
     prepare: object
     read: object = None
     roles: tuple[str, ...] = ()
     member: str = ".csv"
-    multi_line: bool = False
-
-
-def _csv(spark, paths, multi_line):
-    return delimited.scan_csv_header(spark, paths, multi_line=multi_line)
 
 
 def _positional(n_cols):
-    return lambda spark, paths, multi_line: delimited.scan_positional(spark, paths, n_cols, multi_line=multi_line)
+    return lambda spark, paths: delimited.scan_positional(spark, paths, n_cols)
 
 
 def _pipe(n_cols, drop_last=False):
-    return lambda spark, paths, _: delimited.scan_lines_skipping(spark, paths, n_cols, drop_last=drop_last)
-
-
-def _xml(spark, paths, _):
-    return structured.scan_xml_rows(spark, paths)
+    return lambda spark, paths: delimited.scan_lines_skipping(spark, paths, n_cols, drop_last=drop_last)
 
 
 SPIRIT = ("inv", "prc", "stk", "upc")
 
 
-def kinds(as_of: str, single_line: Collection[str] = ()) -> dict[str, Kind]:
-    """All POS kinds that uploads can have; those named in ``single_line`` are
-    read without line ends in quoted cells."""
+def kinds(as_of: str) -> dict[str, Kind]:
+    """All POS kinds that uploads can have."""
     plain = {"mpower": feeds.feed_mpower, "tiger": feeds.feed_tiger, "lightspeed": feeds.feed_lightspeed,
              "square": feeds.feed_square, "cobaltconnect": feeds.feed_cobaltconnect, "kmds": feeds.feed_kmds,
              "fastraxpos": feeds.feed_fastraxpos, "ptech": feeds.feed_ptech, "lajoypos": feeds.feed_lajoypos}
-    out = {pos: Kind(".csv", fn.prepare, _csv, multi_line=True) for pos, fn in plain.items()}
+    out = {pos: Kind(".csv", fn.prepare, delimited.scan_csv_header) for pos, fn in plain.items()}
     bme, wine, cre = (f.prepare for f in (feeds.feed_businessmasterespanol, feeds.feed_winepos, feeds.feed_cashregisterexpress))
-    out |= {
-        "businessmasterespanol": Kind(".csv", lambda d: bme(d, as_of), _csv, multi_line=True),
-        "winepos": Kind(".csv", lambda d: wine(d, as_of), _positional(23), multi_line=True),
+    return out | {
+        "businessmasterespanol": Kind(".csv", lambda d: bme(d, as_of), delimited.scan_csv_header),
+        "winepos": Kind(".csv", lambda d: wine(d, as_of), _positional(23)),
         "cashregisterexpress": Kind(".csv", cre, _pipe(91)),
         "cashregisterexpress_v2": Kind(".csv", lambda d: cre(d, v2=True), _pipe(101, drop_last=True)),
-        "spirit2000_xml": Kind(".xml", feeds.feed_spirit2000_xml.prepare, _xml),
+        "spirit2000_xml": Kind(".xml", feeds.feed_spirit2000_xml.prepare, structured.scan_xml_rows),
         "liquorpos": Kind(".zip", feeds.feed_liquorpos.prepare, roles=("barcodes", "liqcode"), member=".dbf"),
         "liquorpos_csv": Kind(".zip", feeds.feed_liquorpos_csv.prepare, roles=("barcodes", "liqcode")),
         "spirit2000_csv": Kind(".zip", feeds.feed_spirit2000_csv.prepare, roles=SPIRIT),
@@ -91,9 +78,6 @@ def kinds(as_of: str, single_line: Collection[str] = ()) -> dict[str, Kind]:
         "spirit2000_tower": Kind(".zip", feeds.feed_spirit2000_tower.prepare, roles=SPIRIT, member=".dbf"),
         "adventpos": Kind(".zip", feeds.feed_adventpos.prepare, roles=("raw", "itemsize", "itempack")),
     }
-    if unknown := set(single_line) - set(out):
-        raise ValueError(f"unknown POS kinds: {sorted(unknown)}")
-    return out | {pos: replace(out[pos], multi_line=False) for pos in single_line}
 
 
 def upload_name(path: Column, root: str) -> Column:
@@ -153,15 +137,14 @@ def _stored(prepared: DataFrame, pos: str) -> DataFrame:
 
 
 def normalise(spark: SparkSession, root: str, registry: DataFrame, as_of: str, archives: DataFrame | None = None,
-              single_line: Collection[str] = (), listed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+              listed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(parsed inventory with ``pos``, rejects: retailer_id, source, reason, record).
 
     ``listed`` (path): the uploads' files, where they are not all that lie below ``root``.
     ``archives`` (path, content; path as below ``root``) stands for the zip
-    uploads where they are not files of their own.  ``single_line``: POS kinds
-    whose files are read line by line (and split).
+    uploads where they are not files of their own.
     """
-    known = kinds(as_of, single_line)
+    known = kinds(as_of)
     if listed is None:
         listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     zips = archives if archives is not None else archive.archive_files(spark, root)
@@ -177,7 +160,7 @@ def normalise(spark: SparkSession, root: str, registry: DataFrame, as_of: str, a
     for pos, own in paths.items():
         kind = known[pos]
         if kind.read:
-            rows = kind.read(spark, own, kind.multi_line).withColumn(NAME, upload_name(F.col(PATH), root)).join(owner, NAME)
+            rows = kind.read(spark, own).withColumn(NAME, upload_name(F.col(PATH), root)).join(owner, NAME)
             prepared = kind.prepare(rows.drop(NAME, PATH))
         else:
             mine = named_zips.join(good.where(F.col("pos") == pos).select(NAME, KEY).distinct(), NAME)

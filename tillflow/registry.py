@@ -1270,13 +1270,18 @@ def _landed_spirit_dbf(spark, sf_dir):
     return out
 
 
+@landed
+def _landed_upc_dbf(spark, sf_dir):
+    return L.land_dbf_files(spark, D.f2_member(D.f2_upc(spark, sf_dir)), "dbf_rows", "upc")
+
+
 @register("scan_dbf", O.with_clause(O.F2) + """
 SELECT retailer_id, CAST(right(sku, 1) AS BIGINT) AS part, sku, upc,
   row_number() OVER (PARTITION BY retailer_id, right(sku, 1) ORDER BY _ord) - 1 AS record,
   date_trunc('day', tstamp) AS tstamp FROM f2_upc""")
 def q_scan_dbf(spark, sf_dir):
-    from tillflow.sources.dbf import decode_files
-    upc = decode_files(L.land_dbf(spark, D.f2_member(D.f2_upc(spark, sf_dir)), "dbf_rows", "upc"))
+    from tillflow.sources.dbf import scan_dbf
+    upc = scan_dbf(spark, _landed_upc_dbf(spark, sf_dir), columns=["sku", "upc", "tstamp"], records_per_partition=1000)
     part = F.element_at(F.split("_file_path", "/"), -2).cast("long")
     # dBase has no null text: blanks read as ''
     return _with_retailer(upc).select("retailer_id", part.alias("part"), "sku", F.nullif("upc", F.lit("")).alias("upc"),

@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.functions.text import nullify
 from tillflow.operators.columns import ORD, member_role
 from tillflow.session import shared_dir
-from tillflow.sources.delimited import MAX_LAYOUTS, unique_names
+from tillflow.sources.delimited import bind, unique_names
+from tillflow.sources.delimited import stored as stored_heads
 
 RECORDS_PER_BATCH = 10_000
 
@@ -96,19 +96,8 @@ def manifest(expanded: DataFrame) -> DataFrame:
 def member_rows(expanded: DataFrame, role: str) -> DataFrame:
     """Records of a role as text columns, bound by each member's own header;
     over-long records dropped, short ones padded, file order kept."""
-    spark = expanded.sparkSession
     mine = expanded.where(F.col("role") == role)
-    heads = mine.where("pos = 0").select("archive", "member", F.col("fields").alias("_head"))
-    found = [tuple(r["_head"]) for r in heads.select("_head").distinct().limit(MAX_LAYOUTS + 1).collect()]
-    if len(found) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different headers of role {role}")
-    bound = {h: unique_names(list(h)) for h in sorted(found)}
-    known = spark.createDataFrame([(list(h), i) for i, h in enumerate(bound)], "_head array<string>, _layout int")
-    rows = mine.where("pos > 0").join(heads.join(known, "_head").withColumn("_width", F.size("_head")).drop("_head"),
-                                      ["archive", "member"]).where(F.size("fields") <= F.col("_width"))
-    cells: dict = {}
-    for i, names in enumerate(bound.values()):
-        for j, n in enumerate(names):
-            value = F.get("fields", F.lit(j)) if len(bound) == 1 else F.when(F.col("_layout") == i, F.get("fields", F.lit(j)))
-            cells[n] = F.coalesce(cells[n], value) if n in cells else value
-    return rows.select("archive", F.struct("archive", "member", "pos").alias(ORD), *[nullify(v).alias(n) for n, v in cells.items()])
+    unique = F.udf(lambda n: unique_names(n), "array<string>")  # one call a member
+    heads = stored_heads(mine.where("pos = 0").select("archive", "member", unique("fields").alias("names")), "members")
+    rows = mine.where("pos > 0").select("archive", "member", F.struct("archive", "member", "pos").alias(ORD), F.col("fields").alias("cells"))
+    return bind(rows, heads, ["archive", "member"]).drop("member")

@@ -1,28 +1,25 @@
 """Delimited text feeds: CSV with header, headerless positional, pipe files
 with a preamble and a trailer.
 
-Every raw column is read as a string (no inference), quotes may be doubled, and
-cells that mean "missing" are null.  Every row carries ``_ord`` = (file path,
-split start, position in split) -- its file order -- and ``_file_name``.  Rows
-with more fields than their file's header are dropped, short rows are padded.
+Every raw column is read as a string (no inference), quotes may be doubled, quoted cells may
+hold line ends, and cells that mean "missing" are null.  Files are split: where a record
+crosses a line or a split, ``records`` joins it; where none does, Spark's CSV reader reads the lines.
+Every row carries ``_ord`` = (file path, split start, position in split) -- its file order -- and
+``_file_name``.  Rows with more fields than their file's header are dropped, short rows are padded.
 """
 
 from __future__ import annotations
 
-import csv
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tillflow.functions.text import nullify
 from tillflow.operators.columns import ORD
+from tillflow.session import shared_dir
+from tillflow.sources import records as R
 
 EXTRA = "_extra"
-#: Different header lines that one scan accepts; they are collected to plan it.
-MAX_LAYOUTS = 1000
 
 
 def _with_order(df: DataFrame) -> DataFrame:
@@ -39,14 +36,6 @@ def _string_schema(names) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _reader(spark: SparkSession, sep: str, header: bool, encoding: str, multi_line: bool):
-    """Doubled quotes inside a quoted cell are quotes; with ``multi_line`` a
-    quoted cell may hold line ends (such files are not split)."""
-    return (spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
-            .option("encoding", encoding).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-            .option("enforceSchema", True))
-
-
 def unique_names(names: list[str]) -> list[str]:
     """Repeated header names get _2, _3 ... in order; empty ones their position."""
     seen: dict[str, int] = {}
@@ -59,122 +48,107 @@ def unique_names(names: list[str]) -> list[str]:
     return out
 
 
-def first_lines(spark: SparkSession, path) -> DataFrame:
-    """``_file_path, line``: the first line of every file."""
-    txt = spark.read.text(path).select(F.col("_metadata.file_path").alias("_file_path"),
-                                       F.col("_metadata.file_block_start").alias("b"),
-                                       F.monotonically_increasing_id().alias("m"), "value")
-    return txt.where(F.col("b") == 0).groupBy("_file_path").agg(F.min_by("value", "m").alias("line"))
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A small table (a row per file or split) written once to the shared folder."""
+    path = shared_dir(df.sparkSession, "sources", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def layouts(spark: SparkSession, path, sep: str = ",") -> tuple[DataFrame, dict[str, list[str]]]:
-    """(first line of each file, column names of each distinct header line)."""
-    heads = first_lines(spark, path)
-    lines = [r["line"] for r in heads.select("line").distinct().limit(MAX_LAYOUTS + 1).collect()]
-    if len(lines) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different headers under {path}")
-    names = {x: unique_names(next(csv.reader([x.removeprefix("﻿")], delimiter=sep), [])) for x in sorted(lines)}
-    return heads, names
+def layouts(heads: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """(``keys``, ``_at``: the place of each column in that header, ``_width``) and the columns of
+    all headers (``names``), each under the spelling that stands first.  Names differ by more than case.
+    What reaches the driver is one row a column name, whatever the number of headers."""
+    key = F.transform("names", lambda n: F.lower(n))
+    found = (heads.select(F.posexplode("names").alias("pos", "name")).groupBy(F.lower("name").alias("key"))
+             .agg(F.min(F.struct("pos", "name")).alias("first")).orderBy("first.pos", "first.name").select("key", "first.name").collect())
+    places = F.transform(F.array(*[F.lit(r["key"]) for r in found]).cast("array<string>"), lambda n: (F.array_position(key, n) - 1).cast("int"))
+    return heads.select(*keys, places.alias("_at"), F.size("names").alias("_width")), [r["name"] for r in found]
 
 
-def header_names(spark: SparkSession, path, sep: str = ",") -> list[str]:
-    """All column names of the files' headers, in the order they are met."""
-    return list(dict.fromkeys(n for names in layouts(spark, path, sep)[1].values() for n in names))
+def bind(rows: DataFrame, heads: DataFrame, keys: list[str], cells: str = "cells") -> DataFrame:
+    """Rows with an array of cells -> one text column per header name, by the header that the row's
+    ``keys`` find; rows with more cells than their header are dropped.  The array's cells behind a
+    row's last are null."""
+    at, names = layouts(heads, keys)
+    joined = rows.join(at, keys).where(~F.exists(F.slice(cells, F.col("_width") + 1, F.greatest(F.size(cells), F.lit(1))), lambda c: c.isNotNull()))
+    keep = [F.col(f"`{c}`") for c in rows.columns if c != cells and c not in names]
+    return joined.select(*[nullify(F.get(cells, F.get("_at", F.lit(i)))).alias(n) for i, n in enumerate(names)], *keep)
 
 
-def without_cr(c):
-    """A cell without the CR of a CRLF: a multi-line reader knows one line end a
-    file, and leaves the CR where a file has both kinds."""
-    return F.when(c.endswith("\r"), F.nullif(F.rtrim(c, F.lit("\r")), F.lit(""))).otherwise(c)
+def raw_cells(spark: SparkSession, path, width: int, sep: str = ",", header: bool = False, encoding: str = "UTF-8",
+              skip_lines: int = 0, drop_last: bool = False) -> DataFrame:
+    """Text columns ``_c0 .. _c{width-1}`` and ``_extra`` of every record, with the file's order and name."""
+    schema = _string_schema([*(f"_c{i}" for i in range(width)), EXTRA])
+    lines = R.text_lines(spark, path)
+    functions = stored(R.split_functions(lines, sep, skip_lines), "splits")
+    opens = not functions.where("opens").isEmpty()
+    if not (opens or skip_lines or drop_last):
+        return _with_order(spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
+                           .option("quote", '"').option("escape", '"').schema(schema).csv(path))
+    spans = stored(R.open_splits(functions), "spans") if opens else None
+    found = R.records(lines, sep, spans, skip_records=int(header), skip_lines=skip_lines, drop_last=drop_last, encoding=encoding)
+    cells = F.from_csv(F.col("value"), schema.simpleString(), {"sep": sep, "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"})
+    return _ordered(found).withColumn("_rec", cells).select("_rec.*", *[c for c in _ordered(found).columns if c != "value"])
 
 
-def _finish(df: DataFrame, names, null_text: bool, multi_line: bool = False) -> DataFrame:
-    df = df.drop(EXTRA)
-    if multi_line:
-        df = df.withColumns({n: without_cr(F.col(f"`{n}`")) for n in names})
-    return df.withColumns({n: nullify(F.col(f"`{n}`")) for n in names}) if null_text else df
+def _ordered(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(ORD, F.struct(F.col(R.PATH).alias("path"), F.col(R.BLOCK).alias("block"), F.col(R.MONO).alias("pos"))).drop(R.BLOCK, R.MONO)
+
+
+def _named(raw: DataFrame, names: list[str], null_text: bool) -> DataFrame:
+    """Columns by position under ``names``; over-long rows dropped."""
+    rest = [c for c in raw.columns if c != EXTRA and c not in {f"_c{i}" for i in range(len(names))}]
+    value = lambda i: nullify(F.col(f"_c{i}")) if null_text else F.col(f"_c{i}")
+    return raw.where(F.col(EXTRA).isNull()).select(*[value(i).alias(n) for i, n in enumerate(names)], *[c for c in rest if c not in names])
+
+
+def header_names(spark: SparkSession, path, sep: str = ",") -> list[str]:
+    """All column names of the files' headers."""
+    return layouts(_headers(spark, path, sep), ["_file_path"])[1]
+
+
+def _headers(spark: SparkSession, path, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+    heads = R.first_records(spark, path, sep, encoding)
+    name = F.udf(lambda n: unique_names(n), "array<string>")  # one call a file
+    return stored(heads.select("_file_path", name("names").alias("names")), "headers")
 
 
 def scan_csv_header(spark: SparkSession, path, sep: str = ",", names: list[str] | None = None,
-                    encoding: str = "UTF-8", multi_line: bool = False, null_text: bool = True) -> DataFrame:
-    """CSV with a header line; all columns text; over-long rows dropped.
+                    encoding: str = "UTF-8", null_text: bool = True) -> DataFrame:
+    """CSV with a header record; all columns text; over-long rows dropped.
 
-    Columns are bound by name: each file's own header says what its columns
+    Columns are bound by name: each file's own header (one ranged read a file) says what its columns
     are, and a column that a file lacks is null there.  With ``names`` the
-    header lines are skipped and the columns bound by position.
+    headers are skipped and the columns bound by position.
     """
-    heads, known = (None, {None: names}) if names else layouts(spark, path, sep)
-    known = {k: v for k, v in known.items() if v}
-    if len(known) <= 1:
-        cols = next(iter(known.values()), ["value"])
-        df = _with_order(_reader(spark, sep, True, encoding, multi_line)
-                         .schema(_string_schema([*cols, EXTRA])).csv(path))
-        return _finish(df.where(F.col(EXTRA).isNull()), cols, null_text, multi_line)
-    width = max(map(len, known.values()))
-    wide = [f"_c{i}" for i in range(width)]
-    df = _with_order(_reader(spark, sep, True, encoding, multi_line).schema(_string_schema([*wide, EXTRA])).csv(path))
-    number = spark.createDataFrame([(line, i) for i, line in enumerate(known)], "line string, _layout int")
-    df = df.join(heads.join(number, "line").select("_file_path", "_layout"), "_file_path")
-    fits = F.lit(False)
-    for i, cols in enumerate(known.values()):
-        beyond = [F.col(c).isNull() for c in [*wide[len(cols):], EXTRA]]
-        fits = fits | ((F.col("_layout") == i) & reduce(lambda a, b: a & b, beyond))
-    df = df.where(fits)
-    bound = {}
-    for i, cols in enumerate(known.values()):
-        for j, n in enumerate(cols):
-            value = F.when(F.col("_layout") == i, F.col(wide[j]))
-            bound[n] = F.coalesce(bound[n], value) if n in bound else value
-    keep = [c for c in df.columns if c not in (*wide, EXTRA, "_layout")]
-    return _finish(df.select(*[v.alias(n) for n, v in bound.items()], *keep), list(bound), null_text, multi_line)
-
-
-def scan_positional(spark: SparkSession, path, n_cols: int, sep: str = "\t", multi_line: bool = False,
-                    null_text: bool = True) -> DataFrame:
+    if names is None:
+        heads = _headers(spark, path, sep, encoding)
+        several = [r["names"] for r in heads.select("names").distinct().limit(2).collect()]
+        if len(several) == 2:
+            width = heads.agg(F.max(F.size("names"))).first()[0]
+            raw = raw_cells(spark, path, width, sep, True, encoding)
+            wide = [*(f"_c{i}" for i in range(width)), EXTRA]
+            rows = raw.select(F.array(*wide).alias("cells"), *[c for c in raw.columns if c not in wide])
+            return bind(rows, heads, ["_file_path"])
+        names = several[0] if several else ["value"]
+    return _named(raw_cells(spark, path, len(names), sep, True, encoding), names, null_text)
+
+
+def scan_positional(spark: SparkSession, path, n_cols: int, sep: str = "\t", null_text: bool = True) -> DataFrame:
     """Headerless delimited file; columns ``_c0 .. _c{n-1}`` by position."""
-    names = [f"_c{i}" for i in range(n_cols)]
-    df = _with_order(_reader(spark, sep, False, "UTF-8", multi_line).schema(_string_schema([*names, EXTRA])).csv(path))
-    return _finish(df.where(F.col(EXTRA).isNull()), names, null_text, multi_line)
+    return _named(raw_cells(spark, path, n_cols, sep), [f"_c{i}" for i in range(n_cols)], null_text)
 
 
 def drop_edge_lines(spark: SparkSession, path, skip_head: int = 0, drop_last: bool = False) -> DataFrame:
-    """Text lines of files without each file's first ``skip_head`` lines (and its
-    last).  Only lines of a file's first split and of its last two (a line that
-    begins before a split's end belongs to it) are numbered; all others pass
-    straight through, so the bulk of the text is never shuffled.
-    """
-    raw = spark.read.text(path)
-    txt = raw.withColumns({
-        "_file_path": F.col("_metadata.file_path"),
-        "_file_name": F.col("_metadata.file_name"),
-        "_block": F.col("_metadata.file_block_start"),
-        "_after": F.col("_metadata.file_size") - F.col("_metadata.file_block_start") - F.col("_metadata.file_block_length"),
-        "_length": F.col("_metadata.file_block_length"),
-        "_mono": F.monotonically_increasing_id(),
-    })
-    first = F.col("_block") == 0
-    edge = first | ((F.col("_after") <= F.col("_length")) if drop_last else F.lit(False))
-    file = Window.partitionBy("_file_path")
-    order = [F.col("_block"), F.col("_mono")]
-    kept = txt.where(edge).withColumn("_ln", F.row_number().over(file.orderBy(*order)))
-    keep = ~(first & (F.col("_ln") <= skip_head))
-    if drop_last:
-        kept = kept.withColumn("_from_end", F.row_number().over(file.orderBy(*[c.desc() for c in order])))
-        keep = keep & (F.col("_from_end") > 1)
-    kept = kept.where(keep).select(*txt.columns)
-    return kept.unionByName(txt.where(~edge)).withColumn(
-        ORD, F.struct(F.col("_file_path").alias("path"), F.col("_block").alias("block"), F.col("_mono").alias("pos"))
-    ).drop("_block", "_after", "_length", "_mono")
+    """Text lines of files without each file's first ``skip_head`` lines (and its last), and without blank lines.
+    One pass, no shuffle: the task that holds a file's begin skips its first lines, the one that holds
+    its end holds the last line back."""
+    return _ordered(R.records(R.text_lines(spark, path), "", skip_lines=skip_head, drop_last=drop_last, quoted=False))
 
 
 def scan_lines_skipping(spark: SparkSession, path, n_cols: int, sep: str = "|",
                         skip_head: int = 5, drop_last: bool = False, null_text: bool = True) -> DataFrame:
     """Headerless delimited file with ``skip_head`` preamble lines (and
     optionally one trailer line) per file."""
-    lines = drop_edge_lines(spark, path, skip_head, drop_last)
-    names = [f"_c{i}" for i in range(n_cols)]
-    schema = _string_schema([*names, EXTRA])
-    rest = [c for c in lines.columns if c != "value"]
-    out = lines.withColumn("_rec", F.from_csv(F.col("value"), schema.simpleString(), {"sep": sep, "escape": '"'})).select(
-        *rest, "_rec.*")
-    return _finish(out.where(F.col(EXTRA).isNull()), names, null_text)
+    return _named(raw_cells(spark, path, n_cols, sep, skip_lines=skip_head, drop_last=drop_last), [f"_c{i}" for i in range(n_cols)], null_text)
