@@ -21,8 +21,9 @@ Steps, and why none of them meets a whole group in one task:
    its best partner of another component (by signature, in its block) and is paired with the
    bucket's centre; what is confirmed joins components.  So a group around one text is found
    whichever member has the smallest id, with pairs in proportion to its members;
-7. when a round finds nothing new, all pairs that are left between components of a bucket and agree by
-   signature are confirmed.  No bucket and no partner is capped or skipped, no pair is tested twice.
+7. when the pairs that are left are few in proportion to the members, or a round finds nothing new, all
+   pairs between components of a bucket that agree by signature are confirmed.  No bucket and no partner is
+   capped or skipped, no pair is tested twice; what is found does not depend on the rounds.
 
 With 32 bands of 4 minima a pair at the threshold shares no bucket with
 probability 5e-6.  Signatures hold 512 minima (8 bits each); the bound on their
@@ -56,6 +57,7 @@ MINIMA, AGREE = 512, 0.67   # of a signature; least share that agree (4.2 sd bel
 BLOCK = 512             # members of a bucket that are compared at once
 SPREAD = 1000           # members of one partner under one key
 ROUNDS = 8              # of few pairs a member, before all pairs that are left
+FEW = 4                 # pairs left a member of a bucket that are tested at once
 
 
 class Shingler:
@@ -310,8 +312,20 @@ def _outside(rest: DataFrame, reps: DataFrame, agree: float, block: int = BLOCK)
 
 
 def _linked(found: DataFrame, links: DataFrame) -> DataFrame:
-    """The components after more links."""
-    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links), "a", "b")
+    """The components after more links: those of the graph whose nodes are the components so far."""
+    of = lambda side: found.select(F.col("node").alias(side), F.col("component").alias("c" + side))
+    between = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    joined = components(between, "a", "b")
+    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    return staged(found.join(moved, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
+                  .unionByName(joined.join(found, "node", "left_anti")), "components")
+
+
+def _left(rest: DataFrame):
+    """Members of mixed buckets, and the pairs that all their outsiders could make."""
+    sizes = rest.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("n"), F.max("c").alias("c"))
+    return sizes.agg(F.sum("n").alias("members"), F.sum(F.col("n") * (F.col("n") - F.col("c"))).alias("pairs")).first()
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS,
@@ -331,21 +345,25 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bands: int = BANDS, row
     tested = staged(_agreeing(stars, sigs, agree), "pairs")
     found = components(staged(confirmed(tested, docs, similar, words), "links"), "a", "b")
 
-    for salt in range(rounds):  # centres that the smallest members are not
+    last = False
+    for salt in range(rounds + 1):
         rest = staged(_mixed(members, found), "mixed")
-        if rest.isEmpty():
+        left = _left(rest)
+        if not left["members"]:
             break
-        pairs = staged(_proposals(rest, sigs, agree, salt).join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.unionByName(pairs)
-        links = staged(confirmed(pairs, docs, similar, words), "links")
-        if links.isEmpty():
+        last = last or salt == rounds or left["pairs"] <= FEW * left["members"]
+        pairs = _outside(rest, reps, agree) if last else _proposals(rest, sigs, agree, salt)
+        pairs = staged(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            tested = tested.unionByName(pairs)
+            links = staged(confirmed(pairs, docs, similar, words), "links")
+            if not links.isEmpty():
+                found = _linked(found, links)
+                if not last:
+                    continue
+        if last:
             break
-        found = _linked(found, links)
-    more = staged(_outside(staged(_mixed(members, found), "mixed"), reps, agree).join(tested, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        links = staged(confirmed(more, docs, similar, words), "links")
-        if not links.isEmpty():
-            found = _linked(found, links)
+        last = True                  # a round that finds nothing: all pairs that are left
 
     # every document: through the set it holds, or through another row of its doc_id
     groups = (reps.select("digest", "rep").join(found, F.col("rep") == F.col("node"), "left")
