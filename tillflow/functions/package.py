@@ -137,10 +137,12 @@ FILL_L_BOTTLE_BELOW = 3.0
 # ---------------------------------------------------------------------------
 
 
-# A number-run candidate: a run starting at a chunk boundary, and (looked
-# ahead, not consumed) up to 7 following characters -- enough for the longest
-# "gap + word" (one character + GALLON).
-CANDIDATE = _RUN_START + r"((?:[-+]?\.?[0-9])++)(?=([^\n]{0,7}))"
+# Tokens of a text: one regex pass puts marks around every number run, and the rest is
+# cutting at these characters.  A token is a run and up to 7 following characters of its line --
+# enough for the longest "gap + word" (one character + GALLON).
+_BEGIN, _END, _OTHER = "\u0001", "\u0002", "\u0003"
+MARKED = "(" + _RUN_START + r"(?:[-+]?\.?[0-9])++)"
+TAIL = 7
 _DIGITS = [str(d) for d in range(10)]
 _NONE = 1 << 20
 
@@ -149,20 +151,45 @@ def _is_digit(ch: Column) -> Column:
     return ch.isin(*_DIGITS)
 
 
-def _candidate_rule(rules: list[tuple[int, str, str]], n: Column, s: Column) -> Column:
-    """struct(idx, text) of the first rule (lowest idx) that fits one candidate.
+def runs(t: Column) -> Column:
+    """Pieces of a text: what stands before the first number run, then each run, a mark and what follows
+    it.  One scan of the text; the marks' own characters in a text count as another control character."""
+    plain = F.translate(t, _BEGIN + _END, _OTHER + _OTHER)
+    return F.split(F.regexp_replace(plain, MARKED, _BEGIN + "$1" + _END), _BEGIN)
+
+
+def tokens(pieces: Column) -> Column:
+    """array<struct<n, s>> of the runs and their tails, from materialised ``runs``."""
+    def token(piece, i):
+        rest = F.substring_index(piece, _END, -1)
+        beyond = F.concat(rest, F.array_join(F.slice(pieces, i + 3, TAIL), ""))   # each piece adds one character at least
+        whole = (F.length(rest) >= TAIL) | (i + 2 == F.size(pieces))      # no other run within reach, or none at all
+        tail = F.when(whole, rest).otherwise(F.translate(beyond, _END, ""))
+        return F.struct(F.substring_index(piece, _END, 1).alias("n"), F.substring_index(F.substring(tail, 1, TAIL), "\n", 1).alias("s"))
+
+    return F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))), token)
+
+
+def _candidate_rule(rules: list[tuple[int, str, str]], n: Column, s: Column, pos: Column) -> Column:
+    """struct(idx, pos, text) of the first rule (lowest idx) that fits one candidate.
 
     ``n`` is the number run, ``s`` what follows it.  A rule fits when its word
     follows the run directly (gap ""), after one character (gap "any"; a digit
     there belongs to the run, which then ends in two digits), or after '/'
     and one character (gap "slash").  ``text`` is the number text the rule
     reads: the run plus the gap character, where a one-letter word equal to
-    the gap character is removed with the word.
+    the gap character is removed with the word.  Most tokens fit no rule: where neither of the
+    two characters behind the run begins a word, none is tried.
     """
     c0 = F.substring(s, 1, 1)
     c0_ok = (F.length(c0) == 1) & ~_is_digit(c0)
     ends2 = (F.length(n) >= 2) & _is_digit(F.substring(n, -1, 1)) & _is_digit(F.substring(n, -2, 1))
-    out = None
+    firsts = sorted({word[0] for _, _, word in rules})
+    possible = c0.isin(*firsts) | F.substring(s, 2, 1).isin(*firsts)
+    if any(gap == "slash" for _, gap, _ in rules):
+        possible = possible | (c0 == "/")
+    none = F.struct(F.lit(_NONE).alias("idx"), pos.alias("pos"), F.lit("").alias("text"))
+    out = F.when(~possible, none)
     for idx, gap, word in rules:
         w = len(word)
         if gap == "":
@@ -176,21 +203,16 @@ def _candidate_rule(rules: list[tuple[int, str, str]], n: Column, s: Column) ->
         else:  # slash
             cond = (c0 == "/") & (F.length(s) >= 2 + w) & (F.substring(s, 3, w) == word)
             text = F.concat(n, F.substring(s, 2, 1))
-        val = F.struct(F.lit(idx).alias("idx"), text.alias("text"))
-        out = F.when(cond, val) if out is None else out.when(cond, val)
-    return out.otherwise(F.struct(F.lit(_NONE).alias("idx"), F.lit("").alias("text")))
+        val = F.struct(F.lit(idx).alias("idx"), pos.alias("pos"), text.alias("text"))
+        out = out.when(cond, val)
+    return out.otherwise(none)
 
 
-def _best_candidate(t: Column, rules: list[tuple[int, str, str]]) -> Column:
-    """struct(idx, pos, text): the lowest rule index found anywhere in ``t``,
-    at its leftmost candidate.  Two scans of the text find all candidates;
-    the rule checks are plain string comparisons per candidate."""
-    nums = F.regexp_extract_all(t, F.lit(CANDIDATE), 1)
-    tails = F.regexp_extract_all(t, F.lit(CANDIDATE), 2)
-    per = F.zip_with(nums, tails, lambda n, s: _candidate_rule(rules, n, s))
-    ranked = F.transform(per, lambda x, i: F.struct(x["idx"].alias("idx"), i.alias("pos"), x["text"].alias("text")))
-    return F.coalesce(F.array_min(ranked), F.struct(F.lit(_NONE).alias("idx"), F.lit(0).alias("pos"),
-                                                    F.lit("").alias("text")))
+def _best_candidate(found: Column, rules: list[tuple[int, str, str]]) -> Column:
+    """struct(idx, pos, text): the lowest rule index among a text's ``tokens``, at its leftmost
+    one.  The rule checks are plain string comparisons per token."""
+    per = F.transform(found, lambda x, i: _candidate_rule(rules, x["n"], x["s"], i))
+    return F.coalesce(F.array_min(per), F.struct(F.lit(_NONE).alias("idx"), F.lit(0).alias("pos"), F.lit("").alias("text")))
 
 
 def _word_rules(table) -> list[tuple[int, str, str]]:
@@ -237,14 +259,14 @@ def _pick(pos: Column, positions: list[int]) -> Column:
     return pos.isin(*positions) if positions else F.lit(False)
 
 
-def pkg_candidates(t: Column) -> Column:
-    """Best number-rule candidate of the pack-count rules in normalised text ``t``."""
-    return _best_candidate(t, _word_rules(_PACK_ORDER))
+def pkg_candidates(found: Column) -> Column:
+    """Best number-rule candidate of the pack-count rules among a normalised text's tokens."""
+    return _best_candidate(found, _word_rules(_PACK_ORDER))
 
 
-def item_candidates(t: Column) -> Column:
-    """Best number-rule candidate of the item-size rules in normalised text ``t``."""
-    return _best_candidate(t, _word_rules(_ITEM_ORDER))
+def item_candidates(found: Column) -> Column:
+    """Best number-rule candidate of the item-size rules among a normalised text's tokens."""
+    return _best_candidate(found, _word_rules(_ITEM_ORDER))
 
 
 def pkg_size_from(t: Column, best: Column) -> Column:
@@ -292,18 +314,20 @@ def item_size_from(t: Column, padded: Column, best: Column) -> Column:
 
 def with_pkg_size_rule(df: DataFrame, src: str, out: str) -> DataFrame:
     """Add ``out`` = pack count found in text column ``src`` (null when none)."""
-    t, c = "_pkt_" + out, "_pkc_" + out
+    t, r, c = "_pkt_" + out, "_pkr_" + out, "_pkc_" + out
     df = df.withColumn(t, pack_text(F.col(src)))
-    df = df.withColumn(c, pkg_candidates(F.col(t)))
-    return df.withColumn(out, pkg_size_from(F.col(t), F.col(c))).drop(t, c)
+    df = df.withColumn(r, runs(F.col(t))).withColumn(r, tokens(F.col(r)))
+    df = df.withColumn(c, pkg_candidates(F.col(r)))
+    return df.withColumn(out, pkg_size_from(F.col(t), F.col(c))).drop(t, r, c)
 
 
 def with_item_size_rule(df: DataFrame, src: str, out: str) -> DataFrame:
     """Add ``out`` = struct<size double, unit string> found in ``src``."""
-    t, q, c = "_itt_" + out, "_itq_" + out, "_itc_" + out
+    t, r, q, c = "_itt_" + out, "_itr_" + out, "_itq_" + out, "_itc_" + out
     df = df.withColumn(t, item_text(F.col(src)))
-    df = df.withColumns({q: F.concat(F.lit(" "), F.col(t), F.lit(" ")), c: item_candidates(F.col(t))})
-    return df.withColumn(out, item_size_from(F.col(t), F.col(q), F.col(c))).drop(t, q, c)
+    df = df.withColumn(r, runs(F.col(t))).withColumn(r, tokens(F.col(r)))
+    df = df.withColumns({q: F.concat(F.lit(" "), F.col(t), F.lit(" ")), c: item_candidates(F.col(r))})
+    return df.withColumn(out, item_size_from(F.col(t), F.col(q), F.col(c))).drop(t, r, q, c)
 
 
 def container_text(c) -> Column:
@@ -400,6 +424,7 @@ def package_label(n: Column, item_size: Column, container: Column) -> Column:
             .otherwise(F.concat(n, F.lit(" pack "), item_size, F.lit(" "), container)))
 
 
+_TOKENS = [f"_{kind}_{t}" for kind in "rk" for t in ("tp_d", "tp_p", "ti_i", "ti_d", "ti_p")]
 _TEMP = ["_tp_d", "_tp_p", "_ti_i", "_ti_p", "_ti_d", "_tc_i", "_tc_p", "_tc_d", "_tq_i", "_tq_p", "_tq_d",
          "_c_pk_d", "_c_pk_p", "_c_it_i", "_c_it_p", "_c_it_d", "_pk_d", "_pk_p", "_it_i", "_it_p", "_it_d",
          "_ct_i", "_ct_p", "_ct_d", "_item", "_ct", "_sp"]
@@ -417,13 +442,26 @@ def _stage0_exprs(description: str, package_size: str, item_size: str) -> tuple:
             container_text(i).alias("_tc_i"), container_text(p).alias("_tc_p"), container_text(d).alias("_tc_d"))
 
 
+@lru_cache(maxsize=None)
+def _token_exprs() -> tuple[tuple, ...]:
+    """Tokens of the texts, in steps that each read materialised columns.  The description and the package
+    text are scanned once for both rule families; the item family scans again only where its
+    normalised text differs (a fraction, or '/ PK')."""
+    c, three = F.col, ("tp_d", "tp_p", "ti_i")
+    again = lambda x: c(f"_ti_{x}") != c(f"_tp_{x}")
+    return (tuple(runs(c(f"_{t}")).alias(f"_r_{t}") for t in three),
+            (*(tokens(c(f"_r_{t}")).alias(f"_k_{t}") for t in three),
+             *(F.when(again(x), runs(c(f"_ti_{x}"))).alias(f"_r_ti_{x}") for x in "dp")),
+            tuple(F.when(again(x), tokens(c(f"_r_ti_{x}"))).otherwise(c(f"_k_tp_{x}")).alias(f"_k_ti_{x}") for x in "dp"))
+
+
 @lru_cache(maxsize=None)
 def _stage1_exprs() -> tuple:
-    """Best number-rule candidate per text (one regex pass each)."""
+    """Best number-rule candidate per text."""
     c = F.col
-    return (pkg_candidates(c("_tp_d")).alias("_c_pk_d"), pkg_candidates(c("_tp_p")).alias("_c_pk_p"),
-            item_candidates(c("_ti_i")).alias("_c_it_i"), item_candidates(c("_ti_p")).alias("_c_it_p"),
-            item_candidates(c("_ti_d")).alias("_c_it_d"),
+    return (pkg_candidates(c("_k_tp_d")).alias("_c_pk_d"), pkg_candidates(c("_k_tp_p")).alias("_c_pk_p"),
+            item_candidates(c("_k_ti_i")).alias("_c_it_i"), item_candidates(c("_k_ti_p")).alias("_c_it_p"),
+            item_candidates(c("_k_ti_d")).alias("_c_it_d"),
             F.concat(F.lit(" "), c("_ti_i"), F.lit(" ")).alias("_tq_i"),
             F.concat(F.lit(" "), c("_ti_p"), F.lit(" ")).alias("_tq_p"),
             F.concat(F.lit(" "), c("_ti_d"), F.lit(" ")).alias("_tq_d"))
@@ -452,7 +490,9 @@ def parse_package(df: DataFrame, description: str = "rt_brand_description",
     printed size and label.
     """
     out = df.select("*", *_stage0_exprs(description, package_size, item_size))
-    out = out.select("*", *_stage1_exprs())
+    for step in _token_exprs():
+        out = out.select("*", *step)
+    out = out.select("*", *_stage1_exprs()).drop(*_TOKENS)
     out = out.select("*", *_stage2_exprs())
     out = out.withColumn("_pick", item_size_pick(F.col("_it_i"), F.col("_it_p"), F.col("_it_d")))
     picked = F.col("_pick")
