@@ -4,13 +4,13 @@ A text is compressed whole and in fixed chunks.  The ratio (compressed bytes /
 bytes) of prose falls with length, so each length band has its own limits:
 below the band it repeats itself, above it is incompressible (random strings,
 encoded data).  Chunks find a part inside a text whose whole ratio looks normal;
-a document goes when at least ``CHUNK_SHARE`` of its chunks are repetitive or at
-least ``HIGH_SHARE`` of them incompressible, by the upper limit of their own
+a document goes when at least ``LOW_SHARE`` of its chunks are repetitive or at
+least ``HIGH_SHARE`` of them incompressible, by the limits of their own
 length.  That share is below a half, as the chunk in which an encoded half begins
 holds prose too.
 
-The upper limits lie 0.03 to 0.05 above the highest ratios of prose (quality-1
-documents of the check tables, by length).  Hex digits compress as well as prose
+The lower limits lie 0.01 to 0.03 below the lowest ratios of prose (quality-1 documents of
+over 24,000 labelled ones, by length; few are longer than 60,000 bytes, so limits fall further there), the upper limits 0.03 to 0.05 above the highest.  Hex digits compress as well as prose
 does, so no ratio tells them apart: a chunk also counts as incompressible when
 ``HEX_SHARE`` of its word bytes stand in words of hex digits only (most in prose:
 0.10), of them at least ``HEX_LETTERS`` letters, which tables of numbers lack.
@@ -37,9 +37,10 @@ from pyspark.sql import functions as F
 from .common import arrow_map, hashes, mix64, small, texts_of, word_hasher
 
 #: (texts of fewer bytes, least ratio, most ratio); the last band has no end.
-BANDS = ((400, 0.30, 0.80), (500, 0.30, 0.78), (650, 0.30, 0.75), (800, 0.30, 0.72), (1100, 0.28, 0.69), (1600, 0.28, 0.65),
-         (2200, 0.25, 0.61), (3200, 0.25, 0.59), (6400, 0.22, 0.55), (12800, 0.22, 0.52), (25600, 0.18, 0.49), (None, 0.18, 0.48))
-CHUNK, CHUNK_LOW, CHUNK_SHARE, HIGH_SHARE = 1024, 0.25, 0.5, 0.4
+BANDS = ((400, 0.50, 0.80), (500, 0.52, 0.78), (650, 0.51, 0.75), (800, 0.50, 0.72), (1100, 0.475, 0.69), (1600, 0.465, 0.65),
+         (2200, 0.445, 0.61), (3200, 0.44, 0.59), (6400, 0.415, 0.55), (12800, 0.40, 0.52), (25600, 0.39, 0.49),
+         (60_000, 0.38, 0.48), (120_000, 0.36, 0.48), (None, 0.30, 0.48))
+CHUNK, LOW_SHARE, HIGH_SHARE = 1024, 0.5, 0.4
 HEX, HEX_SHARE, HEX_LETTERS = re.compile(rb"[0-9a-fA-F]+"), 0.4, 0.1
 LEVEL = 3
 MIN_WORDS, MAX_REPEATED = 50, 50
@@ -104,10 +105,10 @@ class Judge:
         failed = n < MIN_WORDS or 100 * repeat > MAX_REPEATED * n
         whole, parts = self.ratio(data), self.chunks(data)
         ratios = [self.ratio(p) for p in parts]
-        low = sum(r < CHUNK_LOW for r in ratios)
+        low = sum(r < self.limits(len(p))[0] for r, p in zip(ratios, parts))
         high = sum(r > self.limits(len(p))[1] or self.hexadecimal(p) for r, p in zip(ratios, parts))
         least, most = self.limits(len(data))
-        verdict = ("base" if failed else "repetitive" if whole < least or low >= CHUNK_SHARE * len(parts)
+        verdict = ("base" if failed else "repetitive" if whole < least or low >= LOW_SHARE * len(parts)
                    else "incompressible" if whole > most or high >= HIGH_SHARE * len(parts) else "kept")
         return (n, len(data.translate(None, SPACES).decode("utf-8", "replace")), len(data) - len(data.translate(None, SYMBOLS)),
                 len(lines) - len(set(lines)), repeat, failed, whole, len(parts), low, high, verdict, verdict == "kept")
