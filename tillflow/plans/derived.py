@@ -505,6 +505,36 @@ def square_objects(spark, sf_dir):
     return items, cats, variations, counts, locations
 
 
+def square_pages(spark, sf_dir) -> DataFrame:
+    """The same catalogs as the API gives them: pages of at most 100 objects of a kind (or counts),
+    linked by cursors; every fourth page is landed twice."""
+    items, cats, variations, counts, _ = square_objects(spark, sf_dir)
+    kinds = {"ITEM": (items, "item_data"), "CATEGORY": (cats, "category_data"), "ITEM_VARIATION": (variations, "item_variation_data")}
+    full = "struct<type:string,id:string,item_data:{},category_data:{},item_variation_data:{}>".format(
+        *[d.schema[c].dataType.simpleString() for d, c in kinds.values()])
+    count = "struct<catalog_object_id:string,location_id:string,state:string,quantity:string>"
+    none = lambda t: F.lit(None).cast(t)
+    stacked = None
+    for kind, (d, data) in kinds.items():
+        parts = {"item_data": None, "category_data": None, "item_variation_data": None} | {data: F.col(data)}
+        obj = F.struct(F.lit(kind).alias("type"), "id", *[v.alias(c) if v is not None else F.lit(None).alias(c) for c, v in parts.items()])
+        rows = d.select("retailer_id", F.lit(kind).alias("types"), F.col("id").alias("k"), obj.cast(full).alias("o"), none(count).alias("c"))
+        stacked = rows if stacked is None else stacked.unionByName(rows)
+    c = F.struct("catalog_object_id", "location_id", "state", "quantity")
+    stacked = stacked.unionByName(counts.select("retailer_id", F.lit("COUNTS").alias("types"), F.col("catalog_object_id").alias("k"),
+                                                none(full).alias("o"), c.cast(count).alias("c")))
+    n_pages = F.ceil(F.count(F.lit(1)) / 100).cast("int")
+    sizes = stacked.groupBy("retailer_id", "types").agg(n_pages.alias("n"))
+    dealt = stacked.join(sizes, ["retailer_id", "types"]).withColumn("page", F.pmod(F.xxhash64("k"), F.col("n")).cast("int"))
+    at = lambda p: F.concat(F.lit("c"), s(p))
+    pages = dealt.groupBy("retailer_id", "types", "n", "page").agg(F.collect_list("o").alias("objects"), F.collect_list("c").alias("counts"))
+    every = sizes.withColumn("page", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).join(
+        pages.drop("n"), ["retailer_id", "types", "page"], "left")
+    pages = every.select("retailer_id", "types", F.when(F.col("page") > 0, at(F.col("page"))).alias("offset"),
+                         F.when(F.col("page") + 1 < F.col("n"), at(F.col("page") + 1)).alias("cursor"), "objects", "counts", "page")
+    return pages.unionByName(pages.where("page % 4 = 0")).drop("page")
+
+
 def csv_lines(df: DataFrame, cols: list[str], header: list[str]) -> DataFrame:
     """Rows (retailer_id, _part, _ord, text columns) as CSV lines, with a header
     line for every (retailer, part)."""

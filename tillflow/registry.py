@@ -1121,15 +1121,15 @@ def q_stream_current(spark, sf_dir):
 
 @landed
 def _streamed_uploads(spark, sf_dir):
-    """All kinds' uploads arrive in three drops, an upload's files together, as a table of
+    """All kinds' uploads arrive in two drops, an upload's files together, as a table of
     (path, content); each drop is a micro-batch."""
     from tillflow.plans.normalise import upload_name
     root, registry, zips = _uploads(spark, sf_dir)
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.lit(None).cast("binary").alias("content"))
     arrivals = listed.unionByName(zips.select("path", "content")).withColumn(
-        "drop", F.pmod(F.xxhash64(upload_name(F.col("path"), root)), F.lit(3)))
+        "drop", F.pmod(F.xxhash64(upload_name(F.col("path"), root)), F.lit(2)))
     base = shared_dir(spark, "stream_uploads")
-    for i in range(3):
+    for i in range(2):
         arrivals.where(F.col("drop") == i).drop("drop").write.mode("append").parquet(base + "/arrivals")
         _drain(spark, base, spark.readStream.schema("path string, content binary").parquet(base + "/arrivals"), root, registry)
     return base
@@ -1215,6 +1215,39 @@ def q_scan_json_square(spark, sf_dir):
     return feeds.feed_square(C.flatten_struct(SS.square_catalog(*back, locations)))
 
 
+@landed
+def _landed_square_pages(spark, sf_dir):
+    return SS.scan_square_pages(spark, L.land_json(spark, D.square_pages(spark, sf_dir), "square_pages"))
+
+
+@register("scan_square_pages", O.square_sql())
+def q_scan_square_pages(spark, sf_dir):
+    """Pages as the API gives them, some landed twice -> the adapter."""
+    locations = D.square_objects(spark, sf_dir)[-1]
+    return feeds.feed_square(C.flatten_struct(SS.square_catalog(*SS.square_members(_landed_square_pages(spark, sf_dir)), locations)))
+
+
+_MPA_PAGES = O.with_clause(O.MPOWER_API_FLAT, """pg AS (
+  SELECT retailer_id, CAST(trunc(o_orderkey / 100) AS BIGINT) AS page, count(DISTINCT o_orderkey) AS items FROM mpa_flat GROUP BY 1, 2)""")
+
+
+@register("page_gate", _MPA_PAGES + """
+SELECT retailer_id, count(*) AS pages, sum(items)::BIGINT AS items, max(page % 3)::INTEGER AS released_in
+FROM pg WHERE retailer_id <> '3' GROUP BY retailer_id""")
+def q_page_gate(spark, sf_dir):
+    """Pages in three drops: each feed goes on once, whole, with the drop that completes it; retailer 3's last
+    page never comes."""
+    from tillflow.streaming.pages import gate
+    pages = SS.scan_json(spark, L.land_json(spark, D.mpower_pages(spark, sf_dir), "mpower_pages_gate"), SS.MPOWER_PAGE_SCHEMA).drop("_file_name")
+    base, out = shared_dir(spark, "page_gate"), None
+    for i in range(3):
+        released, _ = gate(spark, base, pages.where(F.col("page") % 3 == i), i)
+        got = released.groupBy("retailer_id").agg(F.count(F.lit(1)).alias("pages"), F.sum(F.size("Results")).alias("items"),
+                                                  F.lit(i).alias("released_in"))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 @register("member_prune", O.with_clause(O.F2) + "\nSELECT retailer_id, sku, name, sname FROM f2_inv")
 def q_member_prune(spark, sf_dir):
     return C.member_prune(D.f2_inv(spark, sf_dir), ["sku", "name", "sname", "absent"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tillflow.operators.columns import ORD, filter_shop
 
@@ -82,6 +83,12 @@ def lightspeed_items(item_pages: DataFrame, category_pages: DataFrame, shops: Da
     return base.join(cats, ["retailer_id", "categoryID"], "left")
 
 
+def latest_pages(pages: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The latest copy of each page: a page may be landed more than once."""
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    return pages.withColumn("_copy", F.row_number().over(newest)).where("_copy = 1").drop("_copy")
+
+
 def page_check(pages: DataFrame, declared: str = "TotalPages", items: str = "Results") -> DataFrame:
     """Per retailer: pages and items present, pages declared, and whether any
     page is missing (null when nothing was declared)."""
@@ -95,6 +102,45 @@ def outer_upcs(items: DataFrame) -> DataFrame:
     return items.select("*", F.posexplode_outer("AdditionalUpcs").alias("_pos", "_add")).drop("AdditionalUpcs")
 
 
+# One landed answer of the list or count calls: what was asked (``types``, the cursor ``offset`` it
+# was asked with, null for the first) and what came (``cursor`` of the next page, null on the last).
+SQUARE_PAGE_SCHEMA = (
+    "retailer_id string, types string, offset string, cursor string, objects array<struct<type:string, id:string, "
+    "item_data:struct<name:string, product_type:string, category_id:string>, category_data:struct<name:string>, "
+    "item_variation_data:struct<item_id:string, sku:string, name:string, price_money:struct<amount:long>>>>, "
+    "counts array<struct<catalog_object_id:string, location_id:string, state:string, quantity:string>>")
+
+
+def scan_square_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed answers, the latest copy of each (by the file's time, then its path)."""
+    pages = scan_json(spark, path, SQUARE_PAGE_SCHEMA).withColumns(
+        {"_landed": F.col("_metadata.file_modification_time"), "_path": F.col("_metadata.file_path")})
+    return latest_pages(pages, ["retailer_id", "types", "offset"], ["_landed", "_path"]).drop("_landed", "_path", "_file_name")
+
+
+def square_members(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Items, categories, variations and counts out of the pages' ``objects`` (by their type) and
+    ``counts``.  An object that several pages hold counts once."""
+    objects = pages.select("retailer_id", F.explode("objects").alias("o")).select("retailer_id", "o.*")
+
+    def of(kind: str, data: str) -> DataFrame:
+        return objects.where(F.col("type") == kind).select("retailer_id", "id", data).dropDuplicates(["retailer_id", "id"])
+
+    counts = (pages.select("retailer_id", F.explode("counts").alias("c")).select("retailer_id", "c.*")
+              .dropDuplicates(["retailer_id", "catalog_object_id", "location_id", "state"]))
+    return of("ITEM", "item_data"), of("CATEGORY", "category_data"), of("ITEM_VARIATION", "item_variation_data"), counts
+
+
+def square_page_check(pages: DataFrame) -> DataFrame:
+    """Per retailer and kind of page: pages, and whether their cursors lead from the first page to the last
+    (every cursor that a page names was asked with, and one page names none)."""
+    out = pages.groupBy("retailer_id", "types").agg(
+        F.count(F.lit(1)).alias("pages"), F.collect_set("cursor").alias("_next"), F.collect_set("offset").alias("_asked"),
+        F.sum(F.col("offset").isNull().cast("int")).alias("_first"), F.sum(F.col("cursor").isNull().cast("int")).alias("_last"))
+    whole = (F.size(F.array_except("_next", "_asked")) == 0) & (F.size(F.array_except("_asked", "_next")) == 0)
+    return out.select("retailer_id", "types", "pages", (whole & (F.col("_first") == 1) & (F.col("_last") == 1)).alias("complete"))
+
+
 def square_catalog(items: DataFrame, categories: DataFrame, variations: DataFrame, counts: DataFrame,
                    locations: DataFrame) -> DataFrame:
     """Items -> category -> variations -> in-stock counts at the retailer's
