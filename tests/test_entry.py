@@ -22,3 +22,9 @@ def test_entry_without_the_optional_operators():
     root = Path(__file__).resolve().parent.parent
     done = subprocess.run([sys.executable, "-c", CODE], cwd=root, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
+
+
+def test_only_one_process_masters_get_a_local_folder():
+    from tillflow.session import one_process
+    assert all(map(one_process, ("local", "local[8]", "local[*]", "local[4,2]")))
+    assert not any(map(one_process, ("local-cluster[2,1,1024]", "spark://h:7077", "yarn", "k8s://local")))

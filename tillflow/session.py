@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,6 +39,11 @@ def get_spark(master: str | None = None, app: str = "tillflow",
     return spark
 
 
+def one_process(master: str) -> bool:
+    """Whether driver and tasks are one process; the executors of ``local-cluster`` are others."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
@@ -49,7 +55,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
-            if not sc.master.startswith("local"):
+            if not one_process(sc.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="tillflow-ckpt-")
         sc.setCheckpointDir(base)
