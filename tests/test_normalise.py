@@ -24,7 +24,7 @@ def _zip(root, name, **members):
 
 def test_files_folders_archives_and_rejects(spark):
     root = tempfile.mkdtemp(prefix="tf-up-")
-    _write(root, "Acme.csv", HEAD + "1,11,Ale 6 PK 12 OZ CANS,6 pk,9.99,5,1e30\n,9,no id,,1,1,1\n2,22,Wine 750 ML,NULL,n/a,x,2\n3,3,free,,0,1,1\n")
+    _write(root, "Acme.csv", HEAD + "1,11,Ale 6 PK 12 OZ CANS,6 pk,9.99,5,1e30\n,9,no id,,1,1,1\n2,22,Wine 750 ML,NULL,n/a,x,2\n3,3,free,,0,1,1\n4,4,too long,,1,1,1,more\n")
     _write(root, "upload=beta.csv/part-0.csv", HEAD + "1,77,Keg 1/2 KEG,,150,1,\n")
     _write(root, "upload=beta.csv/part-1.csv", "price_regular,product_id,brand_description\n5,9,PINT\n")
     _write(root, "notes.csv", "a\n1\n")
@@ -54,8 +54,12 @@ def test_files_folders_archives_and_rejects(spark):
     assert (rows["6", "1"].rt_package_size, rows["6", "1"].rt_item_size) == ("14 PK", "100 ML")
     assert (rows["7", "2"].rt_package_size, rows["7", "2"].rt_item_size) == ("24 PK", "200 ML")
     assert sorted((r.retailer_id or "", r.source or "", r.reason) for r in bad.collect()) == [
-        ("", "", "no_registry_row"), ("1", "mpower", "missing_product_id"), ("3", "mpower", "unrecognized_file_type"),
+        ("", "", "no_registry_row"), ("1", "mpower", "missing_product_id"), ("1", "mpower", "over_long_row"),
+        ("1", "mpower", "unparsable_qty_on_hand"), ("3", "mpower", "unrecognized_file_type"),
         ("4", "nonesuch", "unknown_pos")]
+    records = {r.reason: r.record for r in bad.collect()}
+    assert records["over_long_row"] == '["4","4","too long","1","1","1","more"]'
+    assert records["unparsable_qty_on_hand"] == '{"rt_product_id":"2","cell":"x"}'
     assert '"rt_upc_code":"9"' in [r.record for r in bad.collect() if r.reason == "missing_product_id"][0]
 
 
@@ -85,7 +89,7 @@ def test_line_ends_in_quoted_cells(spark):
     registry = spark.createDataFrame([(1, "mpower", "a.csv"), (2, "tiger", "b.csv"), (3, "winepos", "w.csv")],
                                      "id int, pos string, filename string")
     known = kinds("2020-06-01 00:00:00")
-    rows = known["winepos"].read(spark, [os.path.join(root, "w.csv")]).orderBy("_ord").select("_c0", "_c3", "_c22").collect()
+    rows = known["winepos"].read(spark, [os.path.join(root, "w.csv")])[0].orderBy("_ord").select("_c0", "_c3", "_c22").collect()
     assert [tuple(r) for r in rows] == [("A1", "Red\nwine", "c22"), ("A2", "White wine", "c22")]
     registry = registry.where("id = 1").union(spark.createDataFrame([(2, "mpower", "b.csv")], registry.schema))
     good, bad = normalise(spark, root, registry, "2020-06-01 00:00:00")

@@ -8,8 +8,9 @@ uploads are read together, all retailers at once; the adapters' rows are stacked
 and parsed in one pass.
 
 Rejects hold what cannot be used, with a reason: uploads without a registry row,
-of an unknown POS kind or of another file type than the kind's, and rows without
-a product id.  One (POS kind, path) pair per upload file reaches the driver, as
+of an unknown POS kind or of another file type than the kind's, rows without
+a product id, rows with more cells than their header (``over_long_row``, the cells as JSON), and cells that
+should be numbers and are not (``unparsable_<column>``, with product id and cell; the row itself goes on, as 0).  One (POS kind, path) pair per upload file reaches the driver, as
 Spark's own file index does; no data rows do.
 
 Quoted cells of CSV, positional and pipe uploads may hold line ends; a large file is read by
@@ -24,11 +25,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillflow.functions.text import is_blank, strict_double
 from tillflow.operators.columns import KEY, ORD
 from tillflow.operators.joins import join_registry
 from tillflow.plans import feeds
 from tillflow.plans.pipeline import unified_inventory
-from tillflow.schema import CANONICAL_COLUMNS
+from tillflow.schema import CANONICAL_COLUMNS, NUMERIC_COLUMNS
 from tillflow.session import shared_dir
 from tillflow.sources import archive, dbf, delimited, structured
 
@@ -38,7 +40,7 @@ NAME, PATH = "_file_name", "_file_path"
 @dataclass(frozen=True)
 class Kind:
     """How a POS kind's uploads are read: ``ext`` of the upload, ``read(spark,
-    paths)`` for text, or the ``roles`` of an archive's members and their type."""
+    paths)`` -> (rows, over-long rows or None) for text, or the ``roles`` of an archive's members and their type."""
 
     ext: str
     prepare: object
@@ -48,11 +50,11 @@ class Kind:
 
 
 def _positional(n_cols):
-    return lambda spark, paths: delimited.scan_positional(spark, paths, n_cols)
+    return lambda spark, paths: delimited.positional(spark, paths, n_cols)
 
 
 def _pipe(n_cols, drop_last=False):
-    return lambda spark, paths: delimited.scan_lines_skipping(spark, paths, n_cols, drop_last=drop_last)
+    return lambda spark, paths: delimited.positional(spark, paths, n_cols, "|", 5, drop_last)
 
 
 SPIRIT = ("inv", "prc", "stk", "upc")
@@ -63,14 +65,14 @@ def kinds(as_of: str) -> dict[str, Kind]:
     plain = {"mpower": feeds.feed_mpower, "tiger": feeds.feed_tiger, "lightspeed": feeds.feed_lightspeed,
              "square": feeds.feed_square, "cobaltconnect": feeds.feed_cobaltconnect, "kmds": feeds.feed_kmds,
              "fastraxpos": feeds.feed_fastraxpos, "ptech": feeds.feed_ptech, "lajoypos": feeds.feed_lajoypos}
-    out = {pos: Kind(".csv", fn.prepare, delimited.scan_csv_header) for pos, fn in plain.items()}
+    out = {pos: Kind(".csv", fn.prepare, delimited.csv_header) for pos, fn in plain.items()}
     bme, wine, cre = (f.prepare for f in (feeds.feed_businessmasterespanol, feeds.feed_winepos, feeds.feed_cashregisterexpress))
     return out | {
-        "businessmasterespanol": Kind(".csv", lambda d: bme(d, as_of), delimited.scan_csv_header),
+        "businessmasterespanol": Kind(".csv", lambda d: bme(d, as_of), delimited.csv_header),
         "winepos": Kind(".csv", lambda d: wine(d, as_of), _positional(23)),
         "cashregisterexpress": Kind(".csv", cre, _pipe(91)),
         "cashregisterexpress_v2": Kind(".csv", lambda d: cre(d, v2=True), _pipe(101, drop_last=True)),
-        "spirit2000_xml": Kind(".xml", feeds.feed_spirit2000_xml.prepare, structured.scan_xml_rows),
+        "spirit2000_xml": Kind(".xml", feeds.feed_spirit2000_xml.prepare, lambda spark, paths: (structured.scan_xml_rows(spark, paths), None)),
         "liquorpos": Kind(".zip", feeds.feed_liquorpos.prepare, roles=("barcodes", "liqcode"), member=".dbf"),
         "liquorpos_csv": Kind(".zip", feeds.feed_liquorpos_csv.prepare, roles=("barcodes", "liqcode")),
         "spirit2000_csv": Kind(".zip", feeds.feed_spirit2000_csv.prepare, roles=SPIRIT),
@@ -120,17 +122,27 @@ def _members(archives: DataFrame, kind: Kind) -> list[DataFrame]:
     return [f.join(owners, "archive").drop("archive") for f in frames]
 
 
+def _bad_numbers(prepared: DataFrame) -> Column:
+    """array<struct<column, cell>> of a row's texts that do not read as a number."""
+    text = [f.name for f in prepared.schema.fields if f.name in NUMERIC_COLUMNS and f.dataType.simpleString() == "string"]
+    cells = [F.when(~is_blank(F.col(c)) & strict_double(F.col(c), exponent=True).isNull(),
+                    F.struct(F.lit(c).alias("column"), F.col(c).alias("cell"))) for c in text]
+    kind = "array<struct<column:string,cell:string>>"
+    return F.filter(F.array(*cells), lambda x: x.isNotNull()).cast(kind) if cells else F.array().cast(kind)
+
+
 def _stored(prepared: DataFrame, pos: str) -> DataFrame:
     """A kind's rows under canonical names, written once to the shared folder:
     uploads are read and joined once for good rows and rejects alike, and the
-    stacked plan stays small.  ``_record`` is set where a row has no product id."""
+    stacked plan stays small.  ``_record`` is set where a row has no product id, ``_errors``
+    holds the cells that should be numbers and are not (they read as 0)."""
     spark = prepared.sparkSession
     pid = feeds.product_id()
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in prepared.columns if c not in (KEY, ORD)]))
     have = [c for c in CANONICAL_COLUMNS if c in prepared.columns]
     order = [ORD] if ORD in prepared.columns else []
     rows = prepared.select(F.col(KEY).cast("string").alias(KEY), *order, *have,
-                           F.when(pid.isNull() | (pid == ""), record).alias("_record"))
+                           F.when(pid.isNull() | (pid == ""), record).alias("_record"), _bad_numbers(prepared).alias("_errors"))
     path = shared_dir(spark, "normalise", pos)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
@@ -160,15 +172,23 @@ def normalise(spark: SparkSession, root: str, registry: DataFrame, as_of: str, a
     for pos, own in paths.items():
         kind = known[pos]
         if kind.read:
-            rows = kind.read(spark, own).withColumn(NAME, upload_name(F.col(PATH), root)).join(owner, NAME)
+            read, long = kind.read(spark, own)
+            rows = read.withColumn(NAME, upload_name(F.col(PATH), root)).join(owner, NAME)
             prepared = kind.prepare(rows.drop(NAME, PATH))
+            if long is not None:
+                of = long.withColumn(NAME, upload_name(F.col(PATH), root)).join(owner, NAME)
+                rejected.append(of.select(F.col(KEY).cast("string").alias(KEY), F.lit(pos).alias("source"),
+                                          F.lit("over_long_row").alias("reason"), "record"))
         else:
             mine = named_zips.join(good.where(F.col("pos") == pos).select(NAME, KEY).distinct(), NAME)
             prepared = kind.prepare(*_members(mine.select("path", "content", KEY), kind))
         rows = _stored(prepared, pos)
-        frames[pos] = feeds.finish(rows.where("_record is null").drop("_record"))
+        frames[pos] = feeds.finish(rows.where("_record is null").drop("_record", "_errors"))
         rejected.append(rows.where("_record is not null").select(
             KEY, F.lit(pos).alias("source"), F.lit("missing_product_id").alias("reason"), F.col("_record").alias("record")))
+        bad = rows.where("_record is null and size(_errors) > 0").select(KEY, "rt_product_id", F.explode("_errors").alias("e"))
+        rejected.append(bad.select(KEY, F.lit(pos).alias("source"), F.concat(F.lit("unparsable_"), "e.column").alias("reason"),
+                                   F.to_json(F.struct("rt_product_id", F.col("e.cell").alias("cell"))).alias("record")))
     rejects = rejected[0]
     for r in rejected[1:]:
         rejects = rejects.unionByName(r)

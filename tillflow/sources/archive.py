@@ -100,4 +100,4 @@ def member_rows(expanded: DataFrame, role: str) -> DataFrame:
     unique = F.udf(lambda n: unique_names(n), "array<string>")  # one call a member
     heads = stored_heads(mine.where("pos = 0").select("archive", "member", unique("fields").alias("names")), "members")
     rows = mine.where("pos > 0").select("archive", "member", F.struct("archive", "member", "pos").alias(ORD), F.col("fields").alias("cells"))
-    return bind(rows, heads, ["archive", "member"]).drop("member")
+    return bind(rows.withColumn("_file_path", F.col("archive")), heads, ["archive", "member"])[0].drop("member", "_file_path")

@@ -5,7 +5,8 @@ Every raw column is read as a string (no inference), quotes may be doubled, quot
 hold line ends, and cells that mean "missing" are null.  Files are split: where a record
 crosses a line or a split, ``records`` joins it; where none does, Spark's CSV reader reads the lines.
 Every row carries ``_ord`` = (file path, split start, position in split) -- its file order -- and
-``_file_name``.  Rows with more fields than their file's header are dropped, short rows are padded.
+``_file_name``.  Short rows are padded; rows with more fields than
+their file's header come apart, for a rejects table (the ``scan_`` functions drop them).
 """
 
 from __future__ import annotations
@@ -66,14 +67,22 @@ def layouts(heads: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return heads.select(*keys, places.alias("_at"), F.size("names").alias("_width")), [r["name"] for r in found]
 
 
-def bind(rows: DataFrame, heads: DataFrame, keys: list[str], cells: str = "cells") -> DataFrame:
-    """Rows with an array of cells -> one text column per header name, by the header that the row's
-    ``keys`` find; rows with more cells than their header are dropped.  The array's cells behind a
+def bind(rows: DataFrame, heads: DataFrame, keys: list[str], cells: str = "cells") -> tuple[DataFrame, DataFrame]:
+    """(rows with an array of cells -> one text column per header name, by the header that the row's
+    ``keys`` find; the rows that have more cells than their header).  The array's cells behind a
     row's last are null."""
     at, names = layouts(heads, keys)
-    joined = rows.join(at, keys).where(~F.exists(F.slice(cells, F.col("_width") + 1, F.greatest(F.size(cells), F.lit(1))), lambda c: c.isNotNull()))
+    too_long = F.exists(F.slice(cells, F.col("_width") + 1, F.greatest(F.size(cells), F.lit(1))), lambda c: c.isNotNull())
+    joined = rows.join(at, keys)
     keep = [F.col(f"`{c}`") for c in rows.columns if c != cells and c not in names]
-    return joined.select(*[nullify(F.get(cells, F.get("_at", F.lit(i)))).alias(n) for i, n in enumerate(names)], *keep)
+    bound = [nullify(F.get(cells, F.get("_at", F.lit(i)))).alias(n) for i, n in enumerate(names)]
+    return joined.where(~too_long).select(*bound, *keep), _long(joined.where(too_long), F.col(cells))
+
+
+def _long(rows: DataFrame, cells) -> DataFrame:
+    """Over-long rows for a rejects table: where they stand, and their cells as JSON."""
+    return rows.select("_file_path", *[c for c in (ORD, "_file_name") if c in rows.columns],
+                       F.to_json(F.filter(cells, lambda c: c.isNotNull())).alias("record"))
 
 
 def raw_cells(spark: SparkSession, path, width: int, sep: str = ",", header: bool = False, encoding: str = "UTF-8",
@@ -96,11 +105,13 @@ def _ordered(rows: DataFrame) -> DataFrame:
     return rows.withColumn(ORD, F.struct(F.col(R.PATH).alias("path"), F.col(R.BLOCK).alias("block"), F.col(R.MONO).alias("pos"))).drop(R.BLOCK, R.MONO)
 
 
-def _named(raw: DataFrame, names: list[str], null_text: bool) -> DataFrame:
-    """Columns by position under ``names``; over-long rows dropped."""
-    rest = [c for c in raw.columns if c != EXTRA and c not in {f"_c{i}" for i in range(len(names))}]
+def _named(raw: DataFrame, names: list[str], null_text: bool) -> tuple[DataFrame, DataFrame]:
+    """(columns by position under ``names``, the over-long rows)."""
+    wide = [f"_c{i}" for i in range(len(names))]
+    rest = [c for c in raw.columns if c != EXTRA and c not in wide]
     value = lambda i: nullify(F.col(f"_c{i}")) if null_text else F.col(f"_c{i}")
-    return raw.where(F.col(EXTRA).isNull()).select(*[value(i).alias(n) for i, n in enumerate(names)], *[c for c in rest if c not in names])
+    rows = raw.where(F.col(EXTRA).isNull()).select(*[value(i).alias(n) for i, n in enumerate(names)], *[c for c in rest if c not in names])
+    return rows, _long(raw.where(F.col(EXTRA).isNotNull()), F.array(*wide, EXTRA))
 
 
 def header_names(spark: SparkSession, path, sep: str = ",") -> list[str]:
@@ -114,9 +125,9 @@ def _headers(spark: SparkSession, path, sep: str = ",", encoding: str = "UTF-8")
     return stored(heads.select("_file_path", name("names").alias("names")), "headers")
 
 
-def scan_csv_header(spark: SparkSession, path, sep: str = ",", names: list[str] | None = None,
-                    encoding: str = "UTF-8", null_text: bool = True) -> DataFrame:
-    """CSV with a header record; all columns text; over-long rows dropped.
+def csv_header(spark: SparkSession, path, sep: str = ",", names: list[str] | None = None,
+               encoding: str = "UTF-8", null_text: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, over-long rows) of CSV with a header record; all columns text.
 
     Columns are bound by name: each file's own header (one ranged read a file) says what its columns
     are, and a column that a file lacks is null there.  With ``names`` the
@@ -135,9 +146,28 @@ def scan_csv_header(spark: SparkSession, path, sep: str = ",", names: list[str]
     return _named(raw_cells(spark, path, len(names), sep, True, encoding), names, null_text)
 
 
+def positional(spark: SparkSession, path, n_cols: int, sep: str = "\t", skip_head: int = 0, drop_last: bool = False,
+               null_text: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, over-long rows) of a headerless delimited file, columns ``_c0 .. _c{n-1}`` by position, without
+    ``skip_head`` preamble lines and (optionally) one trailer line per file."""
+    return _named(raw_cells(spark, path, n_cols, sep, skip_lines=skip_head, drop_last=drop_last), [f"_c{i}" for i in range(n_cols)], null_text)
+
+
+def scan_csv_header(spark: SparkSession, path, sep: str = ",", names: list[str] | None = None,
+                    encoding: str = "UTF-8", null_text: bool = True) -> DataFrame:
+    """The rows of ``csv_header``; over-long ones dropped."""
+    return csv_header(spark, path, sep, names, encoding, null_text)[0]
+
+
 def scan_positional(spark: SparkSession, path, n_cols: int, sep: str = "\t", null_text: bool = True) -> DataFrame:
-    """Headerless delimited file; columns ``_c0 .. _c{n-1}`` by position."""
-    return _named(raw_cells(spark, path, n_cols, sep), [f"_c{i}" for i in range(n_cols)], null_text)
+    """The rows of ``positional``; over-long ones dropped."""
+    return positional(spark, path, n_cols, sep, null_text=null_text)[0]
+
+
+def scan_lines_skipping(spark: SparkSession, path, n_cols: int, sep: str = "|",
+                        skip_head: int = 5, drop_last: bool = False, null_text: bool = True) -> DataFrame:
+    """The rows of ``positional`` behind a preamble; over-long ones dropped."""
+    return positional(spark, path, n_cols, sep, skip_head, drop_last, null_text)[0]
 
 
 def drop_edge_lines(spark: SparkSession, path, skip_head: int = 0, drop_last: bool = False) -> DataFrame:
@@ -145,10 +175,3 @@ def drop_edge_lines(spark: SparkSession, path, skip_head: int = 0, drop_last: bo
     One pass, no shuffle: the task that holds a file's begin skips its first lines, the one that holds
     its end holds the last line back."""
     return _ordered(R.records(R.text_lines(spark, path), "", skip_lines=skip_head, drop_last=drop_last, quoted=False))
-
-
-def scan_lines_skipping(spark: SparkSession, path, n_cols: int, sep: str = "|",
-                        skip_head: int = 5, drop_last: bool = False, null_text: bool = True) -> DataFrame:
-    """Headerless delimited file with ``skip_head`` preamble lines (and
-    optionally one trailer line) per file."""
-    return _named(raw_cells(spark, path, n_cols, sep, skip_lines=skip_head, drop_last=drop_last), [f"_c{i}" for i in range(n_cols)], null_text)
