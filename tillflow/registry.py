@@ -1286,6 +1286,23 @@ def q_filter_incremental(spark, sf_dir):
     return C.filter_incremental(D.f2_prc(spark, sf_dir), hw, "tstamp").select("retailer_id", "sku", "tstamp")
 
 
+@register("pull_incremental", O.with_clause(O.F2, """p0 AS (SELECT * FROM f2_prc WHERE tstamp < TIMESTAMP '1995-01-01'),
+hw AS (SELECT retailer_id, max(tstamp) AS hw FROM p0 GROUP BY retailer_id)""") + """
+SELECT retailer_id, sku, tstamp, 0 AS pull FROM p0
+UNION ALL SELECT p.retailer_id, p.sku, p.tstamp, 1 FROM f2_prc p LEFT JOIN hw USING (retailer_id) WHERE hw.hw IS NULL OR p.tstamp > hw.hw""")
+def q_pull_incremental(spark, sf_dir):
+    """Two pulls, the second over everything: the marks that the sink keeps let each retailer's newer rows through."""
+    from tillflow.plans.current import high_water, merge
+    prc = D.f2_prc(spark, sf_dir).select("retailer_id", "sku", "tstamp")
+    base, out = shared_dir(spark, "pulls"), None
+    for i, pulled in enumerate((prc.where(F.col("tstamp") < F.lit("1995-01-01").cast("timestamp")), prc)):
+        fresh = C.filter_incremental(pulled, high_water(spark, base, before=i), "tstamp")
+        merge(spark, base, fresh, i, keys=("retailer_id", "sku", "tstamp"), mark="tstamp")
+        got = fresh.withColumn("pull", F.lit(i))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 # ---------------------------------------------------------- dBase tables
 
 def _with_retailer(df, path="_file_path"):
