@@ -1,6 +1,10 @@
+import math
+import random
+import struct
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tillflow.llm import hash_tree
@@ -71,3 +75,28 @@ def test_written_shards_read_back(spark, tmp_path):
 def test_a_tree_without_weight_is_refused(spark):
     with pytest.raises(ValueError):
         hash_tree.assign(keys(spark, 1), TREE.reweighted(dict.fromkeys(range(40), 0.0)))
+
+
+def descent(key, tree):
+    """The shard of a key by the definition: at each node the child of the least variate."""
+    node, path = tree.root, ""
+    while node.children:
+        draws = []
+        for c in node.children:
+            if c.weight > 0:
+                at = f"{path}/{c.name}"
+                h = xxhash.xxh64_intdigest(struct.pack("<q", key), 42) if key is not None else 42
+                u = ((xxhash.xxh64_intdigest(at.encode(), h) >> 11) + 0.5) / 2**53
+                draws.append((-math.log(u) / c.weight, at, c))
+        _, path, node = min(draws, key=lambda d: d[:2])
+    return node.shard
+
+
+def test_descent_by_definition(spark):
+    rng = random.Random(3)
+    heavy = TREE.grown(2.5).reweighted({0: 3.0, 9: 0.0, 17: 0.25})
+    ids = [rng.randrange(-2**63, 2**63) for _ in range(300)] + [0, -1, None]
+    rows = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    for tree in (TREE, heavy, heavy.grown()):
+        got = Counter((r.doc_id, r.shard) for r in hash_tree.assign(rows, tree).collect())
+        assert got == Counter((i, descent(i, tree)) for i in ids)
