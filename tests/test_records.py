@@ -123,6 +123,19 @@ def test_headers_cost_one_small_read(spark, monkeypatch):
     assert len(got) == 200 and got["k177"][f"x{177 % 40}"] == "177" == got["k177"][f"y{177 % 31}"] and got["k177"].y0 is None
 
 
+def test_a_store_without_ranged_reads(spark, monkeypatch):
+    """Headers and quoted line ends are read by Spark's own readers then."""
+    folder = _file(b'\xef\xbb\xbfa,b\n1,"x\ny"\n2,z\n')
+    _file(b"b,a\nq,3\n", "g.csv", folder)
+
+    def unknown(path, encoded=True):
+        raise ValueError("Unrecognized filesystem type in URI")
+    monkeypatch.setattr(files, "locate", unknown)
+    rows = SD.scan_csv_header(spark, folder)
+    assert "MapInArrow" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.a, r.b) for r in rows.collect()) == [("1", "x\ny"), ("2", "z"), ("3", "q")]
+
+
 def test_header_names_that_differ_in_case(spark):
     folder = _file(b"SKU,Name\n1,a\n")
     _file(b"name,sku\nb,2\n", "g.csv", folder)

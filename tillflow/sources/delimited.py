@@ -92,8 +92,10 @@ def raw_cells(spark: SparkSession, path, width: int, sep: str = ",", header: boo
     lines = R.text_lines(spark, path)
     functions = stored(R.split_functions(lines, sep, skip_lines), "splits")
     opens = not functions.where("opens").isEmpty()
-    if not (opens or skip_lines or drop_last):
-        return _with_order(spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
+    edges = skip_lines or drop_last
+    alone = opens and not edges and not R.ranged(spark, path)     # one task a file reads what crosses its splits
+    if not (opens or edges) or alone:
+        return _with_order(spark.read.option("header", header).option("sep", sep).option("encoding", encoding).option("multiLine", alone)
                            .option("quote", '"').option("escape", '"').schema(schema).csv(path))
     spans = stored(R.open_splits(functions), "spans") if opens else None
     found = R.records(lines, sep, spans, skip_records=int(header), skip_lines=skip_lines, drop_last=drop_last, encoding=encoding)

@@ -273,12 +273,29 @@ def _held(rows, keep: list[str], decoded):
         yield _columns(first, keep, "value", decoded([record]))
 
 
+def ranged(spark: SparkSession, path) -> bool:
+    """Whether tasks can read ranges of the files: not in a store that only Spark's readers reach."""
+    one = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path")).limit(1).collect()
+    try:
+        return all(files.locate(r[0]) for r in one)
+    except (pa.ArrowException, OSError, ValueError):
+        return False
+
+
 def first_records(spark: SparkSession, path, sep: str, encoding: str = "UTF-8") -> DataFrame:
     """``_file_path, names``: the cells of each file's first record, read with one small ranged read a
-    file (in steps, if the record is long)."""
+    file (in steps, if the record is long).  Where files have no ranged reads: the cells of the first line, from a
+    scan of the text."""
     import csv
     mark = sep.encode()
 
+    if not ranged(spark, path):
+        def cells(line):
+            return next(csv.reader([bytes(line).removeprefix(b"\xef\xbb\xbf").decode(encoding, "replace")], delimiter=sep), [])
+        lines = text_lines(spark, path).where(F.col(BLOCK) == 0)
+        heads = lines.groupBy(PATH).agg(F.min_by("value", MONO).alias("line"))
+        return heads.select(PATH, F.udf(cells, "array<string>")("line").alias("names"))
+
     def first(file: str) -> list[str] | None:
         parts: list[bytes] = []
         for line in files.lines(file):
