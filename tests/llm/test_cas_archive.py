@@ -64,3 +64,14 @@ def test_missing_payload_is_refused(spark):
 def test_empty(spark):
     archive = cas_archive.store(cas_archive.records(spark.createDataFrame([], SCHEMA)))
     assert cas_archive.read(cas_archive.restore(spark, archive)).collect() == []
+
+
+def test_urls_come_back_as_they_were(spark):
+    urls = ["http://a/%0A?x=%20", "a\r\nb", "\n\n%0A%25", "", None, "plain", "é %\r", "x: y: z"]
+    pages = spark.createDataFrame([(i, u, "body", None) for i, u in enumerate(urls)], SCHEMA)
+    archive = cas_archive.store(cas_archive.records(pages))
+    got = {r.page_id: r.uri for r in cas_archive.read(cas_archive.restore(spark, archive)).collect()}
+    assert got == dict(enumerate(urls))
+    headers = {r.page_id: bytes(r.header) for r in spark.read.parquet(archive.headers).collect()}
+    assert b"WARC-Target-URI: http://a/%0A?x=%20\r\n" in headers[0] and cas_archive.ESCAPED.encode() not in headers[0]
+    assert b"WARC-Target-URI: a%0D%0Ab\r\n" in headers[1]

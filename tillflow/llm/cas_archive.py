@@ -16,7 +16,9 @@ splits where one payload is very frequent.
 
 Defined cases: null html is the empty payload; a null page_id is written as an
 empty id and orders after all others; of rows that repeat the smallest page_id
-each is a response; empty tables give empty archives; other columns are ignored.
+each is a response; a null url has no target line and is read as null, one with
+line breaks is written percent-encoded under a marking field and read back as it
+was; empty tables give empty archives; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from .common import arrow_map, small
 
 MIN_SHARED = 100
 CRLF = "\r\n"
+ESCAPED = "X-Target-URI-Escaped"
+ESCAPES = ("%", "%25"), ("\r", "%0D"), ("\n", "%0A")
 
 
 @dataclass(frozen=True)
@@ -62,13 +66,18 @@ def records(pages: DataFrame, key: str = "page_id", uri: str = "url", payload: s
     def record_id(c):
         return F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
 
-    # a line break in a URL would end the header line
-    target = F.regexp_replace(F.coalesce("uri", F.lit("")), r"[\r\n]+", "%0A")
+    # a line break in a URL would end the header line: such URLs, and only these, are escaped and marked
+    broken = F.coalesce(F.col("uri").rlike(r"[\r\n]"), F.lit(False))
+    escaped = F.col("uri")
+    for plain, code in ESCAPES:
+        escaped = F.replace(escaped, F.lit(plain), F.lit(code))
     header = F.concat(
         F.lit(f"WARC/1.1{CRLF}"),
         line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
         line("WARC-Record-ID", record_id(F.col("page_id"))),
-        line("WARC-Target-URI", target),
+        F.when(F.col("uri").isNull(), F.lit("")).otherwise(
+            line("WARC-Target-URI", F.when(broken, escaped).otherwise(F.col("uri")))),
+        F.when(broken, line(ESCAPED, F.lit("yes"))).otherwise(F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         F.when(revisit, line("WARC-Refers-To", record_id(F.col("first_id")))).otherwise(F.lit("")),
         line("Content-Length", F.col("bytes").cast("string")),
@@ -114,6 +123,14 @@ def parse(record: bytes) -> tuple[dict[str, str], bytes]:
     return fields, payload
 
 
+def _uri(fields: dict[str, str]) -> str | None:
+    uri = fields.get("WARC-Target-URI")
+    if ESCAPED in fields:
+        for plain, code in reversed(ESCAPES):
+            uri = uri.replace(code, plain)
+    return uri
+
+
 def _page(record_id: str) -> int | None:
     number = record_id[len("<urn:page:"):-1]
     return int(number) if number else None
@@ -130,7 +147,7 @@ def read(restored: DataFrame) -> DataFrame:
                     raise ValueError("a record's payload is missing from the archive")
                 fields, payload = parse(raw)
                 refers = fields.get("WARC-Refers-To")
-                row = (_page(fields["WARC-Record-ID"]), fields["WARC-Target-URI"], len(payload),
+                row = (_page(fields["WARC-Record-ID"]), _uri(fields), len(payload),
                        fields["WARC-Payload-Digest"][7:], fields["WARC-Type"], _page(refers) if refers else None, payload)
                 for column, value in zip(out, row):
                     column.append(value)
