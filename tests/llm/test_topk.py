@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tillflow.llm import threshold_topk
@@ -71,3 +72,38 @@ def test_stops_before_the_end():
     assert scores.tolist() == sorted(exact.tolist(), reverse=True)[:5]
     assert len(read) < 20  # 20 doublings would reach far beyond the end
     assert max(read[::2]) < 20000
+
+
+def test_scores_beyond_64_bits(spark):
+    """Met and outranked they are exact; among the best they end the job."""
+    schema = "vec_id long, embedding array<double>, label int, score double"
+    rows = [(0, [4e9, 4e9]), (1, [-3.5e7, -3e7]), (2, [-1.0, 0.5]), (3, [1.0, 0.25]), (4, [1e300, -2e300]), (5, [0.0, -5.5])]
+    df = spark.createDataFrame([(i, v, 0, 0.0) for i, v in rows], schema)
+    for sizes in ({}, dict(vectors_per_block=2)):
+        got = threshold_topk.top_k(df, F.col("vec_id") == 0, 3, **sizes).collect()
+        scaled = {i: [math.floor(x) * 256 + math.floor(256 * (x - math.floor(x))) for x in v] for i, v in rows}
+        score = {i: sum(a * b for a, b in zip(scaled[0], scaled[i])) for i in scaled if i}
+        want = sorted((-s, i) for i, s in score.items())[:3]
+        assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [(n + 1, i, -s) for n, (s, i) in enumerate(want)]
+        with pytest.raises(Exception, match="64 bits"):
+            threshold_topk.top_k(df, F.col("vec_id") == 0, 5, **sizes).collect()
+
+
+def test_a_third_of_all_rows_under_one_id(spark):
+    rng = random.Random(8)
+    rows = [(3, [rng.gauss(0, 0.3) for _ in range(6)], 0, 0.0) for _ in range(150)]
+    rows += [(14, [0.5] * 6, 0, 0.0)] * 100 + [(100 + i, [rng.gauss(0, 0.3) for _ in range(6)], 0, 0.0) for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = sorted((q, n, i, s) for q, n, i, s in brute_all(rows, 5))
+    for sizes in ({}, dict(vectors_per_block=40, queries_per_block=9)):
+        got = threshold_topk.top_k(df, F.col("vec_id") % 7 == 0, 5, **sizes).collect()
+        assert sorted(map(tuple, got)) == want
+
+
+def brute_all(rows, k):
+    """As ``brute``, results that repeat included."""
+    good = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v, *_ in rows]
+    for q in {i for i, _ in good if i % 7 == 0}:
+        own = min(v for i, v in good if i == q)
+        found = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in good if i != q)[:k]
+        yield from ((q, n + 1, i, -s) for n, (s, i) in enumerate(found))

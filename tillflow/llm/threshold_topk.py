@@ -1,8 +1,9 @@
 """Exact top-k inner products by Fagin's threshold algorithm.
 
-Components are scaled to integers, ``floor(256 x)``.  Vectors are dealt into
-candidate blocks by hash, queries into query blocks; each pair of blocks is one
-task group of bounded size.  In it every dimension has a list of the block's
+Components are scaled to integers, ``floor(256 x)``.  Vectors are stored once with
+a running number and dealt into candidate blocks by hash of it, so vectors that
+share an id spread as others do; queries, one row an id, are dealt into query
+blocks.  Each pair of blocks is one task group of bounded size.  In it every dimension has a list of the block's
 vectors sorted by that component.  A query reads all its lists in step (from the
 end that its component's sign prefers), scores each newly met vector in full,
 and stops once its kth score is above the bound: the sum over dimensions of its
@@ -16,7 +17,9 @@ component, and rows without an id, take no part; shorter vectors count as padded
 with zeros; a query whose id repeats is the least of its vectors, and rows with
 the query's own id are no candidates; candidates that repeat are separate
 results; fewer than k candidates give fewer rows; no vectors give no rows.
-Scores are exact while ``sum |q_i v_i|`` stays below 2^63.
+Scores are exact at any size: where a block's products could leave 64 bits they
+are Python integers.  Such a score may be met and outranked; if it is among a
+query's best, which the long column cannot hold, the job ends with a message.
 """
 
 from __future__ import annotations
@@ -27,18 +30,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import staged
+
 SCALE, K = 256, 5
 VECTORS, QUERIES = 4_096, 1_024      # expected rows of a candidate and of a query block
 STEP = 16                             # list entries read before the first bound check; doubles
 
 
 def scaled(table: pa.Table, column: str) -> np.ndarray:
-    """Integer matrix of a list column, padded with zeros."""
+    """Integer matrix of a list column, padded with zeros; of Python integers if 64 bits are too few."""
     rows = [np.asarray(v.values, np.float64) for v in table.column(column)]
     out = np.zeros((len(rows), max(map(len, rows), default=0)))
     for i, r in enumerate(rows):
-        out[i, :len(r)] = np.floor(SCALE * r)
-    return np.clip(out, -2.0**62, 2.0**62).astype(np.int64)
+        out[i, :len(r)] = r
+    if np.abs(out).max(initial=0) < 2.0**54:
+        return np.floor(SCALE * out).astype(np.int64)
+    whole = np.floor(SCALE * (out - np.trunc(out)))      # zero for components this large
+    return _integers(out) * SCALE + _integers(whole)
+
+
+def _integers(whole: np.ndarray) -> np.ndarray:
+    """The whole parts as Python integers."""
+    out = np.empty(whole.shape, object)
+    out.ravel()[:] = [int(x) for x in whole.ravel()]
+    return out
 
 
 class Lists:
@@ -53,15 +68,17 @@ class Lists:
     def best(self, query: np.ndarray, own_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best, best first."""
         n, dims = self.vectors.shape
-        q = np.zeros(dims, np.int64)
+        q = np.zeros(dims, query.dtype)
         q[:min(dims, len(query))] = query[:dims]
         used = np.flatnonzero(q)
-        exact = dims * max(1, self.largest) * max(1, int(np.abs(q).max(initial=0))) < 2**53
-        kind = np.float64 if exact else np.int64  # float products of these integers are exact, and fast
-        weights = q.astype(kind)
+        most = dims * max(1, self.largest) * max(1, int(np.abs(q).max(initial=0)))
+        # float products of small integers are exact, and fast
+        kind = np.float64 if most < 2**53 else np.int64 if most < 2**63 else object
+        plain = object if kind is object else np.int64
+        weights, q = q.astype(kind), q.astype(plain)
         forward, backward = used[q[used] > 0], used[q[used] < 0]
         unseen = self.ids != own_id
-        top_ids, top_scores = np.empty(0, np.int64), np.empty(0, np.int64)
+        top_ids, top_scores = np.empty(0, np.int64), np.empty(0, plain)
         at, step = 0, STEP
         while at < n:
             end = min(n, at + step)
@@ -72,12 +89,13 @@ class Lists:
                 met[:] = True  # a zero query: every score is 0
             new = np.flatnonzero(met & unseen)
             unseen[new] = False
-            scores = (self.vectors[new].astype(kind) @ weights).astype(np.int64)
+            scores = (self.vectors[new].astype(kind) @ weights).astype(plain)
             top_ids, top_scores = np.concatenate([top_ids, self.ids[new]]), np.concatenate([top_scores, scores])
             if len(top_ids) > k:
                 cut = np.lexsort((top_ids, -top_scores))[:k]
                 top_ids, top_scores = top_ids[cut], top_scores[cut]
-            bound = int(self.values[forward, end - 1] @ q[forward]) + int(self.values[backward, n - end] @ q[backward])
+            bound = (int(self.values[forward, end - 1].astype(plain) @ q[forward])
+                     + int(self.values[backward, n - end].astype(plain) @ q[backward]))
             if len(top_ids) == k and int(top_scores.min()) > bound:
                 break
             at, step = end, step * 2
@@ -92,6 +110,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id",
         "v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = (vectors.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), is_query.alias("q"),
                                                          F.col(column).cast("array<double>").alias("v")).filter(good))
+    rows = staged(rows.withColumn("n", F.monotonically_increasing_id()), "vectors")
     queries = rows.filter("q").groupBy("id").agg(F.min("v").alias("v"))
     n_vectors, n_queries = rows.count(), queries.count()
     blocks = max(1, -(-n_vectors // vectors_per_block))
@@ -100,20 +119,25 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id",
     def numbers(n):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    dealt = rows.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("c"), numbers(query_blocks).alias("b"))
+    dealt = rows.select("id", "v", F.pmod(F.xxhash64("n"), F.lit(blocks)).alias("c"), numbers(query_blocks).alias("b"))
     asked = queries.select("id", "v", numbers(blocks).alias("c"), F.pmod(F.xxhash64("id"), F.lit(query_blocks)).alias("b"))
 
     def search(block: pa.Table, wanted: pa.Table) -> pa.Table:
-        out = [np.empty(0, np.int64)] * 3
+        out = [[], [], []]
         if block.num_rows and wanted.num_rows:
             lists = Lists(block.column("id").to_numpy(), scaled(block, "v"))
             found = [(q, *lists.best(v, q, k)) for q, v in zip(wanted.column("id").to_pylist(), scaled(wanted, "v"))]
-            out = [np.concatenate([np.full(len(i), q, np.int64) for q, i, _ in found]),
-                   np.concatenate([i for _, i, _ in found]), np.concatenate([s for *_, s in found])]
-        return pa.table([pa.array(a, pa.int64()) for a in out], ["query_id", "vec_id", "score"])
+            out = [[q for q, i, _ in found for _ in i], [x for _, i, _ in found for x in i.tolist()],
+                   [x for *_, s in found for x in s.tolist()]]
+        over = [(x >= 2**63) - (x < -2**63) for x in out[2]]
+        out[2] = [None if o else x for x, o in zip(out[2], over)]
+        return pa.table([*[pa.array(a, pa.int64()) for a in out], pa.array(over, pa.int32())],
+                        ["query_id", "vec_id", "score", "over"])
 
     found = (dealt.groupBy("c", "b").cogroup(asked.groupBy("c", "b"))
-             .applyInArrow(search, "query_id long, vec_id long, score long"))
-    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+             .applyInArrow(search, "query_id long, vec_id long, score long, over int"))
+    order = W.partitionBy("query_id").orderBy(F.col("over").desc(), F.col("score").desc(), "vec_id")
+    score = F.when(F.col("over") == 0, F.col("score")).otherwise(
+        F.raise_error(F.lit("one of a query's best scores does not fit in 64 bits")).cast("long"))
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score")))
