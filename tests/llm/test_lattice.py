@@ -81,3 +81,13 @@ def test_no_training_documents(spark):
 
 def test_empty(spark):
     assert lattice_lm.scores(frame(spark, []), MODEL).collect() == []
+
+
+def test_equal_rows_spread_over_chunks(spark):
+    rows = [(7, "the same words again", "en", "s", 20)] * 400 + [(1000 + i, f"other words {i} here", "en", "s", 20) for i in range(800)]
+    docs = frame(spark, rows)
+    sizes = [r["count"] for r in lattice_lm._chunked(docs, 3000).groupBy("chunk").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 3 * len(rows) / len(sizes)
+    out = lattice_lm.scores(docs, MODEL, chunk_bytes=3000).collect()
+    assert len(out) == len(rows)
+    assert max(r.score for r in out if r.doc_id == 7) - min(r.score for r in out if r.doc_id == 7) < 1e-9

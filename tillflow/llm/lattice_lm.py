@@ -10,14 +10,15 @@ chain of word lattices and each distinct word of the corpus is summed once.
 Characters that are no piece have one edge, their byte pieces.  Beside it stands
 a smoothed word unigram score.
 
-Work is dealt by chunk, about ``CHUNK`` bytes of text by hash.  A chunk numbers
+Work is dealt by chunk, about ``CHUNK`` bytes of text by hash of the row and its
+place in the stored table, so equal rows spread as others do.  A chunk numbers
 its distinct words; its documents shrink to (word number, count) lists, so texts
 travel once.  (chunk, word) rows are counted by word, joined with the word's
 figures, and come back to the chunk's documents.  No vocabulary is broadcast;
 only the piece scores are, whose number the tokenizer fixes.
 
 Defined cases: null text is empty (its only token is the end); null doc_id is a
-training document with its own chunk by text; repeated rows count and score
+training document; repeated rows count and score
 alike; without training documents every word score is log10(1); an empty table
 gives an empty result; other columns are not read.
 """
@@ -70,12 +71,13 @@ class Lattice:
 
 
 def _chunked(docs: DataFrame, chunk_bytes: int) -> DataFrame:
-    """doc_id, text, train, chunk; chunks hold about ``chunk_bytes`` of text."""
+    """doc_id, text, train, chunk; chunks hold about ``chunk_bytes`` of text.  ``docs`` is a
+    stored table: its rows come in the same order when a task runs again."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
                        (fold("doc_id", HELD_OUT[0]) != HELD_OUT[1]).alias("train"))
     size = rows.agg(F.sum(F.octet_length("text") + 8).alias("n")).first()["n"] or 0
     chunks = max(1, -(-size // chunk_bytes))
-    return rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
+    return rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(chunks)).cast("int"))
 
 
 class _Numbers(dict):
