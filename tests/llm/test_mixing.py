@@ -1,7 +1,9 @@
+import math
 from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tillflow.llm import mixing
 
@@ -100,3 +102,64 @@ def test_slots_cover_each_block_as_often_as_planned(spark):
 def test_empty(spark):
     assert mixing.usage(frame(spark, [])).collect() == []
     assert mixing.mixed(frame(spark, [])).collect() == []
+
+
+def test_hypergeometric_law():
+    good, bad, take, n = 60, 90, 70, 20_000
+    rng = np.random.default_rng(5)
+    seen = Counter(mixing.hypergeometric(good, bad, take, rng) for _ in range(n))
+    p = {k: math.comb(good, k) * math.comb(bad, take - k) / math.comb(good + bad, take) for k in range(good + 1)}
+    common = [k for k in p if n * p[k] >= 20]
+    chi = sum((seen[k] - n * p[k]) ** 2 / (n * p[k]) for k in common)
+    assert chi < len(common) + 4 * math.sqrt(2 * len(common))
+
+
+def test_hypergeometric_at_all_sizes():
+    rng = np.random.default_rng(6)
+    for good, bad, take in ((0, 5, 3), (5, 0, 3), (7, 9, 16), (7, 9, 0), (10**15, 3, 10**15), (3, 10**15, 10**15 + 1), (10**12, 10**12, 1)):
+        assert max(0, take - bad) <= mixing.hypergeometric(good, bad, take, rng) <= min(good, take)
+    for scale in (10**4, 10**8, 10**10, 10**14):  # one law: spread about the mean as the formula says
+        good, bad, take = 3 * scale, 7 * scale, 4 * scale
+        spread = math.sqrt(take * 0.3 * 0.7 * (good + bad - take) / (good + bad - 1))
+        z = [(mixing.hypergeometric(good, bad, take, rng) - 0.3 * take) / spread for _ in range(2000)]
+        assert abs(np.mean(z)) < 0.12 and abs(np.std(z) - 1) < 0.08
+
+
+def hot():
+    """A third of all rows alike, a third without words or id, one source with most of the rest."""
+    rows = [(7, "one two three", "en", "a", 13)] * 150 + [(None, " ", "en", "a", 1)] * 100 + [(None, "same", "en", None, 4)] * 50
+    return rows + [(1000 + i, f"w{i} " * (i % 40), "en", "a" if i % 5 else "b", 0) for i in range(150)]
+
+
+def test_streams_and_words_taken_by_brute_force(spark):
+    rows = hot()
+    docs = frame(spark, rows, 5)
+    settings = dict(block=16, per_shard=8)
+    stored = mixing.staged(mixing.sized(docs), "numbered")
+    mix = mixing.plan(stored, **settings)
+    positions = mixing.placed(stored, mix, bucket=3).collect()
+    assert len({r["_row"] for r in positions}) == len(positions) == sum(bool(words(r[1])) for r in rows)
+    streams = defaultdict(list)
+    for r in sorted(positions, key=lambda r: (r["_s"], r["_o"])):
+        assert r["_o"] == len(streams[r["_s"]])  # no gap, nothing twice
+        streams[r["_s"]] += [r["_row"]] * r["_size"]
+    assert [len(streams[i]) for i in range(len(mix.sizes))] == list(mix.sizes)
+    # the words of every slot, one by one, over the streams that usage works with
+    streams = defaultdict(list)
+    for r in sorted(mixing.placed(stored, mix).collect(), key=lambda r: (r["_s"], r["_o"])):
+        streams[r["_s"]] += [r["_row"]] * r["_size"]
+    taken = Counter()
+    for slot in mixing.slots(spark, mix).collect():
+        for at in range(slot.block * 16, slot.block * 16 + slot.words):
+            taken[streams[slot["_s"]][at]] += 1
+    want = Counter((r.doc_id, r["_size"], taken[r["_row"]]) for r in stored.collect())
+    assert Counter((r.doc_id, r.size, r.taken) for r in mixing.usage(docs, **settings).collect()) == want
+    assert sum(taken.values()) == sum(map(round, mix.wanted))
+
+
+def test_rows_alike_are_counted_before_they_are_ordered(spark):
+    """No task of the offsets holds the rows of a hot document, whatever the table's partitions."""
+    docs = frame(spark, hot(), 5)
+    once, again = (Counter(map(tuple, mixing.usage(docs.repartition(n, F.rand(3)), block=16, per_shard=8).collect()))
+                   for n in (1, 6))
+    assert once == again

@@ -15,8 +15,11 @@ No pass repeats a block, a target is at most twice a source, so no document is
 taken more than twice.  The last slot of a source is cut so that the words
 taken differ from the target by less than one.
 
-Stream offsets are two-level sums: over (source, hash bucket) totals, then in a
-bucket of bounded expected size; a source that holds most rows is many buckets.
+Rows are stored with a running number first.  Rows alike in key, source, size and
+text checksum are counted per task of that table, and stream offsets are two-level
+sums of these counts: over (source, hash bucket) totals, then in a bucket whose
+expected number of counts and words is bounded.  So a source that holds most rows is
+many buckets, and a row that repeats without end is one count a task.
 Only one row per source (name, size) reaches the driver; more than
 ``MAX_SOURCES`` sources are refused.
 
@@ -28,7 +31,6 @@ working names (leading underscore) are not kept.
 
 from __future__ import annotations
 
-import math
 import re
 from dataclasses import dataclass
 from fractions import Fraction
@@ -46,7 +48,8 @@ SLOTS = 8192
 WEIGHTS = (5, 2, 1)
 SHARE = Fraction(3, 2)
 MOST = 2
-BUCKET = 20_000
+BUCKET = 20_000           # expected counts of rows, and hundreds of words, of a bucket
+FEW = 32                  # draws made one by one
 MAX_SOURCES = 100_000
 
 
@@ -105,27 +108,45 @@ class Mix:
     block: int
     per_shard: int
     seed: int
+    rows: int = 0             # documents with words
 
     @property
     def shards(self) -> int:
         return -(-sum(self.slots) // self.per_shard)
 
 
+def hypergeometric(good: int, bad: int, take: int, rng) -> int:
+    """How many good ones are among ``take`` of ``good + bad`` without replacement.
+
+    Each one is taken with probability take / (good + bad); what that takes too many or too
+    few, about the root of ``take``, is drawn in the same way among those taken or left.
+    Given its size such a set is any set alike, so the law is exact, at all sizes.
+    """
+    drawn, sign = 0, 1
+    while take > FEW:
+        p = take / (good + bad)
+        g, b = int(rng.binomial(good, p)), int(rng.binomial(bad, p))
+        drawn += sign * g
+        if g + b > take:
+            good, bad, take, sign = g, b, g + b - take, -sign
+        else:
+            good, bad, take = good - g, bad - b, take - g - b
+    for _ in range(take):
+        if rng.integers(good + bad) < good:
+            drawn, good = drawn + sign, good - 1
+        else:
+            bad -= 1
+    return drawn
+
+
 def _split(counts: np.ndarray, take: int, rng) -> np.ndarray:
     """``take`` of the counted slots without replacement, by source."""
     out, rest = np.zeros_like(counts), int(counts.sum())
     for i, have in enumerate(counts.tolist()):
-        rest -= have
         if not take:
             break
-        low, high = max(0, take - rest), min(have, take)
-        if have + rest < 10**9:
-            drawn = int(rng.hypergeometric(have, rest, take)) if have else 0
-        else:  # beyond numpy's range: the normal limit, kept feasible
-            p = have / (have + rest)
-            spread = math.sqrt(max(take * p * (1 - p) * (have + rest - take) / (have + rest - 1), 0))
-            drawn = round(rng.normal(take * p, spread))
-        out[i] = min(max(drawn, low), high)
+        rest -= have
+        out[i] = hypergeometric(have, rest, take, rng)
         take -= int(out[i])
     return out
 
@@ -146,7 +167,8 @@ def shard_draw(mix: Mix, shard: int) -> tuple[np.ndarray, np.ndarray]:
 
 def plan(sized: DataFrame, block: int = BLOCK, per_shard: int = SLOTS, seed: int = 20, **share) -> Mix:
     """The mix for a table with ``_source`` and ``_size``; one row per source is collected."""
-    rows = sized.groupBy("_source").agg(F.sum("_size").alias("n")).limit(MAX_SOURCES + 1).collect()
+    rows = (sized.groupBy("_source").agg(F.sum("_size").alias("n"), F.count_if(F.col("_size") > 0).alias("rows"))
+            .limit(MAX_SOURCES + 1).collect())
     if len(rows) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     rows = sorted(rows, key=lambda r: (r["_source"] is None, r["_source"] or ""))
@@ -159,7 +181,7 @@ def plan(sized: DataFrame, block: int = BLOCK, per_shard: int = SLOTS, seed: int
         slots.append(passes * -(-size // block) + -(-rest // block))
         last.append(rest % block or (block if rest else size % block or block))
     return Mix(tuple(r["_source"] for r in rows), tuple(sizes), tuple(map(float, wanted)), tuple(slots),
-               tuple(last), block, per_shard, seed)
+               tuple(last), block, per_shard, seed, sum(r["rows"] for r in rows))
 
 
 def slots(spark: SparkSession, mix: Mix) -> DataFrame:
@@ -198,34 +220,43 @@ def slots(spark: SparkSession, mix: Mix) -> DataFrame:
 
 
 def sized(docs: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
-    """Adds ``_source``, ``_size`` (words) and ``_crc``."""
+    """Adds ``_source``, ``_size`` (words), ``_crc`` and a running number, ``_row``; to be stored."""
     body = F.coalesce(F.col(text), F.lit(""))
     return docs.select(*[c for c in docs.columns if not c.startswith("_")], F.col(source).alias("_source"),
-                       F.regexp_count(body, F.lit(WORD)).cast("long").alias("_size"), F.crc32(body).alias("_crc"))
+                       F.regexp_count(body, F.lit(WORD)).cast("long").alias("_size"), F.crc32(body).alias("_crc"),
+                       F.monotonically_increasing_id().alias("_row"))
 
 
 def placed(rows: DataFrame, mix: Mix, key: str = "doc_id", bucket: int = BUCKET) -> DataFrame:
-    """Adds ``_s`` (source number) and ``_o`` (offset in the source's stream, null for size 0)."""
+    """``_row, _s, _size, _o`` of the rows with words: source number and offset in the source's stream."""
     spark = rows.sparkSession
     numbers = spark.createDataFrame([(n, i) for i, n in enumerate(mix.names)], "_name string, _s int")
-    rows = rows.join(F.broadcast(numbers), F.col("_source").eqNullSafe(F.col("_name"))).drop("_name")  # <= MAX_SOURCES rows
-    rows = rows.withColumn("_h", F.xxhash64(F.col(key), F.lit(mix.seed)))
-    n = max(1, -(-sum(mix.sizes) // (bucket * 100)))
-    rows = rows.withColumn("_b", F.pmod(F.xxhash64("_h"), F.lit(n)).cast("int"))
+    rows = (rows.filter("_size > 0")
+            .join(F.broadcast(numbers), F.col("_source").eqNullSafe(F.col("_name")))  # <= MAX_SOURCES rows
+            .select("_row", "_s", F.col(key).alias("_key"), "_size", "_crc",
+                    F.shiftright("_row", 33).alias("_part")))  # the task that numbered the row
+    alike = ["_s", "_key", "_size", "_crc", "_part"]
+    n = max(1, -(-sum(mix.sizes) // (bucket * 100)), -(-mix.rows // bucket))
+    counts = (rows.groupBy(*alike).agg(F.count(F.lit(1)).alias("_times"))
+              .withColumn("_h", F.xxhash64("_key", "_size", "_crc", F.lit(mix.seed)))
+              .withColumn("_b", F.pmod(F.xxhash64("_h"), F.lit(n)).cast("int"))
+              .withColumn("_words", F.col("_times") * F.col("_size")))
     before = W.partitionBy("_s").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (rows.groupBy("_s", "_b").agg(F.sum("_size").alias("_n"))
+    offsets = (counts.groupBy("_s", "_b").agg(F.sum("_words").alias("_n"))
                .select("_s", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")))
-    inner = W.partitionBy("_s", "_b").orderBy("_h", key, "_size", "_crc").rowsBetween(W.unboundedPreceding, -1)
-    rows = rows.withColumn("_in", F.coalesce(F.sum("_size").over(inner), F.lit(0)))
-    return (rows.join(offsets, ["_s", "_b"])
-            .withColumn("_o", F.when(F.col("_size") > 0, F.col("_first") + F.col("_in")))
-            .drop("_h", "_b", "_in", "_first"))
+    inner = W.partitionBy("_s", "_b").orderBy("_h", "_key", "_size", "_crc", "_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = (counts.withColumn("_in", F.coalesce(F.sum("_words").over(inner), F.lit(0))).join(offsets, ["_s", "_b"])
+              .select(*alike, (F.col("_first") + F.col("_in")).alias("_start")))
+    nth = F.row_number().over(W.partitionBy(*alike).orderBy("_row")) - 1  # at most the rows of one task
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) if c == "_key" else F.col(f"r.{c}") == F.col(f"c.{c}") for c in alike]
+    return (rows.withColumn("_nth", nth).alias("r").join(starts.alias("c"), same)
+            .select("_row", "r._s", "r._size", (F.col("_start") + F.col("_nth") * F.col("r._size")).alias("_o")))
 
 
 def taken_pieces(positions: DataFrame, mix: Mix) -> DataFrame:
-    """``_s, _o, shard, slot, pass, first, n``: the words [first, first + n) that a
+    """``_row, _s, shard, slot, pass, first, n``: the words [first, first + n) that a
     slot takes of the document at ``_o``.  Slots meet documents by block index."""
-    pieces = (positions.filter("_size > 0").select("_s", "_o", "_size", F.explode(F.sequence(
+    pieces = (positions.select("_row", "_s", "_o", "_size", F.explode(F.sequence(
         F.floor(F.col("_o") / mix.block).cast("long"),
         F.floor((F.col("_o") + F.col("_size") - 1) / mix.block).cast("long"))).alias("block")))
     begin = F.col("block") * mix.block
@@ -233,20 +264,20 @@ def taken_pieces(positions: DataFrame, mix: Mix) -> DataFrame:
     stop = F.least(F.col("_o") + F.col("_size"), begin + F.col("words")) - F.col("_o")
     # both sides grow with the corpus (Spark takes generated slots for a few bytes)
     return (pieces.join(slots(positions.sparkSession, mix).hint("merge"), ["_s", "block"])
-            .select("_s", "_o", "shard", "slot", "pass", first.alias("first"), (stop - first).alias("n"))
+            .select("_row", "_s", "shard", "slot", "pass", first.alias("first"), (stop - first).alias("n"))
             .filter("n > 0"))
 
 
 def usage(docs: DataFrame, key: str = "doc_id", **settings) -> DataFrame:
     """Per document: key, size, source_size, target, taken."""
-    narrow = staged(sized(docs.select(key, "text", "source")).select(key, "_source", "_size", "_crc"), "sizes")
-    mix = plan(narrow, **settings)
-    positions = staged(placed(narrow, mix, key), "positions")
-    taken = taken_pieces(positions, mix).groupBy("_s", "_o").agg(F.sum("n").alias("taken"))
-    spark = docs.sparkSession
-    sources = spark.createDataFrame(list(zip(range(len(mix.sizes)), mix.sizes, mix.wanted)),
-                                    "_s int, source_size long, target double")
-    return (positions.join(taken, ["_s", "_o"], "left").join(F.broadcast(sources), "_s")  # <= MAX_SOURCES rows
+    rows = staged(sized(docs.select(key, "text", "source")).select(key, "_source", "_size", "_crc", "_row"), "sizes")
+    mix = plan(rows, **settings)
+    positions = staged(placed(rows, mix, key), "positions")
+    taken = taken_pieces(positions, mix).groupBy("_row").agg(F.sum("n").alias("taken"))
+    sources = docs.sparkSession.createDataFrame(list(zip(mix.names, mix.sizes, mix.wanted)),
+                                                "_name string, source_size long, target double")
+    return (rows.join(taken, "_row", "left")
+            .join(F.broadcast(sources), F.col("_source").eqNullSafe(F.col("_name")))  # <= MAX_SOURCES rows
             .select(key, F.col("_size").alias("size"), "source_size", "target",
                     F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
@@ -274,13 +305,13 @@ def mixed(docs: DataFrame, key: str = "doc_id", **settings) -> DataFrame:
     that pass, in order; documents that are not taken are gone, those taken
     twice come twice.  Columns are those of the input; ``n_chars`` is renewed."""
     columns = [c for c in docs.columns if not c.startswith("_")]
-    rows = sized(docs)
-    narrow = staged(rows.select(key, "_source", "_size", "_crc"), "sizes")
+    rows = staged(sized(docs), "numbered")
+    narrow = rows.select(key, "_source", "_size", "_crc", "_row")
     mix = plan(narrow, **settings)
     positions = staged(placed(narrow, mix, key), "positions")
-    ranges = taken_pieces(positions, mix).groupBy("_s", "_o", "pass").agg(
+    ranges = taken_pieces(positions, mix).groupBy("_row", "pass").agg(
         F.collect_list(F.struct("first", "n")).alias("_ranges")).drop("pass")  # as many as a document has blocks
-    full = placed(rows, mix, key).join(ranges, ["_s", "_o"]).select(*columns, "_size", "_ranges")
+    full = rows.join(ranges, "_row").select(*columns, "_size", "_ranges")
 
     def task(batches):
         for batch in small(batches):
