@@ -107,3 +107,19 @@ def brute_all(rows, k):
         own = min(v for i, v in good if i == q)
         found = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in good if i != q)[:k]
         yield from ((q, n + 1, i, -s) for n, (s, i) in enumerate(found))
+
+
+def test_query_takes_rows_not_ids(spark, tmp_path):
+    """Of repeated ids each row asks and answers, rows without an id and empty vectors answer."""
+    from tillflow.llm import queries
+    rows = [(0, [1.0, 0.5], 0, 0.0), (0, [1.0, 0.5], 0, 0.0), (50, [0.25, -1.0], 0, 0.0), (50, [-0.5, 0.5], 0, 0.0), (None, [2.0, 2.0], 0, 0.0),
+            (3, [0.5, 0.5], 0, 0.0), (3, [0.5, 0.5], 0, 0.0), (100, [], 0, 0.0), (7, [0.1, None], 0, 0.0), (150, None, 0, 0.0), (9, [-2.0, 1.0], 0, 0.0)]
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    good = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v, *_ in rows if v is not None and None not in v]
+    want = []
+    for n, (q, own) in enumerate(good):
+        if q is not None and q % 50 == 0:
+            found = [(-sum(a * b for a, b in zip(own, v)), i is None, i or 0, i) for m, (i, v) in enumerate(good) if m != n]
+            want += [(q, r + 1, x[3], -x[0]) for r, x in enumerate(sorted(found, key=lambda x: x[:3])[:5])]
+    got = queries.QUERIES["op5_threshold_topk"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str) and len(want) == 25
