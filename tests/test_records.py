@@ -169,3 +169,56 @@ def test_file_helpers():
     assert files.listed(folder, ".dbf") == [(os.path.join(folder, "sub=1/t.DBF"), 3), (os.path.join(folder, "u.dbf"), 3)]
     assert files.listed("file://" + folder + "/*/*.DBF", ".dbf") == [("file://" + folder + "/sub=1/t.DBF", 3)]
     assert files.listed(os.path.join(folder, "u.dbf"), ".dbf") == [(os.path.join(folder, "u.dbf"), 3)]
+
+
+def test_many_files_with_trailers_are_few_batches(spark):
+    """Rows behind a held-back line go on in batches, not one by one."""
+    folder = tempfile.mkdtemp(prefix="tf trail-")
+    for i in range(5):
+        _file(b"HEAD\n" + b"".join(b"%d|%d\n" % (i, n) for n in range(200)) + b"TOTAL|200\n", f"f{i}.txt", folder)
+    rows = SD.drop_edge_lines(spark, folder, skip_head=1, drop_last=True)
+    assert sorted(r.value for r in rows.collect()) == sorted(f"{i}|{n}" for i in range(5) for n in range(200))
+    taken = {}
+
+    class Caught(Exception):
+        pass
+
+    class Lines:
+        """The frame's columns, and the task that ``records`` gives to it."""
+        columns = ["value", R.PATH, R.BLOCK, R.MONO, R.LENGTH, R.SIZE, "_inside"]
+        schema = spark.createDataFrame([], f"value binary, {R.PATH} string, {R.BLOCK} long, {R.MONO} long").schema
+
+        def withColumn(self, *_):
+            return self
+
+        def mapInArrow(self, task, *_):
+            taken["task"] = task
+            raise Caught
+
+    with pytest.raises(Caught):
+        R.records(Lines(), "", skip_lines=1, drop_last=True, quoted=False)
+    import pyarrow as pa
+    n = 300
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([b"x"] * n, pa.binary()), pa.array(["f"] * n), pa.array([1] * n, pa.int64()), pa.array(range(n), pa.int64()),
+         pa.array([10] * n, pa.int64()), pa.array([10**6] * n, pa.int64()), pa.array([False] * n)], Lines.columns)
+    sizes = [b.num_rows for b in taken["task"](iter([batch, batch]))]
+    assert sum(sizes) == 2 * n and len(sizes) <= 4
+
+
+def test_landed_files_are_those_of_sparks_writer(spark, monkeypatch):
+    from tillflow.plans import landing as L
+    rows = [(r, i, f"a,{i}" if i % 3 else 'q"x', None if i % 4 else "") for r in ("r1.csv", None, "x=y/z", "7") for i in range(9)]
+    df = spark.createDataFrame(rows, "retailer_id string, _ord long, one string, `two words` string")
+    lines = df.selectExpr("retailer_id", "_ord % 2 AS _part", "_ord", "one AS value")
+    xml = df.withColumnRenamed("two words", "two")
+    for kind, make in (("text", lambda: L.land_csv(spark, df, "t")), ("text", lambda: L.land_csv(spark, df, "t", sep="\t", header=False)),
+                       ("text", lambda: L.land_lines(spark, lines, "t")), ("xml", lambda: L.land_xml(spark, xml, "t"))):
+        def read(path):
+            r = spark.read.format(kind)
+            r = r.option("rowTag", "webtable").schema("one string, two string, retailer_id string") if kind == "xml" else r
+            return sorted(str(row) for row in r.load(path).collect())
+        own = read(make())
+        with monkeypatch.context() as m:
+            m.setattr(L, "_reachable", lambda path: False)
+            assert own == read(make()) and len(own) >= len(rows)
