@@ -154,6 +154,18 @@ def test_dbf_ranges_equal_the_whole_read(spark, monkeypatch):
         assert "missing" in str(e)
 
 
+def test_small_dbf_files_share_tasks(spark):
+    from tillflow.sources import dbf
+    tmp = tempfile.mkdtemp(prefix="tfdbf-")
+    for i in range(60):
+        os.makedirs(os.path.join(tmp, f"r{i}"))
+        with open(os.path.join(tmp, f"r{i}", "x.dbf"), "wb") as fh:
+            fh.write(dbf.encode_table([("sku", "string")], [(f"{i}-{n}",) for n in range(i % 4)]))
+    rows = dbf.scan_dbf(spark, tmp, records_per_partition=1000)
+    assert rows.rdd.getNumPartitions() == 1
+    assert sorted((r.sku, r._record) for r in rows.collect()) == sorted((f"{i}-{n}", n) for i in range(60) for n in range(i % 4))
+
+
 def test_truncated_dbf_ends_the_job(spark):
     import pytest
 
