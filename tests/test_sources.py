@@ -194,3 +194,20 @@ def test_archives_of_equal_names_stay_apart(spark):
     bar = A.member_rows(rows, "barcodes").collect()
     assert sorted((r.archive.split("/")[-2], r.CODE_NUM, r.BARCODE) for r in bar) == [
         ("r1", "1", "11"), ("r1", "1", "11"), ("r2", "2", "22"), ("r2", "2", "22")]
+
+
+def test_archive_records_find_their_columns_without_a_shuffle(spark):
+    """Archives in file order, a member per role even where it has no row; as many header rows as there are headers."""
+    from tillflow.plans import landing as L
+    from tillflow.sources import archive as A
+    inv = spark.createDataFrame([("r1", 0, (2, "b"), "s2", None), ("r1", 0, (1, "a"), "s1", 'x,"y'), ("r2", 1, (1, "a"), "s3", "n\nm")],
+                                "retailer_id string, _part long, _ord struct<n:int,t:string>, SKU string, NAME string")
+    upc = spark.createDataFrame([("r1", 0, 5, "s1", "u"), ("r1", 0, 4, "s1", "v")], "retailer_id string, _part long, _ord int, SKU string, UPC string")
+    rows = A.stored(A.expand_archives(L.land_zip_members(spark, {"inv.csv": inv, "readme.csv": inv, "upc.csv": upc}, "zips")))
+    got = A.member_rows(rows, "inv").orderBy("_ord")
+    assert [(r.archive, r.SKU, r.NAME) for r in got.collect()] == [
+        ("r1/000000000000/export.zip", "s1", 'x,"y'), ("r1/000000000000/export.zip", "s2", None), ("r2/000000000001/export.zip", "s3", "n\nm")]
+    assert [r.UPC for r in A.member_rows(rows, "upc").orderBy("_ord").collect()] == ["v", "u"]
+    assert rows.where("role = 'upc' AND pos = 0").count() == 2 and rows.where("role IS NULL").count() == 0
+    assert "SortMergeJoin" not in A.member_rows(rows, "inv")._jdf.queryExecution().executedPlan().toString()
+    assert rows.where("role = 'inv'").select("layout").distinct().count() == 1
