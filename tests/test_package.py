@@ -92,3 +92,23 @@ def test_parse_is_narrow(spark):
                                  F.lit("6 pk").alias("rt_package_size"), F.lit("").alias("rt_item_size"))
     plan = parse_package(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+# tokens at each other's edges: what stands between run and word, runs of one digit, line ends, the marks' own characters
+EDGES = [("12+5PK", None, None), ("5--6PK", 6.0, None), ("12/6PK", 126.0, None), ("12/6 PK", 6.0, None), ("7\nPK", None, None), ("7x-PK", None, None),
+         ("12//PK", 12.0, None), ("3\u0004OZ", None, None), ("3\u0001OZ 4 L", None, None), ("1..5OZ", None, 0.5), ("16GG", None, 16.0),
+         ("4\U0001f600OZ", None, None), ("9 12BTL", 12.0, None), ("1BTL", None, None)]
+
+
+def test_rules_at_edges(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(EDGES)], "i int, t string")
+    got = with_item_size_rule(with_pkg_size_rule(df, "t", "n"), "t", "r").orderBy("i").collect()
+    assert [(r.n, r.r["size"]) for r in got] == [(n, s) for _, n, s in EDGES]
+
+
+def test_rules_run_as_compiled_methods(spark):
+    """No rule is interpreted: neither in a lambda function nor in a generated method that HotSpot leaves out."""
+    df = spark.createDataFrame([("6 PK", "", "")], "rt_brand_description string, rt_package_size string, rt_item_size string")
+    plan = parse_package(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "rt_brand_description" in plan
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
