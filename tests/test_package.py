@@ -112,3 +112,17 @@ def test_rules_run_as_compiled_methods(spark):
     plan = parse_package(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan and "rt_brand_description" in plan
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_layouts_are_tried_on_texts_with_their_separators(spark):
+    """A layout that cannot fit costs an exception a row in the parser; the values are those of all layouts tried."""
+    from tillflow.functions.text import parse_ts
+    texts = ["2024-01-02 03:04:05", "2024-01-02T03:04:05", "2024-01-02t03:04:05", "2024-01-02", "01/02/2024 03:04:05", "01/02/2024",
+             "2024/01/02", "2024-1-2", " 2024-01-02", "", "n/a", "T", "2024-01-02 03:04", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    layouts = parse_ts.__defaults__[0]
+    every = F.coalesce(*[F.try_to_timestamp("t", F.lit(x)) for x in layouts]).cast("timestamp_ntz")
+    rows = df.select(parse_ts(F.col("t")).alias("got"), every.alias("want")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows] and sum(r.got is not None for r in rows) >= 6
+    plan = df.select(parse_ts(F.col("t")).alias("got"))._jdf.queryExecution().analyzed().toString().lower()
+    assert plan.count("case when") >= len(layouts) and plan.count("contains(") >= len(layouts)
