@@ -211,3 +211,23 @@ def test_archive_records_find_their_columns_without_a_shuffle(spark):
     assert rows.where("role = 'upc' AND pos = 0").count() == 2 and rows.where("role IS NULL").count() == 0
     assert "SortMergeJoin" not in A.member_rows(rows, "inv")._jdf.queryExecution().executedPlan().toString()
     assert rows.where("role = 'inv'").select("layout").distinct().count() == 1
+
+
+def test_landed_xml_is_small_and_reads_back(spark):
+    """A row a line, packed; texts that XML escapes, nulls and part files come back as they were."""
+    import glob
+    import gzip
+    from tillflow.plans import landing as L
+    from tillflow.sources import structured
+    path = tempfile.mkdtemp(prefix="tf-xml-") + "/x"
+    names = ["a", "a & <b> \"c\"", "d'e]]>", "Größe", None, "", "x\ty"]
+    rows = [(r, i, n, "T" if i % 2 else None) for r in ("1", "a/b") for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "retailer_id string, _ord int, sku string, onsale string")
+    L.land_xml(spark, df, "x", path=path, packed=True)
+    files = glob.glob(path + "/*/*.xml.gz")
+    text = b"".join(gzip.open(f).read() for f in files).decode()
+    assert files and "<webtable><sku>a</sku></webtable>\n" in text
+    got = L.retailer_from_path(structured.scan_xml_rows(spark, path, tags=["sku", "onsale"]))
+    want = sorted((r, n, o) for r, _, n, o in rows if n)
+    assert sorted((r.retailer_id, r.sku, r.onsale) for r in got.where("sku != ''").collect()) == want
+    assert got.count() == len(rows)
