@@ -222,3 +222,50 @@ def test_landed_files_are_those_of_sparks_writer(spark, monkeypatch):
         with monkeypatch.context() as m:
             m.setattr(L, "_reachable", lambda path: False)
             assert own == read(make()) and len(own) >= len(rows)
+
+
+def test_lines_between_preamble_and_trailer_are_landed_in_passes_and_packed(spark, monkeypatch):
+    from tillflow.plans import landing as L
+    from tillflow.sources.delimited import drop_edge_lines
+    rows = [(r, p, o, f"{r} {p} {o}") for r in ("1", "x=y", None, "7") for p in (0, 12, None) for o in range(5)]
+    lines = spark.createDataFrame(rows, "retailer_id string, _part long, _ord long, value string")
+    found = []
+    for there in (True, False):
+        with monkeypatch.context() as m:
+            if not there:
+                m.setattr(L, "_reachable", lambda path: False)
+            path = L.land_lines(spark, lines, "t", head="one\ntwo\n", tail="TOTAL|{n}\n", packed=True, passes=3)
+        assert all(f.endswith(".txt.gz") for f in spark.read.text(path).inputFiles())
+        whole = L.with_part(spark.read.text(path).select("*", "_metadata.file_name"), "file_name")
+        assert whole.where("value = 'TOTAL|5'").count() == whole.where("value = 'two'").count() == 12
+        data = L.with_part(drop_edge_lines(spark, path, skip_head=2, drop_last=True))
+        found.append(sorted(map(str, data.orderBy("_ord").select("retailer_id", "_part", "value").collect())))
+    assert found[0] == found[1] == sorted(f"Row(retailer_id={r!r}, _part={p}, value={v!r})" for r, p, _, v in rows)
+
+
+def test_a_packed_file_keeps_all_lines_but_its_last(spark, tmp_path):
+    """Its size is that of the packed bytes, in which no line end stands where one is in the text."""
+    import gzip
+    import random
+    from tillflow.sources.delimited import drop_edge_lines
+    r = random.Random(5)
+    texts = [[f"{i} {r.random()}" for i in range(n)] for n in (1, 2, 400)]
+    for i, text in enumerate(texts):
+        (tmp_path / f"f{i}.txt.gz").write_bytes(gzip.compress("\n".join(text).encode()))
+    left = [row["value"] for row in drop_edge_lines(spark, str(tmp_path), drop_last=True).collect()]
+    assert sorted(left) == sorted(x for text in texts for x in text[:-1])
+
+
+def test_a_landing_leaves_no_shuffle_files(spark, tmp_path):
+    import time
+    from pathlib import Path
+    from tillflow.plans import landing as L
+    local = [Path(x) for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    shuffles = lambda: {f.name for d in local for f in d.rglob("shuffle_*.data")}
+    before = shuffles()
+    df = spark.range(2000).selectExpr("cast(id % 5 AS string) AS retailer_id", "id % 2 AS _part", "id AS _ord", "cast(id AS string) AS value")
+    L.land_lines(spark, df, "t", head="h\n", passes=2)
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
