@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tillflow.sources import delimited as SD
@@ -231,3 +233,57 @@ def test_landed_xml_is_small_and_reads_back(spark):
     want = sorted((r, n, o) for r, _, n, o in rows if n)
     assert sorted((r.retailer_id, r.sku, r.onsale) for r in got.where("sku != ''").collect()) == want
     assert got.count() == len(rows)
+
+
+def test_a_dbase_texts_field_is_as_wide_as_its_longest_text():
+    from tillflow.sources import dbf
+    rows = [("é" * 3, 1, None), (None, 2.5, "x" * 300), ("", None, "yz")]
+    data = dbf.encode_table([("a", "string"), ("n", "double"), ("b", "string")], rows)
+    n, start, record, fields = dbf.read_header(data)
+    assert (n, [f[2] for f in fields]) == (3, [3, 24, 254]) and len(data) == start + 3 * record + 1
+    columns, bad, _ = dbf.decode(data[start:-1], fields, 0, [("a", "string"), ("n", "double"), ("b", "string")], "latin-1")
+    assert [c.to_pylist() for c in columns] == [["ééé", "", ""], [1.0, 2.5, None], ["", "x" * 254, "yz"]] and bad == [None] * 3
+    assert [f[2] for f in dbf.read_header(dbf.encode_table([("a", "string")], [(None,)]))[3]] == [1]
+    assert [f[2] for f in dbf.read_header(dbf.encode_table([("a", "string")], []))[3]] == [1]
+
+
+def test_landed_archives_and_tables_in_passes_are_those_of_one(spark):
+    import io
+    import zipfile
+    from tillflow.plans import landing as L
+    rows = [(r, p, o, f"{r}{o}") for r in ("1", "2", "x") for p in (0, 1) for o in range(4)]
+    df = spark.createDataFrame(rows, "retailer_id string, _part long, _ord long, name string")
+    texts = lambda d: sorted((r["path"], zipfile.ZipFile(io.BytesIO(r["content"])).read("inv.csv")) for r in d.collect())
+    one, three = (texts(L.land_zip_members(spark, {"inv.csv": df}, "zips", n)) for n in (1, 3))
+    assert one == three and len(one) == 6
+    one, three = (sorted((r["path"], bytes(r["content"])) for r in L.land_dbf(spark, df, "t", "inv", n).collect()) for n in (1, 3))
+    assert one == three and len(one) == 6
+
+
+def test_only_the_roles_members_are_unpacked_and_have_a_schema(spark):
+    import io
+    import zipfile
+    from tillflow.sources import archive as A
+    from tillflow.sources import dbf
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("inv.dbf", dbf.encode_table([("sku", "string")], [("1",)]))
+        z.writestr("prc.dbf", dbf.encode_table([("sku", "string"), ("price", "double")], [("1", 2.0)]))
+        z.writestr("readme.dbf", b"no table")
+    zips = spark.createDataFrame([("a.zip", out.getvalue())], "path string, content binary")
+    assert [r["path"] for r in A.member_files(zips, roles=("prc",)).collect()] == ["a.zip!/prc.dbf"]
+    assert dbf.schemas_of(A.member_files(zips, roles=("inv", "prc", "stk")), ("inv", "prc", "stk")) == {
+        "inv": [("sku", "string")], "prc": [("sku", "string"), ("price", "double")], "stk": []}
+
+
+def test_steps_run_together_and_keep_their_order(spark):
+    import threading
+    from tillflow.session import together
+    met = threading.Barrier(3, timeout=60)
+
+    def step(i):
+        met.wait()              # all three are under way at once
+        return spark.range(i).count()
+    assert together(spark, [lambda i=i: step(i) for i in (3, 1, 2)]) == [3, 1, 2]
+    with pytest.raises(ZeroDivisionError):
+        together(spark, [lambda: 1, lambda: 1 // 0])
