@@ -238,13 +238,13 @@ def test_landed_xml_is_small_and_reads_back(spark):
 def test_a_dbase_texts_field_is_as_wide_as_its_longest_text():
     from tillflow.sources import dbf
     rows = [("é" * 3, 1, None), (None, 2.5, "x" * 300), ("", None, "yz")]
-    data = dbf.encode_table([("a", "string"), ("n", "double"), ("b", "string")], rows)
+    data = dbf.encode_table([("a", "string"), ("n", "double"), ("b", "string")], rows, narrow=True)
     n, start, record, fields = dbf.read_header(data)
     assert (n, [f[2] for f in fields]) == (3, [3, 24, 254]) and len(data) == start + 3 * record + 1
     columns, bad, _ = dbf.decode(data[start:-1], fields, 0, [("a", "string"), ("n", "double"), ("b", "string")], "latin-1")
     assert [c.to_pylist() for c in columns] == [["ééé", "", ""], [1.0, 2.5, None], ["", "x" * 254, "yz"]] and bad == [None] * 3
-    assert [f[2] for f in dbf.read_header(dbf.encode_table([("a", "string")], [(None,)]))[3]] == [1]
-    assert [f[2] for f in dbf.read_header(dbf.encode_table([("a", "string")], []))[3]] == [1]
+    assert [f[2] for f in dbf.read_header(dbf.encode_table([("a", "string")], [(None,)], narrow=True))[3]] == [1]
+    assert [f[2] for f in dbf.read_header(dbf.encode_table([("a", "string")], [], narrow=True))[3]] == [1]
 
 
 def test_landed_archives_and_tables_in_passes_are_those_of_one(spark):
